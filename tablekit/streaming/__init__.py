@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The modelled SQL templates contain no stream, watermark, window-over-time,
+state or late-data semantics, so there is no Structured Streaming operator to
+build.  The nearest idea, working a queue in chunks, is a batch operation
+(``tablekit.operators.mutate.update_chunk`` / ``drain``).
+"""
