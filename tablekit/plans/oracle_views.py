@@ -45,11 +45,30 @@ SELECT lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS national_id,
        o_orderkey AS seq
 FROM orders WHERE o_orderkey < 3000""",
     "orders_batch": """
-SELECT lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS national_id,
+SELECT lpad(CAST(o_custkey * 2 AS VARCHAR), 14, '0') AS national_id,
        concat('N', CAST(o_orderkey AS VARCHAR)) AS full_name,
        CASE WHEN o_orderkey % 2 = 0 THEN 'FULL_TIME' ELSE 'PART_TIME' END AS contract_type,
        CAST(o_totalprice AS DECIMAL(10,2)) AS base_salary,
+       CAST(o_orderdate AS DATE) AS birth_date,
        o_orderkey AS seq
+FROM orders""",
+    "employee_import": """
+SELECT CASE WHEN o_orderkey % 50 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS emp_id,
+       CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE o_custkey % 30 END AS department_id,
+       CASE WHEN o_orderkey % 97 = 0 THEN NULL
+            WHEN o_orderkey % 89 = 0 THEN lpad(CAST(o_orderkey AS VARCHAR), 15, '0')
+            WHEN o_orderkey % 83 = 0 THEN lpad(CAST(o_custkey AS VARCHAR), 14, '0')
+            ELSE lpad(CAST(o_orderkey AS VARCHAR), 14, '0') END AS national_id,
+       CASE WHEN o_orderkey % 61 = 0 THEN repeat('x', 151) ELSE concat('Emp ', CAST(o_orderkey AS VARCHAR)) END AS full_name,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'FULL_TIME' WHEN '2-HIGH' THEN 'PART_TIME'
+            WHEN '3-MEDIUM' THEN 'CONTRACTOR' WHEN '4-NOT SPECIFIED' THEN 'INTERN' END AS contract_type,
+       CAST(CAST(o_totalprice AS DECIMAL(15,2)) * (CASE WHEN o_orderkey % 101 = 0 THEN 1000 ELSE 1 END) - 100000
+            AS DECIMAL(15,2)) AS base_salary,
+       o_orderstatus AS status,
+       CAST(o_orderdate AS DATE) AS birth_date,
+       CAST(o_orderdate AS TIMESTAMP) AS created_at,
+       CASE WHEN o_orderkey % 71 = 0 THEN TIMESTAMP '2040-01-01 00:00:00' ELSE CAST(o_orderdate AS TIMESTAMP) END AS updated_at,
+       CASE WHEN o_orderkey % 13 = 0 THEN '{bad' ELSE concat('{"k": ', CAST(o_orderkey % 100 AS VARCHAR), '}') END AS metadata
 FROM orders""",
     "legacy_import": """
 SELECT lpad(CAST(o_orderkey + 100000000 AS VARCHAR), 14, '0') AS nat_id,

@@ -95,17 +95,54 @@ def upsert_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 def orders_batch(spark: SparkSession, d: str) -> DataFrame:
-    """The same batch shape over ALL orders (whole-table mutation input)."""
+    """The batch shape over ALL orders (whole-table mutation input).  Keys are
+    lpad(2 * customer): about half hit existing employees, half are new, and
+    every key repeats once per order of that customer."""
     o = scan(spark, d, "orders")
     return o.select(
-        F.lpad(F.col("o_custkey").cast("string"), 14, "0").alias("national_id"),
+        F.lpad((F.col("o_custkey") * 2).cast("string"), 14, "0").alias("national_id"),
         F.concat(F.lit("N"), F.col("o_orderkey").cast("string")).alias("full_name"),
         F.when(F.col("o_orderkey") % 2 == 0, "FULL_TIME").otherwise("PART_TIME").alias("contract_type"),
         F.col("o_totalprice").cast("decimal(10,2)").alias("base_salary"),
+        F.col("o_orderdate").cast("date").alias("birth_date"),
         F.col("o_orderkey").alias("seq"),
     )
 
 
+def employee_import(spark: SparkSession, d: str) -> DataFrame:
+    """A staging batch of employee rows over ALL orders, with rule breakers
+    derived from the data: repeated ids, NULL / 15-char / repeated national
+    ids, 151-char names, an 'INTERN' contract, negative and oversized
+    salaries, far-future timestamps, broken JSON and orphan departments."""
+    o = scan(spark, d, "orders")
+    k = F.col("o_orderkey")
+    pr = F.col("o_orderpriority")
+    ts = F.col("o_orderdate").cast("timestamp")
+    return o.select(
+        F.when(k % 50 == 1, k - 1).otherwise(k).alias("emp_id"),
+        F.when(F.col("o_custkey") % 11 == 0, F.lit(None).cast("bigint"))
+        .otherwise(F.col("o_custkey") % 30).alias("department_id"),
+        F.when(k % 97 == 0, F.lit(None).cast("string"))
+        .when(k % 89 == 0, F.lpad(k.cast("string"), 15, "0"))
+        .when(k % 83 == 0, F.lpad(F.col("o_custkey").cast("string"), 14, "0"))
+        .otherwise(F.lpad(k.cast("string"), 14, "0")).alias("national_id"),
+        F.when(k % 61 == 0, F.repeat(F.lit("x"), 151))
+        .otherwise(F.concat(F.lit("Emp "), k.cast("string"))).alias("full_name"),
+        F.when(pr == "1-URGENT", "FULL_TIME").when(pr == "2-HIGH", "PART_TIME")
+        .when(pr == "3-MEDIUM", "CONTRACTOR").when(pr == "4-NOT SPECIFIED", "INTERN")
+        .alias("contract_type"),
+        (F.col("o_totalprice").cast("decimal(15,2)")
+         * F.when(k % 101 == 0, F.lit(1000)).otherwise(F.lit(1)) - F.lit(100000))
+        .cast("decimal(15,2)").alias("base_salary"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderdate").cast("date").alias("birth_date"),
+        ts.alias("created_at"),
+        F.when(k % 71 == 0, F.lit("2040-01-01 00:00:00").cast("timestamp")).otherwise(ts).alias("updated_at"),
+        F.when(k % 13 == 0, F.lit("{bad"))
+        .otherwise(F.concat(F.lit('{"k": '), (k % 100).cast("string"), F.lit("}"))).alias("metadata"),
+    )
+
+
 def legacy_import(spark: SparkSession, d: str) -> DataFrame:
     """legacy_hr_import_table: nat_id, name, salary, dob, is_processed (from orders)."""
     o = scan(spark, d, "orders")
