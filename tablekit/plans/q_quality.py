@@ -1 +1,142 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries for constraints and data quality."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablekit.operators import quality as V
+from tablekit.operators.ids import assign_ids
+from tablekit.plans.catalog import register
+from tablekit.plans.oracle_views import with_views
+from tablekit.sources import fixtures as fx
+from tablekit.sources.tables import scan
+from tablekit.spec import CONTRACT_TYPES, EMPLOYEES
+
+_K = "CAST(emp_id AS VARCHAR)"
+_RANGE = ("< TIMESTAMP '1970-01-01 00:00:01'", "> TIMESTAMP '2038-01-19 03:14:07'")
+_ROW_RULES = [
+    ("not_null:emp_id", "emp_id IS NULL"),
+    ("unsigned:emp_id", "emp_id < 0"),
+    ("unsigned:department_id", "department_id < 0"),
+    ("not_null:national_id", "national_id IS NULL"),
+    ("length:national_id", "length(national_id) > 14"),
+    ("not_null:full_name", "full_name IS NULL"),
+    ("length:full_name", "length(full_name) > 150"),
+    ("not_null:contract_type", "contract_type IS NULL"),
+    ("enum:contract_type", "contract_type NOT IN ('FULL_TIME','PART_TIME','CONTRACTOR')"),
+    ("not_null:base_salary", "base_salary IS NULL"),
+    ("type:base_salary", "base_salary IS NOT NULL AND TRY_CAST(base_salary AS DECIMAL(10,2)) IS NULL"),
+    ("not_null:birth_date", "birth_date IS NULL"),
+    ("range:created_at", f"created_at {_RANGE[0]} OR created_at {_RANGE[1]}"),
+    ("range:updated_at", f"updated_at {_RANGE[0]} OR updated_at {_RANGE[1]}"),
+    ("json:metadata", "metadata IS NOT NULL AND NOT json_valid(metadata)"),
+    ("check:chk_salary", "base_salary < 0"),
+]
+_ROW_SQL = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS rule, {_K} AS key, CAST(1 AS BIGINT) AS n FROM employee_import WHERE {cond}"
+    for name, cond in _ROW_RULES)
+_CHECK_SQL = with_views("employee_import", "departments") + f"""
+, v AS (
+{_ROW_SQL}
+UNION ALL SELECT 'primary_key', COALESCE({_K}, 'NULL'), COUNT(*) FROM employee_import
+          GROUP BY emp_id HAVING COUNT(*) > 1
+UNION ALL SELECT 'unique:uk_national_id', national_id, COUNT(*) FROM employee_import
+          WHERE national_id IS NOT NULL GROUP BY national_id HAVING COUNT(*) > 1
+UNION ALL SELECT 'unique:uk_email', full_name, COUNT(*) FROM employee_import
+          WHERE full_name IS NOT NULL GROUP BY full_name HAVING COUNT(*) > 1
+UNION ALL SELECT 'fk:fk_employee_department', {_K}, 1 FROM employee_import
+          WHERE department_id IS NOT NULL AND department_id NOT IN (SELECT id FROM departments))
+"""
+
+
+def _check(spark, d):
+    return V.check(fx.employee_import(spark, d), EMPLOYEES,
+                   parents={"departments": fx.departments(spark, d)})
+
+
+@register("check_constraints", _CHECK_SQL + "SELECT rule, key, n FROM v",
+          "V1 V3 V4 V5 V6 V8 V9 V10 V11 V12 V13")
+def check_constraints(spark, d):
+    return _check(spark, d)
+
+
+@register("check_summary", _CHECK_SQL + """
+SELECT rule, COUNT(*) AS violations, CAST(SUM(n) AS BIGINT) AS rows_involved FROM v GROUP BY rule
+""", "V1 V3 V4 V5 V6 V8 V9 V10 V11 V12 V13")
+def check_summary(spark, d):
+    return _check(spark, d).groupBy("rule").agg(F.count(F.lit(1)).alias("violations"),
+                                                 F.sum("n").alias("rows_involved"))
+
+
+@register("enforce_ignore", with_views("employee_import") + "SELECT emp_id FROM employee_import WHERE NOT ("
+          + " OR ".join(f"COALESCE({c}, FALSE)" for _, c in _ROW_RULES) + ")", "V14")
+def enforce_ignore(spark, d):
+    clean, _ = V.enforce(fx.employee_import(spark, d), EMPLOYEES, mode="ignore")
+    return clean.select("emp_id")
+
+
+@register("enum_ordinal", with_views("employees") + """
+SELECT emp_id, contract_type,
+       CAST(CASE contract_type WHEN 'FULL_TIME' THEN 1 WHEN 'PART_TIME' THEN 2
+                               WHEN 'CONTRACTOR' THEN 3 ELSE 0 END AS BIGINT) AS contract_type_ordinal
+FROM employees
+""", "V6")
+def enum_ordinal(spark, d):
+    e = fx.employees(spark, d).select("emp_id", "contract_type")
+    return V.enum_ordinal(e, "contract_type", CONTRACT_TYPES)
+
+
+@register("set_domain", """
+, tags AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tags
+           FROM events GROUP BY user_id)
+SELECT user_id, tags,
+       len(list_filter(string_split(tags, ','), lambda x: x NOT IN ('click', 'view', 'purchase'))) = 0 AS in_domain
+FROM tags
+""".replace("\n, tags", "WITH tags", 1), "V7")
+def set_domain(spark, d):
+    ev = scan(spark, d, "events")
+    tags = ev.groupBy("user_id").agg(
+        F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("tags"))
+    allowed = F.array(*[F.lit(x) for x in ("click", "view", "purchase")])
+    return tags.withColumn("in_domain", F.size(F.array_except(F.split("tags", ","), allowed)) == 0)
+
+
+@register("json_field", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       props IS NOT NULL AND json_valid(props) AS valid_json
+FROM events
+""", "V11")
+def json_field(spark, d):
+    ev = scan(spark, d, "events").select("event_id", "props")
+    out = V.json_field(ev, "props", "$.k", "int", "k")
+    return out.select("event_id", "k",
+                      (F.col("props").isNotNull() & F.try_parse_json("props").isNotNull()).alias("valid_json"))
+
+
+@register("to_utc", """
+SELECT event_id, ts, timezone('UTC', timezone('America/New_York', ts)) AS ts_utc FROM events
+""", "V12")
+def to_utc(spark, d):
+    ev = scan(spark, d, "events").select("event_id", "ts")
+    return ev.withColumn("ts_utc", F.convert_timezone(F.lit("America/New_York"), F.lit("UTC"), F.col("ts")))
+
+
+@register("lob_class", """
+SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes,
+       CASE WHEN strlen(text) <= 255 THEN 'TINYTEXT' WHEN strlen(text) <= 65535 THEN 'TEXT'
+            WHEN strlen(text) <= 16777215 THEN 'MEDIUMTEXT' WHEN strlen(text) <= 4294967295 THEN 'LONGTEXT'
+            ELSE 'TOO_LARGE' END AS lob_class
+FROM documents
+""", "V16")
+def lob_class(spark, d):
+    docs = scan(spark, d, "documents").select("doc_id", "text")
+    return V.lob_class(docs, "text").select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"),
+                                            "lob_class")
+
+
+@register("assign_ids", """
+SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) + 1000 AS id FROM orders
+""", "V15")
+def assign_ids_orders(spark, d):
+    o = scan(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    return assign_ids(o, ["o_orderdate", "o_orderkey"], start=1001).select("o_orderkey", "id")
