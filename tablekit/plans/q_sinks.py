@@ -1 +1,53 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries for TRUNCATE (S6) and the savepoint batch.
+
+The file-writing sinks (append, publish, compact, clustered layout, DDL)
+are exercised by tests/test_sinks.py, since a query here must not write.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablekit.operators import mutate as M
+from tablekit.operators.batch import Batch
+from tablekit.plans.catalog import register
+from tablekit.plans.oracle_views import with_views
+from tablekit.plans.q_mutate import EMP_SQL_OUT, NOW, NOW_SQL, ntz
+from tablekit.sources import fixtures as fx
+from tablekit.sources.sinks import truncate
+from tablekit.spec import EMPLOYEES
+
+
+@register("truncate", with_views("employees") + f"SELECT {EMP_SQL_OUT} FROM employees WHERE FALSE", "S6")
+def truncate_employees(spark, d):
+    return ntz(truncate(fx.employees(spark, d)))
+
+
+def _tcl(spark, d, rollback: bool):
+    b = Batch(fx.employees(spark, d))
+    b.apply(M.insert, fx.sample_rows(spark, "tcl"), EMPLOYEES, NOW)
+    b.savepoint("point_alpha")
+    b.apply(M.update, {"base_salary": F.col("base_salary") + F.lit(500).cast("decimal(10,2)")},
+            F.col("national_id") == "29906061122334", EMPLOYEES, NOW)
+    if rollback:
+        b.rollback_to("point_alpha")
+        b.release("point_alpha")
+    return ntz(b.current)
+
+
+_TCL_SQL = with_views("employees") + f"""
+SELECT {EMP_SQL_OUT} FROM employees
+UNION ALL
+SELECT (SELECT max(emp_id) + 1 FROM employees), NULL, '29906061122334', 'Systems Architect', 'FULL_TIME',
+       CAST(__SALARY__ AS DECIMAL(10,2)), NULL, DATE '1999-06-06', {NOW_SQL}, {NOW_SQL}, NULL
+"""
+
+
+@register("tcl_savepoint_rollback", _TCL_SQL.replace("__SALARY__", "9500.00"), "M17 M1 M7")
+def tcl_savepoint_rollback(spark, d):
+    return _tcl(spark, d, rollback=True)
+
+
+@register("tcl_update_kept", _TCL_SQL.replace("__SALARY__", "10000.00"), "M17 M1 M7")
+def tcl_update_kept(spark, d):
+    return _tcl(spark, d, rollback=False)
