@@ -14,9 +14,24 @@ DRIVER_TABLES = (
 ).split()
 
 
-def scan(spark: SparkSession, sf_dir: str, name: str, alias: str | None = None) -> DataFrame:
-    """Base-table scan.  Parquet keeps pushdown and column pruning."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Resolved scans per (session, path): the footer / schema is read once per
+# session, as with a catalog table; the DataFrame itself stays lazy.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
+def scan(spark: SparkSession, sf_dir: str, name: str, alias: str | None = None,
+         fresh: bool = False) -> DataFrame:
+    """Base-table scan.  Parquet keeps pushdown and column pruning.
+
+    The resolved relation is reused within a session (the driver tables are
+    read-only); ``fresh=True`` lists the files again.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    df = None if fresh else _SCANS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
     return df.alias(alias) if alias else df
 
 
