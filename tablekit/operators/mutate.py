@@ -29,7 +29,7 @@ from tablekit.functions.exprs import any_differs, hit
 from tablekit.operators.ids import assign_ids, next_id
 from tablekit.operators.query import BROADCAST_MAX_ROWS, oldest
 from tablekit.operators.quality import enforce
-from tablekit.operators.window import _numbered, parse_order
+from tablekit.operators.window import numbered_rows
 from tablekit.spec import NOW, ColumnSpec, TableSpec
 
 
@@ -84,10 +84,10 @@ def _metrics(df: DataFrame, **counts: Column) -> DataFrame:
 
 
 def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None,
-              order: Sequence[str]) -> DataFrame:
+              order: Sequence[str], bound_by: DataFrame | None = None) -> DataFrame:
     if id_col is None:
         return new_rows
-    return assign_ids(new_rows, order, start=next_id(table, id_col), name=id_col)
+    return assign_ids(new_rows, order, start=next_id(table, id_col), name=id_col, bound_by=bound_by)
 
 
 # --- M1 / M2 / M6: insert -------------------------------------------------------------
@@ -100,7 +100,7 @@ def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
     b = align(batch, spec, now, exclude=(id_col,) if id_col and id_col not in batch.columns else ())
     if id_col and id_col not in batch.columns:
         order = order or ([spec.unique[0][1][0]] if spec.unique else None)
-        b = _with_ids(b, table, id_col, order)
+        b = _with_ids(b, table, id_col, order, bound_by=batch)
     new = table.unionByName(b.select(*table.columns))
     return new, _metrics(b, inserted=F.lit(True))
 
@@ -128,6 +128,13 @@ def _reduce(batch: DataFrame, key: str, seq: str, cols: Sequence[str], pick: str
                       F.col(f"__r.{seq}").alias(seq))
 
 
+def _matched_keys(table: DataFrame, batch_keys: DataFrame, key: str) -> DataFrame:
+    """Batch keys already present in T, found with a semi join whose build
+    side is the (reduced) batch key set: when the batch is small AQE
+    broadcasts it and T's key column is filtered in place, never shuffled."""
+    return table.select(key).join(batch_keys, key, "left_semi")
+
+
 def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
            update_cols: Sequence[str], seq: str, now=None,
            set_now: Sequence[str] = ("updated_at",)) -> tuple[DataFrame, DataFrame]:
@@ -138,6 +145,11 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     its FIRST batch row, then its update columns take the LAST values.  Rows
     with a NULL key never conflict and are all inserted.  ``set_now``
     columns become ``now`` on every updated row (``updated_at = CURRENT_TIMESTAMP``).
+
+    Plan: ONE aggregate reduces the batch per key (first row by ``min_by``,
+    last update values by ``max_by``, combined map-side); T is LEFT-joined to
+    that reduced batch (broadcast by AQE when it is small, so T keeps its
+    partitioning), and new keys are the reduced batch minus the keys T holds.
     """
     id_col = auto_column(spec)
     cols = table.columns
@@ -145,46 +157,40 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     ins_cols = [c for c in cols if c != id_col]
     b_key, b_null = b.filter(F.col(key).isNotNull()), b.filter(F.col(key).isNull())
 
-    first = _reduce(b_key, key, seq, ins_cols, "first")
-    last = _reduce(b_key, key, seq, [key, *update_cols], "last").drop(seq)
-    red = first.alias("f").join(last.alias("l"), key).select(
-        key, F.col(f"f.{seq}").alias(seq),
-        F.struct(*[F.col(f"f.{c}").alias(c) for c in ins_cols if c != key]).alias("__first"),
-        F.struct(*[F.col(f"l.{c}").alias(c) for c in update_cols]).alias("__last"),
-        F.lit(True).alias("__in_b"))
-
-    t = table.withColumn("__in_t", F.lit(True))
-    j = t.join(red, key, "full_outer")
-    in_t = F.coalesce(F.col("__in_t"), F.lit(False))
-    in_b = F.coalesce(F.col("__in_b"), F.lit(False))
+    red = b_key.groupBy(key).agg(
+        F.min_by(F.struct(*[c for c in ins_cols if c != key], seq), F.col(seq)).alias("__first"),
+        F.max_by(F.struct(*update_cols), F.col(seq)).alias("__last"))
     types = dict(table.dtypes)
 
-    def value(c: str) -> Column:
+    upd = red.select(key, "__last", F.lit(True).alias("__in_b"))
+    j = table.join(upd, key, "left")
+    in_b = F.coalesce(F.col("__in_b"), F.lit(False))
+
+    def kept_value(c: str) -> Column:
+        if c in update_cols:
+            return F.when(in_b, F.col(f"__last.{c}")).otherwise(F.col(c)).cast(types[c])
+        if c in set_now:
+            return F.when(in_b, now_col(now).cast(types[c])).otherwise(F.col(c))
+        return F.col(c)
+
+    kept = j.select(*[kept_value(c).alias(c) for c in cols])
+
+    fresh = red.join(_matched_keys(table, red.select(key), key), key, "left_anti")
+
+    def new_value(c: str) -> Column:
         if c == key:
             return F.col(key)
-        if c == id_col:
-            return F.col(c)
         if c in update_cols:
-            return F.when(in_b, F.col(f"__last.{c}")).otherwise(F.col(c))
-        if c in set_now:
-            return F.when(in_t & in_b, now_col(now).cast(types[c])) \
-                .when(in_t, F.col(c)).otherwise(F.col(f"__first.{c}"))
-        return F.when(in_t, F.col(c)).otherwise(F.col(f"__first.{c}"))
-
-    merged = j.select(*[value(c).cast(types[c]).alias(c) for c in cols], F.col(seq), in_t.alias("__in_t"),
-                      in_b.alias("__in_b"))
-    kept = merged.filter(F.col("__in_t")).select(*cols)
-    fresh = merged.filter(~F.col("__in_t")).drop("__in_t", "__in_b")
+            return F.col(f"__last.{c}").cast(types[c])
+        return F.col(f"__first.{c}").cast(types[c])
+
+    fresh = fresh.select(*[new_value(c).alias(c) for c in ins_cols], F.col(f"__first.{seq}").alias(seq))
+    fresh = fresh.unionByName(b_null.select(*ins_cols, seq))
     if id_col:
-        fresh = fresh.drop(id_col).unionByName(b_null.select(*ins_cols, seq))
-        fresh = _with_ids(fresh, table, id_col, [seq])
-    else:
-        fresh = fresh.unionByName(b_null.select(*cols, seq))
+        fresh = _with_ids(fresh, table, id_col, [seq], bound_by=batch)
     new = kept.unionByName(fresh.select(*cols))
-    metrics = _metrics(merged, updated=F.col("__in_t") & F.col("__in_b"),
-                       inserted=~F.col("__in_t")).crossJoin(
-        b_null.agg(F.count(F.lit(1)).alias("null_key_rows"))) \
-        .select((F.col("inserted") + F.col("null_key_rows")).alias("inserted"), "updated")
+    metrics = _metrics(j, updated=in_b).crossJoin(
+        fresh.agg(F.count(F.lit(1)).alias("inserted"))).select("inserted", "updated")
     return new, metrics
 
 
@@ -200,9 +206,9 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     clean, rejected = enforce(b, spec.replace(columns=tuple(c for c in spec.columns if c.name != id_col)),
                               mode="ignore")
     firsts = _reduce(clean.filter(F.col(key).isNotNull()), key, seq, ins_cols, "first")
-    fresh = firsts.join(table.select(key), key, "left_anti") \
+    fresh = firsts.join(_matched_keys(table, firsts.select(key), key), key, "left_anti") \
         .unionByName(clean.filter(F.col(key).isNull()).select(*ins_cols, seq))
-    fresh = _with_ids(fresh, table, id_col, [seq]) if id_col else fresh
+    fresh = _with_ids(fresh, table, id_col, [seq], bound_by=batch) if id_col else fresh
     new = table.unionByName(fresh.select(*cols))
     inserted = fresh.agg(F.count(F.lit(1)).alias("inserted"))
     total = b.agg(F.count(F.lit(1)).alias("total"))
@@ -228,7 +234,7 @@ def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq:
     fresh = lasts.unionByName(b.filter(F.col(key).isNull()).select(*ins_cols, seq))
     replaced_keys = lasts.select(key)
     kept = table.join(replaced_keys, key, "left_anti")
-    fresh = _with_ids(fresh, table, id_col, [seq]) if id_col else fresh
+    fresh = _with_ids(fresh, table, id_col, [seq], bound_by=batch) if id_col else fresh
     new = kept.unionByName(fresh.select(*cols))
     gone = table.join(replaced_keys, key, "left_semi")
     new_children = []
@@ -332,7 +338,8 @@ def delete_chunk(table: DataFrame, where, order: Sequence[str], key: str,
     return kept, chunk.agg(F.count(F.lit(1)).alias("deleted"))
 
 
-def drain(table: DataFrame, where, order: Sequence[str], key: str, n: int) -> tuple[DataFrame, DataFrame]:
+def drain(table: DataFrame, where, order: Sequence[str], key: str, n: int,
+          max_group_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """M13 (loop until no row is hit) in ONE pass, not a driver loop.
 
     The end state equals a plain DELETE; the chunk plan numbers the hit rows
@@ -341,7 +348,7 @@ def drain(table: DataFrame, where, order: Sequence[str], key: str, n: int) -> tu
     """
     h = hit(where)
     hits = table.filter(h)
-    numbered = _numbered(hits, [], parse_order(order), [key], None)
+    numbered = numbered_rows(hits, [], order, [key], max_group_rows=max_group_rows)
     chunks = numbered.withColumn("chunk", F.ceil(F.col("__rn") / n).cast("bigint")) \
         .groupBy("chunk").agg(F.count(F.lit(1)).alias("deleted"),
                               F.min_by(F.col(key), F.col("__rn")).alias("first_key"),

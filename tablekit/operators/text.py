@@ -77,6 +77,17 @@ def convert_charset(df: DataFrame, cols: Sequence[str], charset: str, mode: str
     return kept
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Tokenizing is CPU-heavy per byte.  When a scan yields fewer splits
+    than the cluster has cores (a few large row groups), spread the rows
+    over all cores first; a large input already has more splits than cores
+    and is left alone (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores * 2)
+    return df
+
+
 def tokens(text: Column | str, lower: bool = True) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     if lower:
@@ -90,7 +101,7 @@ def build_text_index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     Tokens are exploded per document; (term, id) counting is a partial +
     final aggregate, so a very common term is still spread by document id.
     """
-    docs = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
+    docs = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
     lengths = docs.select("id", F.size("__t").cast("bigint").alias("dl"))
     postings = docs.select("id", F.explode("__t").alias("term")) \
         .groupBy("term", "id").agg(F.count(F.lit(1)).alias("tf"))
@@ -118,11 +129,10 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
     """
     spark = df.sparkSession
     terms = query_terms(spark, query)
-    docs = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
+    docs = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
     docs = docs.select("id", F.size("__t").alias("dl"), "__t")
-    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
-    n_docs = stats.select("n").scalar()
-    avgdl = stats.select("avgdl").scalar()
+    stats = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).alias("s")).scalar()
+    n_docs, avgdl = stats.getField("n"), stats.getField("avgdl")
     hits = docs.select("id", "dl", F.explode("__t").alias("term")) \
         .join(F.broadcast(terms), "term", "left_semi") \
         .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))

@@ -14,7 +14,13 @@ rankings here work on a *global range partitioning* instead:
 4. row_number = offset + local position; RANK, DENSE_RANK, NTILE, LAG and LEAD
    are derived from it with joins keyed so that no key is hot.
 
-``top_k`` (row_number <= k) instead uses Spark's own window, because Catalyst
+Choosing the path costs one aggregate (the size of the largest group, read
+from the group columns only).  Groups no larger than ``max_group_rows``
+(conf ``tablekit.window.maxGroupRows``, default 1,000,000 rows) take Spark's
+own window: one shuffle, no checkpoint, and WindowExec spills if needed.
+Anything larger -- a region, a hot key -- takes the range-partitioned path.
+
+``top_k`` (row_number <= k) always uses Spark's own window, because Catalyst
 plans a partial ``WindowGroupLimit`` before the shuffle, so each map task
 forwards at most k rows per group.
 """
@@ -29,6 +35,8 @@ from pyspark.sql import functions as F
 
 from tablekit.session import reliable_checkpoint
 
+MAX_GROUP_ROWS_CONF = "tablekit.window.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
 _LOC_BITS = 33
 _LOC_MASK = (1 << _LOC_BITS) - 1
 
@@ -67,6 +75,24 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[str | OrderKey], k:
         .withColumn(name, F.col(name).cast("bigint"))
 
 
+def max_group_rows(spark, override: int | None = None) -> int:
+    if override is not None:
+        return override
+    return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows in the largest group (one partial+final aggregate, one scalar back)."""
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")) if group \
+        else df.agg(F.count(F.lit(1)).alias("__n"))
+    return sizes.agg(F.max("__n")).first()[0] or 0
+
+
+def fits_one_task(df: DataFrame, group: Sequence[str], limit: int | None = None) -> bool:
+    bound = max_group_rows(df.sparkSession, limit)
+    return bound > 0 and largest_group(df, group) <= bound
+
+
 def _null_safe(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -87,11 +113,12 @@ def _numbered(df: DataFrame, group: Sequence[str], order: list[OrderKey],
               tiebreak: Sequence[str], num_partitions: int | None,
               with_size: bool = False) -> DataFrame:
     """Global row_number per group without a one-task group (steps 1-3)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(g).asc() for g in group] + [o.sort() for o in order] + [F.col(t).asc() for t in tiebreak]
+    # without an explicit count AQE may coalesce small ranges; partition ids
+    # are read back from the ids themselves, so that stays consistent
+    ranged = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
     tagged = (
-        df.repartitionByRange(n, *sort)
+        ranged
         .sortWithinPartitions(*sort)
         .withColumn("__mid", F.monotonically_increasing_id())
     )
@@ -114,22 +141,39 @@ def _numbered(df: DataFrame, group: Sequence[str], order: list[OrderKey],
     return out.drop("__mid", "__first", "__before")
 
 
+def numbered_rows(df: DataFrame, group: Sequence[str], order: Sequence[str | OrderKey],
+                  tiebreak: Sequence[str], name: str = "__rn",
+                  max_group_rows: int | None = None) -> DataFrame:
+    """``df`` plus a row_number column ``name`` per group, by the cheaper
+    safe path (Spark's window for small groups, the split path otherwise)."""
+    keys = parse_order(order)
+    if fits_one_task(df, list(group), max_group_rows):
+        return _native(df, list(group), keys, tiebreak, name, None, None, None, (), ())
+    out = _numbered(df, list(group), keys, tiebreak, None)
+    return out.withColumnRenamed("__rn", name).drop("__pid", "__loc") if name != "__rn" \
+        else out.drop("__pid", "__loc")
+
+
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | OrderKey],
                 tiebreak: Sequence[str], *, row_number: str | None = None,
                 rank: str | None = None, dense_rank: str | None = None,
                 ntile: tuple[str, int] | None = None,
                 lag: Sequence[tuple[str, str, int]] = (),
                 lead: Sequence[tuple[str, str, int]] = (),
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None,
+                max_group_rows: int | None = None) -> DataFrame:
     """W1-W6 over whole tables.
 
     ``tiebreak`` must make (group, order, tiebreak) unique; it decides the
     row_number among ties (the reference's ROW_NUMBER has none, D4).
     ``lag``/``lead`` take (output name, source column, offset).
+    ``max_group_rows`` overrides the conf bound (0 forces the split path).
     """
     order_keys = parse_order(order)
     group = list(group)
     ocols = [o.name for o in order_keys]
+    if fits_one_task(df, group, max_group_rows):
+        return _native(df, group, order_keys, tiebreak, row_number, rank, dense_rank, ntile, lag, lead)
     numbered = _numbered(df, group, order_keys, tiebreak, num_partitions, with_size=ntile is not None)
     out = numbered
 
@@ -173,3 +217,25 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Order
     if row_number:
         out = out.withColumn(row_number, F.col("__rn"))
     return out.drop("__pid", "__loc", "__rn", "__size")
+
+
+def _native(df, group, order_keys, tiebreak, row_number, rank, dense_rank, ntile, lag, lead):
+    """The same columns from Spark's own Window, for groups that fit a task."""
+    full = [o.sort() for o in order_keys] + [F.col(t).asc() for t in tiebreak]
+    base = Window.partitionBy(*group) if group else Window.partitionBy()
+    w = base.orderBy(*full)
+    wr = base.orderBy(*[o.sort() for o in order_keys])
+    cols = {}
+    if row_number:
+        cols[row_number] = F.row_number().over(w).cast("bigint")
+    if rank:
+        cols[rank] = F.rank().over(wr).cast("bigint")
+    if dense_rank:
+        cols[dense_rank] = F.dense_rank().over(wr).cast("bigint")
+    if ntile:
+        cols[ntile[0]] = F.ntile(ntile[1]).over(w).cast("bigint")
+    for name, src, off in lag:
+        cols[name] = F.lag(src, off).over(w)
+    for name, src, off in lead:
+        cols[name] = F.lead(src, off).over(w)
+    return df.withColumns(cols)

@@ -209,7 +209,7 @@ def agg_having(spark, d):
 
 # --- W: windows ------------------------------------------------------------------
 
-@register("window_rankings", with_views("customers", "shop_orders") + _ORD_AGG_SQL + """
+_WINDOW_RANKINGS_SQL = with_views("customers", "shop_orders") + _ORD_AGG_SQL + """
 , j AS (SELECT c.region, c.customer_id, a.total_spent FROM customers c JOIN agg a USING (customer_id))
 SELECT region, customer_id, total_spent,
   ROW_NUMBER() OVER (PARTITION BY region ORDER BY total_spent DESC, customer_id) AS rn,
@@ -219,7 +219,10 @@ SELECT region, customer_id, total_spent,
   LAG(customer_id, 1) OVER (PARTITION BY region ORDER BY total_spent DESC, customer_id) AS prev_customer,
   LEAD(customer_id, 1) OVER (PARTITION BY region ORDER BY total_spent DESC, customer_id) AS next_customer
 FROM j
-""", "W1 W2 W3 W4 W5 W6")
+"""
+
+
+@register("window_rankings", _WINDOW_RANKINGS_SQL, "W1 W2 W3 W4 W5 W6")
 def window_rankings(spark, d):
     c = fx.customers(spark, d)
     j = c.join(_ord_agg(spark, d), "customer_id").select("region", "customer_id", "total_spent")
@@ -231,6 +234,21 @@ def window_rankings(spark, d):
              "prev_customer", "next_customer")
 
 
+@register("window_rankings_split", _WINDOW_RANKINGS_SQL, "W1 W2 W3 W4 W5 W6")
+def window_rankings_split(spark, d):
+    """The same report forced onto the range-partitioned path (group bound 0),
+    so the oracle gate covers the path used for hot or huge groups."""
+    c = fx.customers(spark, d)
+    j = c.join(_ord_agg(spark, d), "customer_id").select("region", "customer_id", "total_spent")
+    return rank_within(
+        j, ["region"], ["total_spent DESC"], ["customer_id"],
+        row_number="rn", rank="rnk", dense_rank="drnk", ntile=("quartile", 4),
+        lag=[("prev_customer", "customer_id", 1)], lead=[("next_customer", "customer_id", 1)],
+        max_group_rows=0,
+    ).select("region", "customer_id", "total_spent", "rn", "rnk", "drnk", "quartile",
+             "prev_customer", "next_customer")
+
+
 @register("window_ties", with_views("employees") + """
 SELECT emp_id, contract_type, status,
   RANK() OVER (PARTITION BY contract_type ORDER BY status) AS rnk,

@@ -22,11 +22,14 @@ SELECT lang, COUNT(*) AS n_tokens, COUNT(DISTINCT word) AS n_bin,
 FROM w GROUP BY lang
 """, "T1 T2 T3")
 def collation_word_counts(spark, d):
-    docs = scan(spark, d, "documents")
+    docs = X.spread(scan(spark, d, "documents").select("lang", "text"))
     w = docs.select("lang", F.explode(X.tokens("text")).alias("word"))
-    return w.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.countDistinct(X.collated("word", "bin")).alias("n_bin"),
+    # pre-aggregate to distinct (lang, word) before the three distinct counts,
+    # so the collation-keyed Expand sees the vocabulary, not every token
+    vocab = w.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    return vocab.groupBy("lang").agg(
+        F.sum("n").alias("n_tokens"),
+        F.count(F.lit(1)).alias("n_bin"),
         F.countDistinct(X.collated("word", "as_cs")).alias("n_as_cs"),
         F.countDistinct(X.collated("word", "ai_ci")).alias("n_ai_ci"))
 

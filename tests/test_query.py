@@ -12,7 +12,7 @@ from tablekit.operators.window import rank_within, top_k
 def test_rank_sequences(spark):
     # worked values: ROW_NUMBER 1,2,3,4 / RANK 1,2,2,4 / DENSE_RANK 1,2,2,3
     df = spark.createDataFrame([(1, "r", 10), (2, "r", 20), (3, "r", 20), (4, "r", 30)], "id long, g string, v int")
-    out = rank_within(df, ["g"], ["v"], ["id"], row_number="rn", rank="rk", dense_rank="dr") \
+    out = rank_within(df, ["g"], ["v"], ["id"], row_number="rn", rank="rk", dense_rank="dr", max_group_rows=0) \
         .orderBy("id").collect()
     assert [r.rn for r in out] == [1, 2, 3, 4]
     assert [r.rk for r in out] == [1, 2, 2, 4]
@@ -26,7 +26,7 @@ def test_rank_within_equals_native_window_on_hot_group(spark):
         F.col("id"),
         F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("g"),
         F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 37).alias("v"))
-    mine = rank_within(df, ["g"], ["v DESC"], ["id"], row_number="rn", rank="rk", dense_rank="dr",
+    mine = rank_within(df, ["g"], ["v DESC"], ["id"], row_number="rn", rank="rk", dense_rank="dr", max_group_rows=0,
                        ntile=("nt", 5), lag=[("lg", "id", 2)], lead=[("ld", "v", 1)], num_partitions=6)
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))
     wr = Window.partitionBy("g").orderBy(F.col("v").desc())
@@ -42,7 +42,7 @@ def test_rank_within_equals_native_window_on_hot_group(spark):
 def test_ntile_edges(spark, size, buckets):
     df = spark.range(size).select(F.lit("g").alias("g"), F.col("id"))
     from pyspark.sql import Window
-    mine = rank_within(df, ["g"], ["id"], [], ntile=("nt", buckets)).orderBy("id").collect()
+    mine = rank_within(df, ["g"], ["id"], [], ntile=("nt", buckets), max_group_rows=0).orderBy("id").collect()
     native = df.select(F.ntile(buckets).over(Window.partitionBy("g").orderBy("id")).alias("nt")) \
         .orderBy("nt").collect()
     assert [r.nt for r in mine] == [r.nt for r in native]

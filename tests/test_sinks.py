@@ -65,7 +65,7 @@ def test_ddl_create_and_rename(spark):
 
 def test_assign_ids_dense_in_order(spark):
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("k"))
-    out = assign_ids(df, ["k"], start=100, name="id", num_partitions=5).collect()
+    out = assign_ids(df, ["k"], start=100, name="id", num_partitions=5, max_group_rows=0).collect()
     assert sorted((r.k, r.id) for r in out) == [(k, k + 100) for k in range(5000)]
 
 
