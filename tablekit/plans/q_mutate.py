@@ -64,7 +64,7 @@ SELECT (SELECT max(emp_id) FROM employees) + ROW_NUMBER() OVER (ORDER BY nationa
        national_id, full_name, contract_type, CAST(base_salary AS DECIMAL(10,2)), NULL, birth_date,
        {NOW_SQL}, {NOW_SQL}, NULL
 FROM b
-""", "M2 S3 V2 V15")
+""", "M2 S3 U2 V2 V15")
 def insert_bulk(spark, d):
     new, _ = M.insert(fx.employees(spark, d), fx.sample_rows(spark, "bulk"), EMPLOYEES, NOW,
                       order=["national_id"])

@@ -1,7 +1,9 @@
-"""Registered queries for TRUNCATE (S6) and the savepoint batch.
+"""Registered queries for sinks and DDL (S4-S10, E8), TRUNCATE (S6) and the
+savepoint batch (M17).
 
-The file-writing sinks (append, publish, compact, clustered layout, DDL)
-are exercised by tests/test_sinks.py, since a query here must not write.
+The sink queries write the whole table into a FRESH folder under the
+session's shared ``spark.checkpoint.dir`` and return what reads back, so the
+oracle checks the written data, not just the plan.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from tablekit.plans.catalog import register
 from tablekit.plans.oracle_views import with_views
 from tablekit.plans.q_mutate import EMP_SQL_OUT, NOW, NOW_SQL, ntz
 from tablekit.sources import fixtures as fx
+from tablekit.operators.ids import assign_ids, next_id
+from tablekit.plans.q_mutate import EMP_COLS
+from tablekit.sources import sinks as S
 from tablekit.sources.sinks import truncate
 from tablekit.spec import EMPLOYEES
 
@@ -51,3 +56,71 @@ def tcl_savepoint_rollback(spark, d):
 @register("tcl_update_kept", _TCL_SQL.replace("__SALARY__", "10000.00"), "M17 M1 M7")
 def tcl_update_kept(spark, d):
     return _tcl(spark, d, rollback=False)
+
+
+@register("publish_commit", _TCL_SQL.replace("__SALARY__", "9500.00"), "S5 M17")
+def publish_commit(spark, d):
+    b = Batch(fx.employees(spark, d))
+    b.apply(M.insert, fx.sample_rows(spark, "tcl"), EMPLOYEES, NOW)
+    b.savepoint("point_alpha")
+    b.apply(M.update, {"base_salary": F.col("base_salary") + F.lit(500).cast("decimal(10,2)")},
+            F.col("national_id") == "29906061122334", EMPLOYEES, NOW)
+    b.rollback_to("point_alpha")
+    path = b.commit(S.scratch_dir(spark, "employees"), 1)
+    return ntz(spark.read.parquet(path))
+
+
+@register("append_by_name", with_views("employees") + f"""
+, b(national_id, full_name, contract_type, base_salary, birth_date) AS (VALUES
+    ('29901010000001', 'Engineer A', 'FULL_TIME', 9000.00, DATE '1999-01-01'),
+    ('29901010000002', 'Engineer B', 'CONTRACTOR', 7500.00, DATE '1999-01-02'),
+    ('29901010000003', 'Engineer C', 'PART_TIME', 4000.00, DATE '1999-01-03'))
+SELECT {EMP_SQL_OUT} FROM employees
+UNION ALL
+SELECT (SELECT max(emp_id) FROM employees) + ROW_NUMBER() OVER (ORDER BY national_id), NULL,
+       national_id, full_name, contract_type, CAST(base_salary AS DECIMAL(10,2)), NULL, birth_date,
+       {NOW_SQL}, {NOW_SQL}, NULL
+FROM b
+""", "S4 U2 S3")
+def append_by_name(spark, d):
+    emp = fx.employees(spark, d)
+    path = S.publish(emp, S.scratch_dir(spark, "employees"), 1)
+    batch = M.align(fx.sample_rows(spark, "bulk"), EMPLOYEES, NOW, exclude=("emp_id",))
+    batch = assign_ids(batch, ["national_id"], start=next_id(emp, "emp_id"), name="emp_id")
+    # columns deliberately in a different order: the sink aligns by name
+    S.append(batch.select(*reversed(batch.columns)), path)
+    return ntz(spark.read.parquet(path))
+
+
+@register("compact_files", with_views("employees") + f"SELECT {EMP_SQL_OUT} FROM employees", "S7")
+def compact_files(spark, d):
+    base = S.scratch_dir(spark, "employees")
+    fragmented = f"{base}/fragmented"
+    fx.employees(spark, d).repartition(64).write.parquet(fragmented)
+    S.compact(spark, fragmented, f"{base}/compacted", target_bytes=8 << 20, order=["emp_id"])
+    return ntz(spark.read.parquet(f"{base}/compacted"))
+
+
+@register("clustered_layout", with_views("employees") + f"""
+SELECT {EMP_SQL_OUT} FROM employees WHERE department_id = 5 AND base_salary >= 1000
+""", "S8 P4 P5")
+def clustered_layout(spark, d):
+    path = S.scratch_dir(spark, "employees")
+    S.write_clustered(fx.employees(spark, d), path,
+                      [F.col("department_id"), F.col("base_salary").desc()], 8)
+    t = spark.read.parquet(path)
+    return ntz(t.filter((F.col("department_id") == 5) & (F.col("base_salary") >= 1000)))
+
+
+@register("ddl_create_insert_rename", with_views("employees") + f"SELECT {EMP_SQL_OUT} FROM employees",
+          "S9 S10 E8")
+def ddl_create_insert_rename(spark, d):
+    import uuid
+    from tablekit.operators.evolve import rename_table
+    db = f"enterprise_core_db_{uuid.uuid4().hex[:8]}"
+    base = S.scratch_dir(spark, db)
+    S.create_database(spark, db, location=f"{base}/db")
+    name = S.create_table(spark, EMPLOYEES, db, location=f"{base}/enterprise_employees")
+    S.insert_by_name(fx.employees(spark, d).select(*reversed(EMP_COLS)), name)
+    rename_table(spark, name, f"{db}.core_employees")
+    return ntz(spark.table(f"{db}.core_employees"))

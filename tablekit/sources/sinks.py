@@ -105,6 +105,23 @@ def create_table(spark: SparkSession, spec: TableSpec, database: str | None = No
     return name
 
 
-def create_database(spark: SparkSession, name: str) -> None:
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """CREATE DATABASE IF NOT EXISTS (database and schema are synonyms)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
+
+
+def insert_by_name(df: DataFrame, table: str) -> None:
+    """S4 on a catalog table: columns are matched by NAME (projected onto the
+    table's order) before the positional ``insertInto``."""
+    target = df.sparkSession.table(table)
+    df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.insertInto(table)
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder, for tables
+    a job writes and reads back (never a machine-local temp folder)."""
+    import uuid
+    from tablekit.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{label}-{uuid.uuid4().hex}"
