@@ -379,3 +379,13 @@ def purge(table: DataFrame, ts_col: str, before) -> tuple[DataFrame, DataFrame]:
     c = F.col(ts_col)
     b = before if isinstance(before, Column) else F.lit(before)
     return delete(table, c < b)
+
+
+def purge_partitions(spark, path: str, part_col: str, before, out_base: str, version: int) -> str:
+    """M15 on a table partitioned by ``part_col`` (a date): the new version
+    keeps only partitions with ``part_col >= before``.  The filter is on the
+    partition column, so only the kept partition directories are listed and
+    read (PartitionFilters); purged partitions are never scanned."""
+    from tablekit.sources.sinks import publish
+    kept = spark.read.parquet(path).filter(F.col(part_col) >= F.lit(before))
+    return publish(kept, out_base, version, partition_by=[part_col])

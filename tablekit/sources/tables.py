@@ -14,9 +14,9 @@ DRIVER_TABLES = (
 ).split()
 
 
-# Resolved scans per (session, path): the footer / schema is read once per
-# session, as with a catalog table; the DataFrame itself stays lazy.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+# Resolved scans per path for the CURRENT session: the footer / schema is
+# read once per session, as with a catalog table; the DataFrame stays lazy.
+_SCANS: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str, alias: str | None = None,
@@ -27,11 +27,12 @@ def scan(spark: SparkSession, sf_dir: str, name: str, alias: str | None = None,
     read-only); ``fresh=True`` lists the files again.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
-    df = None if fresh else _SCANS.get(key)
-    if df is None:
+    hit = None if fresh else _SCANS.get(path)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        df = hit[1]
+    else:
         df = spark.read.parquet(path)
-        _SCANS[key] = df
+        _SCANS[path] = (spark, df)
     return df.alias(alias) if alias else df
 
 

@@ -91,3 +91,36 @@ def test_batch_savepoints(spark, tmpdir_fresh):
     b2.apply(M.delete, F.lit(True))
     assert b2.rollback().count() == emp.count()
     assert not os.path.exists(os.path.join(tmpdir_fresh, "v000002"))
+
+
+def test_purge_prunes_date_partitions(spark, tmpdir_fresh):
+    import datetime as dt
+    from tests.conftest import SF001
+    from tablekit.sources.tables import scan
+    ev = scan(spark, SF001, "events").withColumn("dt", F.to_date("ts"))
+    src = os.path.join(tmpdir_fresh, "events")
+    ev.write.partitionBy("dt").parquet(src)
+    cutoff = dt.date(2024, 1, 15)
+    q = spark.read.parquet(src).filter(F.col("dt") >= F.lit(cutoff))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    out = M.purge_partitions(spark, src, "dt", cutoff, os.path.join(tmpdir_fresh, "purged"), 1)
+    kept = spark.read.parquet(out)
+    assert kept.count() == ev.filter(F.col("dt") >= F.lit(cutoff)).count()
+    assert kept.agg(F.min("dt")).first()[0] >= cutoff
+
+
+def test_bucketed_join_skips_shuffle(spark):
+    from tests.conftest import SF001
+    emp = fx.employees(spark, SF001)
+    S.save_bucketed(emp, "emp_bucketed", "department_id", 4, ["department_id"])
+    S.save_bucketed(fx.departments(spark, SF001).withColumnRenamed("id", "department_id"),
+                    "dep_bucketed", "department_id", 4, ["department_id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("emp_bucketed").join(spark.table("dep_bucketed"), "department_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+        assert j.count() == emp.filter("department_id IS NOT NULL").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
