@@ -5,7 +5,8 @@
 * row rules (NOT NULL, CHECK, ENUM, SET, lengths, widths, decimal range,
   JSON, temporal range, LOB size) are evaluated in ONE pass over T: each row
   gets an array of the rules it breaks, which is exploded.  No shuffle.
-* key rules (PRIMARY KEY, UNIQUE) are one partial+final aggregate each, so a
+* key rules (PRIMARY KEY, UNIQUE) are one partial+final aggregate each (column
+  pruning makes each read only its key columns), so a
   hot key is combined map-side before the shuffle.
 * foreign keys are one anti-join each against the parent's key set.
 """

@@ -96,18 +96,54 @@ def tokens(text: Column | str, lower: bool = True) -> Column:
 
 
 def build_text_index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """T6 (FULLTEXT INDEX): postings (term, id, tf) and document lengths (id, dl).
+    """T6 (FULLTEXT INDEX): postings (term, id, dl, tf) and document lengths (id, dl).
 
     Tokens are exploded per document; (term, id) counting is a partial +
     final aggregate, so a very common term is still spread by document id.
+    Each posting carries its document length, so ranking needs no join.
     """
     docs = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
-    lengths = docs.select("id", F.size("__t").cast("bigint").alias("dl"))
-    postings = docs.select("id", F.explode("__t").alias("term")) \
-        .groupBy("term", "id").agg(F.count(F.lit(1)).alias("tf"))
+    docs = docs.select("id", F.size("__t").cast("bigint").alias("dl"), "__t")
+    lengths = docs.select("id", "dl")
+    postings = docs.select("id", "dl", F.explode("__t").alias("term")) \
+        .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
     return postings, lengths
 
 
+def write_text_index(df: DataFrame, id_col: str, text_col: str, path: str) -> tuple[str, str]:
+    """ADD FULLTEXT INDEX, persisted: postings range-partitioned and sorted by
+    term (row-group min/max statistics then skip every file that holds none
+    of a query's terms) plus one length row per document."""
+    postings, lengths = build_text_index(df, id_col, text_col)
+    p_path, l_path = f"{path}/postings", f"{path}/lengths"
+    postings.repartitionByRange("term").sortWithinPartitions("term", "id") \
+        .write.mode("errorifexists").parquet(p_path)
+    lengths.write.mode("errorifexists").parquet(l_path)
+    return p_path, l_path
+
+
+def _score(hits: DataFrame, n_docs: Column, avgdl: Column, k1: float, b: float) -> DataFrame:
+    dfreq = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = dfreq.select("term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    tf = F.col("tf")
+    contrib = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / avgdl))
+    return hits.join(idf, "term").groupBy("id").agg(F.sum(contrib).alias("score"))
+
+
+def search_index(postings: DataFrame, lengths: DataFrame, query: str, k: int = 10,
+                 k1: float = 1.2, b: float = 0.75, id_col: str = "id") -> DataFrame:
+    """T6 over a persisted index: the query's terms (a list bounded by the
+    query text) become an IN filter pushed into the postings scan, N and
+    avgdl come from the small lengths table; the raw text is never read."""
+    spark = postings.sparkSession
+    terms = [r.term for r in query_terms(spark, query).collect()]
+    hits = postings.filter(F.col("term").isin(terms)).select("term", "id", "dl", "tf")
+    stats = lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).alias("s")).scalar()
+    scored = _score(hits, stats.getField("n"), stats.getField("avgdl"), k1, b) \
+        .select(F.col("id").alias(id_col), F.round("score", 6).alias("score"))
+    return scored.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)
+
+
 def query_terms(spark, query: str) -> DataFrame:
     """Distinct terms of the search text, cut by the same rule as the documents."""
     return spark.range(1).select(F.explode(tokens(F.lit(query))).alias("term")).distinct()
@@ -136,10 +172,6 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
     hits = docs.select("id", "dl", F.explode("__t").alias("term")) \
         .join(F.broadcast(terms), "term", "left_semi") \
         .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.select("term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    tf = F.col("tf")
-    contrib = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / avgdl))
-    scored = hits.join(idf, "term").groupBy("id").agg(F.sum(contrib).alias("score")) \
+    scored = _score(hits, n_docs, avgdl, k1, b) \
         .select(F.col("id").alias(id_col), F.round("score", 6).alias("score"))
     return scored.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)

@@ -66,3 +66,18 @@ def test_text_index(spark):
     p = {(r.term, r.id): r.tf for r in postings.collect()}
     assert p[("cat", 5)] == 3 and p[("the", 1)] == 2
     assert {r.id: r.dl for r in lengths.collect()}[3] == 6
+
+
+def test_persisted_index_search_equals_adhoc(spark, tmpdir_fresh):
+    import os
+    from tests.conftest import SF001
+    from tablekit.sources.tables import scan
+    docs = scan(spark, SF001, "documents")
+    p, l = X.write_text_index(docs, "doc_id", "text", os.path.join(tmpdir_fresh, "idx"))
+    postings, lengths = spark.read.parquet(p), spark.read.parquet(l)
+    q = "the eau der que ment"
+    got = X.search_index(postings, lengths, q, k=10, id_col="doc_id").collect()
+    want = X.bm25_search(docs, "doc_id", "text", q, k=10).collect()
+    assert got == want and len(got) == 10
+    plan = postings.filter(F.col("term").isin(["der", "the"]))._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, [der,the])" in plan
