@@ -95,6 +95,15 @@ def tokens(text: Column | str, lower: bool = True) -> Column:
     return F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)
 
 
+def explode_tokens(df: DataFrame, arr: str, name: str) -> DataFrame:
+    """One row per token.  ``explode_outer`` + a NULL filter instead of
+    ``explode``: for ``explode`` Catalyst infers a "non-empty array" filter
+    and pushes it below the projection (and below ``spread``), which would
+    tokenize every text twice."""
+    keep = [c for c in df.columns if c != arr]
+    return df.select(*keep, F.explode_outer(arr).alias(name)).filter(F.col(name).isNotNull())
+
+
 def build_text_index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """T6 (FULLTEXT INDEX): postings (term, id, dl, tf) and document lengths (id, dl).
 
@@ -105,7 +114,7 @@ def build_text_index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     docs = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
     docs = docs.select("id", F.size("__t").cast("bigint").alias("dl"), "__t")
     lengths = docs.select("id", "dl")
-    postings = docs.select("id", "dl", F.explode("__t").alias("term")) \
+    postings = explode_tokens(docs, "__t", "term") \
         .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
     return postings, lengths
 
@@ -146,7 +155,8 @@ def search_index(postings: DataFrame, lengths: DataFrame, query: str, k: int = 1
 
 def query_terms(spark, query: str) -> DataFrame:
     """Distinct terms of the search text, cut by the same rule as the documents."""
-    return spark.range(1).select(F.explode(tokens(F.lit(query))).alias("term")).distinct()
+    return explode_tokens(spark.range(1).select(tokens(F.lit(query)).alias("__t")), "__t", "term") \
+        .select("term").distinct()
 
 
 def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int = 10,
@@ -169,7 +179,7 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
     docs = docs.select("id", F.size("__t").alias("dl"), "__t")
     stats = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).alias("s")).scalar()
     n_docs, avgdl = stats.getField("n"), stats.getField("avgdl")
-    hits = docs.select("id", "dl", F.explode("__t").alias("term")) \
+    hits = explode_tokens(docs, "__t", "term") \
         .join(F.broadcast(terms), "term", "left_semi") \
         .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
     scored = _score(hits, n_docs, avgdl, k1, b) \
