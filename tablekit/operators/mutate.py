@@ -279,17 +279,33 @@ def update(table: DataFrame, assignments: Mapping[str, Column], where=None,
 
 def update_join(table: DataFrame, other: DataFrame, table_key: str, other_key: str,
                 assignments: Mapping[str, Column], where=None, other_where=None,
-                spec: TableSpec | None = None, now=None, touch: bool = True) -> tuple[DataFrame, DataFrame]:
-    """M8: UPDATE T JOIN S ON T.k = S.k SET (T columns) WHERE ..
+                spec: TableSpec | None = None, now=None, touch: bool = True,
+                from_other: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """M8: UPDATE T JOIN S ON T.k = S.k SET .. WHERE ..
 
-    The SET reads T only, so S contributes a DISTINCT key set and a match
+    When the SET reads T only, S contributes a DISTINCT key set and a match
     flag: T is never multiplied however many S rows share a key.
+    ``from_other`` maps T columns to S columns (``SET t.c = s.c``); then S
+    must be unique on its key among the rows that qualify (checked with one
+    aggregate, raising otherwise), since several matches would make the new
+    value ambiguous.  Those S columns enter ``assignments`` as ``__s_<col>``.
     """
-    keys = other.filter(hit(other_where)).select(F.col(other_key).alias("__k")).distinct() \
-        .withColumn("__match", F.lit(True))
+    picked = other.filter(hit(other_where))
+    s_cols = sorted(set((from_other or {}).values()))
+    if s_cols:
+        from tablekit.operators.quality import require_empty
+        dups = picked.groupBy(other_key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        require_empty(dups, f"UPDATE .. JOIN: {other_key} is not unique in the joined table")
+        keys = picked.select(F.col(other_key).alias("__k"), *[F.col(c).alias(f"__s_{c}") for c in s_cols])
+    else:
+        keys = picked.select(F.col(other_key).alias("__k")).distinct()
+    keys = keys.withColumn("__match", F.lit(True))
     j = table.join(keys, table[table_key] == keys["__k"], "left")
     h = F.coalesce(F.col("__match"), F.lit(False)) & hit(where)
-    new = _apply_set(j, h, assignments, spec, now, touch, keep=table.columns)
+    sets = dict(assignments)
+    for t_col, s_col in (from_other or {}).items():
+        sets[t_col] = F.col(f"__s_{s_col}")
+    new = _apply_set(j, h, sets, spec, now, touch, keep=table.columns)
     return new, _metrics(j, updated=h)
 
 

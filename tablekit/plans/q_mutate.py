@@ -198,6 +198,23 @@ def update_join(spark, d):
     return ntz(new)
 
 
+@register("update_join_from_other", with_views("employees", "departments") + f"""
+SELECT e.emp_id, e.department_id, e.national_id, e.full_name, e.contract_type, e.base_salary,
+       CASE WHEN d.id IS NOT NULL AND e.contract_type = 'PART_TIME' THEN d.department_name ELSE e.status END AS status,
+       e.birth_date, CAST(e.created_at AS TIMESTAMP) AS created_at,
+       CASE WHEN d.id IS NOT NULL AND e.contract_type = 'PART_TIME'
+                 AND d.department_name IS DISTINCT FROM e.status THEN {NOW_SQL}
+            ELSE CAST(e.updated_at AS TIMESTAMP) END AS updated_at, e.metadata
+FROM employees e LEFT JOIN (SELECT * FROM departments WHERE status = 'OPEN') d ON e.department_id = d.id
+""", "M8 M16")
+def update_join_from_other(spark, d):
+    new, _ = M.update_join(
+        fx.employees(spark, d), fx.departments(spark, d), "department_id", "id", {},
+        where=F.col("contract_type") == "PART_TIME", other_where=F.col("status") == "OPEN",
+        spec=EMPLOYEES, now=NOW, from_other={"status": "department_name"})
+    return ntz(new)
+
+
 _CASE_SQL = """CASE WHEN contract_type = 'FULL_TIME' THEN CAST(base_salary * 1.10 AS DECIMAL(10,2))
                     WHEN contract_type = 'PART_TIME' THEN CAST(base_salary * 1.05 AS DECIMAL(10,2))
                     ELSE base_salary END"""

@@ -188,3 +188,15 @@ def test_upsert_is_idempotent(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
     assert m.first().inserted == 0
     once.unpersist()
+
+
+def test_update_join_set_from_other(spark):
+    from tablekit.operators.quality import ConstraintViolation
+    T = spark.createDataFrame([(1, "a", 1, 1), (2, "b", 2, 2), (3, None, 3, 3)], T_SCHEMA)
+    S = spark.createDataFrame([("a", 100), ("b", 200), ("z", 9)], "k string, x int")
+    new, m = M.update_join(T, S, "k", "k", {}, where=F.col("a") >= 2, from_other={"b": "x"})
+    assert sorted(map(tuple, new.collect()), key=str) == sorted([(1, "a", 1, 1), (2, "b", 2, 200), (3, None, 3, 3)], key=str)
+    assert m.first().updated == 1
+    dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, x int")
+    with pytest.raises(ConstraintViolation):
+        M.update_join(T, dup, "k", "k", {}, from_other={"b": "x"})
