@@ -168,19 +168,23 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
         idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)),
     idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)).
 
-    One scan of the documents: each row carries its length, explodes its
-    tokens, and keeps only the query terms (a broadcast of at most a few
-    dozen words, bounded by the query text) before any shuffle.  N and
-    avgdl are scalar aggregates.
+    Each text becomes a compact per-document row (id, length, only the
+    tokens that are query terms) before any shuffle, so only matching tokens
+    are ever exploded and the texts themselves are never shuffled by key.
+    The (N, avgdl) scalar reads the same scan (its column-pruned branch
+    recomputes the lengths).  The term list is bounded by the query text.
+    For repeated searches, build the index once (``write_text_index``) and
+    use ``search_index``, which never reads the texts.
     """
     spark = df.sparkSession
-    terms = query_terms(spark, query)
-    docs = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
-    docs = docs.select("id", F.size("__t").alias("dl"), "__t")
-    stats = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).alias("s")).scalar()
+    terms = [r.term for r in query_terms(spark, query).collect()]
+    toks = tokens(text_col)
+    per_doc = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), toks.alias("__t")).select(
+        "id", F.size("__t").alias("dl"),
+        F.filter("__t", lambda t: t.isin(terms)).alias("__m")).repartition("id")
+    stats = per_doc.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).alias("s")).scalar()
     n_docs, avgdl = stats.getField("n"), stats.getField("avgdl")
-    hits = explode_tokens(docs, "__t", "term") \
-        .join(F.broadcast(terms), "term", "left_semi") \
+    hits = explode_tokens(per_doc.select("id", "dl", "__m"), "__m", "term") \
         .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
     scored = _score(hits, n_docs, avgdl, k1, b) \
         .select(F.col("id").alias(id_col), F.round("score", 6).alias("score"))
