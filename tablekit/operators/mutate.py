@@ -120,10 +120,17 @@ def insert_select(table: DataFrame, source: DataFrame, spec: TableSpec,
 
 # --- M3 / M4 / M5: conflict handling -----------------------------------------------------
 
+def _seq_order(batch: DataFrame, seq: str) -> Column:
+    """Replay order: ``seq``, then the whole row.  ``seq`` should be unique;
+    if it is not, the row content still decides, so a recomputed task (after
+    an executor loss) picks the same row as the first attempt."""
+    return F.struct(F.col(seq), *[F.col(c) for c in batch.columns if c != seq])
+
+
 def _reduce(batch: DataFrame, key: str, seq: str, cols: Sequence[str], pick: str) -> DataFrame:
-    """One row per key: the first (``min_by``) or last (``max_by``) by seq."""
+    """One row per key: the first (``min_by``) or last (``max_by``) in replay order."""
     fn = F.min_by if pick == "first" else F.max_by
-    red = batch.groupBy(key).agg(fn(F.struct(*cols, seq), F.col(seq)).alias("__r"))
+    red = batch.groupBy(key).agg(fn(F.struct(*cols, seq), _seq_order(batch, seq)).alias("__r"))
     return red.select(key, *[F.col(f"__r.{c}").alias(c) for c in cols if c != key],
                       F.col(f"__r.{seq}").alias(seq))
 
@@ -157,9 +164,10 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     ins_cols = [c for c in cols if c != id_col]
     b_key, b_null = b.filter(F.col(key).isNotNull()), b.filter(F.col(key).isNull())
 
+    order = _seq_order(b_key, seq)
     red = b_key.groupBy(key).agg(
-        F.min_by(F.struct(*[c for c in ins_cols if c != key], seq), F.col(seq)).alias("__first"),
-        F.max_by(F.struct(*update_cols), F.col(seq)).alias("__last"))
+        F.min_by(F.struct(*[c for c in ins_cols if c != key], seq), order).alias("__first"),
+        F.max_by(F.struct(*update_cols), order).alias("__last"))
     types = dict(table.dtypes)
 
     upd = red.select(key, "__last", F.lit(True).alias("__in_b"))

@@ -200,3 +200,14 @@ def test_update_join_set_from_other(spark):
     dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, x int")
     with pytest.raises(ConstraintViolation):
         M.update_join(T, dup, "k", "k", {}, from_other={"b": "x"})
+
+
+def test_duplicate_seq_is_resolved_deterministically(spark):
+    T = spark.createDataFrame([(1, "a", 1, 1)], T_SCHEMA)
+    rows = [("a", 5, 1, 7), ("a", 3, 2, 7), ("b", 9, 9, 7), ("b", 8, 8, 7)]
+    results = set()
+    for order in (rows, list(reversed(rows))):
+        B = spark.createDataFrame(order, B_SCHEMA).repartition(3)
+        new, _ = M.upsert(T, B, SPEC, key="k", update_cols=["a"], seq="seq", set_now=())
+        results.add(tuple(sorted(map(tuple, new.collect()), key=str)))
+    assert len(results) == 1
