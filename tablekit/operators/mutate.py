@@ -195,7 +195,7 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     fresh = fresh.select(*[new_value(c).alias(c) for c in ins_cols], F.col(f"__first.{seq}").alias(seq))
     fresh = fresh.unionByName(b_null.select(*ins_cols, seq))
     if id_col:
-        fresh = _with_ids(fresh, table, id_col, [seq], bound_by=batch)
+        fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch)
     new = kept.unionByName(fresh.select(*cols))
     metrics = _metrics(j, updated=in_b).crossJoin(
         fresh.agg(F.count(F.lit(1)).alias("inserted"))).select("inserted", "updated")
@@ -216,7 +216,7 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     firsts = _reduce(clean.filter(F.col(key).isNotNull()), key, seq, ins_cols, "first")
     fresh = firsts.join(_matched_keys(table, firsts.select(key), key), key, "left_anti") \
         .unionByName(clean.filter(F.col(key).isNull()).select(*ins_cols, seq))
-    fresh = _with_ids(fresh, table, id_col, [seq], bound_by=batch) if id_col else fresh
+    fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch) if id_col else fresh
     new = table.unionByName(fresh.select(*cols))
     inserted = fresh.agg(F.count(F.lit(1)).alias("inserted"))
     total = b.agg(F.count(F.lit(1)).alias("total"))
@@ -242,7 +242,7 @@ def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq:
     fresh = lasts.unionByName(b.filter(F.col(key).isNull()).select(*ins_cols, seq))
     replaced_keys = lasts.select(key)
     kept = table.join(replaced_keys, key, "left_anti")
-    fresh = _with_ids(fresh, table, id_col, [seq], bound_by=batch) if id_col else fresh
+    fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch) if id_col else fresh
     new = kept.unionByName(fresh.select(*cols))
     gone = table.join(replaced_keys, key, "left_semi")
     new_children = []
