@@ -37,13 +37,6 @@ SELECT c_custkey + 1 AS emp_id,
        CAST(DATE '2023-01-01' + CAST(c_custkey % 700 AS INT) AS TIMESTAMP) AS updated_at,
        concat('{"k": ', CAST(c_custkey % 100 AS VARCHAR), '}') AS metadata
 FROM customer""",
-    "upsert_batch": """
-SELECT lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS national_id,
-       concat('N', CAST(o_orderkey AS VARCHAR)) AS full_name,
-       CASE WHEN o_orderkey % 2 = 0 THEN 'FULL_TIME' ELSE 'PART_TIME' END AS contract_type,
-       CAST(o_totalprice AS DECIMAL(10,2)) AS base_salary,
-       o_orderkey AS seq
-FROM orders WHERE o_orderkey < 3000""",
     "orders_batch": """
 SELECT lpad(CAST(o_custkey * 2 AS VARCHAR), 14, '0') AS national_id,
        concat('N', CAST(o_orderkey AS VARCHAR)) AS full_name,

@@ -8,6 +8,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tablekit.operators import query as Q
+from tablekit.operators.ids import assign_ids
 from tablekit.operators.window import rank_within, top_k
 from tablekit.plans.catalog import register
 from tablekit.plans.flagship import FLAGSHIP_SQL, flagship, high_value_customers
@@ -292,12 +293,15 @@ def top_k_per_region(spark, d):
 # --- O: sorts and pages ---------------------------------------------------------------
 
 @register("order_multi_key", with_views("employees") + """
-SELECT emp_id, department_id, base_salary FROM employees
-ORDER BY department_id ASC NULLS FIRST, base_salary DESC, emp_id LIMIT 50
-""", "O1")
+SELECT emp_id, department_id, base_salary,
+       ROW_NUMBER() OVER (ORDER BY department_id ASC NULLS FIRST, base_salary DESC, emp_id) AS position
+FROM employees
+""", "O1 V15")
 def order_multi_key(spark, d):
+    """O1 over the whole table: every row's position in the multi-key order
+    (ASC puts NULLs first, DESC last), from the distributed global numbering."""
     e = fx.employees(spark, d).select("emp_id", "department_id", "base_salary")
-    return Q.page(e, ["department_id ASC NULLS FIRST", "base_salary DESC", "emp_id"], 50)
+    return assign_ids(e, ["department_id", "base_salary DESC", "emp_id"], start=1, name="position")
 
 
 @register("page_offset", with_views("shop_orders") + """

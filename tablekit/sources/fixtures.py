@@ -82,18 +82,6 @@ def employees(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def upsert_batch(spark: SparkSession, d: str) -> DataFrame:
-    """A batch with repeated keys: many orders per customer map to one national_id."""
-    o = scan(spark, d, "orders")
-    return o.filter(F.col("o_orderkey") < 3000).select(
-        F.lpad(F.col("o_custkey").cast("string"), 14, "0").alias("national_id"),
-        F.concat(F.lit("N"), F.col("o_orderkey").cast("string")).alias("full_name"),
-        F.when(F.col("o_orderkey") % 2 == 0, "FULL_TIME").otherwise("PART_TIME").alias("contract_type"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("base_salary"),
-        F.col("o_orderkey").alias("seq"),
-    )
-
-
 def orders_batch(spark: SparkSession, d: str) -> DataFrame:
     """The batch shape over ALL orders (whole-table mutation input).  Keys are
     lpad(2 * customer): about half hit existing employees, half are new, and
