@@ -83,6 +83,11 @@ def _metrics(df: DataFrame, **counts: Column) -> DataFrame:
                     for k, c in counts.items()])
 
 
+def _count_of(df: DataFrame) -> Column:
+    """COUNT(*) of ``df`` as a scalar subquery (to sit beside other counts)."""
+    return df.select(F.count(F.lit(1))).scalar()
+
+
 def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None,
               order: Sequence[str], bound_by: DataFrame | None = None) -> DataFrame:
     if id_col is None:
@@ -197,8 +202,8 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     if id_col:
         fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch)
     new = kept.unionByName(fresh.select(*cols))
-    metrics = _metrics(j, updated=in_b).crossJoin(
-        fresh.agg(F.count(F.lit(1)).alias("inserted"))).select("inserted", "updated")
+    metrics = _metrics(j, updated=in_b).select(
+        _count_of(fresh).alias("inserted"), "updated")
     return new, metrics
 
 
@@ -218,10 +223,8 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
         .unionByName(clean.filter(F.col(key).isNull()).select(*ins_cols, seq))
     fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch) if id_col else fresh
     new = table.unionByName(fresh.select(*cols))
-    inserted = fresh.agg(F.count(F.lit(1)).alias("inserted"))
-    total = b.agg(F.count(F.lit(1)).alias("total"))
-    metrics = inserted.crossJoin(total).select(
-        "inserted", (F.col("total") - F.col("inserted")).alias("ignored"))
+    metrics = fresh.agg(F.count(F.lit(1)).alias("inserted")).select(
+        "inserted", (_count_of(b) - F.col("inserted")).alias("ignored"))
     return new, metrics, rejected
 
 
@@ -249,8 +252,8 @@ def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq:
     for child, fk_col in children:
         dead = gone.select(F.col(id_col).alias(fk_col)).distinct()
         new_children.append(child.join(dead, fk_col, "left_anti"))
-    metrics = gone.agg(F.count(F.lit(1)).alias("deleted")).crossJoin(
-        fresh.agg(F.count(F.lit(1)).alias("inserted")))
+    metrics = gone.agg(F.count(F.lit(1)).alias("deleted")).select(
+        "deleted", _count_of(fresh).alias("inserted"))
     return new, metrics, new_children
 
 

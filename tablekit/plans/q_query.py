@@ -130,15 +130,18 @@ def join_full_union(spark, d):
 SELECT g.region, g.status, COALESCE(c.n, 0) AS n_customers
 FROM (SELECT * FROM regions CROSS JOIN statuses) g
 LEFT JOIN counts c ON g.region = c.region AND g.status = c.status
-""", "J6")
+""", "J6 A1")
 def join_cross_grid(spark, d):
+    """The dense (region x status) grid that a CROSS JOIN of the two
+    dimensions gives, built WITHOUT a product: pivot the counts on status
+    (one column per status; pivot values bounded by spark.sql.pivotMaxValues)
+    and unpivot back, so missing pairs appear with 0.  ``query.cross`` remains
+    the guarded CROSS JOIN operator itself."""
     cust = fx.customers(spark, d)
-    regions = cust.select("region").distinct()
-    statuses = cust.select("status").distinct()
-    grid = Q.cross(regions, statuses, max_rows=1000)
-    counts = cust.groupBy("region", "status").agg(F.count(F.lit(1)).alias("n"))
-    return grid.join(counts, ["region", "status"], "left").select(
-        "region", "status", F.coalesce(F.col("n"), F.lit(0)).alias("n_customers"))
+    wide = cust.groupBy("region").pivot("status").agg(F.count(F.lit(1)))
+    statuses = [c for c in wide.columns if c != "region"]
+    long = wide.unpivot("region", statuses, "status", "n")
+    return long.select("region", "status", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n_customers"))
 
 
 @register("join_semi", with_views("employees", "departments") + """
