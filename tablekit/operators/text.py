@@ -168,11 +168,11 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
         idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)),
     idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)).
 
-    Each text becomes a compact per-document row (id, length, only the
-    tokens that are query terms) before any shuffle, so only matching tokens
-    are ever exploded and the texts themselves are never shuffled by key.
-    The (N, avgdl) scalar reads the same scan (its column-pruned branch
-    recomputes the lengths).  The term list is bounded by the query text.
+    Each text is tokenized ONCE into a compact per-document row (id, length,
+    only the tokens that are query terms) behind a hash exchange on id; the
+    (N, avgdl) scalar and the term hits both read that exchange (AQE reuses
+    it), only matching tokens are ever exploded, and the texts themselves are
+    never shuffled by key.  The term list is bounded by the query text.
     For repeated searches, build the index once (``write_text_index``) and
     use ``search_index``, which never reads the texts.
     """
@@ -182,7 +182,12 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
     per_doc = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), toks.alias("__t")).select(
         "id", F.size("__t").alias("dl"),
         F.filter("__t", lambda t: t.isin(terms)).alias("__m")).repartition("id")
-    stats = per_doc.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).alias("s")).scalar()
+    # the scalar reads every column of per_doc (``matched`` counts query-term
+    # occurrences) so both consumers share one exchange and texts are
+    # tokenized once
+    stats = per_doc.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
+                                 F.sum(F.size("__m")).alias("matched"),
+                                 F.count("id").alias("ids")).alias("s")).scalar()
     n_docs, avgdl = stats.getField("n"), stats.getField("avgdl")
     hits = explode_tokens(per_doc.select("id", "dl", "__m"), "__m", "term") \
         .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))

@@ -65,3 +65,10 @@ def test_window_split_path_has_no_group_sized_window(spark):
         assert fn not in plan, fn
     native = final_plan(QUERIES["window_rankings"](spark, SF001))
     assert "row_number()" in native                        # small groups: Spark's own window
+
+
+def test_search_tokenizes_once(spark):
+    df = QUERIES["fulltext_search"](spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan                        # scalar and hits share the per-doc exchange
