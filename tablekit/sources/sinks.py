@@ -47,6 +47,12 @@ def truncate(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], df.schema)
 
 
+def truncate_table(spark: SparkSession, table: str) -> None:
+    """S6 on a catalog table: TRUNCATE TABLE removes the files, keeps the
+    definition; no row is read."""
+    spark.sql(f"TRUNCATE TABLE {table}")
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (any Hadoop file system)."""
     jvm = spark.sparkContext._jvm

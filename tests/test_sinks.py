@@ -58,6 +58,10 @@ def test_ddl_create_and_rename(spark):
     S.create_table(spark, EMPLOYEES, "enterprise_core_db")
     cols = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {name}").collect()}
     assert cols["national_id"].lower().startswith("char(14)") and cols["base_salary"] == "decimal(10,2)"
+    S.insert_by_name(fx.employees(spark, SF001), name)
+    assert spark.table(name).count() == fx.employees(spark, SF001).count()
+    S.truncate_table(spark, name)
+    assert spark.table(name).count() == 0 and "national_id" in spark.table(name).columns
     set_default_sql(spark, name, "base_salary", "1000.00")
     rename_table(spark, name, "enterprise_core_db.core_employees")
     assert spark.catalog.tableExists("enterprise_core_db.core_employees")
