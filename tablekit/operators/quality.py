@@ -179,9 +179,10 @@ def json_field(df: DataFrame, column: str, path: str, dtype: str, name: str) ->
 
 
 def to_utc(df: DataFrame, column: str, zone: str, name: str | None = None) -> DataFrame:
-    """A zone-free local time (DATETIME) in ``zone`` -> UTC wall time."""
-    return df.withColumn(name or column,
-                         F.to_utc_timestamp(F.col(column).cast("timestamp"), zone).cast("timestamp_ntz"))
+    """A zone-free local time (DATETIME) in ``zone`` -> UTC wall time.
+    Works on TIMESTAMP_NTZ, so the result does not depend on the session zone."""
+    return df.withColumn(name or column, F.convert_timezone(
+        F.lit(zone), F.lit("UTC"), F.col(column).cast("timestamp_ntz")))
 
 
 # The TEXT family size limits in bytes.

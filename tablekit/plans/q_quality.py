@@ -118,7 +118,7 @@ SELECT event_id, ts, timezone('UTC', timezone('America/New_York', ts)) AS ts_utc
 """, "V12")
 def to_utc(spark, d):
     ev = scan(spark, d, "events").select("event_id", "ts")
-    return ev.withColumn("ts_utc", F.convert_timezone(F.lit("America/New_York"), F.lit("UTC"), F.col("ts")))
+    return V.to_utc(ev, "ts", "America/New_York", "ts_utc")
 
 
 @register("lob_class", """

@@ -112,7 +112,14 @@ def main(argv):
             names.append(a)
     from tablekit.session import build_session
     import __spark_entry__ as E
-    spark = build_session()
+    if os.environ.get("TABLEKIT_PLAIN_SESSION"):   # a session with Spark's defaults only
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
+    if os.environ.get("TABLEKIT_SESSION_TZ"):      # robustness: results must not depend on it
+        spark.conf.set("spark.sql.session.timeZone", os.environ["TABLEKIT_SESSION_TZ"])
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck_con(sf_dir)
     n_ok = n_bad = 0
