@@ -72,3 +72,36 @@ def test_search_tokenizes_once(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan                        # scalar and hits share the per-doc exchange
+
+
+def test_hot_fk_value_is_split_by_aqe_skew_join(spark):
+    """90% of child rows share one FK value; with broadcast off the join-based
+    mutations still finish with the hot partition split (skew=true)."""
+    from pyspark.sql import functions as F
+    from tablekit.operators import mutate as M
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        child = spark.range(0, 200000).select(
+            "id", F.when(F.col("id") % 10 < 9, F.lit(7)).otherwise(F.col("id") % 1000).alias("fk"),
+            (F.col("id") * 3).alias("v"))
+        parent = spark.range(0, 1000).select(F.col("id").alias("pid"),
+                                             F.when(F.col("id") % 2 == 1, "CLOSED").otherwise("OPEN").alias("st"))
+        deleted, _ = M.delete_join(child, parent, "fk", "pid", F.col("st") == "OPEN")
+        updated, _ = M.update_join(child, parent, "fk", "pid", {"v": F.lit(0)}, other_where=F.col("st") == "OPEN")
+        for df in (deleted, updated):
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+        assert deleted.count() == child.filter("fk % 2 = 1").count()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
