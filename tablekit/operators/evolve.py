@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.operators import quality as V
-from tablekit.spec import ColumnSpec, ForeignKey, TableSpec, col
+from tablekit.spec import TEXT_BYTES, ColumnSpec, ForeignKey, TableSpec, col
 
 
 def set_default(spec: TableSpec, column: str, value) -> TableSpec:
@@ -108,5 +108,5 @@ def rename_table(spark: SparkSession, old: str, new: str) -> None:
 
 
 PHONE = col("phone_number", "string", max_len=15)
-BIOGRAPHY = col("biography", "string", max_bytes=65535)
+BIOGRAPHY = col("biography", "string", max_bytes=TEXT_BYTES)
 RESUME = col("resume_text", "string", max_bytes=4294967295)

@@ -93,13 +93,6 @@ def fits_one_task(df: DataFrame, group: Sequence[str], limit: int | None = None)
     return bound > 0 and largest_group(df, group) <= bound
 
 
-def _null_safe(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & a[c].eqNullSafe(b[c])
-    return cond
-
-
 def _join_back(big: DataFrame, small: DataFrame, keys: Sequence[str], add: Sequence[str]) -> DataFrame:
     """Left-join ``small`` (unique on ``keys``) into ``big`` null-safely."""
     s = small.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *add)

@@ -7,7 +7,6 @@ repeat; timestamps leave as timestamp_ntz (zone-free) for the comparison.
 
 from __future__ import annotations
 
-import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -36,10 +35,6 @@ def ntz(df: DataFrame) -> DataFrame:
                        for c, t in df.dtypes])
 
 
-def _new_row_sql(values: str) -> str:
-    return f"SELECT {values}"
-
-
 # --- M1 / M2 / M6 ---------------------------------------------------------------------
 
 @register("insert_single", with_views("employees") + f"""
