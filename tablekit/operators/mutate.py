@@ -126,10 +126,12 @@ def insert_select(table: DataFrame, source: DataFrame, spec: TableSpec,
 # --- M3 / M4 / M5: conflict handling -----------------------------------------------------
 
 def _seq_order(batch: DataFrame, seq: str) -> Column:
-    """Replay order: ``seq``, then the whole row.  ``seq`` should be unique;
-    if it is not, the row content still decides, so a recomputed task (after
-    an executor loss) picks the same row as the first attempt."""
-    return F.struct(F.col(seq), *[F.col(c) for c in batch.columns if c != seq])
+    """Replay order: ``seq``, then a 64-bit hash of the whole row.  ``seq``
+    should be unique; if it is not, the row content still decides, so a
+    recomputed task (after an executor loss) picks the same row as the first
+    attempt.  Identical rows are interchangeable; distinct rows sharing key,
+    seq and hash would need a 64-bit collision."""
+    return F.struct(F.col(seq), F.xxhash64(*[F.col(c) for c in batch.columns if c != seq]))
 
 
 def _reduce(batch: DataFrame, key: str, seq: str, cols: Sequence[str], pick: str) -> DataFrame:
