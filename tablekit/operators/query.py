@@ -119,19 +119,34 @@ def page(df: DataFrame, order: Sequence[str | Column], n: int, offset: int = 0)
     return sorted_df.limit(n)
 
 
+def _after(c: str, desc: bool, v) -> Column:
+    """Rows strictly after value ``v`` of column ``c`` in Spark's default
+    NULL order (ASC: NULLs first; DESC: NULLs last)."""
+    col_ = F.col(c)
+    if v is None:
+        return F.lit(False) if desc else col_.isNotNull()
+    after = col_ < F.lit(v) if desc else col_ > F.lit(v)
+    return (after | col_.isNull()) if desc else after
+
+
+def _same(c: str, v) -> Column:
+    return F.col(c).isNull() if v is None else F.col(c) == F.lit(v)
+
+
 def page_after(df: DataFrame, order: Sequence[str], last: Sequence, n: int) -> DataFrame:
     """Keyset page: rows strictly after ``last`` in (ascending/descending)
     ``order``, then the first n.  A pushed-down range filter replaces the
-    scan-and-discard of a deep OFFSET."""
+    scan-and-discard of a deep OFFSET.  NULL keys follow Spark's default
+    order (ASC puts them first, DESC last), so paging never skips or repeats
+    a row; the last order column should be unique."""
     from tablekit.functions.exprs import order_names
     names = order_names(order)
-    cond = None
+    cond = F.lit(False)
     for i, (c, desc) in enumerate(names):
-        after = F.col(c) < F.lit(last[i]) if desc else F.col(c) > F.lit(last[i])
-        term = after
+        term = _after(c, desc, last[i])
         for j in range(i):
-            term = term & (F.col(names[j][0]) == F.lit(last[j]))
-        cond = term if cond is None else cond | term
+            term = term & _same(names[j][0], last[j])
+        cond = cond | F.coalesce(term, F.lit(False))
     return page(df.filter(cond), order, n)
 
 

@@ -33,6 +33,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         # (a cluster keeps its own, larger setting)
         .config("spark.sql.files.maxPartitionBytes", str(4 << 20))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove reliable checkpoint files once their frames are garbage
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -103,3 +103,20 @@ def test_avg_ignores_nulls_and_empty_sum_is_null(spark):
 def test_float_vs_decimal(spark):
     r = spark.sql("SELECT 0.1D + 0.2D AS f, 0.1BD + 0.2BD AS d").first()
     assert r.f == 0.30000000000000004 and r.d == Decimal("0.3")
+
+
+@pytest.mark.parametrize("order", [["a", "b"], ["a DESC", "b"], ["a", "b DESC"], ["a DESC", "b DESC"]])
+def test_keyset_pages_cover_everything_with_nulls(spark, order):
+    df = spark.range(0, 97).select(
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 5).alias("a"),
+        F.col("id").alias("b"))
+    want = [tuple(r) for r in Q.page(df, order, 1000).collect()]
+    got, last = [], None
+    while True:
+        chunk = Q.page(df, order, 10) if last is None else Q.page_after(df, order, last, 10)
+        rows = [tuple(r) for r in chunk.collect()]
+        if not rows:
+            break
+        got += rows
+        last = rows[-1]
+    assert got == want
