@@ -208,11 +208,11 @@ LOB_LIMITS = (("TINYTEXT", 255), ("TEXT", 65535), ("MEDIUMTEXT", 16777215), ("LO
 
 
 def lob_class(df: DataFrame, column: str, name: str = "lob_class") -> DataFrame:
-    """Smallest TEXT type that holds the value's UTF-8 bytes."""
+    """Smallest TEXT type that holds the value's UTF-8 bytes (NULL for NULL)."""
     size = F.octet_length(F.col(column))
-    expr = None
+    expr = F.when(size.isNull(), F.lit(None).cast("string"))
     for cls, limit in LOB_LIMITS:
-        expr = F.when(size <= limit, F.lit(cls)) if expr is None else expr.when(size <= limit, F.lit(cls))
+        expr = expr.when(size <= limit, F.lit(cls))
     return df.withColumn(name, expr.otherwise(F.lit("TOO_LARGE")))
 
 

@@ -84,8 +84,8 @@ def test_enum_ordinal_set_domain_lob(spark):
     spec = EMPLOYEES.replace(columns=(s,), primary_key=(), unique=(), checks=(), foreign_keys=())
     t = spark.createDataFrame([("A,B",), ("A,C",)], "tags string")
     assert [r.rule for r in V.row_violations(t, spec).collect()] == ["set:tags"]
-    lob = spark.createDataFrame([("a" * 255,), ("é" * 200,), ("x" * 70000,)], "t string")
-    assert [r.lob_class for r in V.lob_class(lob, "t").collect()] == ["TINYTEXT", "TEXT", "MEDIUMTEXT"]
+    lob = spark.createDataFrame([("a" * 255,), ("é" * 200,), ("x" * 70000,), (None,)], "t string")
+    assert [r.lob_class for r in V.lob_class(lob, "t").collect()] == ["TINYTEXT", "TEXT", "MEDIUMTEXT", None]
 
 
 def test_fk_actions(spark):
