@@ -123,6 +123,14 @@ def insert_select(table: DataFrame, source: DataFrame, spec: TableSpec,
     return new, m, keys
 
 
+def mark_processed(source: DataFrame, keys: DataFrame, key: str, flag: str = "is_processed",
+                   now=None) -> tuple[DataFrame, DataFrame]:
+    """Close the loop of M6: set ``flag`` = TRUE on the source rows whose keys
+    were migrated (an UPDATE .. JOIN on the DISTINCT key set), so running
+    the migration again inserts nothing twice."""
+    return update_join(source, keys, key, key, {flag: F.lit(True)}, touch=False, now=now)
+
+
 # --- M3 / M4 / M5: conflict handling -----------------------------------------------------
 
 def _seq_order(batch: DataFrame, seq: str) -> Column:

@@ -84,6 +84,22 @@ def insert_select(spark, d):
     return ntz(new)
 
 
+@register("insert_select_mark_processed", with_views("legacy_import") + """
+SELECT nat_id, name, salary, dob, TRUE AS is_processed FROM legacy_import
+""", "M6")
+def insert_select_mark_processed(spark, d):
+    """M6 followed by marking the migrated source rows processed."""
+    src = fx.legacy_import(spark, d)
+    _, _, keys = M.insert_select(
+        fx.employees(spark, d), src, EMPLOYEES,
+        {"national_id": F.col("nat_id"), "full_name": F.col("name"),
+         "contract_type": F.lit("CONTRACTOR"), "base_salary": F.col("salary"),
+         "birth_date": F.col("dob")},
+        where=F.col("is_processed") == F.lit(False), now=NOW, order=["national_id"], source_key="nat_id")
+    marked, _ = M.mark_processed(src, keys, "nat_id")
+    return marked
+
+
 # --- M3 / M4 / M5 ---------------------------------------------------------------------
 
 _BATCH_RANKS = """

@@ -211,3 +211,18 @@ def test_duplicate_seq_is_resolved_deterministically(spark):
         new, _ = M.upsert(T, B, SPEC, key="k", update_cols=["a"], seq="seq", set_now=())
         results.add(tuple(sorted(map(tuple, new.collect()), key=str)))
     assert len(results) == 1
+
+
+def test_migration_rerun_inserts_nothing(spark):
+    from tests.conftest import SF001
+    from tablekit.sources import fixtures as fx
+    emp, src = fx.employees(spark, SF001), fx.legacy_import(spark, SF001)
+    mapping = {"national_id": F.col("nat_id"), "full_name": F.col("name"),
+               "contract_type": F.lit("CONTRACTOR"), "base_salary": F.col("salary"), "birth_date": F.col("dob")}
+    new, m, keys = M.insert_select(emp, src, EMPLOYEES, mapping, where=~F.col("is_processed"),
+                                   now="2024-01-01 00:00:00", source_key="nat_id")
+    assert m.first().inserted == src.filter("NOT is_processed").count() > 0
+    marked, _ = M.mark_processed(src, keys, "nat_id")
+    _, m2, _ = M.insert_select(new, marked, EMPLOYEES, mapping, where=~F.col("is_processed"),
+                               now="2024-01-01 00:00:00", source_key="nat_id")
+    assert m2.first().inserted == 0
