@@ -159,7 +159,8 @@ def _matched_keys(table: DataFrame, batch_keys: DataFrame, key: str) -> DataFram
 
 def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
            update_cols: Sequence[str], seq: str, now=None,
-           set_now: Sequence[str] = ("updated_at",)) -> tuple[DataFrame, DataFrame]:
+           set_now: Sequence[str] = ("updated_at",),
+           unique_check: str | None = None) -> tuple[DataFrame, DataFrame]:
     """M3: INSERT .. ON DUPLICATE KEY UPDATE c = VALUES(c), replayed in ``seq`` order.
 
     Equals row-by-row replay: a key already in T gets the LAST batch value of
@@ -212,6 +213,13 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     if id_col:
         fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch)
     new = kept.unionByName(fresh.select(*cols))
+    if unique_check == "strict":
+        # the conflict key decides; every OTHER unique key is checked on the
+        # result (one aggregate each) and a duplicate raises
+        from tablekit.operators.quality import duplicate_keys, require_empty
+        for name, ucols in spec.unique:
+            if tuple(ucols) != (key,):
+                require_empty(duplicate_keys(new, ucols, f"unique:{name}"), f"upsert breaks {name}")
     metrics = _metrics(j, updated=in_b).select(
         _count_of(fresh).alias("inserted"), "updated")
     return new, metrics

@@ -226,3 +226,15 @@ def test_migration_rerun_inserts_nothing(spark):
     _, m2, _ = M.insert_select(new, marked, EMPLOYEES, mapping, where=~F.col("is_processed"),
                                now="2024-01-01 00:00:00", source_key="nat_id")
     assert m2.first().inserted == 0
+
+
+def test_upsert_strict_checks_other_unique_keys(spark):
+    from tablekit.operators.quality import ConstraintViolation
+    spec = SPEC.replace(unique=(("uk_k", ("k",)), ("uk_a", ("a",))))
+    T = spark.createDataFrame([(1, "x", 1, 1), (2, "y", 2, 2)], T_SCHEMA)
+    ok = spark.createDataFrame([("x", 5, 0, 1)], B_SCHEMA)
+    new, _ = M.upsert(T, ok, spec, "k", ["a"], "seq", set_now=(), unique_check="strict")
+    assert sorted(r.a for r in new.collect()) == [2, 5]
+    clash = spark.createDataFrame([("x", 2, 0, 1)], B_SCHEMA)      # a=2 already held by key y
+    with pytest.raises(ConstraintViolation):
+        M.upsert(T, clash, spec, "k", ["a"], "seq", set_now=(), unique_check="strict")
