@@ -84,7 +84,7 @@ def text_index_terms(spark, d):
 SEARCH_TEXT = "the eau der que ment"
 
 
-@register("fulltext_search", r"""
+_FULLTEXT_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS toks FROM documents),
      s AS (SELECT COUNT(*) AS n, AVG(len(toks)) AS avgdl FROM d),
      q AS (SELECT DISTINCT unnest(regexp_extract_all(lower('""" + SEARCH_TEXT + r"""'), '[\p{L}\p{N}]+')) AS term),
@@ -96,6 +96,19 @@ WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS to
                        / (tf.tf + 1.2 * (1 - 0.75 + 0.75 * tf.dl / s.avgdl))) AS score
             FROM tf JOIN df USING (term) CROSS JOIN s GROUP BY tf.doc_id)
 SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY round(score, 6) DESC, doc_id LIMIT 10
-""", "T6")
+"""
+
+
+@register("fulltext_search", _FULLTEXT_SQL, "T6")
 def fulltext_search(spark, d):
     return X.bm25_search(scan(spark, d, "documents"), "doc_id", "text", SEARCH_TEXT, k=10)
+
+
+@register("fulltext_search_index", _FULLTEXT_SQL, "T6 S5")
+def fulltext_search_index(spark, d):
+    """T6 as ADD FULLTEXT INDEX + search: postings are written term-sorted to a
+    fresh folder under the shared checkpoint folder, then searched without
+    reading the texts again."""
+    from tablekit.sources.sinks import scratch_dir
+    p, l = X.write_text_index(scan(spark, d, "documents"), "doc_id", "text", scratch_dir(spark, "fulltext"))
+    return X.search_index(spark.read.parquet(p), spark.read.parquet(l), SEARCH_TEXT, k=10, id_col="doc_id")
