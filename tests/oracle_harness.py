@@ -120,6 +120,8 @@ def main(argv):
         spark = build_session()
     if os.environ.get("TABLEKIT_SESSION_TZ"):      # robustness: results must not depend on it
         spark.conf.set("spark.sql.session.timeZone", os.environ["TABLEKIT_SESSION_TZ"])
+    if os.environ.get("TABLEKIT_ANSI"):             # e.g. "false": results must not depend on it
+        spark.conf.set("spark.sql.ansi.enabled", os.environ["TABLEKIT_ANSI"])
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck_con(sf_dir)
     n_ok = n_bad = 0
