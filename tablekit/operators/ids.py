@@ -20,7 +20,8 @@ from tablekit.operators.window import _numbered, fits_one_task, parse_order
 
 def assign_ids(df: DataFrame, order: Sequence[str], start: int | Column = 1,
                name: str = "id", num_partitions: int | None = None,
-               max_group_rows: int | None = None, bound_by: DataFrame | None = None) -> DataFrame:
+               max_group_rows: int | None = None, bound_by: DataFrame | None = None,
+               small: bool | None = None) -> DataFrame:
     """Dense ids ``start, start+1, ...`` in ``order`` (which must be unique).
 
     ``start`` may be a Column such as a scalar subquery
@@ -31,8 +32,11 @@ def assign_ids(df: DataFrame, order: Sequence[str], start: int | Column = 1,
     keys = parse_order(order)
     base = start if isinstance(start, Column) else F.lit(start)
     # ``bound_by``: a cheaper frame at least as large as ``df`` (the raw batch
-    # of an upsert), counted instead of computing ``df`` twice
-    if fits_one_task(bound_by if bound_by is not None else df, [], max_group_rows):
+    # of an upsert), counted instead of computing ``df`` twice; ``small``: the
+    # caller already knows
+    if small is None:
+        small = fits_one_task(bound_by if bound_by is not None else df, [], max_group_rows)
+    if small:
         w = Window.orderBy(*[k.sort() for k in keys])
         return df.withColumn(name, (base + F.row_number().over(w) - 1).cast("bigint"))
     numbered = _numbered(df, [], keys[:-1], [k.name for k in keys[-1:]], num_partitions) \

@@ -29,7 +29,8 @@ from tablekit.functions.exprs import any_differs, hit
 from tablekit.operators.ids import assign_ids, next_id
 from tablekit.operators.query import BROADCAST_MAX_ROWS, oldest
 from tablekit.operators.quality import enforce
-from tablekit.operators.window import numbered_rows
+from tablekit.operators.window import fits_one_task, numbered_rows
+from tablekit.session import reliable_checkpoint
 from tablekit.spec import NOW, ColumnSpec, TableSpec
 
 
@@ -89,10 +90,24 @@ def _count_of(df: DataFrame) -> Column:
 
 
 def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None,
-              order: Sequence[str], bound_by: DataFrame | None = None) -> DataFrame:
+              order: Sequence[str], bound_by: DataFrame | None = None,
+              small: bool | None = None) -> DataFrame:
     if id_col is None:
         return new_rows
-    return assign_ids(new_rows, order, start=next_id(table, id_col), name=id_col, bound_by=bound_by)
+    return assign_ids(new_rows, order, start=next_id(table, id_col), name=id_col,
+                      bound_by=bound_by, small=small)
+
+
+def _batch_is_small(batch: DataFrame) -> bool:
+    """One count of the raw batch against the window bound."""
+    return fits_one_task(batch, [])
+
+
+def _once(reduced: DataFrame, small: bool) -> DataFrame:
+    """The per-key reduced batch feeds several branches (kept rows, new keys,
+    ids).  A large one is materialized once (reliable checkpoint) instead of
+    being re-aggregated per branch; a small one is cheap to recompute."""
+    return reduced if small else reliable_checkpoint(reduced)
 
 
 # --- M1 / M2 / M6: insert -------------------------------------------------------------
@@ -181,9 +196,10 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     b_key, b_null = b.filter(F.col(key).isNotNull()), b.filter(F.col(key).isNull())
 
     order = _seq_order(b_key, seq)
-    red = b_key.groupBy(key).agg(
+    small = _batch_is_small(batch)
+    red = _once(b_key.groupBy(key).agg(
         F.min_by(F.struct(*[c for c in ins_cols if c != key], seq), order).alias("__first"),
-        F.max_by(F.struct(*update_cols), order).alias("__last"))
+        F.max_by(F.struct(*update_cols), order).alias("__last")), small)
     types = dict(table.dtypes)
 
     upd = red.select(key, "__last", F.lit(True).alias("__in_b"))
@@ -211,7 +227,7 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     fresh = fresh.select(*[new_value(c).alias(c) for c in ins_cols], F.col(f"__first.{seq}").alias(seq))
     fresh = fresh.unionByName(b_null.select(*ins_cols, seq))
     if id_col:
-        fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch)
+        fresh = _with_ids(fresh, table, id_col, [seq, key], small=small)
     new = kept.unionByName(fresh.select(*cols))
     if unique_check == "strict":
         # the conflict key decides; every OTHER unique key is checked on the
@@ -236,10 +252,11 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     b = align(batch, spec, now, exclude=(id_col,) if id_col else ())
     clean, rejected = enforce(b, spec.replace(columns=tuple(c for c in spec.columns if c.name != id_col)),
                               mode="ignore")
-    firsts = _reduce(clean.filter(F.col(key).isNotNull()), key, seq, ins_cols, "first")
+    small = _batch_is_small(batch)
+    firsts = _once(_reduce(clean.filter(F.col(key).isNotNull()), key, seq, ins_cols, "first"), small)
     fresh = firsts.join(_matched_keys(table, firsts.select(key), key), key, "left_anti") \
         .unionByName(clean.filter(F.col(key).isNull()).select(*ins_cols, seq))
-    fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch) if id_col else fresh
+    fresh = _with_ids(fresh, table, id_col, [seq, key], small=small) if id_col else fresh
     new = table.unionByName(fresh.select(*cols))
     metrics = fresh.agg(F.count(F.lit(1)).alias("inserted")).select(
         "inserted", (_count_of(b) - F.col("inserted")).alias("ignored"))
@@ -259,11 +276,12 @@ def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq:
     cols = table.columns
     ins_cols = [c for c in cols if c != id_col]
     b = align(batch, spec, now, exclude=(id_col,) if id_col else ())
-    lasts = _reduce(b.filter(F.col(key).isNotNull()), key, seq, ins_cols, "last")
+    small = _batch_is_small(batch)
+    lasts = _once(_reduce(b.filter(F.col(key).isNotNull()), key, seq, ins_cols, "last"), small)
     fresh = lasts.unionByName(b.filter(F.col(key).isNull()).select(*ins_cols, seq))
     replaced_keys = lasts.select(key)
     kept = table.join(replaced_keys, key, "left_anti")
-    fresh = _with_ids(fresh, table, id_col, [seq, key], bound_by=batch) if id_col else fresh
+    fresh = _with_ids(fresh, table, id_col, [seq, key], small=small) if id_col else fresh
     new = kept.unionByName(fresh.select(*cols))
     gone = table.join(replaced_keys, key, "left_semi")
     new_children = []
