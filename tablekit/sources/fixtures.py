@@ -8,6 +8,7 @@ filters into the parquet scan underneath.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +18,29 @@ from pyspark.sql import types as T
 from tablekit.sources.tables import rows, scan
 
 
+_VIEWS: dict[tuple[str, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def view(fn):
+    """Resolve a fixture view once per session and directory, as a catalog
+    view is; the DataFrame stays lazy and is re-planned per action."""
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, d: str) -> DataFrame:
+        key = (fn.__name__, d)
+        hit = _VIEWS.get(key)
+        if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+            return hit[1]
+        df = fn(spark, d)
+        _VIEWS[key] = (spark, df)
+        return df
+    return wrapper
+
+
 def _date(s: str) -> Column:
     return F.lit(dt.date.fromisoformat(s))
 
 
+@view
 def customers(spark: SparkSession, d: str) -> DataFrame:
     """customer_id, status, region.  nation/region are fixed-size dimensions."""
     c = scan(spark, d, "customer")
@@ -37,6 +57,7 @@ def customers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
 def shop_orders(spark: SparkSession, d: str) -> DataFrame:
     """order_id, customer_id, total_amount DECIMAL(15,2), order_date DATE."""
     o = scan(spark, d, "orders")
@@ -48,6 +69,7 @@ def shop_orders(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
 def departments(spark: SparkSession, d: str) -> DataFrame:
     """id, department_name, status ('CLOSED_DOWN' for region 0)."""
     n = scan(spark, d, "nation")
@@ -58,6 +80,7 @@ def departments(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
 def employees(spark: SparkSession, d: str) -> DataFrame:
     """The enterprise_employees table (plus `status`), one row per customer."""
     c = scan(spark, d, "customer")
@@ -82,6 +105,7 @@ def employees(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
 def orders_batch(spark: SparkSession, d: str) -> DataFrame:
     """The batch shape over ALL orders (whole-table mutation input).  Keys are
     lpad(2 * customer): about half hit existing employees, half are new, and
@@ -97,6 +121,7 @@ def orders_batch(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
 def employee_import(spark: SparkSession, d: str) -> DataFrame:
     """A staging batch of employee rows over ALL orders, with rule breakers
     derived from the data: repeated ids, NULL / 15-char / repeated national
@@ -131,6 +156,7 @@ def employee_import(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
 def legacy_import(spark: SparkSession, d: str) -> DataFrame:
     """legacy_hr_import_table: nat_id, name, salary, dob, is_processed (from orders)."""
     o = scan(spark, d, "orders")
