@@ -149,7 +149,7 @@ def search_index(postings: DataFrame, lengths: DataFrame, query: str, k: int = 1
     hits = postings.filter(F.col("term").isin(terms)).select("term", "id", "dl", "tf")
     stats = lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).alias("s")).scalar()
     scored = _score(hits, stats.getField("n"), stats.getField("avgdl"), k1, b) \
-        .select(F.col("id").alias(id_col), F.round("score", 6).alias("score"))
+        .select(F.col("id").alias(id_col), F.round("score", 6).cast("decimal(18,6)").alias("score"))
     return scored.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)
 
 
@@ -162,7 +162,8 @@ def query_terms(spark, query: str) -> DataFrame:
 def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int = 10,
                 k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """Natural-language search ranked by Okapi BM25, top k by
-    (score DESC, id ASC); scores rounded to 6 decimals before ranking.
+    (score DESC, id ASC); scores rounded to 6 decimals before ranking and
+    returned as DECIMAL(18,6) so equal scores compare exactly across engines.
 
     score(d) = sum over query terms t of
         idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)),
@@ -192,5 +193,5 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
     hits = explode_tokens(per_doc.select("id", "dl", "__m"), "__m", "term") \
         .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
     scored = _score(hits, n_docs, avgdl, k1, b) \
-        .select(F.col("id").alias(id_col), F.round("score", 6).alias("score"))
+        .select(F.col("id").alias(id_col), F.round("score", 6).cast("decimal(18,6)").alias("score"))
     return scored.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)

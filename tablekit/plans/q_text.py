@@ -95,7 +95,7 @@ WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS to
                    SUM(ln(1 + (s.n - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2
                        / (tf.tf + 1.2 * (1 - 0.75 + 0.75 * tf.dl / s.avgdl))) AS score
             FROM tf JOIN df USING (term) CROSS JOIN s GROUP BY tf.doc_id)
-SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY round(score, 6) DESC, doc_id LIMIT 10
+SELECT doc_id, CAST(round(score, 6) AS DECIMAL(18,6)) AS score FROM sc ORDER BY round(score, 6) DESC, doc_id LIMIT 10
 """
 
 

@@ -51,7 +51,9 @@ def _brute_bm25(docs, query, k1=1.2, b=0.75):
             tf = ts.count(t)
             if tf:
                 scores[i] = scores.get(i, 0) + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(ts) / avgdl))
-    return sorted(((i, round(s, 6)) for i, s in scores.items()), key=lambda x: (-x[1], x[0]))
+    from decimal import Decimal
+    rounded = ((i, Decimal(repr(round(s, 6))).quantize(Decimal("0.000001"))) for i, s in scores.items())
+    return sorted(rounded, key=lambda x: (-x[1], x[0]))
 
 
 def test_bm25_matches_brute_force(spark):
