@@ -98,6 +98,19 @@ def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None,
                       bound_by=bound_by, small=small)
 
 
+def _check_other_unique(new: DataFrame, spec: TableSpec, key: str, mode: str | None) -> None:
+    """The conflict key decides; with ``mode='strict'`` every OTHER unique key
+    is checked on the result (one aggregate each) and a duplicate raises."""
+    if mode is None:
+        return
+    if mode != "strict":
+        raise ValueError(mode)
+    from tablekit.operators.quality import duplicate_keys, require_empty
+    for name, ucols in spec.unique:
+        if tuple(ucols) != (key,):
+            require_empty(duplicate_keys(new, ucols, f"unique:{name}"), f"result breaks {name}")
+
+
 def _batch_is_small(batch: DataFrame) -> bool:
     """One count of the raw batch against the window bound."""
     return fits_one_task(batch, [])
@@ -229,20 +242,14 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     if id_col:
         fresh = _with_ids(fresh, table, id_col, [seq, key], small=small)
     new = kept.unionByName(fresh.select(*cols))
-    if unique_check == "strict":
-        # the conflict key decides; every OTHER unique key is checked on the
-        # result (one aggregate each) and a duplicate raises
-        from tablekit.operators.quality import duplicate_keys, require_empty
-        for name, ucols in spec.unique:
-            if tuple(ucols) != (key,):
-                require_empty(duplicate_keys(new, ucols, f"unique:{name}"), f"upsert breaks {name}")
+    _check_other_unique(new, spec, key, unique_check)
     metrics = _metrics(j, updated=in_b).select(
         _count_of(fresh).alias("inserted"), "updated")
     return new, metrics
 
 
 def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq: str,
-                  now=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                  now=None, unique_check: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """M4: INSERT IGNORE.  Rows that break a row rule are dropped with their
     reasons (V14, lenient); of the rest, the first row per key is inserted
     unless the key is already in T.  Returns (new table, metrics, rejected)."""
@@ -258,13 +265,15 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
         .unionByName(clean.filter(F.col(key).isNull()).select(*ins_cols, seq))
     fresh = _with_ids(fresh, table, id_col, [seq, key], small=small) if id_col else fresh
     new = table.unionByName(fresh.select(*cols))
+    _check_other_unique(new, spec, key, unique_check)
     metrics = fresh.agg(F.count(F.lit(1)).alias("inserted")).select(
         "inserted", (_count_of(b) - F.col("inserted")).alias("ignored"))
     return new, metrics, rejected
 
 
 def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq: str, now=None,
-            children: Sequence[tuple[DataFrame, str]] = ()) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+            children: Sequence[tuple[DataFrame, str]] = (),
+            unique_check: str | None = None) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """M5: REPLACE INTO = delete the conflicting row, insert the new one.
 
     The last batch row per key wins; replaced rows get NEW auto-increment
@@ -283,6 +292,7 @@ def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq:
     kept = table.join(replaced_keys, key, "left_anti")
     fresh = _with_ids(fresh, table, id_col, [seq, key], small=small) if id_col else fresh
     new = kept.unionByName(fresh.select(*cols))
+    _check_other_unique(new, spec, key, unique_check)
     gone = table.join(replaced_keys, key, "left_semi")
     new_children = []
     for child, fk_col in children:

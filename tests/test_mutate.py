@@ -257,3 +257,17 @@ def test_large_batch_path_equals_replay(spark):
             assert sorted([(r.k, r.a, r.b) for r in new.collect()], key=str) == _replay_replace(t, b)
     finally:
         spark.conf.unset("tablekit.window.maxGroupRows")
+
+
+def test_ignore_and_replace_strict_other_unique_keys(spark):
+    from tablekit.operators.quality import ConstraintViolation
+    spec = SPEC.replace(unique=(("uk_k", ("k",)), ("uk_a", ("a",))))
+    T = spark.createDataFrame([(1, "x", 1, 1), (2, "y", 2, 2)], T_SCHEMA)
+    clash = spark.createDataFrame([("z", 2, 0, 1)], B_SCHEMA)       # new key z, but a=2 is taken
+    with pytest.raises(ConstraintViolation):
+        M.insert_ignore(T, clash, spec, "k", "seq", unique_check="strict")
+    with pytest.raises(ConstraintViolation):
+        M.replace(T, clash, spec, "k", "seq", unique_check="strict")
+    fine = spark.createDataFrame([("y", 7, 0, 1)], B_SCHEMA)        # replaces y, a=7 is free
+    new, _, _ = M.replace(T, fine, spec, "k", "seq", unique_check="strict")
+    assert sorted(r.a for r in new.collect()) == [1, 7]
