@@ -119,6 +119,20 @@ def page(df: DataFrame, order: Sequence[str | Column], n: int, offset: int = 0)
     return sorted_df.limit(n)
 
 
+def page_narrow(df: DataFrame, order: Sequence[str], n: int, offset: int, key: str) -> DataFrame:
+    """O2 for rows carrying large values (TEXT / LOB columns): sort and page
+    only the order columns and ``key`` (unique), then join the full rows back
+    for the n keys of the page.  The top-(offset+n) merge then moves narrow
+    rows instead of texts; the n page keys are broadcast (bounded by n).
+    Output is ordered like ``page``."""
+    from tablekit.functions.exprs import order_names
+    cols = list(dict.fromkeys([c for c, _ in order_names(order)] + [key]))
+    keys = page(df.select(*cols), order, n, offset).select(key)
+    if n <= BROADCAST_MAX_ROWS:
+        keys = F.broadcast(keys)
+    return df.join(keys, key, "left_semi").orderBy(*order_cols(order))
+
+
 def _after(c: str, desc: bool, v) -> Column:
     """Rows strictly after value ``v`` of column ``c`` in Spark's default
     NULL order (ASC: NULLs first; DESC: NULLs last)."""

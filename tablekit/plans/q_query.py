@@ -316,6 +316,17 @@ def page_offset(spark, d):
     return Q.page(o, ["total_amount DESC", "order_id"], 100, 200)
 
 
+@register("page_wide_rows", """
+SELECT doc_id, n_chars, lang, text FROM documents
+ORDER BY n_chars DESC, doc_id LIMIT 20 OFFSET 40
+""", "O2")
+def page_wide_rows(spark, d):
+    """O2 over rows with a LOB column: page on (n_chars, doc_id) only, join the
+    texts back for the 20 rows of the page."""
+    docs = scan(spark, d, "documents").select("doc_id", "n_chars", "lang", "text")
+    return Q.page_narrow(docs, ["n_chars DESC", "doc_id"], 20, 40, "doc_id")
+
+
 @register("page_keyset", with_views("shop_orders") + """
 SELECT order_id, total_amount FROM shop_orders
 WHERE total_amount < 400000.00 OR (total_amount = 400000.00 AND order_id > 0)

@@ -120,3 +120,14 @@ def test_keyset_pages_cover_everything_with_nulls(spark, order):
         got += rows
         last = rows[-1]
     assert got == want
+
+
+def test_page_narrow_equals_page(spark):
+    from tests.conftest import SF001
+    from tablekit.sources.tables import scan
+    docs = scan(spark, SF001, "documents").select("doc_id", "n_chars", "text")
+    order = ["n_chars DESC", "doc_id"]
+    assert Q.page_narrow(docs, order, 15, 30, "doc_id").collect() == Q.page(docs, order, 15, 30).collect()
+    plan = Q.page_narrow(docs, order, 15, 30, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    topk = [l for l in plan.split("\n") if "TakeOrderedAndProject" in l][0]
+    assert "text" not in topk.split("output=")[-1]            # the top-k merge carries no text
