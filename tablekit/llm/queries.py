@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablekit.llm.chat import OP4_SQL, op4_chat_formatting
+from tablekit.llm.mixing import op6_source_mixing
+from tablekit.llm.outliers import op9_quality_outliers
 from tablekit.llm.packing import op2_best_fit_packing
 from tablekit.llm.token_orc import op5_token_orc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_token_orc": op5_token_orc,
+    "op6_source_mixing": op6_source_mixing,
+    "op9_quality_outliers": op9_quality_outliers,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_formatting": OP4_SQL,
+}
