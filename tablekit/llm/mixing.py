@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import checkpointed, table, text_or_empty
 
 QUEUE_BUCKETS = 1024
+SALTS = 64                            # shares of a source in joins on the source
 WEIGHTS = (3, 1, 2)                   # by source in code point order, repeating
 BUDGET_SHARE = 1.5                    # of all sizes
 LARGE_SHARE = 50                      # a document above 1/50 of its source is large
@@ -67,11 +68,14 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 def queue_places(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Add targets and ``queued``: the source's size up to and including the row, in shuffled order."""
-    keyed = targets.withColumn("__source", F.struct("source")).drop("source")
+    keyed = (targets.withColumn("__source", F.struct("source")).drop("source")
+             .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     large = F.col("size") * LARGE_SHARE > F.col("source_size")
     first = (F.shiftleft(F.lit((1 << 40) - 1) - F.least("size", F.lit((1 << 40) - 1)), 9)
              .bitwiseOR(F.shiftrightunsigned("shuffle_key", 55)))
-    rows = (sized.withColumn("__source", F.struct("source")).join(keyed, "__source")
+    rows = (sized.withColumn("__source", F.struct("source"))
+            .withColumn("__salt", F.pmod("shuffle_key", F.lit(SALTS)).cast("int"))
+            .join(keyed, ["__source", "__salt"]).drop("__salt")
             .withColumn("shuffle_key", F.when(large, first).otherwise(F.col("shuffle_key")))
             .withColumn("__bucket", F.shiftrightunsigned("shuffle_key", 64 - QUEUE_BUCKETS.bit_length() + 1)))
     sums = rows.groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
