@@ -129,16 +129,18 @@ def has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
-def predict(docs: DataFrame, model: LanguageFilters | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` with lang_pred and score, from ``text`` alone."""
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+def predict(docs: DataFrame, model: LanguageFilters | None, keep: list[str],
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of ``docs`` with the language and its score, from ``text`` alone."""
+    schema = docs.select(*keep).schema.add(names[0], "string").add(names[1], "double")
+    out_names = [*keep, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array(list(model.languages) if model else [UNKNOWN], dtype=object)
+        langs = np.array(list(model.languages) if model else [UNKNOWN], dtype=object)
         for b in batches:
             for row, buf, offs in pieces(b.column(len(keep))):
                 n, size = len(offs) - 1, int(offs[-1])
-                shares = np.zeros((len(names), n))
+                shares = np.zeros((len(langs), n))
                 if model:
                     folded = np.zeros_like(buf)
                     folded[:size] = FOLD[buf[:size]]
@@ -162,11 +164,11 @@ def predict(docs: DataFrame, model: LanguageFilters | None, keep: list[str]) ->
                 for i in np.flatnonzero(~known):
                     known[i] = has_letter(buf[offs[i]:offs[i + 1]].tobytes())
                 known &= model is not None
-                pred = np.where(known, names[best], UNKNOWN)
+                pred = np.where(known, langs[best], UNKNOWN)
                 own = [b.column(i).slice(row, n) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [*own, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))],
-                    names=[*keep, "lang_pred", "score"])
+                    names=out_names)
 
     shipped(docs.sparkSession)
     return docs.select(*keep, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
@@ -176,9 +178,9 @@ def held_out() -> Column:
     return crc32_of_id() % 3 == 1
 
 
-def identified(docs: DataFrame, keep: list[str]) -> DataFrame:
+def identified(docs: DataFrame, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Learn from the rows that are not held out and predict all of ``docs``."""
-    return predict(docs, learned_filters(docs.filter(~held_out())), keep)
+    return predict(docs, learned_filters(docs.filter(~held_out())), keep, names)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

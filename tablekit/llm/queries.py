@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablekit.llm.chat import OP4_SQL, op4_chat_formatting
+from tablekit.llm.fingerprint import op10_fingerprints
 from tablekit.llm.langid import op3_language_id
 from tablekit.llm.mixing import op6_source_mixing
+from tablekit.llm.ngram_join import op1_ngram_jaccard_join
 from tablekit.llm.outliers import op9_quality_outliers
 from tablekit.llm.packing import op2_best_fit_packing
 from tablekit.llm.rule_ensemble import op8_quality_rules
@@ -16,6 +18,7 @@ from tablekit.llm.token_orc import op5_token_orc
 from tablekit.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_language_id": op3_language_id,
     "op4_chat_formatting": op4_chat_formatting,
@@ -24,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_outliers": op9_quality_outliers,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -319,9 +319,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     return [r["text"] for r in rows], [r["y"] for r in rows], take_pos / max(take_neg, 1e-9)
 
 
-def scored(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` with the toxicity score of ``text``."""
-    schema = docs.select(*keep).schema.add("score", "double")
+def scored(docs: DataFrame, net: Network | None, keep: list[str], name: str = "score") -> DataFrame:
+    """``keep`` columns of ``docs`` with the toxicity score of ``text`` as ``name``."""
+    schema = docs.select(*keep).schema.add(name, "double")
     spark = shipped(docs.sparkSession)
     shared = spark.sparkContext.broadcast(net)
 
@@ -350,7 +350,7 @@ def scored(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
                         np.maximum.at(worst, doc[s:s + BLOCK], net.forward(x, f - lo, size)[0])
                     score = np.where(np.isfinite(worst), _sigmoid(worst), 0.0)
                 own = [b.column(i).slice(row, n) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(score)], names=[*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*own, pa.array(score)], names=[*keep, name])
 
     return docs.select(*keep, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
 
@@ -359,9 +359,9 @@ def held_out() -> Column:
     return crc32_of_id() % 4 == 2
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, keep: list[str], score: str = "score") -> DataFrame:
     """Train on the labelled rows that are not held out and score all of ``docs``."""
-    return scored(docs, train(*labelled_sample(docs, labels)), keep)
+    return scored(docs, train(*labelled_sample(docs, labels)), keep, score)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
