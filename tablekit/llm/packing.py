@@ -5,8 +5,9 @@ Only lengths travel: texts are tokenized where they are read, and each piece
 into cells of about ``CELL_ITEMS``; a cell is packed by best fit in decreasing
 length, then improved by a local search that empties its least full bins:
 documents move, change places one for one, or two for one, whenever that
-raises the sum of squared fills.  What the cells leave in underfull bins is
-pooled and packed again, round by round, until it fits into one cell.
+raises the sum of squared fills.  Each cell's least full bins (a tenth of its
+bins at most) are pooled and packed again, round by round, until the pool fits
+into one cell.
 
 Edge cases: a NULL or empty text is the end id alone; repeated rows and ids
 are packed as often as they stand there; an empty table gives no rows.
@@ -31,6 +32,7 @@ from tablekit.llm.words import pieces, spread
 
 CAPACITY = 2048
 CELL_ITEMS = 8192
+OPEN_SHARE = 10                       # one bin in so many, the least full, is pooled for the next round
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -137,11 +139,13 @@ def _cell_packer(capacity: int, level: int, last: bool):
         bins = local_search(best_fit(size, capacity), size, capacity)
         seq, off = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
         is_open = np.zeros(len(pdf), bool)
+        fill = [sum(size[i] for i in own) for own in bins]
+        again = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: (fill[b], b))
+        again = set() if last else set(again[:max(1, len(bins) // OPEN_SHARE)])
         for b, own in enumerate(bins):
             seq[own] = (level << 58) + (int(key[0]) << 22) + b
-            ends = np.cumsum([size[i] for i in own])
-            off[own] = ends - [size[i] for i in own]
-            is_open[own] = not last and ends[-1] < capacity
+            off[own] = np.cumsum([0] + [size[i] for i in own[:-1]])
+            is_open[own] = b in again
         return pdf.drop(columns="__cell").assign(sequence_id=seq, offset=off, __open=is_open)
 
     return run
