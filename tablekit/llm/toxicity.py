@@ -33,9 +33,10 @@ WINDOW, STRIDE = 24, 12
 WORD_BITS, CHAR_BITS = 15, 17
 EMBED, HIDDEN, ATTEND = 6, 8, 8       # a word's input has 2 * EMBED numbers
 GRAMS = (3, 5, 7)
-SAMPLE = 2000
+SAMPLE = 1200
 SAMPLE_CHARS = 30_000
 EPOCHS, RATE = 5, 0.02
+LEAST_STEPS = 110
 LEAST_DOCS = (4, 6)                   # sample documents that must share a word, a character n-gram
 SMOOTH = 0.3
 TRAIN_WINDOWS, TRAIN_OTHERS = 4, 4
@@ -111,14 +112,9 @@ class Network:
 
     def inputs(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Input vectors of distinct words."""
-        bucket, owner = char_grams(buf, start, end)
-        n = len(start)
-        x = np.empty((n, 2 * EMBED), _F)
-        x[:, :EMBED] = self.words[(hashes >> _U(64 - WORD_BITS)).astype(np.int64)]
-        counts = np.maximum(np.bincount(owner, minlength=n), 1)
-        for j in range(EMBED):
-            x[:, EMBED + j] = np.bincount(owner, weights=self.chars[bucket, j], minlength=n) / counts
-        return x
+        bucket, at = _grams_by_word(buf, start, end)
+        return np.concatenate((self.words[(hashes >> _U(64 - WORD_BITS)).astype(np.int64)],
+                               _mean_rows(self.chars, bucket, np.diff(at))), axis=1)
 
     def logits(self, x: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Logit of every window over the word inputs ``x``."""
@@ -206,15 +202,41 @@ class _Adam:
             params[k] -= self.rate * m / (np.sqrt(v) + 1e-8)
 
 
-def _log_odds(feature: np.ndarray, doc: np.ndarray, y: np.ndarray, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(smoothed log-odds of the label given that a document has the feature, at least ``least`` documents have it)."""
-    both = np.unique(doc * size + feature)
-    f, label = both % size, y[both // size]
-    pos, neg = np.bincount(f[label == 1], minlength=size), np.bincount(f[label == 0], minlength=size)
-    odds = (np.log((pos + SMOOTH) / (y.sum() + 2 * SMOOTH))
-            - np.log((neg + SMOOTH) / (len(y) - y.sum() + 2 * SMOOTH)))
-    usual = pos + neg >= least
-    return np.where(usual, odds, 0).astype(_F), usual
+class _LogOdds:
+    """Counts documents of either label by feature, chunk by chunk."""
+
+    def __init__(self, y: np.ndarray, size: int) -> None:
+        self.y, self.size = y, size
+        self.seen = np.zeros((2, size), np.int64)
+
+    def add(self, feature: np.ndarray, doc: np.ndarray) -> None:
+        both = np.unique(doc.astype(np.int64) * self.size + feature)
+        f, label = both % self.size, self.y[both // self.size]
+        for v in (0, 1):
+            self.seen[v] += np.bincount(f[label == v], minlength=self.size)
+
+    def result(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(smoothed log-odds of label 1 given the feature, at least ``least`` documents have it)."""
+        (neg, pos), n1 = self.seen, self.y.sum()
+        odds = (np.log((pos + SMOOTH) / (n1 + 2 * SMOOTH)) - np.log((neg + SMOOTH) / (len(self.y) - n1 + 2 * SMOOTH)))
+        usual = pos + neg >= least
+        return np.where(usual, odds, 0).astype(_F), usual
+
+
+def _grams_by_word(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, bounds): the character n-grams of each word, word after word."""
+    buckets, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for s in range(0, len(start), 20_000):
+        bucket, owner = char_grams(buf, start[s:s + 20_000], end[s:s + 20_000])
+        buckets.append(bucket[np.argsort(owner, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(owner, minlength=len(start[s:s + 20_000])))
+    return np.concatenate(buckets), np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+
+
+def _mean_rows(table: np.ndarray, bucket: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Mean of the table rows that each of the consecutive groups names."""
+    return (np.add.reduceat(table[bucket], np.cumsum(counts) - counts, axis=0)
+            / counts.reshape(-1, *[1] * (table.ndim - 1))).astype(_F)
 
 
 def train(texts: list[str], labels: list[int], prior_weight: float = 1.0, seed: int = 5) -> Network | None:
@@ -234,7 +256,8 @@ def train(texts: list[str], labels: list[int], prior_weight: float = 1.0, seed:
     order = new[np.argsort(slot[new])]
     s, e, h = start[order], end[order], hashes[order]
     word_bucket = (h >> _U(64 - WORD_BITS)).astype(np.int64)
-    bucket, owner = char_grams(buf, s, e)
+    g_bucket, g_at = _grams_by_word(buf, s, e)
+    g_count = np.diff(g_at)
 
     def draw(*shape: int, scale: float) -> np.ndarray:
         return (rng.standard_normal(shape) * scale).astype(_F)
@@ -244,21 +267,20 @@ def train(texts: list[str], labels: list[int], prior_weight: float = 1.0, seed:
         draw(2, 2 * EMBED, 3 * HIDDEN, scale=0.3), draw(2, HIDDEN, 3 * HIDDEN, scale=0.2),
         np.zeros((2, 3 * HIDDEN), _F), draw(2 * HIDDEN, ATTEND, scale=0.3), draw(ATTEND, scale=0.3),
         draw(2 * HIDDEN, scale=0.3), np.array([-2.0], _F))
-    doc_of = np.repeat(np.arange(len(raw)), np.diff(bounds))
-    pair = np.unique(doc_of * kinds.size + slot)
-    pd, pw = pair // kinds.size, pair % kinds.size
-    net.words[:, 0], usual_words = _log_odds(word_bucket[pw], pd, y_all, 1 << WORD_BITS, LEAST_DOCS[0])
-    grams = np.unique(owner * (1 << CHAR_BITS) + bucket)
-    g_owner, g_bucket = grams >> CHAR_BITS, grams & ((1 << CHAR_BITS) - 1)
-    g_at = np.searchsorted(g_owner, np.arange(kinds.size + 1))
-    many = np.diff(g_at)[pw]
-    net.chars[:, 0], usual_chars = _log_odds(g_bucket[spread(g_at[pw], many)], np.repeat(pd, many), y_all,
-                                             1 << CHAR_BITS, LEAST_DOCS[1])
+    by_word, by_gram = _LogOdds(y_all, 1 << WORD_BITS), _LogOdds(y_all, 1 << CHAR_BITS)
+    for d0 in range(0, len(raw), 64):
+        d1 = min(len(raw), d0 + 64)
+        doc_of = np.repeat(np.arange(d0, d1), np.diff(bounds[d0:d1 + 1]))
+        pair = np.unique(doc_of * kinds.size + slot[bounds[d0]:bounds[d1]])
+        pd, pw = pair // kinds.size, pair % kinds.size
+        by_word.add(word_bucket[pw], pd)
+        by_gram.add(g_bucket[spread(g_at[pw], g_count[pw])], np.repeat(pd, g_count[pw]))
+    net.words[:, 0], usual_words = by_word.result(LEAST_DOCS[0])
+    net.chars[:, 0], usual_chars = by_gram.result(LEAST_DOCS[1])
     net.words[~usual_words], net.chars[~usual_chars] = 0, 0      # rare features stay silent: nothing to memorise
 
-    counts = np.maximum(np.bincount(owner, minlength=kinds.size), 1)
     first, length, doc = window_starts(bounds)
-    prior = net.words[word_bucket, 0] + np.bincount(owner, weights=net.chars[bucket, 0], minlength=kinds.size) / counts
+    prior = net.words[word_bucket, 0] + _mean_rows(net.chars[:, 0], g_bucket, g_count)
     worst = np.array([prior[slot[f:f + n]].max() for f, n in zip(first, length)])
     rank = np.lexsort((-worst, doc))
     place = np.empty(len(doc), np.int64)
@@ -268,19 +290,16 @@ def train(texts: list[str], labels: list[int], prior_weight: float = 1.0, seed:
     first, length, doc = first[chosen], length[chosen], doc[chosen]
     present = np.unique(doc)
     adam = _Adam(net.params(), RATE)
-    for epoch in range(EPOCHS):
-        adam.rate = RATE * (0.5 ** (epoch / 3))
-        for batch in np.array_split(rng.permutation(present), max(1, len(present) // 128)):
+    batches = max(1, len(present) // 128)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    for epoch in range(epochs):
+        adam.rate = RATE * 0.5 ** (5 * epoch / (3 * epochs))
+        for batch in np.array_split(rng.permutation(present), batches):
             own = np.flatnonzero(np.isin(doc, batch))
             places = spread(first[own], length[own])
             used, back = np.unique(slot[places], return_inverse=True)
-            sel = spread(g_at[used], np.diff(g_at)[used])
-            b_sel, o_sel = g_bucket[sel], np.repeat(np.arange(len(used)), np.diff(g_at)[used])
-            per = np.maximum(np.bincount(o_sel, minlength=len(used)), 1)
-            vec = np.empty((len(used), 2 * EMBED), _F)
-            vec[:, :EMBED] = net.words[word_bucket[used]]
-            for j in range(EMBED):
-                vec[:, EMBED + j] = np.bincount(o_sel, weights=net.chars[b_sel, j], minlength=len(used)) / per
+            b_sel = g_bucket[spread(g_at[used], g_count[used])]
+            vec = np.concatenate((net.words[word_bucket[used]], _mean_rows(net.chars, b_sel, g_count[used])), axis=1)
             x = vec[back]
             at = np.concatenate(([0], np.cumsum(length[own])[:-1]))
             logit = net.logits(x, at, length[own])
@@ -296,7 +315,7 @@ def train(texts: list[str], labels: list[int], prior_weight: float = 1.0, seed:
             np.add.at(dv, back, dx)
             dw, dc = np.zeros_like(net.words), np.zeros_like(net.chars)
             np.add.at(dw, word_bucket[used], dv[:, :EMBED])
-            np.add.at(dc, b_sel, (dv[:, EMBED:] / per[:, None])[o_sel])
+            np.add.at(dc, b_sel, np.repeat(dv[:, EMBED:] / g_count[used][:, None], g_count[used], axis=0))
             dw[~usual_words], dc[~usual_chars] = 0, 0
             grads |= {"words": dw, "chars": dc}
             adam.step(net.params(), grads)
