@@ -17,7 +17,7 @@ from tablekit.operators.mutate import (active, delete, delete_chunk, delete_join
                                        update_join, upsert)
 from tablekit.operators.quality import (check, delete_parent, enforce, enum_ordinal, json_field,
                                         lob_class, to_utc, update_parent_key)
-from tablekit.operators.query import (anti, cross, full_join, full_via_union, join, left_join,
+from tablekit.operators.query import (anti, full_join, full_via_union, join, left_join,
                                       oldest, page, page_after, right_join, semi, summarize, union)
 from tablekit.operators.text import (bm25_search, build_text_index, charset_audit, collated,
                                      convert_charset, search_index, with_collation, write_text_index)

@@ -14,11 +14,19 @@ def col(c: str | Column) -> Column:
 
 def hit(cond: Column | str | None) -> Column:
     """Three-valued WHERE.  Only rows where ``cond`` is TRUE are hit;
-    FALSE and NULL rows are left alone (SQL standard for UPDATE/DELETE)."""
+    FALSE and NULL rows are left alone (SQL standard for UPDATE/DELETE).
+    ``filter`` and ``when`` treat NULL as not TRUE themselves, so the bare
+    condition keeps its form and reaches the scan."""
     if cond is None:
         return F.lit(True)
-    c = F.expr(cond) if isinstance(cond, str) else cond
-    return F.coalesce(c, F.lit(False))
+    return F.expr(cond) if isinstance(cond, str) else cond
+
+
+def miss(cond: Column | str | None) -> Column:
+    """The complement of ``hit``: ``cond`` is FALSE or NULL, in a form whose
+    comparisons are pushed to the scan (NOT (a < b) OR a IS NULL)."""
+    c = hit(cond)
+    return ~c | c.isNull()
 
 
 def order_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -59,8 +67,3 @@ def any_differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
         cond = cond | ~new.eqNullSafe(old)
     return cond
 
-
-def cast_like(c: Column, dtype) -> Column:
-    """Cast a computed value back to the column's declared type (rounds half up
-    for decimals; an overflow raises under ANSI mode)."""
-    return c.cast(dtype)

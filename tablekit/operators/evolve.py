@@ -8,6 +8,8 @@ against the existing rows first (one job), and are written once by publish.
 from __future__ import annotations
 
 import dataclasses
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,23 +46,60 @@ def add_column(df: DataFrame, spec: TableSpec, new: ColumnSpec, after: str | Non
     return df.select(*cols), spec.replace(columns=tuple(spec_cols))
 
 
+def modify_columns(df: DataFrame, spec: TableSpec, news: Sequence[ColumnSpec]) -> tuple[DataFrame, TableSpec]:
+    """E3 for several columns at once (type, length, nullability).  Existing
+    rows must fit the new definitions, else raise; one pass checks them all."""
+    by_name = {c.name: c for c in news}
+    probe = df.select(*[F.col(c.name) for c in news])
+    V.require_empty(V.row_violations(probe, TableSpec(spec.name, tuple(news))), f"MODIFY {', '.join(by_name)}")
+    out = df.select(*[F.col(c).cast(by_name[c].dtype).alias(c) if c in by_name else F.col(c) for c in df.columns])
+    return out, spec.replace(columns=tuple(by_name.get(c.name, c) for c in spec.columns))
+
+
 def modify_column(df: DataFrame, spec: TableSpec, new: ColumnSpec) -> tuple[DataFrame, TableSpec]:
-    """MODIFY COLUMN (type, length, nullability).  Existing rows must fit
-    the new definition (NOT NULL, length, width, precision), else raise."""
-    one = spec.replace(columns=(new,), primary_key=(), unique=(), checks=(), foreign_keys=())
-    probe = df.select(F.col(new.name))
-    V.require_empty(V.row_violations(probe, one), f"MODIFY {new.name}")
-    out = df.select(*[F.col(c).cast(new.dtype).alias(c) if c == new.name else F.col(c) for c in df.columns])
-    cols = tuple(new if c.name == new.name else c for c in spec.columns)
-    return out, spec.replace(columns=cols)
+    """MODIFY COLUMN."""
+    return modify_columns(df, spec, [new])
+
+
+# a quoted SQL string, or an identifier: what a CHECK expression is made of, as far as names go
+_NAME = re.compile(r"'(?:[^']|'')*'|`[^`]+`|[A-Za-z_]\w*")
+
+
+def _names_in(expr: str) -> set[str]:
+    return {m.strip("`").lower() for m in _NAME.findall(expr) if not m.startswith("'")}
+
+
+def rename_in_spec(spec: TableSpec, old: str, new: str) -> TableSpec:
+    """``spec`` with a column renamed wherever it is named: column list, keys,
+    checks, foreign keys and indexes."""
+    def one(c: str) -> str:
+        return new if c == old else c
+
+    def in_expr(expr: str) -> str:
+        return _NAME.sub(lambda m: new if m[0].strip("`").lower() == old.lower() else m[0], expr)
+
+    def in_index(part: str) -> str:
+        words = part.split()
+        return " ".join([one(words[0]), *words[1:]])
+
+    return spec.replace(
+        columns=tuple(dataclasses.replace(c, name=one(c.name)) for c in spec.columns),
+        primary_key=tuple(map(one, spec.primary_key)),
+        unique=tuple((n, tuple(map(one, cs))) for n, cs in spec.unique),
+        checks=tuple((n, in_expr(e)) for n, e in spec.checks),
+        foreign_keys=tuple(dataclasses.replace(fk, cols=tuple(map(one, fk.cols))) for fk in spec.foreign_keys),
+        indexes=tuple((n, tuple(map(in_index, parts))) for n, parts in spec.indexes))
+
+
+def rename_column(df: DataFrame, spec: TableSpec, old: str, new: str) -> tuple[DataFrame, TableSpec]:
+    """The renaming part of E4, metadata only."""
+    return df.withColumnRenamed(old, new), rename_in_spec(spec, old, new)
 
 
 def change_column(df: DataFrame, spec: TableSpec, old: str, new: ColumnSpec) -> tuple[DataFrame, TableSpec]:
-    """CHANGE COLUMN old new TYPE: rename and retype, position kept."""
-    renamed = df.withColumnRenamed(old, new.name)
-    spec2 = spec.replace(columns=tuple(dataclasses.replace(c, name=new.name) if c.name == old else c
-                                       for c in spec.columns))
-    return modify_column(renamed, spec2, new)
+    """CHANGE COLUMN old new TYPE: rename and retype, position kept; keys,
+    checks, foreign keys and indexes follow the new name."""
+    return modify_column(*rename_column(df, spec, old, new.name), new)
 
 
 def drop_column(df: DataFrame, spec: TableSpec, name: str) -> tuple[DataFrame, TableSpec]:
@@ -70,13 +109,27 @@ def drop_column(df: DataFrame, spec: TableSpec, name: str) -> tuple[DataFrame, T
         columns=tuple(c for c in spec.columns if c.name != name),
         primary_key=spec.primary_key if keep(spec.primary_key) else (),
         unique=tuple(u for u in spec.unique if keep(u[1])),
-        checks=tuple(ch for ch in spec.checks if name not in ch[1]),
+        checks=tuple(ch for ch in spec.checks if name.lower() not in _names_in(ch[1])),
         foreign_keys=tuple(fk for fk in spec.foreign_keys if keep(fk.cols)),
         indexes=tuple(ix for ix in spec.indexes if all(p.split()[0] != name for p in ix[1])),
     )
     return df.drop(name), new_spec
 
 
+def add_index(spec: TableSpec, name: str, parts: tuple[str, ...]) -> TableSpec:
+    """ADD INDEX: a layout wish that ``write_clustered`` follows."""
+    if any(p.split()[0] not in spec.names for p in parts) or name in [n for n, _ in spec.indexes]:
+        raise ValueError(f"index {name} on {parts}")
+    return spec.replace(indexes=spec.indexes + ((name, parts),))
+
+
+def drop_index(spec: TableSpec, name: str) -> TableSpec:
+    """DROP INDEX."""
+    if name not in [n for n, _ in spec.indexes]:
+        raise KeyError(name)
+    return spec.replace(indexes=tuple(ix for ix in spec.indexes if ix[0] != name))
+
+
 def unique_violations(df: DataFrame, name: str, cols: tuple[str, ...]) -> DataFrame:
     return V.duplicate_keys(df, cols, f"unique:{name}")
 

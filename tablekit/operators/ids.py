@@ -13,32 +13,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
-
-from tablekit.operators.window import _numbered, fits_one_task, parse_order
+from tablekit.operators.window import _numbered, parse_order
 
 
 def assign_ids(df: DataFrame, order: Sequence[str], start: int | Column = 1,
-               name: str = "id", num_partitions: int | None = None,
-               max_group_rows: int | None = None, bound_by: DataFrame | None = None,
-               small: bool | None = None) -> DataFrame:
+               name: str = "id", num_partitions: int | None = None) -> DataFrame:
     """Dense ids ``start, start+1, ...`` in ``order`` (which must be unique).
 
     ``start`` may be a Column such as a scalar subquery
-    (``T.select(F.max('id') + 1).scalar()``).  A batch within the window
-    bound (a literal VALUES list, a small import) is numbered by one
-    ``row_number``; anything larger by the range-partitioned prefix sum.
+    (``T.select(F.max('id') + 1).scalar()``).  Like any counter taken from the
+    rows that are there, it gives the id of a deleted last row out again; keep
+    the counter with the published version where that matters.
     """
     keys = parse_order(order)
     base = start if isinstance(start, Column) else F.lit(start)
-    # ``bound_by``: a cheaper frame at least as large as ``df`` (the raw batch
-    # of an upsert), counted instead of computing ``df`` twice; ``small``: the
-    # caller already knows
-    if small is None:
-        small = fits_one_task(bound_by if bound_by is not None else df, [], max_group_rows)
-    if small:
-        w = Window.orderBy(*[k.sort() for k in keys])
-        return df.withColumn(name, (base + F.row_number().over(w) - 1).cast("bigint"))
     numbered = _numbered(df, [], keys[:-1], [k.name for k in keys[-1:]], num_partitions) \
         if not keys[-1].desc else _numbered(df, [], keys, [], num_partitions)
     return numbered.withColumn(name, (base + F.col("__rn") - 1).cast("bigint")) \

@@ -14,7 +14,9 @@ Scale notes
 * Upsert / ignore / replace first reduce the batch to one row per key with
   ``min_by`` / ``max_by`` (partial aggregation combines a hot key map-side),
   then join 1:1 with T on the conflict key.
-* Chunks are bounded by their size n; only those key sets are broadcast.
+* Chunks are bounded by their size n; the planner broadcasts their keys.
+* Writers check their batch first: rows, keys and unknown columns (strict), or
+  drop what breaks a rule (IGNORE).
 """
 
 from __future__ import annotations
@@ -25,12 +27,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.functions.exprs import any_differs, hit
+from tablekit.functions.exprs import any_differs, hit, miss
 from tablekit.operators.ids import assign_ids, next_id
-from tablekit.operators.query import BROADCAST_MAX_ROWS, oldest
-from tablekit.operators.quality import enforce
-from tablekit.operators.window import fits_one_task, numbered_rows
-from tablekit.session import reliable_checkpoint
+from tablekit.operators.quality import ConstraintViolation, duplicate_keys, enforce, require_empty
+from tablekit.operators.query import oldest
+from tablekit.operators.window import numbered_rows
+from tablekit.session import materialize
 from tablekit.spec import NOW, ColumnSpec, TableSpec
 
 
@@ -63,20 +65,25 @@ def auto_column(spec: TableSpec) -> str | None:
     return None
 
 
-def align(batch: DataFrame, spec: TableSpec, now=None, exclude: Sequence[str] = ()) -> DataFrame:
+def align(batch: DataFrame, spec: TableSpec, now=None, exclude: Sequence[str] = (),
+          extra: Sequence[str] = (), lenient: bool = False) -> DataFrame:
     """Columns by NAME, never by position: present columns are cast to the
-    declared type, absent ones take their defaults.  Extra batch columns
-    (such as a ``seq``) are kept at the end."""
+    declared type (``lenient``: NULL where that fails), absent ones take their
+    defaults.  A column that the table lacks raises, but for the named ``extra``
+    ones (such as a ``seq``), which are kept at the end."""
+    unknown = [c for c in batch.columns if c not in spec.names and c not in extra]
+    if unknown:
+        raise ConstraintViolation(f"unknown columns for {spec.name}: {unknown}")
     cols = []
     for c in spec.columns:
         if c.name in exclude:
             continue
         if c.name in batch.columns:
-            cols.append(F.col(c.name).cast(c.dtype).alias(c.name))
+            cast = F.col(c.name).try_cast(c.dtype) if lenient else F.col(c.name).cast(c.dtype)
+            cols.append(cast.alias(c.name))
         else:
             cols.append(default_value(c, now).alias(c.name))
-    extra = [x for x in batch.columns if x not in spec.names]
-    return batch.select(*cols, *extra)
+    return batch.select(*cols, *[x for x in batch.columns if x in extra])
 
 
 def _metrics(df: DataFrame, **counts: Column) -> DataFrame:
@@ -89,13 +96,27 @@ def _count_of(df: DataFrame) -> Column:
     return df.select(F.count(F.lit(1))).scalar()
 
 
-def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None,
-              order: Sequence[str], bound_by: DataFrame | None = None,
-              small: bool | None = None) -> DataFrame:
+def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None, order: Sequence[str]) -> DataFrame:
     if id_col is None:
         return new_rows
-    return assign_ids(new_rows, order, start=next_id(table, id_col), name=id_col,
-                      bound_by=bound_by, small=small)
+    return assign_ids(new_rows, order, start=next_id(table, id_col), name=id_col)
+
+
+def _without(spec: TableSpec, column: str | None) -> TableSpec:
+    return spec.replace(columns=tuple(c for c in spec.columns if c.name != column))
+
+
+def check_batch(table: DataFrame, batch: DataFrame, spec: TableSpec, skip: str | None = None) -> None:
+    """Strict mode of an INSERT: raises ConstraintViolation when a batch row
+    breaks a row rule, or repeats a PRIMARY or UNIQUE key of the batch or table.
+    ``skip``: a column that the table fills in itself (AUTO_INCREMENT)."""
+    enforce(batch, _without(spec, skip), "strict")
+    keys = [("primary_key", spec.primary_key), *[(f"unique:{n}", c) for n, c in spec.unique]]
+    for rule, cols in keys:
+        if cols and skip not in cols:
+            own = batch.select(*cols).dropna(subset=list(cols))
+            require_empty(duplicate_keys(own, cols, rule), f"INSERT into {spec.name}")
+            require_empty(own.join(table.select(*cols), list(cols), "left_semi"), f"INSERT into {spec.name}: {rule}")
 
 
 def _check_other_unique(new: DataFrame, spec: TableSpec, key: str, mode: str | None) -> None:
@@ -105,35 +126,29 @@ def _check_other_unique(new: DataFrame, spec: TableSpec, key: str, mode: str | N
         return
     if mode != "strict":
         raise ValueError(mode)
-    from tablekit.operators.quality import duplicate_keys, require_empty
     for name, ucols in spec.unique:
         if tuple(ucols) != (key,):
             require_empty(duplicate_keys(new, ucols, f"unique:{name}"), f"result breaks {name}")
 
 
-def _batch_is_small(batch: DataFrame) -> bool:
-    """One count of the raw batch against the window bound."""
-    return fits_one_task(batch, [])
-
-
-def _once(reduced: DataFrame, small: bool) -> DataFrame:
-    """The per-key reduced batch feeds several branches (kept rows, new keys,
-    ids).  A large one is materialized once (reliable checkpoint) instead of
-    being re-aggregated per branch; a small one is cheap to recompute."""
-    return reduced if small else reliable_checkpoint(reduced)
-
-
 # --- M1 / M2 / M6: insert -------------------------------------------------------------
 
 def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
-           order: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+           order: Sequence[str] | None = None, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
     """M1/M2: INSERT (named columns; defaults for the rest; AUTO_INCREMENT
-    ids continue after the table's max in ``order`` of the batch)."""
+    ids continue after the table's max in ``order`` of the batch).  In strict
+    mode the batch is checked first (``check_batch``); ``mode="unchecked"`` is
+    for batches that are known to be clean."""
     id_col = auto_column(spec)
-    b = align(batch, spec, now, exclude=(id_col,) if id_col and id_col not in batch.columns else ())
-    if id_col and id_col not in batch.columns:
+    fills = id_col if id_col and id_col not in batch.columns else None
+    b = align(batch, spec, now, exclude=(fills,) if fills else ())
+    if mode == "strict":
+        check_batch(table, b, spec, fills)
+    elif mode != "unchecked":
+        raise ValueError(mode)
+    if fills:
         order = order or ([spec.unique[0][1][0]] if spec.unique else None)
-        b = _with_ids(b, table, id_col, order, bound_by=batch)
+        b = _with_ids(b, table, id_col, order)
     new = table.unionByName(b.select(*table.columns))
     return new, _metrics(b, inserted=F.lit(True))
 
@@ -141,12 +156,13 @@ def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
 def insert_select(table: DataFrame, source: DataFrame, spec: TableSpec,
                   mapping: Mapping[str, Column], where=None, now=None,
                   order: Sequence[str] | None = None,
-                  source_key: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+                  source_key: str | None = None,
+                  mode: str = "strict") -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """M6: INSERT .. SELECT.  Returns (new table, metrics, processed source
     keys) so the caller can mark them processed (the template never does)."""
     picked = source.filter(hit(where))
     batch = picked.select(*[e.alias(c) for c, e in mapping.items()])
-    new, m = insert(table, batch, spec, now, order)
+    new, m = insert(table, batch, spec, now, order, mode)
     keys = picked.select(source_key) if source_key else None
     return new, m, keys
 
@@ -204,15 +220,14 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     """
     id_col = auto_column(spec)
     cols = table.columns
-    b = align(batch, spec, now, exclude=(id_col,) if id_col else ())
+    b = align(batch, spec, now, exclude=(id_col,) if id_col else (), extra=(seq,))
     ins_cols = [c for c in cols if c != id_col]
     b_key, b_null = b.filter(F.col(key).isNotNull()), b.filter(F.col(key).isNull())
 
     order = _seq_order(b_key, seq)
-    small = _batch_is_small(batch)
-    red = _once(b_key.groupBy(key).agg(
+    red = materialize(b_key.groupBy(key).agg(
         F.min_by(F.struct(*[c for c in ins_cols if c != key], seq), order).alias("__first"),
-        F.max_by(F.struct(*update_cols), order).alias("__last")), small)
+        F.max_by(F.struct(*update_cols), order).alias("__last")))
     types = dict(table.dtypes)
 
     upd = red.select(key, "__last", F.lit(True).alias("__in_b"))
@@ -240,7 +255,7 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     fresh = fresh.select(*[new_value(c).alias(c) for c in ins_cols], F.col(f"__first.{seq}").alias(seq))
     fresh = fresh.unionByName(b_null.select(*ins_cols, seq))
     if id_col:
-        fresh = _with_ids(fresh, table, id_col, [seq, key], small=small)
+        fresh = _with_ids(fresh, table, id_col, [seq, key])
     new = kept.unionByName(fresh.select(*cols))
     _check_other_unique(new, spec, key, unique_check)
     metrics = _metrics(j, updated=in_b).select(
@@ -250,24 +265,39 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
 
 def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq: str,
                   now=None, unique_check: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """M4: INSERT IGNORE.  Rows that break a row rule are dropped with their
-    reasons (V14, lenient); of the rest, the first row per key is inserted
-    unless the key is already in T.  Returns (new table, metrics, rejected)."""
+    """M4: INSERT IGNORE.  Rows that break a row rule, values that do not
+    convert to the column's type among them, are dropped with their reasons
+    (V14, lenient); of the rest, the first row per unique key is inserted
+    unless the key is already in T.  ``key`` comes first, then the other
+    unique keys in declared order (with ``unique_check="strict"`` a duplicate
+    of those raises instead).  Returns (new table, metrics, rejected)."""
     id_col = auto_column(spec)
     cols = table.columns
     ins_cols = [c for c in cols if c != id_col]
-    b = align(batch, spec, now, exclude=(id_col,) if id_col else ())
-    clean, rejected = enforce(b, spec.replace(columns=tuple(c for c in spec.columns if c.name != id_col)),
-                              mode="ignore")
-    small = _batch_is_small(batch)
-    firsts = _once(_reduce(clean.filter(F.col(key).isNotNull()), key, seq, ins_cols, "first"), small)
-    fresh = firsts.join(_matched_keys(table, firsts.select(key), key), key, "left_anti") \
+    own = _without(spec, id_col)
+    batch = batch.drop(id_col) if id_col in batch.columns else batch
+    absent = [c for c in own.columns if c.name not in batch.columns]
+    raw = batch.select("*", *[default_value(c, now).alias(c.name) for c in absent])
+    clean, rejected = enforce(raw, own, mode="ignore")
+    clean = align(clean, spec, now, exclude=(id_col,) if id_col else (), extra=(seq,), lenient=True)
+    fresh = materialize(_reduce(clean.filter(F.col(key).isNotNull()), key, seq, ins_cols, "first"))
+    fresh = fresh.join(_matched_keys(table, fresh.select(key), key), key, "left_anti") \
         .unionByName(clean.filter(F.col(key).isNull()).select(*ins_cols, seq))
-    fresh = _with_ids(fresh, table, id_col, [seq, key], small=small) if id_col else fresh
+    for _, other in spec.unique if unique_check is None else ():
+        if tuple(other) != (key,) and id_col not in other:
+            full = [F.col(c).isNotNull() for c in other]
+            whole = full[0]
+            for f in full[1:]:
+                whole = whole & f
+            firsts = fresh.filter(whole).groupBy(*other).agg(
+                F.min_by(F.struct(*[c for c in [*ins_cols, seq] if c not in other]), _seq_order(fresh, seq)).alias("__r"))
+            firsts = firsts.select(*other, "__r.*").join(table.select(*other), list(other), "left_anti")
+            fresh = firsts.select(*ins_cols, seq).unionByName(fresh.filter(~whole).select(*ins_cols, seq))
+    fresh = _with_ids(fresh, table, id_col, [seq, key]) if id_col else fresh
     new = table.unionByName(fresh.select(*cols))
     _check_other_unique(new, spec, key, unique_check)
     metrics = fresh.agg(F.count(F.lit(1)).alias("inserted")).select(
-        "inserted", (_count_of(b) - F.col("inserted")).alias("ignored"))
+        "inserted", (_count_of(batch) - F.col("inserted")).alias("ignored"))
     return new, metrics, rejected
 
 
@@ -284,13 +314,12 @@ def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq:
     id_col = auto_column(spec)
     cols = table.columns
     ins_cols = [c for c in cols if c != id_col]
-    b = align(batch, spec, now, exclude=(id_col,) if id_col else ())
-    small = _batch_is_small(batch)
-    lasts = _once(_reduce(b.filter(F.col(key).isNotNull()), key, seq, ins_cols, "last"), small)
+    b = align(batch, spec, now, exclude=(id_col,) if id_col else (), extra=(seq,))
+    lasts = materialize(_reduce(b.filter(F.col(key).isNotNull()), key, seq, ins_cols, "last"))
     fresh = lasts.unionByName(b.filter(F.col(key).isNull()).select(*ins_cols, seq))
     replaced_keys = lasts.select(key)
     kept = table.join(replaced_keys, key, "left_anti")
-    fresh = _with_ids(fresh, table, id_col, [seq, key], small=small) if id_col else fresh
+    fresh = _with_ids(fresh, table, id_col, [seq, key]) if id_col else fresh
     new = kept.unionByName(fresh.select(*cols))
     _check_other_unique(new, spec, key, unique_check)
     gone = table.join(replaced_keys, key, "left_semi")
@@ -350,7 +379,6 @@ def update_join(table: DataFrame, other: DataFrame, table_key: str, other_key: s
     picked = other.filter(hit(other_where))
     s_cols = sorted(set((from_other or {}).values()))
     if s_cols:
-        from tablekit.operators.quality import require_empty
         dups = picked.groupBy(other_key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
         require_empty(dups, f"UPDATE .. JOIN: {other_key} is not unique in the joined table")
         keys = picked.select(F.col(other_key).alias("__k"), *[F.col(c).alias(f"__s_{c}") for c in s_cols])
@@ -371,13 +399,11 @@ def update_chunk(table: DataFrame, assignments: Mapping[str, Column], where, ord
                  touch: bool = True) -> tuple[DataFrame, DataFrame]:
     """UPDATE .. WHERE .. ORDER BY .. LIMIT n: the n oldest hit rows.
 
-    The chunk's key set has at most n rows, so it is broadcast (when n is
-    within the broadcast bound) and joined as a flag; T is not shuffled.
+    The chunk's key set has at most n rows and is joined as a flag; the
+    planner broadcasts it when it is small, and T is then not shuffled.
     """
     chunk = oldest(table, where, order, key, n).select(F.col(key).alias("__k")) \
         .withColumn("__match", F.lit(True))
-    if n <= BROADCAST_MAX_ROWS:
-        chunk = F.broadcast(chunk)
     j = table.join(chunk, table[key] == chunk["__k"], "left")
     h = F.coalesce(F.col("__match"), F.lit(False))
     new = _apply_set(j, h, assignments, spec, now, touch, keep=table.columns)
@@ -388,8 +414,7 @@ def update_chunk(table: DataFrame, assignments: Mapping[str, Column], where, ord
 
 def delete(table: DataFrame, where) -> tuple[DataFrame, DataFrame]:
     """DELETE .. WHERE: keep rows where the condition is not TRUE."""
-    h = hit(where)
-    return table.filter(~h), _metrics(table, deleted=h)
+    return table.filter(miss(where)), _metrics(table, deleted=hit(where))
 
 
 def delete_join(table: DataFrame, other: DataFrame, table_key: str, other_key: str,
@@ -405,28 +430,23 @@ def delete_chunk(table: DataFrame, where, order: Sequence[str], key: str,
                  n: int) -> tuple[DataFrame, DataFrame]:
     """M13 (one run): DELETE .. WHERE .. ORDER BY .. LIMIT n."""
     chunk = oldest(table, where, order, key, n).select(F.col(key).alias("__k"))
-    if n <= BROADCAST_MAX_ROWS:
-        chunk = F.broadcast(chunk)
     kept = table.join(chunk, table[key] == chunk["__k"], "left_anti")
     return kept, chunk.agg(F.count(F.lit(1)).alias("deleted"))
 
 
-def drain(table: DataFrame, where, order: Sequence[str], key: str, n: int,
-          max_group_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def drain(table: DataFrame, where, order: Sequence[str], key: str, n: int) -> tuple[DataFrame, DataFrame]:
     """M13 (loop until no row is hit) in ONE pass, not a driver loop.
 
     The end state equals a plain DELETE; the chunk plan numbers the hit rows
     in (order, key) order with the distributed row number and groups them
     into chunks of n: (chunk, deleted, first_key, last_key).
     """
-    h = hit(where)
-    hits = table.filter(h)
-    numbered = numbered_rows(hits, [], order, [key], max_group_rows=max_group_rows)
+    numbered = numbered_rows(table.filter(hit(where)), [], order, [key])
     chunks = numbered.withColumn("chunk", F.ceil(F.col("__rn") / n).cast("bigint")) \
         .groupBy("chunk").agg(F.count(F.lit(1)).alias("deleted"),
                               F.min_by(F.col(key), F.col("__rn")).alias("first_key"),
                               F.max_by(F.col(key), F.col("__rn")).alias("last_key"))
-    return table.filter(~h), chunks
+    return table.filter(miss(where)), chunks
 
 
 def soft_delete(table: DataFrame, where, now=None) -> tuple[DataFrame, DataFrame]:
@@ -442,7 +462,7 @@ def soft_delete(table: DataFrame, where, now=None) -> tuple[DataFrame, DataFrame
 
 def active(table: DataFrame) -> DataFrame:
     """The rows not soft-deleted."""
-    return table.filter(~F.coalesce(F.col("is_deleted"), F.lit(False)))
+    return table.filter(~F.col("is_deleted") | F.col("is_deleted").isNull())
 
 
 def purge(table: DataFrame, ts_col: str, before) -> tuple[DataFrame, DataFrame]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablekit.functions.exprs import hit
+from tablekit.functions.exprs import hit, miss
 from tablekit.spec import ColumnSpec, ForeignKey, TableSpec
 
 VIOLATION_SCHEMA = "rule string, key string, n bigint"
@@ -224,6 +224,13 @@ def _flag_join(child: DataFrame, keys: DataFrame, fk_cols: Sequence[str], flag:
         .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def delete_blockers(parent: DataFrame, child: DataFrame, fk: ForeignKey, where) -> DataFrame:
+    """the child rows that refuse the deletion of the parents hit by ``where``."""
+    deleted = parent.filter(hit(where)).select(
+        *[F.col(p).alias(c) for p, c in zip(fk.parent_cols, fk.cols)]).distinct()
+    return child.join(deleted, list(fk.cols), "left_semi").select(*child.columns)
+
+
 def delete_parent(parent: DataFrame, child: DataFrame, fk: ForeignKey, where,
                   action: str | None = None) -> tuple[DataFrame, DataFrame]:
     """DELETE parent rows hit by ``where`` and apply the FK action to
@@ -235,10 +242,10 @@ def delete_parent(parent: DataFrame, child: DataFrame, fk: ForeignKey, where,
     action = (action or fk.on_delete).lower()
     deleted = parent.filter(hit(where)).select(
         *[F.col(p).alias(c) for p, c in zip(fk.parent_cols, fk.cols)])
-    new_parent = parent.filter(~hit(where))
+    new_parent = parent.filter(miss(where))
     if action in ("restrict", "no_action"):
-        blocked = child.join(deleted.distinct(), list(fk.cols), "left_semi")
-        require_empty(blocked.select(*fk.cols), f"{fk.name}: parent rows are still referenced")
+        require_empty(delete_blockers(parent, child, fk, where).select(*fk.cols),
+                      f"{fk.name}: parent rows are still referenced")
         return new_parent, child
     if action == "cascade":
         return new_parent, child.join(deleted.distinct(), list(fk.cols), "left_anti")
@@ -256,13 +263,16 @@ def delete_parent(parent: DataFrame, child: DataFrame, fk: ForeignKey, where,
 def update_parent_key(parent: DataFrame, child: DataFrame, fk: ForeignKey,
                       mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """ON UPDATE CASCADE for a single-column key.  ``mapping`` holds
-    (old, new) key pairs; parent and child keys are rewritten together."""
+    (old, new) key pairs; parent and child keys are rewritten together.
+    ``old`` must be unique, and the parents' keys must stay unique."""
     (pc,), (cc,) = fk.parent_cols, fk.cols
+    require_empty(duplicate_keys(mapping, ["old"], "old"), f"{fk.name}: a key is mapped twice")
     m = mapping.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
     ptypes, ctypes = dict(parent.dtypes), dict(child.dtypes)
     new_parent = parent.join(m, parent[pc] == m["__old"], "left").select(
         *[F.coalesce(F.col("__new").cast(ptypes[c]), F.col(c)).alias(c) if c == pc else F.col(c)
           for c in parent.columns])
+    require_empty(duplicate_keys(new_parent, [pc], pc), f"{fk.name}: two parents would share a key")
     new_child = child.join(m, child[cc] == m["__old"], "left").select(
         *[F.coalesce(F.col("__new").cast(ctypes[c]), F.col(c)).alias(c) if c == cc else F.col(c)
           for c in child.columns])

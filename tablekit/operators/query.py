@@ -3,8 +3,7 @@ set operations (U1).
 
 Joins are left to Catalyst + AQE: a side is broadcast only when the planner's
 size estimate (or AQE's runtime statistics) is under
-``spark.sql.autoBroadcastJoinThreshold``.  An explicit broadcast is used only
-for sides whose size is bounded by construction and checked here.
+``spark.sql.autoBroadcastJoinThreshold``; nothing is broadcast by hand.
 """
 
 from __future__ import annotations
@@ -16,11 +15,6 @@ from pyspark.sql import functions as F
 
 from tablekit.functions.exprs import hit, order_cols
 
-# Largest row count we broadcast by hand (key sets of chunks, query terms,
-# partition-count tables).  Anything else goes through the planner.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def _on(on: str | Sequence[str] | Column):
     return [on] if isinstance(on, str) else on
 
@@ -43,32 +37,33 @@ def right_join(a: DataFrame, b: DataFrame, on) -> DataFrame:
     return res.select(*cols)
 
 
-def full_join(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    """FULL OUTER (sort-merge or shuffled-hash full join)."""
-    return a.join(b, _on(on), "full_outer")
-
+def full_join(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
+    """FULL OUTER as LEFT JOIN  UNION ALL  (B anti-join A's distinct keys).
 
-def full_via_union(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
-    """FULL OUTER emulated as LEFT JOIN  UNION ALL  (B anti-join A).
-
-    Output keeps both key columns, like ``a.join(b, a_key == b_key, 'full')``.
+    AQE splits a skewed key in a LEFT join but not in a FULL OUTER one, so a
+    key that holds a third of A stays spread.  Output keeps both key columns,
+    like ``a.join(b, a_key == b_key, 'full')``.
     """
     left = a.join(b, a[a_key] == b[b_key], "left")
-    only_b = b.join(a.select(F.col(a_key).alias("__k")), b[b_key] == F.col("__k"), "left_anti")
+    only_b = b.join(a.select(F.col(a_key).alias("__k")).distinct(), b[b_key] == F.col("__k"), "left_anti")
     return left.unionByName(only_b, allowMissingColumns=True)
 
 
-def cross(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """CROSS JOIN with the size guard the reference asks for.
+full_via_union = full_join
 
-    The right side must be small: its row count is checked (an action)
-    before it is broadcast, so the product never becomes a Cartesian
-    shuffle of two large inputs.
-    """
-    n = b.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"cross join side has more than {max_rows} rows; refusing the product")
-    return a.crossJoin(F.broadcast(b))
+
+def grid(df: DataFrame, row: str, col: str, domain: Sequence, name: str = "n") -> DataFrame:
+    """The dense grid (every value of ``row``) x (every value of the
+    declared ``domain`` of ``col``) with the number of rows of ``df`` in each
+    cell.  ``domain`` is a declared list, NULL (None) may be in it; values
+    outside it raise nothing and are not in the grid."""
+    cells = df.select(row).distinct().withColumn(
+        col, F.explode(F.array(*[F.lit(v).cast(df.schema[col].dataType) for v in domain])))
+    counts = df.groupBy(row, col).agg(F.count(F.lit(1)).alias(name))
+    r, c = F.col("__row"), F.col("__col")
+    counts = counts.select(F.col(row).alias("__row"), F.col(col).alias("__col"), name)
+    return cells.join(counts, cells[row].eqNullSafe(r) & cells[col].eqNullSafe(c), "left") \
+        .select(cells[row], cells[col], F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name))
 
 
 def semi(a: DataFrame, b: DataFrame, on) -> DataFrame:
@@ -123,13 +118,11 @@ def page_narrow(df: DataFrame, order: Sequence[str], n: int, offset: int, key: s
     """O2 for rows carrying large values (TEXT / LOB columns): sort and page
     only the order columns and ``key`` (unique), then join the full rows back
     for the n keys of the page.  The top-(offset+n) merge then moves narrow
-    rows instead of texts; the n page keys are broadcast (bounded by n).
+    rows instead of texts; the planner broadcasts the n page keys when they are few.
     Output is ordered like ``page``."""
     from tablekit.functions.exprs import order_names
     cols = list(dict.fromkeys([c for c, _ in order_names(order)] + [key]))
     keys = page(df.select(*cols), order, n, offset).select(key)
-    if n <= BROADCAST_MAX_ROWS:
-        keys = F.broadcast(keys)
     return df.join(keys, key, "left_semi").orderBy(*order_cols(order))
 
 
@@ -160,7 +153,7 @@ def page_after(df: DataFrame, order: Sequence[str], last: Sequence, n: int) -> D
         term = _after(c, desc, last[i])
         for j in range(i):
             term = term & _same(names[j][0], last[j])
-        cond = cond | F.coalesce(term, F.lit(False))
+        cond = cond | term
     return page(df.filter(cond), order, n)
 
 

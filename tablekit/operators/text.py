@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.session import reliable_checkpoint
+
 
 # Collation kinds of the modelled DDL and their Spark names.
 COLLATIONS = {"ai_ci": "UNICODE_CI_AI", "as_cs": "UNICODE", "bin": "UTF8_BINARY"}
@@ -77,17 +79,6 @@ def convert_charset(df: DataFrame, cols: Sequence[str], charset: str, mode: str
     return kept
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Tokenizing is CPU-heavy per byte.  When a scan yields fewer splits
-    than the cluster has cores (a few large row groups), spread the rows
-    over all cores first; a large input already has more splits than cores
-    and is left alone (no shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores * 2)
-    return df
-
-
 def tokens(text: Column | str, lower: bool = True) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     if lower:
@@ -98,12 +89,23 @@ def tokens(text: Column | str, lower: bool = True) -> Column:
 def explode_tokens(df: DataFrame, arr: str, name: str) -> DataFrame:
     """One row per token.  ``explode_outer`` + a NULL filter instead of
     ``explode``: for ``explode`` Catalyst infers a "non-empty array" filter
-    and pushes it below the projection (and below ``spread``), which would
+    and pushes it below the projection (and below the next exchange), which would
     tokenize every text twice."""
     keep = [c for c in df.columns if c != arr]
     return df.select(*keep, F.explode_outer(arr).alias(name)).filter(F.col(name).isNotNull())
 
 
+def _tokenized(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    docs = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
+    return docs.select("id", F.size("__t").cast("bigint").alias("dl"), "__t")
+
+
+def _index_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    postings = explode_tokens(docs, "__t", "term") \
+        .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    return postings, docs.select("id", "dl")
+
+
 def build_text_index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """T6 (FULLTEXT INDEX): postings (term, id, dl, tf) and document lengths (id, dl).
 
@@ -111,21 +113,17 @@ def build_text_index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     final aggregate, so a very common term is still spread by document id.
     Each posting carries its document length, so ranking needs no join.
     """
-    docs = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), tokens(text_col).alias("__t"))
-    docs = docs.select("id", F.size("__t").cast("bigint").alias("dl"), "__t")
-    lengths = docs.select("id", "dl")
-    postings = explode_tokens(docs, "__t", "term") \
-        .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    return postings, lengths
+    return _index_of(_tokenized(df, id_col, text_col))
 
 
 def write_text_index(df: DataFrame, id_col: str, text_col: str, path: str) -> tuple[str, str]:
     """ADD FULLTEXT INDEX, persisted: postings range-partitioned and sorted by
-    term (row-group min/max statistics then skip every file that holds none
-    of a query's terms) plus one length row per document."""
-    postings, lengths = build_text_index(df, id_col, text_col)
+    (term, id) -- row-group min/max statistics then skip every file that holds
+    none of a query's terms, and a very common term fills several files -- plus
+    one length row per document.  Texts are tokenized once."""
+    postings, lengths = _index_of(reliable_checkpoint(_tokenized(df, id_col, text_col)))
     p_path, l_path = f"{path}/postings", f"{path}/lengths"
-    postings.repartitionByRange("term").sortWithinPartitions("term", "id") \
+    postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id") \
         .write.mode("errorifexists").parquet(p_path)
     lengths.write.mode("errorifexists").parquet(l_path)
     return p_path, l_path
@@ -136,7 +134,8 @@ def _score(hits: DataFrame, n_docs: Column, avgdl: Column, k1: float, b: float)
     idf = dfreq.select("term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     tf = F.col("tf")
     contrib = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / avgdl))
-    return hits.join(idf, "term").groupBy("id").agg(F.sum(contrib).alias("score"))
+    # idf has a row per query term at most, a number bounded by the query text
+    return hits.join(F.broadcast(idf), "term").groupBy("id").agg(F.sum(contrib).alias("score"))
 
 
 def search_index(postings: DataFrame, lengths: DataFrame, query: str, k: int = 10,
@@ -180,7 +179,7 @@ def bm25_search(df: DataFrame, id_col: str, text_col: str, query: str, k: int =
     spark = df.sparkSession
     terms = [r.term for r in query_terms(spark, query).collect()]
     toks = tokens(text_col)
-    per_doc = spread(df.select(id_col, text_col)).select(F.col(id_col).alias("id"), toks.alias("__t")).select(
+    per_doc = df.select(id_col, text_col).select(F.col(id_col).alias("id"), toks.alias("__t")).select(
         "id", F.size("__t").alias("dl"),
         F.filter("__t", lambda t: t.isin(terms)).alias("__m")).repartition("id")
     # the scalar reads every column of per_doc (``matched`` counts query-term

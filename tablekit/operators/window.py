@@ -14,15 +14,11 @@ rankings here work on a *global range partitioning* instead:
 4. row_number = offset + local position; RANK, DENSE_RANK, NTILE, LAG and LEAD
    are derived from it with joins keyed so that no key is hot.
 
-Choosing the path costs one aggregate (the size of the largest group, read
-from the group columns only).  Groups no larger than ``max_group_rows``
-(conf ``tablekit.window.maxGroupRows``, default 1,000,000 rows) take Spark's
-own window: one shuffle, no checkpoint, and WindowExec spills if needed.
-Anything larger -- a region, a hot key -- takes the range-partitioned path.
-
-``top_k`` (row_number <= k) always uses Spark's own window, because Catalyst
-plans a partial ``WindowGroupLimit`` before the shuffle, so each map task
-forwards at most k rows per group.
+There is one path for every size: nothing is measured first.
+
+``top_k`` (row_number <= k) works in two stages for any k: first inside
+``SALTS`` shares of each group, dealt by a hash of the row, then over the at
+most ``SALTS * k`` rows of a group that remain.
 """
 
 from __future__ import annotations
@@ -35,8 +31,7 @@ from pyspark.sql import functions as F
 
 from tablekit.session import reliable_checkpoint
 
-MAX_GROUP_ROWS_CONF = "tablekit.window.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
+SALTS = 32
 _LOC_BITS = 33
 _LOC_MASK = (1 << _LOC_BITS) - 1
 
@@ -66,33 +61,21 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[str | OrderKey], k:
           name: str = "rank", kind: str = "row_number") -> DataFrame:
     """Rows whose row_number (or rank / dense_rank) within ``by`` is <= k.
 
-    Planned as partial WindowGroupLimit -> shuffle -> final WindowGroupLimit
-    -> Window: the shuffle carries at most k rows per group per map task.
+    A row's rank in a share of its group is never above its rank in the whole
+    group, so the first stage drops no row of the result; a hot group is read
+    by ``SALTS`` tasks, and no task of the second stage gets more than
+    ``SALTS * k`` rows of a group (ties apart).
     """
     fn = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[kind]
-    w = Window.partitionBy(*by).orderBy(*[o.sort() for o in parse_order(order)])
-    return df.withColumn(name, fn().over(w)).filter(F.col(name) <= k) \
+    sort = [o.sort() for o in parse_order(order)]
+    salt = F.pmod(F.xxhash64(*[F.col(o.name) for o in parse_order(order)]), F.lit(SALTS))
+    near = df.withColumn("__salt", salt)
+    near = near.withColumn("__r", fn().over(Window.partitionBy(*by, "__salt").orderBy(*sort))) \
+        .filter(F.col("__r") <= k).drop("__r", "__salt")
+    return near.withColumn(name, fn().over(Window.partitionBy(*by).orderBy(*sort))).filter(F.col(name) <= k) \
         .withColumn(name, F.col(name).cast("bigint"))
 
 
-def max_group_rows(spark, override: int | None = None) -> int:
-    if override is not None:
-        return override
-    return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows in the largest group (one partial+final aggregate, one scalar back)."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")) if group \
-        else df.agg(F.count(F.lit(1)).alias("__n"))
-    return sizes.agg(F.max("__n")).first()[0] or 0
-
-
-def fits_one_task(df: DataFrame, group: Sequence[str], limit: int | None = None) -> bool:
-    bound = max_group_rows(df.sparkSession, limit)
-    return bound > 0 and largest_group(df, group) <= bound
-
-
 def _join_back(big: DataFrame, small: DataFrame, keys: Sequence[str], add: Sequence[str]) -> DataFrame:
     """Left-join ``small`` (unique on ``keys``) into ``big`` null-safely."""
     s = small.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *add)
@@ -135,14 +118,9 @@ def _numbered(df: DataFrame, group: Sequence[str], order: list[OrderKey],
 
 
 def numbered_rows(df: DataFrame, group: Sequence[str], order: Sequence[str | OrderKey],
-                  tiebreak: Sequence[str], name: str = "__rn",
-                  max_group_rows: int | None = None) -> DataFrame:
-    """``df`` plus a row_number column ``name`` per group, by the cheaper
-    safe path (Spark's window for small groups, the split path otherwise)."""
-    keys = parse_order(order)
-    if fits_one_task(df, list(group), max_group_rows):
-        return _native(df, list(group), keys, tiebreak, name, None, None, None, (), ())
-    out = _numbered(df, list(group), keys, tiebreak, None)
+                  tiebreak: Sequence[str], name: str = "__rn") -> DataFrame:
+    """``df`` plus a row_number column ``name`` per group (hot groups split)."""
+    out = _numbered(df, list(group), parse_order(order), tiebreak, None)
     return out.withColumnRenamed("__rn", name).drop("__pid", "__loc") if name != "__rn" \
         else out.drop("__pid", "__loc")
 
@@ -153,20 +131,16 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Order
                 ntile: tuple[str, int] | None = None,
                 lag: Sequence[tuple[str, str, int]] = (),
                 lead: Sequence[tuple[str, str, int]] = (),
-                num_partitions: int | None = None,
-                max_group_rows: int | None = None) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """W1-W6 over whole tables.
 
     ``tiebreak`` must make (group, order, tiebreak) unique; it decides the
     row_number among ties (the reference's ROW_NUMBER has none, D4).
     ``lag``/``lead`` take (output name, source column, offset).
-    ``max_group_rows`` overrides the conf bound (0 forces the split path).
     """
     order_keys = parse_order(order)
     group = list(group)
     ocols = [o.name for o in order_keys]
-    if fits_one_task(df, group, max_group_rows):
-        return _native(df, group, order_keys, tiebreak, row_number, rank, dense_rank, ntile, lag, lead)
     numbered = _numbered(df, group, order_keys, tiebreak, num_partitions, with_size=ntile is not None)
     out = numbered
 
@@ -211,24 +185,3 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Order
         out = out.withColumn(row_number, F.col("__rn"))
     return out.drop("__pid", "__loc", "__rn", "__size")
 
-
-def _native(df, group, order_keys, tiebreak, row_number, rank, dense_rank, ntile, lag, lead):
-    """The same columns from Spark's own Window, for groups that fit a task."""
-    full = [o.sort() for o in order_keys] + [F.col(t).asc() for t in tiebreak]
-    base = Window.partitionBy(*group) if group else Window.partitionBy()
-    w = base.orderBy(*full)
-    wr = base.orderBy(*[o.sort() for o in order_keys])
-    cols = {}
-    if row_number:
-        cols[row_number] = F.row_number().over(w).cast("bigint")
-    if rank:
-        cols[rank] = F.rank().over(wr).cast("bigint")
-    if dense_rank:
-        cols[dense_rank] = F.dense_rank().over(wr).cast("bigint")
-    if ntile:
-        cols[ntile[0]] = F.ntile(ntile[1]).over(w).cast("bigint")
-    for name, src, off in lag:
-        cols[name] = F.lag(src, off).over(w)
-    for name, src, off in lead:
-        cols[name] = F.lead(src, off).over(w)
-    return df.withColumns(cols)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablekit.operators import evolve as E
 from tablekit.operators import mutate as M
+from tablekit.operators import quality as V
 from tablekit.plans.catalog import register
 from tablekit.plans.oracle_views import with_views
 from tablekit.plans.q_mutate import NOW, NOW_SQL, ntz
@@ -28,12 +29,24 @@ def evolve_columns(spark, d):
     docs = scan(spark, d, "documents").select(F.col("doc_id").alias("emp_id"), F.col("text").alias("__bio"))
     t = t.join(docs, "emp_id", "left").withColumn("biography", F.col("__bio")).select(*t.columns)
     t, spec = E.add_column(t, spec, E.PHONE, after="full_name")
-    t, spec = E.modify_column(t, spec, col("full_name", "string", nullable=False, max_len=255))
-    t, spec = E.change_column(t, spec, "biography", E.RESUME)
+    t, spec = E.rename_column(t, spec, "biography", E.RESUME.name)
+    t, spec = E.modify_columns(t, spec, [col("full_name", "string", nullable=False, max_len=255), E.RESUME])
     t, spec = E.drop_column(t, spec, "contract_type")
     return ntz(t)
 
 
+@register("evolve_rename_then_check", with_views("employee_import") + """
+SELECT 'unique:uidx_national_id' AS rule, CAST(national_id AS VARCHAR) AS key, COUNT(*) AS n
+FROM employee_import WHERE national_id IS NOT NULL GROUP BY national_id HAVING COUNT(*) > 1
+""", "E4 V4")
+def evolve_rename_then_check(spark, d):
+    """After CHANGE of a column under a unique key, the spec still checks."""
+    key = next(name for name, cols in EMPLOYEES.unique if cols == ("national_id",))
+    t, spec = E.rename_column(fx.employee_import(spark, d), EMPLOYEES, "national_id", "citizen_id")
+    found = V.check(t, spec).filter(F.col("rule") == f"unique:{key}")
+    return found.withColumn("rule", F.lit("unique:uidx_national_id"))
+
+
 @register("evolve_set_default", with_views("employees", "legacy_import") + f"""
 SELECT emp_id, department_id, national_id, full_name, contract_type, base_salary, status, birth_date,
        CAST(created_at AS TIMESTAMP) AS created_at, CAST(updated_at AS TIMESTAMP) AS updated_at, metadata

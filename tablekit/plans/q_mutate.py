@@ -85,17 +85,20 @@ def insert_select(spark, d):
 
 
 @register("insert_select_mark_processed", with_views("legacy_import") + """
-SELECT nat_id, name, salary, dob, TRUE AS is_processed FROM legacy_import
+SELECT nat_id, name, salary, dob,
+       CASE WHEN is_processed THEN TRUE WHEN salary >= 50000 THEN TRUE ELSE FALSE END AS is_processed
+FROM legacy_import
 """, "M6")
 def insert_select_mark_processed(spark, d):
-    """M6 followed by marking the migrated source rows processed."""
+    """M6 followed by marking the migrated source rows processed (D11); rows
+    under the salary bound are not migrated and stay as they are."""
     src = fx.legacy_import(spark, d)
     _, _, keys = M.insert_select(
         fx.employees(spark, d), src, EMPLOYEES,
         {"national_id": F.col("nat_id"), "full_name": F.col("name"),
          "contract_type": F.lit("CONTRACTOR"), "base_salary": F.col("salary"),
          "birth_date": F.col("dob")},
-        where=F.col("is_processed") == F.lit(False), now=NOW, order=["national_id"], source_key="nat_id")
+        where=(F.col("is_processed") == F.lit(False)) & (F.col("salary") >= 50000), now=NOW, order=["national_id"], source_key="nat_id")
     marked, _ = M.mark_processed(src, keys, "nat_id")
     return marked
 
@@ -168,6 +171,29 @@ def replace(spark, d):
     return ntz(new)
 
 
+@register("insert_ignore_import", with_views("employee_import") + """
+, broken AS (SELECT *,
+    national_id IS NULL AS b1, length(national_id) > 14 AS b2, length(full_name) > 150 AS b3,
+    contract_type IS NULL AS b4, contract_type = 'INTERN' AS b5
+  FROM employee_import)
+SELECT 'not_null:national_id' AS reason, count(*) AS n FROM broken WHERE b1
+UNION ALL SELECT 'length:national_id', count(*) FROM broken WHERE b2
+UNION ALL SELECT 'length:full_name', count(*) FROM broken WHERE b3
+UNION ALL SELECT 'not_null:contract_type', count(*) FROM broken WHERE b4
+UNION ALL SELECT 'enum:contract_type', count(*) FROM broken WHERE b5
+UNION ALL SELECT 'type:base_salary', count(*) FROM broken WHERE abs(base_salary) >= 99999999.995
+""", "M4 V14")
+def insert_ignore_import(spark, d):
+    """INSERT IGNORE of a batch full of rule breakers: rejected rows by reason."""
+    batch = fx.employee_import(spark, d).withColumn("seq", F.monotonically_increasing_id())
+    _, _, rejected = M.insert_ignore(fx.employees(spark, d), batch, EMPLOYEES, key="national_id", seq="seq", now=NOW)
+    shown = ["not_null:national_id", "length:national_id", "length:full_name", "not_null:contract_type",
+             "enum:contract_type", "type:base_salary"]
+    counts = rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    wanted = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in shown])).alias("reason"))
+    return wanted.join(counts, "reason", "left").select("reason", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 # --- M7 - M10, M16 ----------------------------------------------------------------------
 
 @register("update_where", with_views("employees") + f"""
@@ -381,10 +407,8 @@ SELECT emp_id, department_id FROM employees
 WHERE department_id IN (SELECT id FROM departments WHERE status = 'CLOSED_DOWN')
 """, "F1")
 def fk_restrict_blockers(spark, d):
-    deleted = fx.departments(spark, d).filter(F.col("status") == "CLOSED_DOWN") \
-        .select(F.col("id").alias("department_id"))
-    return fx.employees(spark, d).join(deleted, "department_id", "left_semi") \
-        .select("emp_id", "department_id")
+    return V.delete_blockers(fx.departments(spark, d), fx.employees(spark, d), _FK,
+                             F.col("status") == "CLOSED_DOWN").select("emp_id", "department_id")
 
 
 @register("fk_update_cascade", with_views("employees", "departments") + """

@@ -148,4 +148,4 @@ SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) + 1000 A
 def assign_ids_split(spark, d):
     """V15 forced onto the range-partition + prefix-sum path used beyond the bound."""
     o = scan(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    return assign_ids(o, ["o_orderdate", "o_orderkey"], start=1001, max_group_rows=0).select("o_orderkey", "id")
+    return assign_ids(o, ["o_orderdate", "o_orderkey"], start=1001, num_partitions=7).select("o_orderkey", "id")

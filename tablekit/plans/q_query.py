@@ -62,9 +62,8 @@ def distinct_projection(spark, d):
 # --- J: joins ----------------------------------------------------------------------
 
 _ORD_AGG_SQL = """
-, agg AS (SELECT customer_id, CAST(SUM(total_amount) AS DECIMAL(25,2)) AS total_spent,
-                 COUNT(order_id) AS order_count
-          FROM shop_orders WHERE order_date >= DATE '1999-01-01' GROUP BY customer_id)
+, agg AS (SELECT o.customer_id, CAST(sum(o.total_amount) AS DECIMAL(25,2)) AS total_spent, count(*) AS order_count
+          FROM shop_orders o WHERE year(o.order_date) >= 1999 GROUP BY ALL)
 """
 
 
@@ -113,7 +112,7 @@ def _full_inputs(spark, d):
 @register("join_full", _FULL_SQL, "J4")
 def join_full(spark, d):
     e, dep = _full_inputs(spark, d)
-    return e.join(dep, e.department_id == dep.dept_id, "full_outer")
+    return Q.full_join(e, dep, "department_id", "dept_id").select("emp_id", "department_id", "dept_id", "department_name")
 
 
 @register("join_full_union", _FULL_SQL, "J5 U1")
@@ -132,16 +131,8 @@ FROM (SELECT * FROM regions CROSS JOIN statuses) g
 LEFT JOIN counts c ON g.region = c.region AND g.status = c.status
 """, "J6 A1")
 def join_cross_grid(spark, d):
-    """The dense (region x status) grid that a CROSS JOIN of the two
-    dimensions gives, built WITHOUT a product: pivot the counts on status
-    (one column per status; pivot values bounded by spark.sql.pivotMaxValues)
-    and unpivot back, so missing pairs appear with 0.  ``query.cross`` remains
-    the guarded CROSS JOIN operator itself."""
-    cust = fx.customers(spark, d)
-    wide = cust.groupBy("region").pivot("status").agg(F.count(F.lit(1)))
-    statuses = [c for c in wide.columns if c != "region"]
-    long = wide.unpivot("region", statuses, "status", "n")
-    return long.select("region", "status", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n_customers"))
+    """The dense (region x status) grid over the declared status domain."""
+    return Q.grid(fx.customers(spark, d), "region", "status", fx.CUSTOMER_STATUSES, "n_customers")
 
 
 @register("join_semi", with_views("employees", "departments") + """
@@ -201,9 +192,10 @@ def agg_nulls(spark, d):
 
 
 @register("agg_having", with_views("shop_orders") + """
-SELECT customer_id, CAST(SUM(total_amount) AS DECIMAL(25,2)) AS total_spent, COUNT(order_id) AS order_count
-FROM shop_orders WHERE order_date >= DATE '1999-01-01'
-GROUP BY customer_id HAVING SUM(total_amount) > 5000
+SELECT * FROM (
+  SELECT o.customer_id, CAST(sum(o.total_amount) AS DECIMAL(25,2)) AS total_spent, count(*) AS order_count
+  FROM shop_orders o WHERE year(o.order_date) >= 1999 GROUP BY ALL) t
+WHERE t.total_spent > 5000
 """, "A1 A2 A4 A7 P10")
 def agg_having(spark, d):
     h = high_value_customers(fx.shop_orders(spark, d))
@@ -240,15 +232,14 @@ def window_rankings(spark, d):
 
 @register("window_rankings_split", _WINDOW_RANKINGS_SQL, "W1 W2 W3 W4 W5 W6")
 def window_rankings_split(spark, d):
-    """The same report forced onto the range-partitioned path (group bound 0),
-    so the oracle gate covers the path used for hot or huge groups."""
+    """The same report with an explicit number of ranges."""
     c = fx.customers(spark, d)
     j = c.join(_ord_agg(spark, d), "customer_id").select("region", "customer_id", "total_spent")
     return rank_within(
         j, ["region"], ["total_spent DESC"], ["customer_id"],
         row_number="rn", rank="rnk", dense_rank="drnk", ntile=("quartile", 4),
         lag=[("prev_customer", "customer_id", 1)], lead=[("next_customer", "customer_id", 1)],
-        max_group_rows=0,
+        num_partitions=5,
     ).select("region", "customer_id", "total_spent", "rn", "rnk", "drnk", "quartile",
              "prev_customer", "next_customer")
 
@@ -293,6 +284,21 @@ def top_k_per_region(spark, d):
     return top_k(j, ["region"], ["total_spent DESC", "customer_id"], 3)
 
 
+@register("page_deep", with_views("customers", "shop_orders") + _ORD_AGG_SQL + """
+, placed AS (
+  SELECT c.region, c.customer_id, a.total_spent,
+    ROW_NUMBER() OVER (PARTITION BY c.region ORDER BY a.total_spent DESC, c.customer_id) AS rank
+  FROM customers c JOIN agg a USING (customer_id))
+SELECT * FROM placed ORDER BY region, rank LIMIT 100 OFFSET 500
+""", "W8 O2")
+def page_deep(spark, d):
+    """A page far behind the first: top-k in two stages holds for any depth."""
+    c = fx.customers(spark, d)
+    j = c.join(_ord_agg(spark, d), "customer_id").select("region", "customer_id", "total_spent")
+    ranked = top_k(j, ["region"], ["total_spent DESC", "customer_id"], 5100)
+    return Q.page(ranked, ["region", "rank"], 100, 500)
+
+
 # --- O: sorts and pages ---------------------------------------------------------------
 
 @register("order_multi_key", with_views("employees") + """

@@ -12,20 +12,44 @@ from pyspark.sql import functions as F
 
 from tablekit.operators import mutate as M
 from tablekit.operators.batch import Batch
+from tablekit.operators.ids import assign_ids, next_id
 from tablekit.plans.catalog import register
 from tablekit.plans.oracle_views import with_views
-from tablekit.plans.q_mutate import EMP_SQL_OUT, NOW, NOW_SQL, ntz
+from tablekit.plans.q_mutate import EMP_COLS, EMP_SQL_OUT, NOW, NOW_SQL, ntz
 from tablekit.sources import fixtures as fx
-from tablekit.operators.ids import assign_ids, next_id
-from tablekit.plans.q_mutate import EMP_COLS
 from tablekit.sources import sinks as S
-from tablekit.sources.sinks import truncate
 from tablekit.spec import EMPLOYEES
 
 
-@register("truncate", with_views("employees") + f"SELECT {EMP_SQL_OUT} FROM employees WHERE FALSE", "S6")
+@register("truncate", with_views("legacy_import") + f"""
+SELECT ROW_NUMBER() OVER (ORDER BY nat_id) AS emp_id, CAST(NULL AS BIGINT) AS department_id, nat_id AS national_id,
+       name AS full_name, 'CONTRACTOR' AS contract_type, salary AS base_salary, CAST(NULL AS VARCHAR) AS status,
+       dob AS birth_date, {NOW_SQL} AS created_at, {NOW_SQL} AS updated_at, CAST(NULL AS VARCHAR) AS metadata
+FROM legacy_import WHERE is_processed = FALSE
+""", "S6 S5 M6 V15")
 def truncate_employees(spark, d):
-    return ntz(truncate(fx.employees(spark, d)))
+    """Truncate a published table, then load it anew: ids start at 1 again."""
+    base = S.scratch_dir(spark, "employees")
+    S.publish(fx.employees(spark, d), base, 1)
+    empty = S.truncate(S.read_latest(spark, base))
+    new, _, _ = M.insert_select(
+        empty, fx.legacy_import(spark, d), EMPLOYEES,
+        {"national_id": F.col("nat_id"), "full_name": F.col("name"), "contract_type": F.lit("CONTRACTOR"),
+         "base_salary": F.col("salary"), "birth_date": F.col("dob")},
+        where=F.col("is_processed") == F.lit(False), now=NOW, order=["national_id"])
+    S.publish(new, base, 2)
+    return ntz(S.read_latest(spark, base))
+
+
+@register("publish_read_latest", with_views("employees") + f"""
+SELECT {EMP_SQL_OUT} FROM employees WHERE contract_type = 'FULL_TIME'
+""", "S5")
+def publish_read_latest(spark, d):
+    """Two versions; the reader finds the newest complete one."""
+    base = S.scratch_dir(spark, "employees")
+    S.publish(fx.employees(spark, d), base, 1)
+    S.publish(S.read_latest(spark, base).filter(F.col("contract_type") == "FULL_TIME"), base, 2)
+    return ntz(S.read_latest(spark, base))
 
 
 def _tcl(spark, d, rollback: bool):
@@ -96,7 +120,7 @@ def append_by_name(spark, d):
 def compact_files(spark, d):
     base = S.scratch_dir(spark, "employees")
     fragmented = f"{base}/fragmented"
-    fx.employees(spark, d).repartition(64).write.parquet(fragmented)
+    fx.employees(spark, d).repartition(4 * spark.sparkContext.defaultParallelism).write.parquet(fragmented)
     S.compact(spark, fragmented, f"{base}/compacted", target_bytes=8 << 20, order=["emp_id"])
     return ntz(spark.read.parquet(f"{base}/compacted"))
 
@@ -107,7 +131,7 @@ SELECT {EMP_SQL_OUT} FROM employees WHERE department_id = 5 AND base_salary >= 1
 def clustered_layout(spark, d):
     path = S.scratch_dir(spark, "employees")
     S.write_clustered(fx.employees(spark, d), path,
-                      [F.col("department_id"), F.col("base_salary").desc()], 8)
+                      [F.col("department_id"), F.col("base_salary").desc()], "emp_id")
     t = spark.read.parquet(path)
     return ntz(t.filter((F.col("department_id") == 5) & (F.col("base_salary") >= 1000)))
 

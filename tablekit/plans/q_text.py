@@ -22,7 +22,7 @@ SELECT lang, COUNT(*) AS n_tokens, COUNT(DISTINCT word) AS n_bin,
 FROM w GROUP BY lang
 """, "T1 T2 T3")
 def collation_word_counts(spark, d):
-    docs = X.spread(scan(spark, d, "documents").select("lang", "text"))
+    docs = scan(spark, d, "documents").select("lang", "text")
     w = X.explode_tokens(docs.select("lang", X.tokens("text").alias("__t")), "__t", "word")
     # pre-aggregate to distinct (lang, word) before the three distinct counts,
     # so the collation-keyed Expand sees the vocabulary, not every token
@@ -41,7 +41,7 @@ WHERE replace(strip_accents(lower(word)), 'ß', 'ss') = 'ere'
 GROUP BY word
 """, "T1")
 def collation_lookup(spark, d):
-    docs = X.spread(scan(spark, d, "documents").select("text"))
+    docs = scan(spark, d, "documents").select("text")
     w = X.explode_tokens(docs.select(X.tokens("text", lower=False).alias("__t")), "__t", "word")
     hit = X.collated("word", "ai_ci") == F.lit("ERE")
     return w.filter(hit).groupBy("word").agg(F.count(F.lit(1)).alias("n"))

@@ -8,11 +8,14 @@ fresh scratch folder when that setting is absent.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -72,3 +75,31 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Eager, reliable checkpoint (never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the shared checkpoint folder, deleted when the
+    application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_delete_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _delete_scratch() -> None:
+    for spark, path in _SCRATCH:
+        try:
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+        except Exception:  # the session may be gone already; its folder then goes with it
+            return
+
+
+def materialize(df: DataFrame, label: str = "frame") -> DataFrame:
+    """Write once as parquet into the shared folder and read back.  Unlike a
+    checkpoint, the planner knows the size of what it reads: a small frame is
+    then broadcast instead of shuffling the large side of a join."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -40,6 +40,9 @@ def _date(s: str) -> Column:
     return F.lit(dt.date.fromisoformat(s))
 
 
+CUSTOMER_STATUSES = ("ACTIVE", "INACTIVE")      # the declared domain of customers.status
+
+
 @view
 def customers(spark: SparkSession, d: str) -> DataFrame:
     """customer_id, status, region.  nation/region are fixed-size dimensions."""

@@ -8,23 +8,39 @@ either complete or absent, so readers never see half a mutation.
 from __future__ import annotations
 
 import math
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.spec import TableSpec
+from tablekit.session import scratch_path
+from tablekit.spec import NOW, TableSpec
 
 
-def append(df: DataFrame, path: str) -> None:
+def _require_known(df: DataFrame, names: list[str], what: str) -> None:
+    unknown = [c for c in df.columns if c not in names]
+    if unknown:
+        raise ValueError(f"unknown columns for {what}: {unknown}")
+
+
+def append(df: DataFrame, path: str, spec: TableSpec | None = None, now=None) -> None:
     """INSERT by column NAME into an existing parquet table (never by
-    position): the batch is projected onto the table's column order."""
+    position): the batch is projected onto the table's column order.  Absent
+    columns take the defaults of ``spec`` (NULL without one); a column that
+    the table lacks raises."""
+    from tablekit.operators.mutate import default_value
     target = df.sparkSession.read.parquet(path)
+    _require_known(df, target.columns, path)
     cols = []
     for f in target.schema.fields:
         if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            value = F.col(f.name)
+        elif spec is not None and f.name in spec.names:
+            value = default_value(spec.column(f.name), now)
         else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            value = F.lit(None)
+        cols.append(value.cast(f.dataType).alias(f.name))
     df.select(*cols).write.mode("append").parquet(path)
 
 
@@ -42,8 +58,34 @@ def publish(df: DataFrame, base_dir: str, version: int, partition_by: list[str]
     return path
 
 
-def truncate(df: DataFrame) -> DataFrame:
-    """TRUNCATE: no rows, same schema; no scan of the old data."""
+def published_versions(spark: SparkSession, base_dir: str) -> list[int]:
+    """Complete versions below ``base_dir`` (those with a ``_SUCCESS`` mark), ascending."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(base_dir)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for st in fs.listStatus(base) if fs.exists(base) else []:
+        name = st.getPath().getName()
+        if name[:1] == "v" and name[1:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            found.append(int(name[1:]))
+    return sorted(found)
+
+
+def read_latest(spark: SparkSession, base_dir: str) -> DataFrame:
+    """S5, reading: the newest complete version."""
+    versions = published_versions(spark, base_dir)
+    if not versions:
+        raise FileNotFoundError(f"no complete version below {base_dir}")
+    return spark.read.parquet(version_path(base_dir, versions[-1]))
+
+
+def truncate(df: DataFrame, children: Sequence[tuple[DataFrame, str]] = ()) -> DataFrame:
+    """TRUNCATE: no rows, same schema; no scan of the old data, and ids
+    given afterwards start at 1 again.  Refused while a child table's foreign
+    key column holds any reference."""
+    for child, fk_col in children:
+        if child.filter(F.col(fk_col).isNotNull()).limit(1).count():
+            raise ValueError(f"TRUNCATE refused: {fk_col} references the table")
     return df.sparkSession.createDataFrame([], df.schema)
 
 
@@ -75,11 +117,21 @@ def compact(spark: SparkSession, path: str, out_path: str, target_bytes: int = 1
     return n
 
 
-def write_clustered(df: DataFrame, path: str, by: list, n: int) -> None:
+def write_clustered(df: DataFrame, path: str, by: list, tiebreak: str, n: int | None = None) -> None:
     """The composite index (department_id, base_salary DESC) re-aimed as a
     layout: range-partitioned and sorted files whose row-group min/max
-    statistics let a filter on the leading key skip most of the data."""
-    df.repartitionByRange(n, *by).sortWithinPartitions(*by).write.mode("errorifexists").parquet(path)
+    statistics let a filter on the leading key skip most of the data.  The
+    unique ``tiebreak`` spreads one hot key over several files; without ``n``
+    the session's shuffle partitions and AQE decide how many there are."""
+    order = [*by, F.col(tiebreak)]
+    ranged = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
+
+
+def index_columns(spec: TableSpec, name: str) -> list:
+    """The order columns of a declared index, for ``write_clustered``."""
+    parts = next(p for n, p in spec.indexes if n == name)
+    return [F.col(w[0]).desc() if w[1:] and w[1].upper() == "DESC" else F.col(w[0]) for w in map(str.split, parts)]
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort_by: list[str]) -> None:
@@ -97,15 +149,27 @@ def _ddl_type(c) -> str:
     return c.dtype.upper()
 
 
+def _ddl_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ddl_default(c) -> str:
+    if not c.has_default or c.default is None:
+        return ""
+    if c.default is NOW:
+        return " DEFAULT current_timestamp()"
+    return f" DEFAULT CAST({_ddl_text(str(c.default))} AS {_ddl_type(c)})"
+
+
 def create_table(spark: SparkSession, spec: TableSpec, database: str | None = None,
                  location: str | None = None) -> str:
-    """CREATE TABLE IF NOT EXISTS from a spec (types, NOT NULL, comment).
+    """CREATE TABLE IF NOT EXISTS from a spec (types, NOT NULL, DEFAULT, comment).
     Keys and checks stay in the spec: Spark parquet tables reject them."""
     name = f"{database}.{spec.name}" if database else spec.name
     cols = ", ".join(
-        f"{c.name} {_ddl_type(c)}" + ("" if c.nullable else " NOT NULL")
-        + (f" COMMENT '{c.comment}'" if c.comment else "") for c in spec.columns)
-    comment = f" COMMENT '{spec.comment}'" if spec.comment else ""
+        f"{c.name} {_ddl_type(c)}" + ("" if c.nullable else " NOT NULL") + _ddl_default(c)
+        + (f" COMMENT {_ddl_text(c.comment)}" if c.comment else "") for c in spec.columns)
+    comment = f" COMMENT {_ddl_text(spec.comment)}" if spec.comment else ""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{comment}{loc}")
     return name
@@ -118,16 +182,20 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def insert_by_name(df: DataFrame, table: str) -> None:
-    """S4 on a catalog table: columns are matched by NAME (projected onto the
-    table's order) before the positional ``insertInto``."""
+    """S4 on a catalog table: columns are matched by NAME; absent ones take
+    the table's DEFAULT, unknown ones raise."""
     target = df.sparkSession.table(table)
-    df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.insertInto(table)
+    _require_known(df, target.columns, table)
+    names = [f.name for f in target.schema.fields if f.name in df.columns]
+    view = f"__batch_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    listed = ", ".join(f"`{n}`" for n in names)
+    df.sparkSession.sql(f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {view}")
+    df.sparkSession.catalog.dropTempView(view)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's shared checkpoint folder, for tables
-    a job writes and reads back (never a machine-local temp folder)."""
-    import uuid
-    from tablekit.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{label}-{uuid.uuid4().hex}"
+    a job writes and reads back (never a machine-local temp folder); deleted
+    when the application ends."""
+    return scratch_path(spark, label)

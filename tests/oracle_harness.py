@@ -122,8 +122,6 @@ def main(argv):
         spark.conf.set("spark.sql.session.timeZone", os.environ["TABLEKIT_SESSION_TZ"])
     if os.environ.get("TABLEKIT_ANSI"):             # e.g. "false": results must not depend on it
         spark.conf.set("spark.sql.ansi.enabled", os.environ["TABLEKIT_ANSI"])
-    if os.environ.get("TABLEKIT_MAX_GROUP_ROWS"):   # "0": force every large-scale path
-        spark.conf.set("tablekit.window.maxGroupRows", os.environ["TABLEKIT_MAX_GROUP_ROWS"])
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck_con(sf_dir)
     n_ok = n_bad = 0

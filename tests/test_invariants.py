@@ -71,7 +71,7 @@ def test_split_window_equals_native(spark, data, buckets, parts):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id long, g string, v int")
     got = rank_within(df, ["g"], ["v"], ["id"], row_number="rn", rank="rk", dense_rank="dr",
                       ntile=("nt", buckets), lag=[("lg", "v", 1)], lead=[("ld", "id", 2)],
-                      num_partitions=parts, max_group_rows=0)
+                      num_partitions=parts)
     w = Window.partitionBy("g").orderBy("v", "id")
     wr = Window.partitionBy("g").orderBy("v")
     want = df.select("id", "g", "v", F.row_number().over(w).cast("long").alias("rn"),

@@ -241,22 +241,18 @@ def test_upsert_strict_checks_other_unique_keys(spark):
 
 
 def test_large_batch_path_equals_replay(spark):
-    """With the row bound at 0 every batch takes the large path: the reduced
-    batch is checkpointed once and ids come from the range/prefix-sum path."""
-    spark.conf.set("tablekit.window.maxGroupRows", "0")
-    try:
-        for seed in range(2):
-            t, b = _random_case(random.Random(300 + seed))
-            T = spark.createDataFrame(t, T_SCHEMA)
-            B = spark.createDataFrame(b, B_SCHEMA)
-            new, _ = M.upsert(T, B, SPEC, key="k", update_cols=["a"], seq="seq", set_now=())
-            assert sorted(map(tuple, new.collect())) == _replay_upsert(t, b)
-            new, _, _ = M.insert_ignore(T, B, SPEC, key="k", seq="seq")
-            assert sorted(map(tuple, new.collect())) == _replay_ignore(t, b)
-            new, _, _ = M.replace(T, B, SPEC, key="k", seq="seq")
-            assert sorted([(r.k, r.a, r.b) for r in new.collect()], key=str) == _replay_replace(t, b)
-    finally:
-        spark.conf.unset("tablekit.window.maxGroupRows")
+    """The reduced batch is checkpointed once and ids come from the
+    range/prefix-sum path, whatever the batch's size."""
+    for seed in range(2):
+        t, b = _random_case(random.Random(300 + seed))
+        T = spark.createDataFrame(t, T_SCHEMA)
+        B = spark.createDataFrame(b, B_SCHEMA)
+        new, _ = M.upsert(T, B, SPEC, key="k", update_cols=["a"], seq="seq", set_now=())
+        assert sorted(map(tuple, new.collect())) == _replay_upsert(t, b)
+        new, _, _ = M.insert_ignore(T, B, SPEC, key="k", seq="seq")
+        assert sorted(map(tuple, new.collect())) == _replay_ignore(t, b)
+        new, _, _ = M.replace(T, B, SPEC, key="k", seq="seq")
+        assert sorted([(r.k, r.a, r.b) for r in new.collect()], key=str) == _replay_replace(t, b)
 
 
 def test_ignore_and_replace_strict_other_unique_keys(spark):
@@ -271,3 +267,50 @@ def test_ignore_and_replace_strict_other_unique_keys(spark):
     fine = spark.createDataFrame([("y", 7, 0, 1)], B_SCHEMA)        # replaces y, a=7 is free
     new, _, _ = M.replace(T, fine, spec, "k", "seq", unique_check="strict")
     assert sorted(r.a for r in new.collect()) == [1, 7]
+
+
+def test_strict_insert_rejects_rows_keys_and_unknown_columns(spark):
+    from tablekit.operators.quality import ConstraintViolation
+    from tablekit.sources import fixtures as fx
+    from tablekit.spec import EMPLOYEES
+    emp = fx.employees(spark, "/root/testdata/sf0.001")
+    good = fx.sample_rows(spark, "admin")
+    taken = emp.select("national_id").first()[0]
+    for bad in (good.withColumn("base_salary", F.lit(-5).cast("decimal(10,2)")),
+                good.withColumn("contract_type", F.lit(None).cast("string")),
+                good.withColumn("contract_type", F.lit("INTERN")),
+                good.withColumn("national_id", F.lit(taken)),
+                good.union(good),
+                good.withColumnRenamed("full_name", "full_nme")):
+        with pytest.raises(ConstraintViolation):
+            M.insert(emp, bad, EMPLOYEES, "2024-01-01 00:00:00")
+    new, _ = M.insert(emp, good, EMPLOYEES, "2024-01-01 00:00:00")
+    assert new.count() == emp.count() + 1
+
+
+def test_ignore_drops_what_does_not_convert_and_other_duplicates(spark):
+    from tablekit.sources import fixtures as fx
+    from tablekit.spec import EMPLOYEES
+    emp = fx.employees(spark, "/root/testdata/sf0.001")
+    name = emp.select("full_name").first()[0]
+    good = fx.sample_rows(spark, "bulk").withColumn("seq", F.monotonically_increasing_id())
+    wide = good.withColumn("base_salary", F.when(F.col("full_name") == "Engineer A", F.lit("1000000000000.00"))
+                           .otherwise(F.col("base_salary").cast("string")).cast("decimal(20,2)"))
+    wide = wide.withColumn("full_name", F.when(F.col("full_name") == "Engineer B", F.lit(name)).otherwise(F.col("full_name")))
+    new, m, rejected = M.insert_ignore(emp, wide, EMPLOYEES, "national_id", "seq", "2024-01-01 00:00:00")
+    assert [r.reasons for r in rejected.collect()] == [["type:base_salary"]]
+    assert new.count() == emp.count() + 1 and tuple(m.first()) == (1, 2)
+
+
+def test_conditions_reach_the_scan(spark):
+    import re
+    from tablekit.operators import query as Q
+    li = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    pushed = lambda df: re.findall(r"PushedFilters: \[([^\]]*)\]", df._jdf.queryExecution().executedPlan().toString())[0]
+    kept, _ = M.delete(li, F.col("o_orderkey") < 100)
+    assert "Or(GreaterThanOrEqual(o_orderkey,100),IsNull(o_orderkey))" in pushed(kept)
+    assert "EqualTo(o_orderstatus,F)" in pushed(Q.oldest(li, F.col("o_orderstatus") == "F", ["o_orderdate"], "o_orderkey", 5))
+    assert "GreaterThan(o_orderkey,7)" in pushed(Q.page_after(li, ["o_orderkey"], [7], 5))
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    left, _ = M.purge(ev, "ts", F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'"))
+    assert "GreaterThanOrEqual(ts" in pushed(left) and "IsNull(ts)" in pushed(left)

@@ -38,7 +38,7 @@ def test_update_chunk_broadcasts_only_the_bounded_chunk(spark):
 def test_upsert_keeps_table_partitioning(spark):
     plan = final_plan(QUERIES["upsert"](spark, SF001))
     assert "LeftOuter, BuildRight" in plan                 # reduced batch is the broadcast side
-    assert "partial_max_by" in plan and "partial_min_by" in plan   # batch reduced map-side first
+    assert "max_by" not in plan                            # the batch is reduced once, beforehand
 
 
 def test_check_row_rules_single_pass(spark):
@@ -63,8 +63,21 @@ def test_window_split_path_has_no_group_sized_window(spark):
     assert "Scan ExistingRDD" in plan
     for fn in ("row_number()", "rank(", "dense_rank(", "ntile(", "lag(", "lead("):
         assert fn not in plan, fn
-    native = final_plan(QUERIES["window_rankings"](spark, SF001))
-    assert "row_number()" in native                        # small groups: Spark's own window
+    plain = final_plan(QUERIES["window_rankings"](spark, SF001))
+    assert "row_number()" not in plain                     # one path, whatever the size
+
+
+@pytest.mark.parametrize("name", ["assign_ids", "order_multi_key", "insert_bulk", "insert_select"])
+def test_no_rows_in_one_task(spark, name):
+    """Numbering never gathers the rows: only totals per range (and the
+    scalar maximum id) meet in one partition."""
+    plan = final_plan(QUERIES[name](spark, SF001))
+    assert "row_number()" not in plan
+
+
+def test_full_join_splits_its_hot_key(spark):
+    plan = final_plan(QUERIES["join_full"](spark, SF001))
+    assert "FullOuter" not in plan and "LeftAnti" in plan
 
 
 def test_search_tokenizes_once(spark):

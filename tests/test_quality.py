@@ -125,3 +125,36 @@ def test_json_field_and_utc(spark):
     assert [r.k for r in V.json_field(df, "j", "$.k", "int", "k").collect()] == [5, None]
     ts = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 12:00:00' AS t")
     assert str(V.to_utc(ts, "t", "America/New_York").first().t) == "2024-01-01 17:00:00"
+
+
+def test_rename_and_drop_follow_exact_names():
+    from tablekit.operators import evolve as E
+    from tablekit.spec import EMPLOYEES
+    spec = EMPLOYEES.replace(checks=(("c1", "base_salary >= 0"), ("c2", "salary <> 'base_salary' AND `salary` > 0")))
+    new = E.rename_in_spec(spec, "base_salary", "pay")
+    assert new.checks == (("c1", "pay >= 0"), ("c2", "salary <> 'base_salary' AND `salary` > 0"))
+    assert ("idx_department_salary", ("department_id", "pay DESC")) in new.indexes
+    assert [c.name for c in new.columns if c.name in ("pay", "base_salary")] == ["pay"]
+    assert E.rename_in_spec(spec, "full_name", "n").unique[1] == ("uk_email", ("n",))
+    kept = E.drop_column(_Frame(), spec, "salary")[1]
+    assert [n for n, _ in kept.checks] == ["c1"]
+    assert E.drop_index(E.add_index(spec, "i2", ("full_name",)), "i2") == spec
+
+
+class _Frame:
+    def drop(self, name):
+        return self
+
+
+def test_update_cascade_refuses_ambiguous_maps(spark):
+    import pytest
+    from tablekit.operators import quality as V
+    from tablekit.spec import ForeignKey
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    child = spark.createDataFrame([(10, 1), (11, 2)], "cid long, pid long")
+    fk = ForeignKey("f", ("pid",), "p", ("id",))
+    for rows in ([(1, 5), (1, 6)], [(1, 2)], [(1, 7), (2, 7)]):
+        with pytest.raises(V.ConstraintViolation):
+            V.update_parent_key(parent, child, fk, spark.createDataFrame(rows, "old long, new long"))
+    p, c = V.update_parent_key(parent, child, fk, spark.createDataFrame([(1, 2), (2, 1)], "old long, new long"))
+    assert sorted(r.id for r in p.collect()) == [1, 2, 3] and sorted((r.cid, r.pid) for r in c.collect()) == [(10, 2), (11, 1)]

@@ -12,7 +12,7 @@ from tablekit.operators.window import rank_within, top_k
 def test_rank_sequences(spark):
     # worked values: ROW_NUMBER 1,2,3,4 / RANK 1,2,2,4 / DENSE_RANK 1,2,2,3
     df = spark.createDataFrame([(1, "r", 10), (2, "r", 20), (3, "r", 20), (4, "r", 30)], "id long, g string, v int")
-    out = rank_within(df, ["g"], ["v"], ["id"], row_number="rn", rank="rk", dense_rank="dr", max_group_rows=0) \
+    out = rank_within(df, ["g"], ["v"], ["id"], row_number="rn", rank="rk", dense_rank="dr") \
         .orderBy("id").collect()
     assert [r.rn for r in out] == [1, 2, 3, 4]
     assert [r.rk for r in out] == [1, 2, 2, 4]
@@ -26,7 +26,7 @@ def test_rank_within_equals_native_window_on_hot_group(spark):
         F.col("id"),
         F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("g"),
         F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 37).alias("v"))
-    mine = rank_within(df, ["g"], ["v DESC"], ["id"], row_number="rn", rank="rk", dense_rank="dr", max_group_rows=0,
+    mine = rank_within(df, ["g"], ["v DESC"], ["id"], row_number="rn", rank="rk", dense_rank="dr",
                        ntile=("nt", 5), lag=[("lg", "id", 2)], lead=[("ld", "v", 1)], num_partitions=6)
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))
     wr = Window.partitionBy("g").orderBy(F.col("v").desc())
@@ -42,7 +42,7 @@ def test_rank_within_equals_native_window_on_hot_group(spark):
 def test_ntile_edges(spark, size, buckets):
     df = spark.range(size).select(F.lit("g").alias("g"), F.col("id"))
     from pyspark.sql import Window
-    mine = rank_within(df, ["g"], ["id"], [], ntile=("nt", buckets), max_group_rows=0).orderBy("id").collect()
+    mine = rank_within(df, ["g"], ["id"], [], ntile=("nt", buckets)).orderBy("id").collect()
     native = df.select(F.ntile(buckets).over(Window.partitionBy("g").orderBy("id")).alias("nt")) \
         .orderBy("nt").collect()
     assert [r.nt for r in mine] == [r.nt for r in native]
@@ -86,11 +86,23 @@ def test_right_is_swapped_left_and_full_via_union(spark):
     assert sorted(map(tuple, r.collect())) == sorted(map(tuple, native.select(*r.columns).collect()))
 
 
-def test_cross_guard(spark):
-    big = spark.range(100)
-    with pytest.raises(ValueError):
-        Q.cross(spark.range(3), big, max_rows=10)
-    assert Q.cross(spark.range(3), spark.range(2), max_rows=10).count() == 6
+def test_grid_over_a_declared_domain(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x"), (None, "y"), ("a", "x")], "g string, s string")
+    got = {(r.g, r.s): r.n for r in Q.grid(df, "g", "s", ["x", "y", None]).collect()}
+    assert got == {("a", "x"): 2, ("a", "y"): 0, ("a", None): 1, ("b", "x"): 1, ("b", "y"): 0, ("b", None): 0,
+                   (None, "x"): 0, (None, "y"): 1, (None, None): 0}
+
+
+@pytest.mark.parametrize("kind", ["row_number", "rank", "dense_rank"])
+def test_top_k_in_two_stages_equals_one_window(spark, kind):
+    from pyspark.sql import Window
+    from tablekit.operators.window import top_k
+    df = spark.range(0, 3000, numPartitions=6).selectExpr("id", "id % 2 as g", "hash(id) % 50 as v")
+    order = ["v DESC", "id"] if kind == "row_number" else ["v DESC"]
+    w = Window.partitionBy("g").orderBy(*[F.col("v").desc(), *([F.col("id")] if kind == "row_number" else [])])
+    for k in (1, 7, 1200):
+        want = df.withColumn("rank", getattr(F, kind)().over(w).cast("bigint")).filter(F.col("rank") <= k)
+        assert sorted(top_k(df, ["g"], order, k, kind=kind).collect()) == sorted(want.collect())
 
 
 def test_avg_ignores_nulls_and_empty_sum_is_null(spark):

@@ -34,6 +34,32 @@ def test_publish_fresh_versions(spark, tmpdir_fresh):
     assert t.count() == 0 and t.columns == ["id"]
 
 
+def test_latest_complete_version_and_truncate_refusal(spark, tmpdir_fresh):
+    base = os.path.join(tmpdir_fresh, "t")
+    with pytest.raises(FileNotFoundError):
+        S.read_latest(spark, base)
+    for v, n in ((1, 5), (2, 7), (3, 9)):
+        S.publish(spark.range(n), base, v)
+    os.remove(os.path.join(S.version_path(base, 3), "_SUCCESS"))     # a write that did not end
+    assert S.published_versions(spark, base) == [1, 2]
+    assert S.read_latest(spark, base).count() == 7
+    child = spark.createDataFrame([(1, 4), (2, None)], "id long, parent_id long")
+    with pytest.raises(ValueError):
+        S.truncate(spark.range(5), [(child, "parent_id")])
+    assert S.truncate(spark.range(5), [(child.filter("id = 2"), "parent_id")]).count() == 0
+
+
+def test_named_inserts_take_defaults_and_reject_unknown_columns(spark, tmpdir_fresh):
+    emp = fx.employees(spark, SF001)
+    path = S.publish(emp, tmpdir_fresh, 1)
+    row = fx.sample_rows(spark, "tcl").withColumn("emp_id", F.lit(10**9))
+    S.append(row, path, EMPLOYEES, "2024-01-01 00:00:00")
+    got = spark.read.parquet(path).filter("emp_id = 1000000000").first()
+    assert got.contract_type == "FULL_TIME" and got.created_at is not None and got.metadata is None
+    with pytest.raises(ValueError):
+        S.append(row.withColumn("full_nme", F.lit("x")), path)
+
+
 def test_compact_and_clustered_layout(spark, tmpdir_fresh):
     src = os.path.join(tmpdir_fresh, "src")
     spark.range(0, 20000, numPartitions=16).write.parquet(src)
@@ -42,7 +68,7 @@ def test_compact_and_clustered_layout(spark, tmpdir_fresh):
                            if f.endswith(".parquet")]) == 1
     emp = fx.employees(spark, SF001)
     out = os.path.join(tmpdir_fresh, "clustered")
-    S.write_clustered(emp, out, [F.col("department_id"), F.col("base_salary").desc()], 4)
+    S.write_clustered(emp, out, [F.col("department_id"), F.col("base_salary").desc()], "emp_id", 4)
     t = spark.read.parquet(out)
     q = t.filter(F.col("department_id") == 5)
     assert "PushedFilters: [IsNotNull(department_id), EqualTo(department_id,5)]" in \
@@ -69,20 +95,23 @@ def test_ddl_create_and_rename(spark):
 
 def test_assign_ids_dense_in_order(spark):
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("k"))
-    out = assign_ids(df, ["k"], start=100, name="id", num_partitions=5, max_group_rows=0).collect()
+    out = assign_ids(df, ["k"], start=100, name="id", num_partitions=5).collect()
     assert sorted((r.k, r.id) for r in out) == [(k, k + 100) for k in range(5000)]
 
 
 def test_batch_savepoints(spark, tmpdir_fresh):
     emp = fx.employees(spark, SF001)
-    b = Batch(emp, checkpoint_every=2)
+    b = Batch(emp)
     b.apply(M.insert, fx.sample_rows(spark, "tcl"), EMPLOYEES, "2024-01-01 00:00:00")
     b.savepoint("point_alpha")
     b.apply(M.update, {"base_salary": F.col("base_salary") + 500}, F.col("national_id") == "29906061122334")
     sal = lambda f: f.filter("national_id = '29906061122334'").first()
     assert sal(b.current).base_salary == Decimal("10000.00")
+    assert len(b.metrics) == 2
     b.rollback_to("point_alpha")
+    assert len(b.metrics) == 1                             # counts of undone steps go too
     b.release("point_alpha")
+    b.checkpoint()
     row = sal(b.current)
     assert row.base_salary == Decimal("9500.00") and row.contract_type == "FULL_TIME"
     with pytest.raises(KeyError):
