@@ -9,8 +9,9 @@ The estimate: start from medians and MADs, then repeat concentration steps
 (keep the share ``SUPPORT`` of rows that are closest, take their mean and
 covariance), and scale the covariance for consistency.  Every group's figures
 are sums and quantile sketches, so a group of any size is pre-aggregated by
-the tasks that read it.  A language and source with under ``MIN_GROUP`` rows
-is judged by its language's estimate, and that by all rows' if need be.
+the tasks that read it; joins with a group's figures are salted.  Sources with
+under ``MIN_GROUP`` rows of a language are pooled, and so are languages whose
+pool is still that small.
 
 Edge cases: a NULL or empty text has no words and fails; NULL languages and
 sources are groups of their own; rows that repeat an id are judged one by one;
@@ -23,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import checkpointed, table
@@ -31,6 +32,7 @@ from tablekit.llm.common import checkpointed, table
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 60
+SALTS = 16
 SUPPORT = 0.75
 STEPS = 4
 TAIL = 1e-9                           # chance of a normal vector beyond the cutoff
@@ -145,25 +147,43 @@ def _with_distance(rows: DataFrame, d: int) -> DataFrame:
     return rows.withColumn("dist", dist).drop(*[f"z_{i}" for i in range(d)])
 
 
-def levels_of(rows: DataFrame) -> DataFrame:
-    """A row for each estimate it counts towards: language and source, language, all."""
+def with_groups(stats: DataFrame) -> DataFrame:
+    """Add ``grp``, the group whose estimate judges the row, and ``salt``.
+
+    Sizes count the rows that pass the base rules.
+    """
+    lang, source = F.col("lang").cast("string"), F.col("source").cast("string")
+    rows = stats.withColumn("own", F.struct(lang.alias("lang"), source.alias("source")))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", *VECTOR), F.lit(SALTS)).cast("int"))
+    sizes = rows.groupBy("own").agg(F.count(F.when(~F.col("base_failed"), 1)).alias("n"))
+    small = F.when(F.col("n") < MIN_GROUP, F.col("n")).otherwise(0)
+    pool = F.sum(small).over(Window.partitionBy("own.lang"))
+
     def grp(level: int, lang: Column, source: Column) -> Column:
-        return F.struct(F.lit(level).alias("level"), lang.cast("string").alias("lang"),
-                        source.cast("string").alias("source"))
+        return F.struct(F.lit(level).alias("level"), lang.alias("lang"), source.alias("source"))
+
+    none = F.lit(None).cast("string")
+    group = (F.when(F.col("n") >= MIN_GROUP, grp(0, F.col("own.lang"), F.col("own.source")))
+             .when(pool >= MIN_GROUP, grp(1, F.col("own.lang"), none)).otherwise(grp(2, none, none)))
+    return rows.join(_salted(sizes.select("own", group.alias("grp"))), ["own", "salt"]).drop("own")
 
-    none = F.lit(None)
-    group = F.array(grp(0, F.col("lang"), F.col("source")), grp(1, F.col("lang"), none), grp(2, none, none))
-    return rows.select(F.explode(group).alias("grp"), *VECTOR)
+
+def _salted(small: DataFrame) -> DataFrame:
+    """A row for every salt, so that the rows of one group may meet it in many tasks."""
+    return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def mcd_estimates(rows: DataFrame) -> DataFrame:
-    """(grp, n, m_i, l_i_j): centre and Cholesky factor of every group's scaled MCD covariance."""
+    """(grp, n, m_i, l_i_j): centre and Cholesky factor of every group's scaled MCD covariance.
+
+    ``rows`` have grp, salt and the vector.
+    """
     names, floors = list(VECTOR), list(VECTOR.values())
     d = len(names)
-    leveled = levels_of(rows)
-    middle = leveled.groupBy("grp").agg(
+    rows = rows.select("grp", "salt", *names)
+    middle = rows.groupBy("grp").agg(
         F.count("*").alias("n"), *[F.percentile_approx(c, 0.5, ACCURACY).alias(f"m_{i}") for i, c in enumerate(names)])
-    spread = leveled.join(middle, "grp").groupBy("grp").agg(
+    spread = rows.join(_salted(middle), ["grp", "salt"]).groupBy("grp").agg(
         F.first("n").alias("n"), *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(d)],
         *[F.percentile_approx(F.abs(F.col(c) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"s_{i}")
           for i, c in enumerate(names)])
@@ -172,10 +192,10 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
     keep = ["grp", "n", *[f"m_{i}" for i in range(d)]]
     now = checkpointed(_factor_frame(spread, diagonal, keep))
     for _ in range(STEPS):
-        near = _with_distance(leveled.join(now, "grp"), d)
+        near = _with_distance(rows.join(_salted(now), ["grp", "salt"]), d)
         cut = near.groupBy("grp").agg(F.percentile_approx("dist", SUPPORT, ACCURACY).alias("cut"))
         cut = checkpointed(now.join(cut, "grp"))
-        inner = _with_distance(leveled.join(cut, "grp"), d).filter("dist <= cut")
+        inner = _with_distance(rows.join(_salted(cut), ["grp", "salt"]), d).filter("dist <= cut")
         moved = [F.col(c) - F.col(f"m_{i}") for i, c in enumerate(names)]      # about the last centre: no cancellation
         sums = inner.groupBy("grp").agg(
             F.first("n").alias("n"), *[F.first(f"m_{i}").alias(f"o_{i}") for i in range(d)],
@@ -191,22 +211,9 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
 def judged(stats: DataFrame, tail: float = TAIL) -> DataFrame:
     """Add ``distance`` (squared, from the row's estimate) and ``kept`` to transformed statistics."""
     d = len(VECTOR)
-    good = stats.filter(~F.col("base_failed"))
-    found = mcd_estimates(good)
-    params = ["n", *[f"m_{i}" for i in range(d)], *[f"l_{i}_{j}" for i in range(d) for j in range(i + 1)]]
-    est = found.select("grp", F.struct(*params).alias("est"))
-    # one estimate a group: its own, or its language's, or that of all rows
-    own = est.filter("grp.level = 0").select("grp", F.col("est").alias("own"))
-    lang = est.filter("grp.level = 1").select(F.struct("grp.lang").alias("lang_key"), F.col("est").alias("by_lang"))
-    every = est.filter("grp.level = 2").select(F.lit(0).alias("one"), F.col("est").alias("by_all"))
-    chosen = (own.withColumn("lang_key", F.struct("grp.lang")).withColumn("one", F.lit(0))
-              .join(lang, "lang_key").join(every, "one")
-              .select(F.struct("grp.lang", "grp.source").alias("judge"),
-                      F.when(F.col("own.n") >= MIN_GROUP, F.col("own"))
-                      .when(F.col("by_lang.n") >= MIN_GROUP, F.col("by_lang")).otherwise(F.col("by_all")).alias("est"))
-              .select("judge", "est.*"))
-    keyed = stats.withColumn("judge", F.struct("lang", "source"))
-    near = _with_distance(keyed.join(chosen, "judge", "left"), d)
+    rows = checkpointed(with_groups(stats))
+    found = mcd_estimates(rows.filter(~F.col("base_failed"))).drop("n")
+    near = _with_distance(rows.join(_salted(found), ["grp", "salt"], "left"), d)
     cutoff = chi2_quantile(1 - tail, d)
     return (near.withColumn("distance", F.col("dist"))
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("dist") <= cutoff, F.lit(True)))
@@ -215,6 +222,5 @@ def judged(stats: DataFrame, tail: float = TAIL) -> DataFrame:
 
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics of all documents, the base verdict and the method's."""
-    stats = checkpointed(transformed(base_statistics(table(spark, sf_dir, "documents"))))
-    return judged(stats).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return judged(checkpointed(transformed(base_statistics(table(spark, sf_dir, "documents"))))).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                 "base_failed", "kept", "distance")
