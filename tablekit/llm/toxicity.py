@@ -78,9 +78,11 @@ def char_grams(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.
     for k in GRAMS:
         n = np.maximum(room - k + 1, 1)
         p = spread(at[:-1], n)
-        key = (eights[p] & _U((1 << (8 * k)) - 1)) + _U(k << 56)
+        owner = np.repeat(np.arange(len(start)), n)
+        own = np.minimum(room, k)[owner]                # a word shorter than k is one n-gram by itself
+        key = (eights[p] & ((_U(1) << (_U(8) * own.astype(_U))) - _U(1))) + _U(k << 56)
         buckets.append((mix64(key) >> _U(64 - CHAR_BITS)).astype(np.int64))
-        owners.append(np.repeat(np.arange(len(start)), n))
+        owners.append(owner)
     return np.concatenate(buckets), np.concatenate(owners)
 
 
