@@ -4,11 +4,12 @@
 import pytest
 
 import __spark_entry__ as E
+from tablekit.plans import catalog
 from tests.conftest import SF001
 from tests.oracle_harness import compare, duck_con
 
-QUERIES = E.queries()
-SQLS = E.oracle_sql()
+QUERIES = catalog.queries()         # queries that SQL can't express have tests of their own in tests/llm
+SQLS = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
