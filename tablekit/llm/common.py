@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablekit.session import ensure_checkpoint_dir, reliable_checkpoint
 
-__all__ = ["checkpointed", "crc32_of_id", "ensure_checkpoint_dir", "shipped", "table", "text_or_empty"]
+__all__ = ["checkpointed", "crc32_of_id", "ensure_checkpoint_dir", "release", "shipped", "table", "text_or_empty"]
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED: set[str] = set()
@@ -42,6 +43,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames that nothing refers to any more.
+
+    Its cleaner acts when the driver's JVM collects garbage, which a job with
+    few objects and large shuffles may never come to do by itself.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

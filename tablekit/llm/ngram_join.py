@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import checkpointed, shipped, shuffle_partitions, table
+from tablekit.llm.common import checkpointed, release, shipped, shuffle_partitions, table
 from tablekit.llm.components import connected_components
 from tablekit.llm.words import (LOWER_AZ, mix64, ngram_hashes, pieces, sorted_sets, span_hashes, spread, word_spans)
 
@@ -477,12 +477,15 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     if 2 * num < den:
         raise ValueError("similarities under one half are out of range: signatures fold one width only")
     every = checkpointed(gram_sets(docs, words, num, den))
+    release(docs.sparkSession)                         # the packed n-grams, by far the largest shuffle
     able = every.filter(F.col("grams").isNotNull())
     reps = checkpointed(able.groupBy("n", "d1", "d2").agg(
         F.min("node").alias("rep"),
         F.min_by(F.struct("grams", "prefix", "near1", "near2", "signature"), "node").alias("s"))
         .select("rep", "n", "d1", "d2", "s.*"))
+    release(docs.sparkSession)
     links = checkpointed(near_links(reps, "near1", num, den).union(near_links(reps, "near2", num, den)))
+    release(docs.sparkSession)
     comps = connected_components(links).withColumnRenamed("node", "rep")
     more = completing_links(reps, comps, num, den)
     final = connected_components(links.union(checkpointed(more))).withColumnRenamed("node", "rep")
