@@ -21,8 +21,8 @@ from tablekit.llm.common import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: a document goes from this toxicity score on
-TOXIC_FROM = 0.5
+#: a document goes from this toxicity score on: op7's own threshold
+TOXIC_FROM = toxicity.TOXIC_FROM
 #: near copies: words in a shingle, similarity in percent
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import crc32_of_id, shipped, table
 from tablekit.llm.words import HashTable, mix64, pieces, span_hashes, spread, word_spans
 
+TOXIC_FROM = 0.3                      # a document is toxic from this score on, here and in the pipeline
 WINDOW, STRIDE = 24, 12
 WORD_BITS, CHAR_BITS = 15, 17
 EMBED, HIDDEN, ATTEND = 6, 8, 8       # a word's input has 2 * EMBED numbers
@@ -389,4 +390,4 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
     out = toxicity_scores(docs, table(spark, sf_dir, "labels"), ["doc_id", "held_out"])
-    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+    return out.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
