@@ -13,7 +13,9 @@ few others are trained on.  Features of too few sample documents are silent.  Sc
 Edge cases: NULL and empty texts and texts without letters score 0, as does
 every text when a class has no labelled document; repeated rows score alike;
 labels of several rows for one id count once, at their largest; an empty table
-gives no rows; other columns are ignored.
+gives no rows; other columns are ignored.  A run of letters of over ``LONG_RUN``
+bytes (scripts without spaces, glued text) is read as overlapping words of about
+``PART`` bytes, cut at code points.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ WINDOW, STRIDE = 24, 12
 WORD_BITS, CHAR_BITS = 15, 17
 EMBED, HIDDEN, ATTEND = 6, 8, 8       # a word's input has 2 * EMBED numbers
 GRAMS = (3, 5, 7)
+LONG_RUN = 64                         # bytes; a longer run of letters is read in parts
+PART, PART_STEP = 32, 16
 SAMPLE = 1200
 SAMPLE_CHARS = 30_000
 EPOCHS, RATE = 5, 0.02
@@ -58,16 +62,38 @@ LETTERS = _letters()
 
 
 def words_of(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(folded bytes, start, end, row bounds): runs of letters, ASCII in lower case."""
+    """(folded bytes, start, end, row bounds): runs of letters, ASCII in lower case, long ones in parts."""
     folded = np.zeros_like(buf)
     size = int(offs[-1])
     folded[:size] = LETTERS[buf[:size]]
-    return (folded, *word_spans(folded, offs))
+    return (folded, *_in_parts(folded, *word_spans(folded, offs)))
+
+
+def _in_parts(buf: np.ndarray, start: np.ndarray, end: np.ndarray,
+              bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with every run of over LONG_RUN bytes replaced by overlapping parts that cover it."""
+    length = end - start
+    if not (length > LONG_RUN).any():
+        return start, end, bounds
+    count = np.where(length > LONG_RUN, -(-(length - PART) // PART_STEP) + 1, 1)
+    run = np.repeat(np.arange(len(start)), count)
+    at = spread(np.zeros(len(start), np.int64), count) * PART_STEP
+    last = at == ((count - 1) * PART_STEP)[run]
+    first = _code_point(buf, start[run] + at, start[run])
+    after = np.where(last, end[run], _code_point(buf, np.minimum(start[run] + at + PART, end[run]), start[run]))
+    return first, after, np.concatenate(([0], np.cumsum(count)))[bounds]
+
+
+def _code_point(buf: np.ndarray, at: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Where the UTF-8 character that has byte ``at`` begins, not before ``least``."""
+    for _ in range(3):
+        at = np.where((at > least) & (buf[at] & 0xC0 == 0x80), at - 1, at)
+    return at
 
 
 def char_grams(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, word) of the distinct places of character n-grams in the given words."""
-    length = np.minimum(end - start, 64)               # features of very long words: their head
+    length = end - start
     room = length + 2
     at = np.concatenate(([0], np.cumsum(room)))
     packed = np.zeros(int(at[-1]) + 8, np.uint8)

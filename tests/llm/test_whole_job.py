@@ -18,3 +18,52 @@ def test_toxicity_stage_drops_what_op7_calls_toxic(spark, monkeypatch):
     monkeypatch.setattr(cp.toxicity, "table", lambda *_: docs)
     called = {r.doc_id for r in cp.toxicity.op7_toxicity(spark, "").collect() if r.predicted == 1}
     assert len(called) == 70 and kept == set(range(100)) - called
+
+
+def split(texts):
+    from tablekit.llm import toxicity
+    raw = [t if isinstance(t, bytes) else t.encode() for t in texts]
+    offs = np.concatenate(([0], np.cumsum([len(t) for t in raw])))
+    buf = np.concatenate((np.frombuffer(b"".join(raw), np.uint8), np.zeros(8, np.uint8)))
+    return offs, toxicity.words_of(buf, offs)
+
+
+def test_every_byte_of_a_long_run_reaches_the_network():
+    from tablekit.llm import toxicity
+    rng = random.Random(8)
+    texts = ["".join(chr(rng.choice([rng.randint(0x4E00, 0x9FFF), rng.randint(97, 122), 0x3000, 0x1F600, 0xE9]))
+                     for _ in range(n)) for n in (1, 12, 40, 445, 5000)]
+    texts += ["x" * 64, "x" * 65, "short words", "", "tail " + "y" * 1000 + " end", b"\x80" * 300]
+    offs, (buf, start, end, bounds) = split(texts)
+    for r, t in enumerate(texts):
+        own = [(s, e) for s, e in zip(start[bounds[r]:bounds[r + 1]], end[bounds[r]:bounds[r + 1]])]
+        assert all(offs[r] <= s < e <= offs[r + 1] and e - s <= toxicity.LONG_RUN for s, e in own)
+        read = {p for s, e in own for p in range(s, e)}
+        assert read == {p for p in range(offs[r], offs[r + 1]) if buf[p] != 32}
+        if isinstance(t, str):
+            for s, e in own:
+                buf[s:e].tobytes().decode()
+    _, (buf, start, end, _) = split(["z" * 3000])
+    bucket, word = toxicity.char_grams(buf, start, end)
+    assert len(bucket) == sum(e - s + 3 - k for s, e in zip(start, end) for k in toxicity.GRAMS)
+    assert len(np.unique(word)) == len(start)
+
+
+def test_insult_far_into_a_text_without_spaces(spark):
+    from tablekit.llm import toxicity
+    rng = random.Random(9)
+    chars = [chr(0x4E00 + rng.randrange(0x5000)) for _ in range(300)]
+    rows, marks = [], []
+    for i in range(900):
+        text = [rng.choice(chars) for _ in range(rng.randint(100, 300))]
+        if i % 4 == 0:
+            text.insert(rng.randrange(50, len(text)), "\u9fa0\u9fa1\u9fa2\u9fa3")
+        rows.append((i, "".join(text), "zh", "a", 0))
+        marks.append((i, 1, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, DOCS).withColumn("held_out", toxicity.held_out())
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    tested = [r for r in toxicity.toxicity_scores(docs, labels, ["doc_id", "held_out"]).collect() if r.held_out]
+    assert len(tested) > 150
+    right = [(r.score >= toxicity.TOXIC_FROM) == (r.doc_id % 4 == 0) for r in tested]
+    print(len(tested), sum(right) / len(right))
+    assert sum(right) > 0.93 * len(tested)
