@@ -1,7 +1,8 @@
 """Language identification with language-bitmask n-gram filters.
 
 One Bloom filter per language, stored bit-sliced: row ``r`` of the table is a
-bitmask of the languages whose filter has bit ``r`` set.  The AND of an
+bitmask of the languages whose filter has bit ``r`` set, in one column for each
+``WORD`` languages.  The AND of an
 n-gram's ``HASHES`` rows is the set of all languages that contain it.  A
 document counts, for each language, how many of its n-grams have the
 language's bit; shares are corrected by the filters' false-positive rates and
@@ -35,8 +36,10 @@ ROW_BITS = 18                         # rows of the bit-sliced table: 2 ** ROW_B
 GRAMS_PER_LANGUAGE = 30_000
 RELATIVE_RATE = 0.25                  # of the highest rate that any language has for the n-gram
 SAMPLE_PER_LANGUAGE = 400
+SAMPLE_TEXTS = 26_000                 # of all languages; with more than 65 each has an equal part, LEAST_TEXTS at least
+LEAST_TEXTS = 20
 SAMPLE_CHARS = 20_000
-MAX_LANGUAGES = 64
+WORD = 64                             # languages in a column of the table
 UNKNOWN = "und"
 _U = np.uint64
 
@@ -68,26 +71,39 @@ def row_indices(keys: np.ndarray) -> list[np.ndarray]:
 @dataclass(frozen=True)
 class LanguageFilters:
     languages: tuple[str, ...]
-    table: np.ndarray                 # bitmask of languages, one a row
+    tables: tuple[np.ndarray, ...]    # for each WORD languages their bitmask, one a row
     false_rates: tuple[float, ...]
 
-    def masks(self, keys: np.ndarray) -> np.ndarray:
-        """For every n-gram the bitmask of languages that contain it."""
-        rows = row_indices(keys)
-        out = self.table[rows[0]]
+    def masks(self, keys: np.ndarray, column: int = 0) -> np.ndarray:
+        """For every n-gram the bitmask of the languages of a column that contain it."""
+        return self._masks(row_indices(keys), column)
+
+    def _masks(self, rows: list[np.ndarray], column: int) -> np.ndarray:
+        table = self.tables[column]
+        out = table[rows[0]]
         for r in rows[1:]:
-            out &= self.table[r]
+            out &= table[r]
         return out
 
+    def hits(self, keys: np.ndarray, inside: np.ndarray) -> Iterator[np.ndarray]:
+        """For each language in turn, whether it contains the n-grams (those not ``inside``: no)."""
+        rows = row_indices(keys)
+        for column, table in enumerate(self.tables):
+            masks = self._masks(rows, column)
+            masks[~inside] = 0
+            for bit in range(min(WORD, len(self.languages) - column * WORD)):
+                yield (masks >> table.dtype.type(bit)) & table.dtype.type(1)
+
 
 def learn(texts: list[str], langs: list[str]) -> LanguageFilters | None:
     """Filters from labelled texts; None without any."""
-    names = sorted(set(langs))
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; the masks hold {MAX_LANGUAGES}")
+    by_lang: dict[str, list[str]] = {}
+    for t, x in zip(texts, langs):
+        by_lang.setdefault(x, []).append(t)
+    names = sorted(by_lang)
     found = []
     for lang in names:
-        raw = "\n".join(t for t, x in zip(texts, langs) if x == lang).encode()
+        raw = "\n".join(by_lang[lang]).encode()
         buf = np.zeros(len(raw) + 8, np.uint8)
         buf[:len(raw)] = FOLD[np.frombuffer(raw, np.uint8)]
         keys, counts = np.unique(gram_keys(buf, max(0, len(raw) - GRAM + 1)), return_counts=True)
@@ -95,19 +111,24 @@ def learn(texts: list[str], langs: list[str]) -> LanguageFilters | None:
     if not names:
         return None
     every = np.unique(np.concatenate([k for k, _ in found]))
-    rates = np.zeros((len(names), len(every)))
+    top = np.zeros(len(every))
+    for k, r in found:
+        at = np.searchsorted(every, k)
+        top[at] = np.maximum(top[at], r)
+    tables, fill = [], []
     for i, (k, r) in enumerate(found):
-        rates[i, np.searchsorted(every, k)] = r
-    top = rates.max(axis=0)
-    dtype = np.uint8 if len(names) <= 8 else np.uint16 if len(names) <= 16 else np.uint32 if len(names) <= 32 else _U
-    bits, fill = np.zeros(1 << ROW_BITS, dtype), []
-    for i in range(len(names)):
-        typical = np.flatnonzero((rates[i] > 0) & (rates[i] >= RELATIVE_RATE * top))
-        typical = typical[np.lexsort((every[typical], -rates[i][typical]))][:GRAMS_PER_LANGUAGE]
-        for rows in row_indices(every[typical]):
-            bits[rows] |= dtype(1 << i)
-        fill.append(float(((bits >> dtype(i)) & dtype(1)).mean()) ** HASHES)
-    return LanguageFilters(tuple(names), bits, tuple(fill))
+        if i % WORD == 0:
+            left = len(names) - i
+            dtype = np.uint8 if left <= 8 else np.uint16 if left <= 16 else np.uint32 if left <= 32 else _U
+            tables.append(np.zeros(1 << ROW_BITS, dtype))
+        bits, bit = tables[-1], tables[-1].dtype.type(i % WORD)
+        one = bits.dtype.type(1)
+        typical = np.flatnonzero(r >= RELATIVE_RATE * top[np.searchsorted(every, k)])
+        typical = typical[np.lexsort((k[typical], -r[typical]))][:GRAMS_PER_LANGUAGE]
+        for rows in row_indices(k[typical]):
+            bits[rows] |= one << bit
+        fill.append(float(((bits >> bit) & one).mean()) ** HASHES)
+    return LanguageFilters(tuple(names), tuple(tables), tuple(fill))
 
 
 def learned_filters(docs: DataFrame) -> LanguageFilters | None:
@@ -115,13 +136,15 @@ def learned_filters(docs: DataFrame) -> LanguageFilters | None:
     usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(
         "lang", "text", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)).alias("h"))
     usable = usable.filter(F.length("text") <= SAMPLE_CHARS)
-    sizes = usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    pick = F.lit(False)
-    for r in sizes:
-        share = min(1.0, SAMPLE_PER_LANGUAGE / r["count"])
-        pick = pick | ((F.col("lang") == r["lang"]) & (F.col("h") < int(1_000_000 * share) + 1))
-    rows = (usable.filter(pick).select("lang", "text")
-            .limit(2 * SAMPLE_PER_LANGUAGE * (MAX_LANGUAGES + 1)).collect())
+    sizes = usable.groupBy("lang").count().collect()
+    if not sizes:
+        return None
+    each = min(SAMPLE_PER_LANGUAGE, max(LEAST_TEXTS, SAMPLE_TEXTS // len(sizes)))
+    cuts = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(1_000_000 * min(1.0, each / r["count"])) + 1) for r in sizes],
+        "lang string, cut long")
+    rows = (usable.join(F.broadcast(cuts), "lang").filter("h < cut").select("lang", "text")
+            .limit(2 * each * (len(sizes) + 1)).collect())
     return learn([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
@@ -144,15 +167,13 @@ def predict(docs: DataFrame, model: LanguageFilters | None, keep: list[str],
                 if model:
                     folded = np.zeros_like(buf)
                     folded[:size] = FOLD[buf[:size]]
-                    masks = model.masks(gram_keys(folded, size))
                     inside = np.ones(size, bool)
                     for k in range(1, GRAM):           # windows that reach into the next document
                         inside[np.maximum(offs[1:] - k, 0)] = False
-                    masks[~inside[:size]] = 0
                     total = np.maximum(np.diff(offs) - GRAM + 1, 1)
-                    for i, false_rate in enumerate(model.false_rates):
-                        sums = np.concatenate(([0], np.cumsum((masks >> masks.dtype.type(i)) & masks.dtype.type(1),
-                                                              dtype=np.int64)))
+                    found = model.hits(gram_keys(folded, size), inside[:size])
+                    for i, (false_rate, has) in enumerate(zip(model.false_rates, found)):
+                        sums = np.concatenate(([0], np.cumsum(has, dtype=np.int64)))
                         hits = (sums[offs[1:]] - sums[offs[:-1]]) / total
                         shares[i] = np.maximum(0.0, (hits - false_rate) / (1 - false_rate))
                 best = shares.argmax(axis=0)

@@ -67,3 +67,21 @@ def test_insult_far_into_a_text_without_spaces(spark):
     right = [(r.score >= toxicity.TOXIC_FROM) == (r.doc_id % 4 == 0) for r in tested]
     print(len(tested), sum(right) / len(right))
     assert sum(right) > 0.93 * len(tested)
+
+
+def test_more_than_64_languages(spark):
+    from tablekit.llm import langid
+    rng = random.Random(10)
+    rows = []
+    for k in range(150):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)]
+        rows += [(100 * k + i, " ".join(rng.choices(words, k=40)), f"l{k:03}", "a", 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = langid.learned_filters(docs.filter(~langid.held_out()))
+    assert len(model.languages) == 150 and len(model.tables) == 3
+    out = langid.identified(docs.withColumn("held_out", langid.held_out()), ["lang", "held_out"]).collect()
+    tested = [r for r in out if r.held_out]
+    right = sum(r.lang == r.lang_pred for r in tested)
+    print(len(tested), right)
+    assert len(tested) > 400 and right > 0.97 * len(tested)
+    assert {r.lang_pred for r in tested} == {r.lang for r in tested}
