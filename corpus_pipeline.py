@@ -34,9 +34,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no learned language: NULL, empty, without letters."""
-    out = langid.identified(docs, docs.columns, names=("__lang", "__score"))
-    return out.filter(F.col("__lang") != langid.UNKNOWN).select(docs.columns)
+    """Drop documents in no learned language: NULL, empty, without letters, or too few n-grams in any filter."""
+    out = langid.identified(docs, docs.columns, names=("__lang", "__score", "__learned"))
+    return out.filter("__learned").select(docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

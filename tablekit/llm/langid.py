@@ -39,6 +39,7 @@ SAMPLE_PER_LANGUAGE = 400
 SAMPLE_TEXTS = 26_000                 # of all languages; with more than 65 each has an equal part, LEAST_TEXTS at least
 LEAST_TEXTS = 20
 SAMPLE_CHARS = 20_000
+LEAST_SHARE = 0.25                    # corrected share that a text in a learned language exceeds
 WORD = 64                             # languages in a column of the table
 UNKNOWN = "und"
 _U = np.uint64
@@ -153,9 +154,15 @@ def has_letter(text: bytes) -> bool:
 
 
 def predict(docs: DataFrame, model: LanguageFilters | None, keep: list[str],
-            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``keep`` columns of ``docs`` with the language and its score, from ``text`` alone."""
+            names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of ``docs`` with the language and its score, from ``text`` alone.
+
+    A third name adds whether the text is in a learned language at all: its best
+    corrected share exceeds LEAST_SHARE, or it has a letter but no whole n-gram to judge by.
+    """
     schema = docs.select(*keep).schema.add(names[0], "string").add(names[1], "double")
+    if len(names) > 2:
+        schema = schema.add(names[2], "boolean")
     out_names = [*keep, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,8 +178,8 @@ def predict(docs: DataFrame, model: LanguageFilters | None, keep: list[str],
                     for k in range(1, GRAM):           # windows that reach into the next document
                         inside[np.maximum(offs[1:] - k, 0)] = False
                     total = np.maximum(np.diff(offs) - GRAM + 1, 1)
-                    found = model.hits(gram_keys(folded, size), inside[:size])
-                    for i, (false_rate, has) in enumerate(zip(model.false_rates, found)):
+                    bits = model.hits(gram_keys(folded, size), inside[:size])
+                    for i, (false_rate, has) in enumerate(zip(model.false_rates, bits)):
                         sums = np.concatenate(([0], np.cumsum(has, dtype=np.int64)))
                         hits = (sums[offs[1:]] - sums[offs[:-1]]) / total
                         shares[i] = np.maximum(0.0, (hits - false_rate) / (1 - false_rate))
@@ -187,9 +194,9 @@ def predict(docs: DataFrame, model: LanguageFilters | None, keep: list[str],
                 known &= model is not None
                 pred = np.where(known, langs[best], UNKNOWN)
                 own = [b.column(i).slice(row, n) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))],
-                    names=out_names)
+                learned = known & ((shares.max(axis=0) > LEAST_SHARE) | (np.diff(offs) < GRAM))
+                found = [pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(learned)]
+                yield pa.RecordBatch.from_arrays([*own, *found[:len(names)]], names=out_names)
 
     shipped(docs.sparkSession)
     return docs.select(*keep, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
@@ -199,7 +206,7 @@ def held_out() -> Column:
     return crc32_of_id() % 3 == 1
 
 
-def identified(docs: DataFrame, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identified(docs: DataFrame, keep: list[str], names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """Learn from the rows that are not held out and predict all of ``docs``."""
     return predict(docs, learned_filters(docs.filter(~held_out())), keep, names)
 

@@ -1,5 +1,6 @@
 """Cases in which an operator or a stage once did less than its whole job."""
 
+import base64
 import random
 
 import numpy as np
@@ -85,3 +86,19 @@ def test_more_than_64_languages(spark):
     print(len(tested), right)
     assert len(tested) > 400 and right > 0.97 * len(tested)
     assert {r.lang_pred for r in tested} == {r.lang for r in tested}
+
+
+def test_language_stage_drops_what_no_filter_knows(spark):
+    from tablekit.llm.common import table
+    rng = random.Random(11)
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    noise = [base64.b64encode(rng.randbytes(300)).decode(),
+             "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(400)),
+             "".join(chr(rng.randint(0x3B1, 0x3C9)) for _ in range(200)),
+             "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(200)), "12 34", ""]
+    added = spark.createDataFrame([(-1 - k, t, None, "a", 0) for k, t in enumerate(noise)] + [(-100, "de", None, "a", 0)], DOCS)
+    kept = cp.language_stage(spark, docs.select(*added.columns).union(added), sf)
+    assert [r.doc_id for r in kept.filter("doc_id < 0").collect()] == [-100]
+    clean = docs.filter("text rlike '[a-zA-Z]'").count()
+    assert kept.filter("doc_id >= 0").count() >= clean
