@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablekit.llm.chat import OP4_SQL, op4_chat_formatting
+from tablekit.llm.collocations import OP11_SQL, op11_phrase_collocations
 from tablekit.llm.fingerprint import op10_fingerprints
 from tablekit.llm.langid import op3_language_id
+from tablekit.llm.license_scan import op13_license_scans
+from tablekit.llm.manifest import OP12_SQL, op12_merkle_manifest
 from tablekit.llm.mixing import op6_source_mixing
 from tablekit.llm.ngram_join import op1_ngram_jaccard_join
 from tablekit.llm.outliers import op9_quality_outliers
@@ -28,8 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_outliers": op9_quality_outliers,
     "op10_fingerprints": op10_fingerprints,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_license_scans": op13_license_scans,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_chat_formatting": OP4_SQL,
+    "op11_phrase_collocations": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }

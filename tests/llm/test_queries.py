@@ -7,6 +7,7 @@ from zlib import crc32
 
 import pytest
 
+import __spark_entry__ as E
 from tablekit.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.test_operators import brute_components, brute_stats, brute_targets, crc, encoder
 
@@ -24,7 +25,7 @@ def got(spark, prefix):
 
 
 def test_one_query_for_each_operator():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_op1(spark, docs):
@@ -73,3 +74,18 @@ def test_op10(spark, docs):
     for k, r in enumerate(docs):
         nxt, h = docs[(k + 1) % len(docs)].text, len(r.text) // 2
         assert rows[r.doc_id].edited_sha256 == hashlib.sha256((r.text[:len(r.text) - h] + nxt[:h]).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_sql(spark, name):
+    from tests.oracle_harness import compare, duck_con
+    r = compare(spark, duck_con(SF), name, QUERIES[name], E.oracle_sql()[name], SF)
+    assert r["ok"], r["problems"]
+
+
+def test_op13(spark, docs):
+    from tests.llm.test_new_operators import brute_scan
+    cols = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels"]
+    rows = got(spark, "op13_")
+    assert Counter(tuple(r[c] for c in cols) for r in rows) == Counter((r.doc_id, *brute_scan(r.text)[:6]) for r in docs)
+    assert all(0 <= r.score <= 1 and (r.score > 0) == bool(r.labels) for r in rows)
