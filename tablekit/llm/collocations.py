@@ -2,9 +2,10 @@
 
 1. Blocks.  Tasks cut texts into pieces and words and emit blocks of at most
    ``BLOCK_TOKENS`` words of one language: numbers into the block's own word
-   list.  The lists are summed into the vocabulary; words of at least
-   ``min_count`` get ids by falling frequency, and each block gets the ids of
-   its own words back, so no task holds a vocabulary.
+   list.  The lists travel packed, by hash bucket of the word, and are summed
+   there; words of at least ``least`` places are ranked by falling frequency in
+   their bucket, and the buckets' ranks, interleaved, are the word ids.  Each
+   block gets the ids of its own words back, so no task holds a vocabulary.
 2. Pairs.  A block's neighbours (left id, right id) fall into tiles of ``TILE``
    x ``TILE`` ids.  As ids are ranks, the first tiles are crowded: those are
    counted by ``bincount`` into a dense array, addressed by the pair itself;
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.common import checkpointed, shipped, table
 from tablekit.llm.words import LOWER_AZ, HashTable, mix64, pieces, span_hashes, spread
-from tablekit.operators.window import numbered_rows, top_k
+from tablekit.operators.window import top_k
 from tablekit.session import materialize
 
 MIN_COUNT, SHARE, BEST, SCALE = 10, 50, 2000, 1_000_000
@@ -74,6 +75,15 @@ def _unpack(packed: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
+def _buckets(n: int) -> int:
+    """Buckets for a language of ``n`` words."""
+    return max(1, -(-n // BUCKET_TOKENS))
+
+
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((h >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+
+
 # ---------------------------------------------------------------- blocks of words
 
 def piece_words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -158,18 +168,89 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _encoded(key: tuple, block: pa.Table, ids: pa.Table) -> pa.Table:
-    """A block's tokens and the ids of its words (pos, id) -> runs of ids, a zero before each, ids from 1."""
+LISTED = "lang string, bucket int, block long, n long, words array<string>, pos binary, counts binary"
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word lists (block, lang, n, words, counts) -> a packed row for each bucket of words."""
+    for b in batches:
+        for k in range(b.num_rows):
+            block, lang, n = (b.column(c)[k] for c in range(3))
+            words = b.column(3).slice(k, 1).flatten().cast(pa.large_binary())
+            count = b.column(4).slice(k, 1).flatten().to_numpy()
+            offs = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+            buf = np.frombuffer(words.buffers()[2], np.uint8)
+            buckets = _buckets(n.as_py())
+            bucket = _bucket(span_hashes(np.concatenate((buf, np.zeros(8, np.uint8))), offs[:-1], offs[1:]), buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            used = np.flatnonzero(np.diff(cuts))
+            parts = [order[cuts[u]:cuts[u + 1]] for u in used]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(cuts[used], len(order)), pa.int32()),
+                                             words.take(pa.array(order)).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(used)), pa.array(used, pa.int32()), pa.repeat(block, len(used)), pa.repeat(n, len(used)),
+                 lists, pa.array([_pack(o) for o in parts], pa.binary()), pa.array([_pack(count[o]) for o in parts], pa.binary())],
+                names=["lang", "bucket", "block", "n", "words", "pos", "counts"])
+
+
+WORDS = "lang string, block long, words array<string>, pos binary, ids binary, counts binary"
+
+
+def _ids(least: int):
+    """A bucket's packed word rows -> its frequent words with ids (block NULL), and each block's places and ids."""
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        flat = pa.chunked_array([c.flatten() for c in t["words"].chunks]).combine_chunks().dictionary_encode()
+        which, words = flat.indices.to_numpy(), flat.dictionary
+        each = [_unpack(c) for c in t["counts"].to_pylist()]
+        total = np.zeros(len(words), np.int64)
+        np.add.at(total, which, np.concatenate(each))
+        often = np.flatnonzero(total >= least)
+        names = words.take(pa.array(often)).to_pylist()
+        ranked = often[sorted(range(len(often)), key=lambda i: (-total[often[i]], names[i]))]
+        bucket, buckets = key[1].as_py(), _buckets(t["n"][0].as_py())
+        ids = np.zeros(len(words), np.int64)
+        ids[ranked] = np.arange(len(ranked)) * buckets + bucket + 1
+        rows = [(None, words.take(pa.array(ranked)).to_pylist(), None, _pack(ids[ranked]), _pack(total[ranked]))] if len(ranked) else []
+        cuts = np.concatenate(([0], np.cumsum([len(e) for e in each])))
+        for block, pos, s, e in zip(t["block"].to_pylist(), t["pos"].to_pylist(), cuts[:-1], cuts[1:]):
+            own = ids[which[s:e]]
+            at = np.flatnonzero(own)
+            if len(at):
+                rows.append((block, None, _pack(_unpack(pos)[at]), _pack(own[at]), None))
+        kinds = [pa.int64(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(rows), pa.string()),
+                         **{c: pa.array([r[k] for r in rows], kinds[k])
+                            for k, c in enumerate(("block", "words", "pos", "ids", "counts"))}})
+
+    return run
+
+
+def _opened_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed words (lang, words, ids, counts) -> a row for each."""
+    for b in batches:
+        for k in range(b.num_rows):
+            words = b.column(1).slice(k, 1).flatten()
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(b.column(0)[k], len(words)), pa.array(_unpack(b.column(2)[k].as_py())), words,
+                 pa.array(_unpack(b.column(3)[k].as_py()))], names=["lang", "id", "word", "f"])
+
+
+def _encoded(key: tuple, block: pa.Table, words: pa.Table) -> pa.Table:
+    """A block's tokens and the ids of its words -> runs of ids from 1, a zero before each."""
     tokens = _unpack(block["tokens"][0].as_py())
     of = np.zeros(int(tokens.max()) + 1, np.int64)
-    of[ids["pos"].to_numpy() + 1] = ids["id"].to_numpy()
+    for pos, ids in zip(words["pos"].to_pylist(), words["ids"].to_pylist()):
+        of[_unpack(pos) + 1] = _unpack(ids)
     out = of[tokens]
     known = out > 0
     beside = known & (np.concatenate(([False], known[:-1])) | np.concatenate((known[1:], [False])))
     out[~beside] = 0                                   # a word alone is in no phrase
     keep = out > 0
     keep[:-1] |= out[1:] > 0                           # of a row of breaks the last
-    return pa.table({"block": block["block"], "lang": block["lang"], "ids": pa.array([_pack(out[keep])], pa.binary())})
+    return pa.table({"block": block["block"], "lang": block["lang"], "n": block["n"],
+                     "ids": pa.array([_pack(out[keep])], pa.binary())})
 
 
 # ---------------------------------------------------------------- tiles
@@ -210,12 +291,13 @@ def _hashed(columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
+ENCODED = "block long, lang string, n long, ids binary"
 PACKED = "lang string, bucket int, block long, phrases array<binary>, counts binary"
 
 
 def _by_bucket(lang: str, block: int, columns: list[np.ndarray], count: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Phrases (a column of ids for each word) with counts -> a packed row for each bucket."""
-    bucket = ((_hashed(columns) >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+    bucket = _bucket(_hashed(columns), buckets)
     order = np.lexsort((*columns[::-1], bucket))
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     rows = []
@@ -228,14 +310,10 @@ def _by_bucket(lang: str, block: int, columns: list[np.ndarray], count: np.ndarr
          pa.array([r[2] for r in rows], pa.binary())], names=["lang", "bucket", "block", "phrases", "counts"])
 
 
-def _buckets(n: int) -> int:
-    return max(1, -(-n // BUCKET_TOKENS))
-
-
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Encoded blocks (block, lang, ids, n) -> their pairs, counted."""
+    """Encoded blocks (block, lang, n, ids) -> their pairs, counted."""
     for b in batches:
-        for block, lang, ids, n in zip(*[b.column(k) for k in range(4)]):
+        for block, lang, n, ids in zip(*[b.column(k) for k in range(4)]):
             seq = _unpack(ids.as_py())
             at = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
             left, right, count = tile_counts(seq[at] - 1, seq[at + 1] - 1)
@@ -323,31 +401,31 @@ def _rows(packed: DataFrame, words: int) -> DataFrame:
 
 # ---------------------------------------------------------------- candidates
 
-def phrase_counts(docs: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(words(lang, id, word, f, n), pairs(lang, w1, w2, a), triples(lang, w1, w2, w3, a)): all with ``least`` or more.
+def phrase_counts(docs: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(totals(lang, n), words(lang, id, word, f), pairs(lang, w1, w2, a), triples(lang, w1, w2, w3, a)).
 
-    ``n`` counts the language's words, frequent or not.
+    The last three hold what has ``least`` or more places; ``n`` counts the
+    language's words, frequent or not.
     """
     shipped(docs.sparkSession)
     src = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     blocks = materialize(src.mapInArrow(_blocked, BLOCKS))
-    listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w")) \
-        .select("block", "lang", "pos", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    totals = checkpointed(blocks.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (a, c) -> a + c)")).alias("n")))
-    often = listed.groupBy("lang", "word").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
-    words = checkpointed(numbered_rows(often, ["lang"], ["f DESC"], ["word"], "id"))
-    ids = listed.select("block", "lang", "pos", "word").join(words.select("lang", "word", "id"), ["lang", "word"])
-    encoded = (blocks.select("block", "lang", "tokens").groupBy("block", "lang")
-               .cogroup(ids.select(F.col("block").alias("of"), F.col("lang").alias("in"), "pos", "id").groupBy("of", "in"))
-               .applyInArrow(_cogrouped(_encoded, "block long, lang string, ids binary"), "block long, lang string, ids binary"))
-    encoded = materialize(encoded.join(totals, "lang").select("block", "lang", "ids", "n"))
+    # written as a table, so that the planner knows how small it is
+    totals = materialize(blocks.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (a, c) -> a + c)")).alias("n")))
+    lists = blocks.select("block", "lang", "words", "counts").join(totals, "lang").select("block", "lang", "n", "words", "counts")
+    ranked = materialize(lists.mapInArrow(_listed, LISTED).groupBy("lang", "bucket").applyInArrow(_ids(least), WORDS))
+    words = checkpointed(ranked.filter("block IS NULL").select("lang", "words", "ids", "counts")
+                         .mapInArrow(_opened_words, "lang string, id long, word string, f long"))
+    own = ranked.filter("block IS NOT NULL").select(F.col("block").alias("of"), F.col("lang").alias("in"), "pos", "ids")
+    encoded = materialize(blocks.select("block", "lang", "tokens").join(totals, "lang").groupBy("block", "lang")
+                          .cogroup(own.groupBy("of", "in")).applyInArrow(_cogrouped(_encoded, ENCODED), ENCODED))
     pairs = materialize(encoded.mapInArrow(_pairs, PACKED).groupBy("lang", "bucket")
                         .applyInArrow(_summed(2, least, True), PACKED))
     back = pairs.filter("block IS NOT NULL").select(F.col("block").alias("of"), F.col("lang").alias("in"), "phrases", "counts")
     triples = (encoded.groupBy("block", "lang").cogroup(back.groupBy("of", "in"))
                .applyInArrow(_cogrouped(_triples, PACKED), PACKED))
     triples = triples.groupBy("lang", "bucket").applyInArrow(_summed(3, least, False), PACKED)
-    return (words.join(totals, "lang"), checkpointed(_rows(pairs, 2)), checkpointed(_rows(triples, 3)))
+    return totals, words, checkpointed(_rows(pairs, 2)), checkpointed(_rows(triples, 3))
 
 
 def _cogrouped(fn, schema: str):
@@ -371,7 +449,7 @@ def _score(a: str, left: str, right: str) -> str:
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, share: int = SHARE, best: int = BEST) -> DataFrame:
     """The ``best`` collocations of every language: lang, rank, phrase, a, l, r, n, score."""
-    words, pairs, triples = phrase_counts(docs, least)
+    totals, words, pairs, triples = phrase_counts(docs, least)
 
     def word(k: int) -> DataFrame:
         return words.select("lang", F.col("id").alias(f"w{k}"), F.col("word").alias(f"s{k}"), F.col("f").alias(f"f{k}"))
@@ -393,8 +471,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, share: int = SHARE, be
                        F.when(F.col("c1") <= F.col("c2"), F.col("p2")).otherwise(F.col("f3")).alias("r"),
                        F.least("c1", "c2").alias("score"))
     ranked = top_k(two.unionByName(three), ["lang"], ["score DESC", "a DESC", "phrase"], best)
-    n = words.select("lang", "n").distinct()
-    return ranked.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
