@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import checkpointed, crc32_of_id, table
-from tablekit.operators.window import numbered_rows
+from tablekit.operators.window import _numbered, parse_order
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 DIGIT = 8                             # bits of a rank that select a child of a record
@@ -61,7 +61,7 @@ def tree_name(lang: str = "lang") -> Column:
 
 @dataclass(frozen=True)
 class Manifest:
-    """``records(digest, levels)``, ``trees(tree, n, top_rank, subroot)``, ``leaves`` with their ranks, and the root."""
+    """``records(digest, levels)``, ``trees(tree, n, over, top_rank, subroot)``, ``leaves`` with their ranks, and the root."""
     records: DataFrame
     trees: DataFrame
     leaves: DataFrame
@@ -106,9 +106,9 @@ def _grown(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
 def _ranked(df: DataFrame, by: list[str], tie: list[str]) -> DataFrame:
     """``rank`` from 0 within a tree, and ``n``, the tree's size."""
     # rows that are equal in all of this are the same leaf; their place in the input keeps a crowd of them splittable
-    out = numbered_rows(df.withColumn("__at", F.monotonically_increasing_id()), ["tree"], by, [*tie, "__at"])
-    sizes = df.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
-    return out.drop("__at").withColumn("rank", F.col("__rn") - 1).drop("__rn").join(sizes, "tree")
+    out = _numbered(df.withColumn("__at", F.monotonically_increasing_id()), ["tree"], parse_order(by), [*tie, "__at"], None, True)
+    return out.withColumn("rank", F.col("__rn") - 1).withColumn("n", F.col("__size")).drop(
+        "__at", "__rn", "__size", "__pid", "__loc")
 
 
 def build_manifest(leaves: DataFrame) -> Manifest:
@@ -120,7 +120,7 @@ def build_manifest(leaves: DataFrame) -> Manifest:
     over = checkpointed(_ranked(tops.drop("n"), ["of"], []))
     n_trees = over.count()
     more, top = _grown(over.select("tree", "n", "rank", F.col("subroot").alias("digest")))
-    trees = (over.select(F.col("of").alias("tree"), F.col("rank").alias("top_rank"), "subroot")
+    trees = (over.select(F.col("of").alias("tree"), F.col("tree").alias("over"), F.col("rank").alias("top_rank"), "subroot")
              .join(tops.select(F.col("of").alias("tree"), "n"), "tree"))
     store = None
     for r in records + more:
@@ -189,7 +189,8 @@ def proofs(manifest: Manifest, requests: DataFrame) -> DataFrame:
     most = manifest.trees.agg(F.max("n")).first()[0] or 0
     sized = manifest.trees.withColumn("left", F.expr(_rounds("n")))
     top_rounds, rounds = _count_rounds(manifest.n_trees), _count_rounds(most)
-    tops = sized.select(F.lit(TOP).alias("tree"), F.col("top_rank").alias("rank"), F.lit(top_rounds).alias("left"),
+    # ``over`` is a column read back, not a literal: a join on literals alone would be a product
+    tops = sized.select(F.col("over").alias("tree"), F.col("top_rank").alias("rank"), F.lit(top_rounds).alias("left"),
                         F.col("tree").alias("of"), F.col("left").alias("own"), "subroot")
     start = manifest.records.sparkSession.createDataFrame(
         [(TOP, top_rounds, manifest.root, [])], "tree string, left int, digest string, path array<string>")
