@@ -21,7 +21,7 @@ PUNCTUATION = np.zeros(256, dtype=bool)
 PUNCTUATION[[ord(c) for c in '.,;:!?|"()#$%&*']] = True
 LETTER = np.zeros(256, dtype=bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
-MAX_STRETCHES = 3_000_000             # cached stretches of a worker; then it starts anew
+MAX_STRETCHES = 250_000               # cached stretches of a worker, about 10 MB; then it starts anew
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 
@@ -75,9 +75,10 @@ class BatchTokenizer:
 
     def reset(self) -> None:
         self.table = HashTable(18)
-        self.counts = np.zeros(0, dtype=np.int64)
-        self.first = np.zeros(0, dtype=np.int64)
-        self.flat = np.zeros(0, dtype=np.uint32)
+        self.used = 0                                  # ids in flat
+        self.counts = np.zeros(1 << 16, dtype=np.int32)
+        self.first = np.zeros(1 << 16, dtype=np.int32)
+        self.flat = np.zeros(1 << 18, dtype=np.uint32)
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, row bounds): the ids of all documents one after another."""
@@ -86,23 +87,33 @@ class BatchTokenizer:
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
         if self.table.size > MAX_STRETCHES:
             self.reset()
+        known = self.table.size
         slot, new = self.table.slots(span_hashes(buf, start, end))
         if len(new):
+            new = new[np.argsort(slot[new])]            # slots of new stretches are dense and ascending
             raw = buf.tobytes()
             ids = [x.ids for x in self.tokenizer.encode_batch_fast(
                 [raw[s:e].decode("utf-8", "replace") for s, e in zip(start[new].tolist(), end[new].tolist())],
                 add_special_tokens=False)]
-            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum()))
-            self.first = np.concatenate((self.first, len(self.flat) + np.cumsum(counts) - counts))
-            self.counts = np.concatenate((self.counts, counts))
-            self.flat = np.concatenate((self.flat, flat))
-            order = np.argsort(slot[new])               # slots of new stretches are dense and ascending
-            base = len(self.first) - len(new)
-            self.first[base:], self.counts[base:] = self.first[base:][order], self.counts[base:][order]
-        n = self.counts[slot]
+            counts = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids))
+            total = int(counts.sum())
+            self.first, self.counts = (_with_room(x, self.table.size) for x in (self.first, self.counts))
+            self.flat = _with_room(self.flat, self.used + total)
+            self.counts[known:self.table.size] = counts
+            self.first[known:self.table.size] = self.used + np.cumsum(counts) - counts
+            self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=total)
+            self.used += total
+        n = self.counts[slot].astype(np.int64)
         total = np.concatenate(([0], np.cumsum(n)))
-        return self.flat[spread(self.first[slot], n)], total[bounds]
+        return self.flat[spread(self.first[slot].astype(np.int64), n)], total[bounds]
+
+
+def _with_room(x: np.ndarray, size: int) -> np.ndarray:
+    """``x``, doubled until it has ``size`` places."""
+    room = len(x)
+    while room < size:
+        room *= 2
+    return x if room == len(x) else np.concatenate((x, np.zeros(room - len(x), x.dtype)))
 
 
 _KEPT: dict[str, BatchTokenizer] = {}

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 LONG_WORD = 512                       # bytes; longer words are hashed one by one
 WHITE = np.zeros(256, dtype=bool)     # bytes [\x20\x09-\x0D]
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
