@@ -28,8 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.functions.exprs import any_differs, hit, miss
+from tablekit.operators import conflicts
 from tablekit.operators.ids import assign_ids, next_id
-from tablekit.operators.quality import ConstraintViolation, duplicate_keys, enforce, require_empty
+from tablekit.operators.quality import (
+    ConstraintViolation, any_broken, broken_rules, check, duplicate_keys, enforce, key_string, orphans, require_empty)
 from tablekit.operators.query import oldest
 from tablekit.operators.window import numbered_rows
 from tablekit.session import materialize
@@ -106,17 +108,45 @@ def _without(spec: TableSpec, column: str | None) -> TableSpec:
     return spec.replace(columns=tuple(c for c in spec.columns if c.name != column))
 
 
-def check_batch(table: DataFrame, batch: DataFrame, spec: TableSpec, skip: str | None = None) -> None:
-    """Strict mode of an INSERT: raises ConstraintViolation when a batch row
-    breaks a row rule, or repeats a PRIMARY or UNIQUE key of the batch or table.
+def check_rows(batch: DataFrame, spec: TableSpec, skip: str | None = None,
+               parents: Mapping[str, DataFrame] | None = None) -> None:
+    """Strict mode of every writer: raises ConstraintViolation when a row breaks
+    a row rule, or a FOREIGN KEY into one of ``parents`` (by table name).
     ``skip``: a column that the table fills in itself (AUTO_INCREMENT)."""
     enforce(batch, _without(spec, skip), "strict")
-    keys = [("primary_key", spec.primary_key), *[(f"unique:{n}", c) for n, c in spec.unique]]
-    for rule, cols in keys:
-        if cols and skip not in cols:
-            own = batch.select(*cols).dropna(subset=list(cols))
-            require_empty(duplicate_keys(own, cols, rule), f"INSERT into {spec.name}")
-            require_empty(own.join(table.select(*cols), list(cols), "left_semi"), f"INSERT into {spec.name}: {rule}")
+    for fk in spec.foreign_keys:
+        if parents and fk.parent in parents and set(fk.cols) <= set(batch.columns):
+            require_empty(orphans(batch, parents[fk.parent], fk, fk.cols), f"{spec.name}: {fk.name}")
+
+
+def check_batch(table: DataFrame, batch: DataFrame, spec: TableSpec, skip: str | None = None,
+                parents: Mapping[str, DataFrame] | None = None) -> None:
+    """Strict mode of an INSERT: ``check_rows``, and no PRIMARY or UNIQUE key of
+    the batch or the table is repeated."""
+    check_rows(batch, spec, skip, parents)
+    require_empty(key_violations(table, batch, spec), f"INSERT into {spec.name}")
+
+
+def key_violations(table: DataFrame, batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """(rule, key, n): keys that the batch repeats (n rows), and ``<rule>:held`` for those the table holds already."""
+    out = None
+    for rule, cols in conflicts.unique_keys(spec, batch.columns):
+        own = batch.select(*cols).dropna(subset=list(cols))
+        held = own.join(table.select(*cols), list(cols), "left_semi").distinct().select(
+            F.lit(f"{rule}:held").alias("rule"), key_string(cols).alias("key"), F.lit(1).cast("bigint").alias("n"))
+        for part in (duplicate_keys(own, cols, rule), held):
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = batch.sparkSession.createDataFrame([], "rule string, key string, n bigint")
+    return out
+
+
+def insert_violations(table: DataFrame, batch: DataFrame, spec: TableSpec,
+                      parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """(rule, key, n): everything for which a strict INSERT of the batch is refused."""
+    keys = key_violations(table, batch, spec)
+    return check(batch, spec.replace(unique=()), parents) \
+        .filter("rule <> 'primary_key'").unionByName(keys)
 
 
 def _check_other_unique(new: DataFrame, spec: TableSpec, key: str, mode: str | None) -> None:
@@ -134,7 +164,8 @@ def _check_other_unique(new: DataFrame, spec: TableSpec, key: str, mode: str | N
 # --- M1 / M2 / M6: insert -------------------------------------------------------------
 
 def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
-           order: Sequence[str] | None = None, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
+           order: Sequence[str] | None = None, mode: str = "strict",
+           parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """M1/M2: INSERT (named columns; defaults for the rest; AUTO_INCREMENT
     ids continue after the table's max in ``order`` of the batch).  In strict
     mode the batch is checked first (``check_batch``); ``mode="unchecked"`` is
@@ -143,7 +174,7 @@ def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
     fills = id_col if id_col and id_col not in batch.columns else None
     b = align(batch, spec, now, exclude=(fills,) if fills else ())
     if mode == "strict":
-        check_batch(table, b, spec, fills)
+        check_batch(table, b, spec, fills, parents)
     elif mode != "unchecked":
         raise ValueError(mode)
     if fills:
@@ -156,13 +187,13 @@ def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
 def insert_select(table: DataFrame, source: DataFrame, spec: TableSpec,
                   mapping: Mapping[str, Column], where=None, now=None,
                   order: Sequence[str] | None = None,
-                  source_key: str | None = None,
-                  mode: str = "strict") -> tuple[DataFrame, DataFrame, DataFrame | None]:
+                  source_key: str | None = None, mode: str = "strict",
+                  parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """M6: INSERT .. SELECT.  Returns (new table, metrics, processed source
     keys) so the caller can mark them processed (the template never does)."""
     picked = source.filter(hit(where))
     batch = picked.select(*[e.alias(c) for c, e in mapping.items()])
-    new, m = insert(table, batch, spec, now, order, mode)
+    new, m = insert(table, batch, spec, now, order, mode, parents)
     keys = picked.select(source_key) if source_key else None
     return new, m, keys
 
@@ -201,13 +232,20 @@ def _matched_keys(table: DataFrame, batch_keys: DataFrame, key: str) -> DataFram
     return table.select(key).join(batch_keys, key, "left_semi")
 
 
-def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
+def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str | None,
            update_cols: Sequence[str], seq: str, now=None,
            set_now: Sequence[str] = ("updated_at",),
-           unique_check: str | None = None) -> tuple[DataFrame, DataFrame]:
+           unique_check: str | None = "strict", mode: str = "strict",
+           parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """M3: INSERT .. ON DUPLICATE KEY UPDATE c = VALUES(c), replayed in ``seq`` order.
 
-    Equals row-by-row replay: a key already in T gets the LAST batch value of
+    Without a ``key`` a row updates the row that holds its value of ANY unique
+    key, the first key in declared order that is held (``conflicts``); an update
+    that would repeat a key raises.  With a ``key`` only that one decides, and
+    the others are checked on the result.  In strict ``mode`` the batch's rows
+    are checked first (``check_rows``).
+
+    With a ``key``: equals row-by-row replay: a key already in T gets the LAST batch value of
     each update column (others keep T's values); a new key is inserted from
     its FIRST batch row, then its update columns take the LAST values.  Rows
     with a NULL key never conflict and are all inserted.  ``set_now``
@@ -221,7 +259,13 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     id_col = auto_column(spec)
     cols = table.columns
     b = align(batch, spec, now, exclude=(id_col,) if id_col else (), extra=(seq,))
+    if mode == "strict":
+        check_rows(b, spec, id_col, parents)
+    elif mode != "unchecked":
+        raise ValueError(mode)
     ins_cols = [c for c in cols if c != id_col]
+    if key is None:
+        return _upsert_any_key(table, b, spec, id_col, update_cols, seq, now, set_now)
     b_key, b_null = b.filter(F.col(key).isNotNull()), b.filter(F.col(key).isNull())
 
     order = _seq_order(b_key, seq)
@@ -263,9 +307,36 @@ def upsert(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     return new, metrics
 
 
-def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq: str,
+def _upsert_any_key(table: DataFrame, b: DataFrame, spec: TableSpec, id_col: str | None, update_cols: Sequence[str],
+                    seq: str, now, set_now: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    cols, types = table.columns, dict(table.dtypes)
+    (row_key,) = spec.primary_key
+    keys = conflicts.unique_keys(spec, b.columns)
+    batch = conflicts.numbered_batch(b, seq)
+    ops = materialize(conflicts.upserted(table, batch, keys, row_key, update_cols))
+    values = batch.select(F.col(conflicts.ORD).alias("last"), F.struct(*update_cols).alias("__last"))
+    upd = ops.filter("old IS NOT NULL").join(values, "last").select(
+        F.col("old").cast(types[row_key]).alias("__k"), "__last", F.lit(True).alias("__in_b"))
+    j = table.join(upd, table[row_key] == F.col("__k"), "left")
+    in_b = F.coalesce(F.col("__in_b"), F.lit(False))
+    stamps = [c for c in set_now if c in cols and c not in update_cols]
+    kept = j.select(*[F.when(in_b, F.col(f"__last.{c}")).otherwise(F.col(c)).cast(types[c]).alias(c) if c in update_cols
+                      else F.when(in_b, now_col(now).cast(types[c])).otherwise(F.col(c)).alias(c) if c in stamps
+                      else F.col(c) for c in cols])
+    fresh = (ops.filter("first IS NOT NULL").join(batch, F.col("first") == F.col(conflicts.ORD)).join(values, "last", "left")
+             .select(conflicts.ORD, *[F.when(F.col("__last").isNotNull(), F.col(f"__last.{c}")).otherwise(F.col(c)).alias(c)
+                                      if c in update_cols else F.col(c) for c in b.columns if c != seq]))
+    fresh = _with_ids(fresh, table, id_col, [conflicts.ORD]) if id_col else fresh
+    metrics = ops.agg(F.coalesce(F.sum(F.col("first").isNotNull().cast("bigint")), F.lit(0)).cast("bigint").alias("inserted"),
+                      F.coalesce(F.sum(F.col("old").isNotNull().cast("bigint")), F.lit(0)).cast("bigint").alias("updated"))
+    return kept.unionByName(fresh.select(*cols)), metrics
+
+
+def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str | None, seq: str,
                   now=None, unique_check: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """M4: INSERT IGNORE.  Rows that break a row rule, values that do not
+    """M4: INSERT IGNORE.  Without a ``key``: a replay in ``seq`` order over ALL
+    unique keys (``conflicts``); ``rejected`` then holds the ignored duplicates
+    too, with the keys they repeat.  With a ``key``:  Rows that break a row rule, values that do not
     convert to the column's type among them, are dropped with their reasons
     (V14, lenient); of the rest, the first row per unique key is inserted
     unless the key is already in T.  ``key`` comes first, then the other
@@ -279,6 +350,16 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     absent = [c for c in own.columns if c.name not in batch.columns]
     raw = batch.select("*", *[default_value(c, now).alias(c.name) for c in absent])
     clean, rejected = enforce(raw, own, mode="ignore")
+    if key is None:
+        numbered = conflicts.numbered_batch(clean, seq)
+        aligned = align(numbered, spec, now, exclude=(id_col,) if id_col else (), extra=(seq, conflicts.ORD), lenient=True)
+        taken, ignored = conflicts.accepted(table, aligned, conflicts.unique_keys(spec, aligned.columns))
+        fresh = materialize(aligned.join(taken, conflicts.ORD, "left_semi"))
+        fresh = _with_ids(fresh, table, id_col, [conflicts.ORD]) if id_col else fresh
+        rejected = rejected.unionByName(numbered.join(ignored, conflicts.ORD).drop(conflicts.ORD))
+        metrics = fresh.agg(F.count(F.lit(1)).alias("inserted")).select(
+            "inserted", (_count_of(batch) - F.col("inserted")).alias("ignored"))
+        return table.unionByName(fresh.select(*cols)), metrics, rejected
     clean = align(clean, spec, now, exclude=(id_col,) if id_col else (), extra=(seq,), lenient=True)
     fresh = materialize(_reduce(clean.filter(F.col(key).isNotNull()), key, seq, ins_cols, "first"))
     fresh = fresh.join(_matched_keys(table, fresh.select(key), key), key, "left_anti") \
@@ -301,12 +382,19 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str,
     return new, metrics, rejected
 
 
-def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq: str, now=None,
+def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str | None, seq: str, now=None,
             children: Sequence[tuple[DataFrame, str]] = (),
-            unique_check: str | None = None) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """M5: REPLACE INTO = delete the conflicting row, insert the new one.
+            unique_check: str | None = "strict", mode: str = "strict",
+            parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """M5: REPLACE INTO = delete the conflicting rows, insert the new one.
+
+    Without a ``key`` a row displaces every row, of the table or earlier in the
+    batch, that holds its value of ANY unique key (``conflicts``), and every row
+    of the batch uses up an id.  With a ``key`` only that one decides, and the
+    others are checked on the result.  In strict ``mode`` the batch's rows are
+    checked first (``check_rows``).
 
-    The last batch row per key wins; replaced rows get NEW auto-increment
+    With a ``key``: the last batch row per key wins; replaced rows get NEW auto-increment
     ids, and columns the batch omits take their defaults (old values are
     lost).  ``children`` are (child table, FK column referencing the id):
     rows pointing at a replaced parent are cascade-deleted (F2).
@@ -315,21 +403,39 @@ def replace(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str, seq:
     cols = table.columns
     ins_cols = [c for c in cols if c != id_col]
     b = align(batch, spec, now, exclude=(id_col,) if id_col else (), extra=(seq,))
+    if mode == "strict":
+        check_rows(b, spec, id_col, parents)
+    elif mode != "unchecked":
+        raise ValueError(mode)
+    if key is None:
+        numbered = conflicts.numbered_batch(b, seq)
+        kept, gone, fresh = conflicts.replaced(table, numbered, conflicts.unique_keys(spec, b.columns))
+        if id_col:
+            fresh = fresh.withColumn(id_col, (next_id(table, id_col) + F.col(conflicts.ORD) - 1).cast("bigint"))
+        new = kept.select(*cols).unionByName(fresh.select(*cols))
+        return new, _replace_metrics(gone, fresh), _without_parents(children, gone, id_col)
     lasts = materialize(_reduce(b.filter(F.col(key).isNotNull()), key, seq, ins_cols, "last"))
     fresh = lasts.unionByName(b.filter(F.col(key).isNull()).select(*ins_cols, seq))
     replaced_keys = lasts.select(key)
-    kept = table.join(replaced_keys, key, "left_anti")
+    kept = table.join(replaced_keys, key, "left_anti").select(*cols)
     fresh = _with_ids(fresh, table, id_col, [seq, key]) if id_col else fresh
     new = kept.unionByName(fresh.select(*cols))
     _check_other_unique(new, spec, key, unique_check)
     gone = table.join(replaced_keys, key, "left_semi")
-    new_children = []
+    return new, _replace_metrics(gone, fresh), _without_parents(children, gone, id_col)
+
+
+def _replace_metrics(gone: DataFrame, fresh: DataFrame) -> DataFrame:
+    return gone.agg(F.count(F.lit(1)).alias("deleted")).select("deleted", _count_of(fresh).alias("inserted"))
+
+
+def _without_parents(children: Sequence[tuple[DataFrame, str]], gone: DataFrame, id_col: str) -> list[DataFrame]:
+    """F2 on the children of the rows that go, their columns in order."""
+    out = []
     for child, fk_col in children:
         dead = gone.select(F.col(id_col).alias(fk_col)).distinct()
-        new_children.append(child.join(dead, fk_col, "left_anti"))
-    metrics = gone.agg(F.count(F.lit(1)).alias("deleted")).select(
-        "deleted", _count_of(fresh).alias("inserted"))
-    return new, metrics, new_children
+        out.append(child.join(dead, fk_col, "left_anti").select(*child.columns))
+    return out
 
 
 # --- M7 - M10, M16: updates --------------------------------------------------------------
@@ -354,19 +460,58 @@ def _apply_set(table: DataFrame, hit_col: Column, assignments: Mapping[str, Colu
     return table.select(*out)
 
 
+def update_violations(hit_rows: DataFrame, new: DataFrame, spec: TableSpec, changed: Sequence[str],
+                      parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """(rule, key, n): what an UPDATE of the columns ``changed`` breaks.
+
+    ``hit_rows`` are the rows it hits, with their new values: row rules and
+    FOREIGN KEYs are theirs alone.  A PRIMARY or UNIQUE key with a changed column
+    is checked on the whole ``new`` table.
+    """
+    assigned = set(changed)
+    own = spec.replace(columns=tuple(c for c in spec.columns if c.name in assigned))
+    key = key_string(spec.primary_key) if spec.primary_key else F.lit(None).cast("string")
+    out = hit_rows.filter(any_broken(own, hit_rows)).select(
+        F.explode(broken_rules(own, hit_rows)).alias("rule"), key.alias("key"), F.lit(1).cast("bigint").alias("n"))
+    for rule, cols in conflicts.unique_keys(spec, new.columns):
+        if assigned & set(cols):
+            out = out.unionByName(duplicate_keys(new, cols, rule, skip_nulls=rule != "primary_key"))
+    for fk in spec.foreign_keys:
+        if assigned & set(fk.cols) and parents and fk.parent in parents:
+            out = out.unionByName(orphans(hit_rows, parents[fk.parent], fk, spec.primary_key))
+    return out
+
+
+def _checked_update(table: DataFrame, hit_col: Column, assignments: Mapping[str, Column], spec: TableSpec | None,
+                    now, touch: bool, keep: Sequence[str], mode: str,
+                    parents: Mapping[str, DataFrame] | None) -> DataFrame:
+    """The updated table; strict mode raises ConstraintViolation when it breaks a rule of ``spec``."""
+    new = _apply_set(table, hit_col, assignments, spec, now, touch, keep)
+    if mode == "strict" and spec is not None:
+        hits = table.filter(hit_col)
+        rows = _apply_set(hits, F.lit(True), assignments, spec, now, touch, keep)
+        require_empty(update_violations(rows, new, spec, list(assignments), parents), f"UPDATE {spec.name}")
+    elif mode not in ("strict", "unchecked"):
+        raise ValueError(mode)
+    return new
+
+
 def update(table: DataFrame, assignments: Mapping[str, Column], where=None,
-           spec: TableSpec | None = None, now=None, touch: bool = True) -> tuple[DataFrame, DataFrame]:
+           spec: TableSpec | None = None, now=None, touch: bool = True, mode: str = "strict",
+           parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """M7 / M9: UPDATE T SET .. WHERE .. as one projection (no shuffle).
-    Values are cast back to the column type (decimals round half up)."""
+    Values are cast back to the column type (decimals round half up).  With a
+    ``spec``, strict mode checks what it changes first (``update_violations``)."""
     h = hit(where)
-    new = _apply_set(table, h, assignments, spec, now, touch)
+    new = _checked_update(table, h, assignments, spec, now, touch, table.columns, mode, parents)
     return new, _metrics(table, updated=h)
 
 
 def update_join(table: DataFrame, other: DataFrame, table_key: str, other_key: str,
                 assignments: Mapping[str, Column], where=None, other_where=None,
                 spec: TableSpec | None = None, now=None, touch: bool = True,
-                from_other: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+                from_other: Mapping[str, str] | None = None, mode: str = "strict",
+                parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """M8: UPDATE T JOIN S ON T.k = S.k SET .. WHERE ..
 
     When the SET reads T only, S contributes a DISTINCT key set and a match
@@ -390,13 +535,13 @@ def update_join(table: DataFrame, other: DataFrame, table_key: str, other_key: s
     sets = dict(assignments)
     for t_col, s_col in (from_other or {}).items():
         sets[t_col] = F.col(f"__s_{s_col}")
-    new = _apply_set(j, h, sets, spec, now, touch, keep=table.columns)
+    new = _checked_update(j, h, sets, spec, now, touch, table.columns, mode, parents)
     return new, _metrics(j, updated=h)
 
 
 def update_chunk(table: DataFrame, assignments: Mapping[str, Column], where, order: Sequence[str],
-                 key: str, n: int, spec: TableSpec | None = None, now=None,
-                 touch: bool = True) -> tuple[DataFrame, DataFrame]:
+                 key: str, n: int, spec: TableSpec | None = None, now=None, touch: bool = True, mode: str = "strict",
+                 parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """UPDATE .. WHERE .. ORDER BY .. LIMIT n: the n oldest hit rows.
 
     The chunk's key set has at most n rows and is joined as a flag; the
@@ -406,7 +551,7 @@ def update_chunk(table: DataFrame, assignments: Mapping[str, Column], where, ord
         .withColumn("__match", F.lit(True))
     j = table.join(chunk, table[key] == chunk["__k"], "left")
     h = F.coalesce(F.col("__match"), F.lit(False))
-    new = _apply_set(j, h, assignments, spec, now, touch, keep=table.columns)
+    new = _checked_update(j, h, assignments, spec, now, touch, table.columns, mode, parents)
     return new, _metrics(j, updated=h)
 
 

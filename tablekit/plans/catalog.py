@@ -37,7 +37,7 @@ def register(name: str, sql: str | None, covers: str = ""):
 def _load_all() -> None:
     # importing the modules fills REGISTRY
     from tablekit.plans import (  # noqa: F401
-        q_query, q_mutate, q_quality, q_evolve, q_text, q_sinks)
+        q_query, q_mutate, q_conflicts, q_quality, q_evolve, q_text, q_sinks)
 
 
 def queries() -> dict[str, QueryFn]:

@@ -45,6 +45,14 @@ SELECT lpad(CAST(o_custkey * 2 AS VARCHAR), 14, '0') AS national_id,
        CAST(o_orderdate AS DATE) AS birth_date,
        o_orderkey AS seq
 FROM orders""",
+    "multi_key_batch": """
+SELECT lpad(CAST(c_custkey // 2 * 3 AS VARCHAR), 14, '0') AS national_id,
+       concat('Customer#', lpad(CAST(c_custkey // 3 * 5 AS VARCHAR), 9, '0')) AS full_name,
+       CASE WHEN c_custkey % 2 = 0 THEN 'PART_TIME' ELSE 'CONTRACTOR' END AS contract_type,
+       CAST(abs(c_acctbal) AS DECIMAL(10,2)) AS base_salary,
+       DATE '1980-01-01' + CAST(c_custkey % 10000 AS INT) AS birth_date,
+       c_custkey * 7919 % 1000003 AS seq
+FROM customer""",
     "employee_import": """
 SELECT CASE WHEN o_orderkey % 50 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS emp_id,
        CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE o_custkey % 30 END AS department_id,

@@ -124,6 +124,23 @@ def orders_batch(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
+def multi_key_batch(spark: SparkSession, d: str) -> DataFrame:
+    """A batch over ALL customers whose rows meet each other and the employees
+    on two unique keys: pairs share a national id, triples a name, in an order
+    (``seq``) that has nothing to do with either."""
+    c = scan(spark, d, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        F.lpad((F.floor(k / 2) * 3).cast("string"), 14, "0").alias("national_id"),
+        F.concat(F.lit("Customer#"), F.lpad((F.floor(k / 3) * 5).cast("string"), 9, "0")).alias("full_name"),
+        F.when(k % 2 == 0, "PART_TIME").otherwise("CONTRACTOR").alias("contract_type"),
+        F.abs(F.col("c_acctbal")).cast("decimal(10,2)").alias("base_salary"),
+        F.date_add(_date("1980-01-01"), (k % 10000).cast("int")).alias("birth_date"),
+        (k * 7919 % 1000003).alias("seq"),
+    )
+
+
 @view
 def employee_import(spark: SparkSession, d: str) -> DataFrame:
     """A staging batch of employee rows over ALL orders, with rule breakers
