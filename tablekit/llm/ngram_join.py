@@ -20,6 +20,9 @@ similarity, and returns connected components instead of pairs.
    traversed again, skipping node pairs of one component; the surviving pairs
    are checked exactly.  Groups of over ``CELL`` documents are split into
    cells, each a pair of chunks; chunks of one component are never paired.
+   Where a cell has more surviving pairs than documents, no pair is written:
+   its documents form a cluster, their sets are brought together once, and the
+   checks run there, those of already connected documents skipped.
 
 Bounds: a pair needs ``den * overlap >= num * (a + b - overlap)``.
 
@@ -39,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import checkpointed, release, shipped, shuffle_partitions, table
+from tablekit.llm.common import checkpointed, release, shipped, table
 from tablekit.llm.components import connected_components
 from tablekit.llm.words import (LOWER_AZ, mix64, ngram_hashes, pieces, sorted_sets, span_hashes, spread, word_spans)
 
@@ -51,25 +54,36 @@ CARRY = 8                             # that a tree shares with the one before
 CELL = 2048
 FANOUT = 8
 MAX_WIDTH = 1 << 16                   # bits of the widest signature
+PART_BYTES = 16 << 20                 # text for each part of the documents
+WEIGHT = 1024                         # n-grams that count in a cell like one more set
 _U = np.uint64
+HASH_BITS = ~_U(0xFF)                 # n-grams are told apart by 56 bits
 
 
 # ---------------------------------------------------------------- packing
 
 def _pack_hashes(h: np.ndarray) -> bytes:
-    """Sorted hashes as first value and 6-byte steps (8-byte when a step is wider)."""
-    steps = np.diff(h)
-    if len(steps) == 0 or int(steps.max()) >= 1 << 48:
-        return b"\x08" + h.tobytes()
-    return b"\x06" + h[:1].tobytes() + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    """Sorted hashes (their low byte is zero) as first value and steps of as few bytes as the widest needs."""
+    steps = np.diff(h) >> _U(8)
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([width]) + h[:1].tobytes() + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
 def _unpack_hashes(b: bytes) -> np.ndarray:
-    if b[0] == 8:
-        return np.frombuffer(b, _U, offset=1)
-    steps = np.zeros(((len(b) - 9) // 6, 8), np.uint8)
-    steps[:, :6] = np.frombuffer(b, np.uint8, offset=9).reshape(-1, 6)
-    return np.cumsum(np.concatenate((np.frombuffer(b, _U, 1, 1), steps.view(_U).ravel())), dtype=_U)
+    steps = np.zeros(((len(b) - 9) // b[0], 8), np.uint8)
+    steps[:, :b[0]] = np.frombuffer(b, np.uint8, offset=9).reshape(-1, b[0])
+    return np.cumsum(np.concatenate((np.frombuffer(b, _U, 1, 1), steps.view(_U).ravel() << _U(8))), dtype=_U)
+
+
+def _pack_nodes(node: np.ndarray) -> tuple[bytes, bytes]:
+    """Documents of entries as a list of them and places in it, of two bytes if that is enough."""
+    here, back = np.unique(node, return_inverse=True)
+    return here.tobytes(), back.astype(np.uint16 if len(here) < 1 << 16 else np.uint32).tobytes()
+
+
+def _unpack_nodes(nodes: bytes, rows: bytes) -> np.ndarray:
+    own = np.frombuffer(nodes, np.int64)
+    return own[np.frombuffer(rows, np.uint16 if len(own) < 1 << 16 else np.uint32)]
 
 
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
@@ -98,9 +112,7 @@ def _blocks(words: int, buckets: int):
         cuts = np.searchsorted(_bucket(values, buckets), np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(cuts)):
             s, e = cuts[b], cuts[b + 1]
-            here, back = np.unique(of[s:e], return_inverse=True)
-            small = np.uint16 if len(here) < 1 << 16 else np.uint32
-            out.append((int(b), _pack_hashes(values[s:e]), node[here].tobytes(), back.astype(small).tobytes()))
+            out.append((int(b), _pack_hashes(values[s:e]), *_pack_nodes(node[of[s:e]])))
         return pa.RecordBatch.from_arrays(
             [pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]],
             names=["bucket", "hashes", "nodes", "rows"])
@@ -120,7 +132,8 @@ def _blocks(words: int, buckets: int):
                 n = len(offs) - 1
                 buf = LOWER_AZ[buf]
                 start, end, bounds = word_spans(buf, offs)
-                values, bounds = sorted_sets(*ngram_hashes(span_hashes(buf, start, end), bounds, words))
+                values, bounds = ngram_hashes(span_hashes(buf, start, end), bounds, words)
+                values, bounds = sorted_sets(values & HASH_BITS, bounds)
                 held.append((base + seen + np.arange(n), b.column(0).slice(row, n).to_pylist(),
                              b.column(1).slice(row, n).to_pylist(), values, bounds))
                 seen += n
@@ -134,7 +147,7 @@ def _blocks(words: int, buckets: int):
     return run
 
 
-SHARED = "part int, hashes binary, nodes binary, counts binary, meta binary"
+SHARED = "part int, hashes binary, nodes binary, rows binary, counts binary, meta binary"
 
 
 def _count(buckets: int, parts: int):
@@ -148,13 +161,12 @@ def _count(buckets: int, parts: int):
             order = np.argsort(part, kind="stable")
             meta, part = meta[order], part[order]
             cuts = np.searchsorted(part, np.arange(parts + 1))
-            out = [(int(p), None, None, None, meta[cuts[p]:cuts[p + 1]].tobytes()) for p in np.flatnonzero(np.diff(cuts))]
+            out = [(int(p), None, None, None, None, meta[cuts[p]:cuts[p + 1]].tobytes()) for p in np.flatnonzero(np.diff(cuts))]
         else:
             hs, nodes = [], []
             for h, nd, r in zip(t["hashes"].to_pylist(), t["nodes"].to_pylist(), t["rows"].to_pylist()):
                 hs.append(_unpack_hashes(h))
-                own = np.frombuffer(nd, np.int64)
-                nodes.append(own[np.frombuffer(r, np.uint16 if len(own) < 1 << 16 else np.uint32)])
+                nodes.append(_unpack_nodes(nd, r))
             h, node = np.concatenate(hs), np.concatenate(nodes)
             order = np.argsort(h, kind="stable")
             h, node = h[order], node[order]
@@ -169,10 +181,10 @@ def _count(buckets: int, parts: int):
             cuts = np.searchsorted(part, np.arange(parts + 1))
             for p in np.flatnonzero(np.diff(cuts)):
                 s, e = cuts[p], cuts[p + 1]
-                out.append((int(p), _pack_hashes(h[s:e]), node[s:e].tobytes(), count[s:e].tobytes(), None))
+                out.append((int(p), _pack_hashes(h[s:e]), *_pack_nodes(node[s:e]), count[s:e].tobytes(), None))
         return pa.table({"part": pa.array([o[0] for o in out], pa.int32()),
                          **{c: pa.array([o[i + 1] for o in out], pa.binary())
-                            for i, c in enumerate(("hashes", "nodes", "counts", "meta"))}})
+                            for i, c in enumerate(("hashes", "nodes", "rows", "counts", "meta"))}})
 
     return run
 
@@ -185,7 +197,7 @@ def _signature(grams: np.ndarray, n: int) -> bytes:
     """Token bitmap of a set, about two bits a token, a power of two wide."""
     width = max(64, min(MAX_WIDTH, 1 << int(2 * max(n, 1) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
-    bits[(grams & _U(width - 1)).astype(np.int64)] = 1
+    bits[(grams >> _U(8) & _U(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -196,10 +208,10 @@ def _gather(num: int, den: int):
         metas = [np.frombuffer(m, np.int64).reshape(-1, 7) for m in t["meta"].to_pylist() if m is not None]
         meta = np.concatenate(metas)
         meta = meta[np.argsort(meta[:, 0])]
-        rows = [(h, n, c) for h, n, c in zip(t["hashes"].to_pylist(), t["nodes"].to_pylist(), t["counts"].to_pylist()) if h]
+        rows = [r for r in zip(*[t[c].to_pylist() for c in ("hashes", "nodes", "rows", "counts")]) if r[0]]
         h = np.concatenate([_unpack_hashes(r[0]) for r in rows]) if rows else np.zeros(0, _U)
-        node = np.concatenate([np.frombuffer(r[1], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
-        count = np.concatenate([np.frombuffer(r[2], np.uint16) for r in rows]) if rows else np.zeros(0, np.uint16)
+        node = np.concatenate([_unpack_nodes(r[1], r[2]) for r in rows]) if rows else np.zeros(0, np.int64)
+        count = np.concatenate([np.frombuffer(r[3], np.uint16) for r in rows]) if rows else np.zeros(0, np.uint16)
         at = np.searchsorted(meta[:, 0], node)
         order = np.lexsort((h, at))
         h, count, at = h[order], count[order], at[order]
@@ -226,13 +238,14 @@ def _gather(num: int, den: int):
 
 def gram_sets(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """A row (SETS) for every row of ``docs(doc_id, text)``; grams are those that other documents have too."""
-    spark = shipped(docs.sparkSession)
-    parts = shuffle_partitions(spark)
+    shipped(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"),
                       F.col("text").cast("string").alias("text"))
     blocks = src.mapInArrow(_blocks(words, 2 * parts), BLOCKS)
-    shared = blocks.groupBy("bucket").applyInArrow(_count(2 * parts, parts), SHARED)
-    return shared.groupBy("part").applyInArrow(_gather(num, den), SETS)
+    shared = blocks.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_count(2 * parts, parts), SHARED)
+    return shared.repartition(parts, "part").groupBy("part").applyInArrow(_gather(num, den), SETS)
 
 
 # ---------------------------------------------------------------- signature trees
@@ -385,38 +398,73 @@ def near_links(reps: DataFrame, by: str, num: int, den: int) -> DataFrame:
             .mapInArrow(_tree_links(num, den), "a long, b long"))
 
 
+def _each_cell(batches: Iterator[pa.RecordBatch], width: int, close) -> Iterator[pa.RecordBatch]:
+    """``close(rows)`` for the rows of every cell; rows come ordered by their first two columns, key and cell."""
+    rows: list[tuple] = []
+    for b in batches:
+        for r in zip(*[b.column(k).to_pylist() for k in range(width)]):
+            if rows and rows[-1][:2] != r[:2]:
+                yield close(rows)
+                rows = []
+            rows.append(r)
+    if rows:
+        yield close(rows)
+
+
 def _cell_pairs(num: int, den: int):
-    """Rows (key, cell, rep, comp, n, shared, signature) ordered by key and cell -> candidate pairs."""
+    """Rows (key, cell, rep, comp, n, shared, signature) -> candidate pairs, or links to a cluster's first where they crowd."""
+
+    def close(rows: list[tuple]) -> pa.RecordBatch:
+        a = b = np.zeros(0, np.int64)
+        crowded = False
+        if len({r[3] for r in rows}) > 1:
+            comp = np.unique([r[3] for r in rows], return_inverse=True)[1]
+            size, shared = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
+            i, j = candidate_pairs([r[6] for r in rows], size, shared, comp, num, den)
+            rep = np.array([r[2] for r in rows], np.int64)
+            crowded = len(i) > len(rows)
+            if crowded:                                # not the pairs, n * n of them, but who belongs together
+                first = _least_linked(i, j, len(rows))
+                own = np.flatnonzero(first != np.arange(len(rows)))
+                i, j = own, first[own]
+            a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), crowded))], names=["a", "b", "crowded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        yield from _each_cell(batches, 7, close)
 
-        def close() -> None:
-            if len({r[3] for r in rows}) > 1:
-                comp = np.unique([r[3] for r in rows], return_inverse=True)[1]
-                size, shared = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
-                i, j = candidate_pairs([r[6] for r in rows], size, shared, comp, num, den)
-                rep = np.array([r[2] for r in rows], np.int64)
-                found.append((rep[i], rep[j]))
+    return run
+
+
+def _least_linked(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """For each of n members the smallest one it is linked to, over any number of pairs."""
+    first = np.arange(n)
+    while True:
+        before = first.copy()
+        np.minimum.at(first, i, first[j])
+        np.minimum.at(first, j, first[i])
+        first = first[first]
+        if (first == before).all():
+            return first
 
-        for b in batches:
-            for r in zip(*[b.column(k).to_pylist() for k in range(7)]):
-                if rows and rows[-1][:2] != r[:2]:
-                    close()
-                    rows = []
-                rows.append(r)
-            if sum(len(f[0]) for f in found) > 10_000:
-                yield pairs(found)
-                found = []
-        close()
-        if found:
-            yield pairs(found)
 
-    def pairs(found: list) -> pa.RecordBatch:
-        a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-        both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+def _cell_links(num: int, den: int):
+    """Rows (key, cell, rep, comp, n, grams, signature) -> links between components, at most one less than there are rows."""
+
+    def close(rows: list[tuple]) -> pa.RecordBatch:
+        comp = np.unique([r[3] for r in rows], return_inverse=True)[1]
+        sets = [np.frombuffer(r[5], _U) for r in rows]
+        size, shared = np.array([r[4] for r in rows]), np.array([len(x) for x in sets])
+        i, j = candidate_pairs([r[6] for r in rows], size, shared, comp, num, den)
+        uf, found = UnionFind(int(comp.max()) + 1), []
+        for a, b in zip(i.tolist(), j.tolist()):
+            if uf.find(comp[a]) != uf.find(comp[b]) and linked(sets[a], sets[b], size[a], size[b], num, den):
+                uf.join(comp[a], comp[b])
+                found.append((rows[a][2], rows[b][2]))
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _each_cell(batches, 7, close)
 
     return run
 
@@ -460,12 +508,31 @@ def completing_links(reps: DataFrame, comps: DataFrame, num: int, den: int) -> D
     dealt = (small.unionByName(large).join(signs, "rep")
              .select("key", "cell", "rep", "comp", "n", "shared", "signature"))
     pairs = checkpointed(dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "rep")
-                         .mapInArrow(_cell_pairs(num, den), "a long, b long").distinct())
+                         .mapInArrow(_cell_pairs(num, den), "a long, b long, crowded boolean").distinct())
     sets = reps.select("rep", "n", "grams")
-    both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga")), "a")
+    both = (pairs.filter("NOT crowded")
+            .join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb")), "b")
             .select("a", "b", "na", "nb", "ga", "gb"))
-    return both.mapInArrow(_checked(num, den), "a long, b long")
+    found = both.mapInArrow(_checked(num, den), "a long, b long")
+    crowd = pairs.filter("crowded").select("a", "b")
+    return found if crowd.isEmpty() else found.union(crowded_links(reps, comps, crowd, num, den))
+
+
+def crowded_links(reps: DataFrame, comps: DataFrame, crowd: DataFrame, num: int, den: int) -> DataFrame:
+    """Links inside the clusters of ``crowd(a, b)``: their sets meet in cells, once for a cluster of up to ``CELL``."""
+    of = connected_components(crowd).select(F.col("node").alias("rep"), F.col("component").alias("key"))
+    own = checkpointed(of.join(reps.select("rep", "n", "grams", "signature"), "rep").join(comps, "rep", "left")
+                       .withColumn("comp", F.coalesce("component", "rep")).drop("component")
+                       .withColumn("weight", 1 + F.octet_length("grams") / (8 * WEIGHT)))
+    chunks = (own.groupBy("key").agg(F.sum("weight").alias("weight"))
+              .select("key", F.when(F.col("weight") <= CELL, 1).otherwise(F.ceil(F.col("weight") / (CELL // 2))).alias("chunks")))
+    dealt = own.drop("weight").join(chunks, "key").withColumn("c", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    # a cell is a pair of chunks; of one chunk the cluster itself
+    cells = dealt.withColumn("o", F.explode(F.expr("sequence(0L, chunks - 1)"))).withColumn(
+        "cell", F.expr("least(c, o) * chunks + greatest(c, o)")).filter("c <> o OR chunks = 1")
+    return (cells.select("key", "cell", "rep", "comp", "n", "grams", "signature").repartition("key", "cell")
+            .sortWithinPartitions("key", "cell", "rep").mapInArrow(_cell_links(num, den), "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
