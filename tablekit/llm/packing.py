@@ -3,9 +3,11 @@
 Only lengths travel: texts are tokenized where they are read, and each piece
 (at most ``capacity`` ids) becomes a row of numbers.  Pieces are dealt by hash
 into cells of about ``CELL_ITEMS``; a cell is packed by best fit in decreasing
-length, then improved by a local search that empties its least full bins:
-documents move, change places one for one, or two for one, whenever that
-raises the sum of squared fills.  Each cell's least full bins (a tenth of its
+length, then improved by a local search: between any two underfull bins
+documents move, change places one for one, two for one or one for two, while
+that raises the sum of squared fills, so that bins fill up and others end
+empty.  Partners are found by the sizes, and sums of two sizes, that bins hold,
+so bins of any number of documents take part.  Each cell's least full bins (a tenth of its
 bins at most) are pooled and packed again, round by round, until the pool fits
 into one cell.
 
@@ -16,7 +18,6 @@ are packed as often as they stand there; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,51 +87,97 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(donor: list[int], taker: list[int], room: int, size: list[int]) -> tuple[int, list[int], list[int]] | None:
-    """The exchange that adds most to the taker within its room: (gain, to taker, to donor)."""
-    give = sorted(donor, key=size.__getitem__)
-    keys = [size[i] for i in give]
-    pairs = sorted((keys[a] + keys[b], a, b) for a in range(len(give)) for b in range(a + 1, len(give))) \
-        if len(give) <= 64 else []
-    pair_keys = [p[0] for p in pairs]
-    back = [((), 0)] + [((y,), size[y]) for y in taker]
-    if len(taker) <= 64:
-        back += [((taker[a], taker[b]), size[taker[a]] + size[taker[b]])
-                 for a in range(len(taker)) for b in range(a + 1, len(taker))]
-    best: tuple[int, list[int], list[int]] | None = None
-    for out, y in back:
-        k = bisect_right(keys, y + room) - 1           # move; one for one; one for two
-        if k >= 0 and keys[k] > y and (best is None or keys[k] - y > best[0]):
-            best = (keys[k] - y, [give[k]], list(out))
-        if len(out) == 1:                              # two for one
-            k = bisect_right(pair_keys, y + room) - 1
-            if k >= 0 and pair_keys[k] > y and (best is None or pair_keys[k] - y > best[0]):
-                best = (pair_keys[k] - y, [give[pairs[k][1]], give[pairs[k][2]]], list(out))
-        if best and best[0] == room:
-            break
-    return best
+class _Underfull:
+    """Bins that are neither empty nor full, found by the sizes, and sums of two sizes, that they hold."""
+
+    def __init__(self, bins: list[list[int]], size: list[int], capacity: int) -> None:
+        self.size, self.capacity = size, capacity
+        self.items: list[dict[int, list[int]]] = []    # bin -> size -> its items
+        self.fill: list[int] = []
+        self.bins: dict[int, tuple[list[int], dict[int, tuple[int, int]]]] = {}
+        self.by: tuple[list[set[int]], list[set[int]]] = tuple([set() for _ in range(capacity + 1)] for _ in range(2))
+        self.bits = [0, 0]                             # bit s: a bin holds the size, the sum, s
+        for b in bins:
+            own: dict[int, list[int]] = {}
+            for i in b:
+                own.setdefault(size[i], []).append(i)
+            self.items.append(own)
+            self.fill.append(sum(size[i] for i in b))
+            self.enter(len(self.items) - 1)
+
+    def enter(self, b: int) -> None:
+        if not 0 < self.fill[b] < self.capacity:
+            return
+        own = self.items[b]
+        sizes = sorted(own)
+        sums = {x + y: (x, y) for k, x in enumerate(sizes) for y in sizes[k:] if x != y or len(own[x]) > 1}
+        self.bins[b] = sizes, sums
+        for kind, keys in enumerate((sizes, sums)):
+            for s in keys:
+                self.by[kind][s].add(b)
+                self.bits[kind] |= 1 << s
+
+    def leave(self, b: int) -> None:
+        for kind, keys in enumerate(self.bins.pop(b)):
+            for s in keys:
+                self.by[kind][s].discard(b)
+                if not self.by[kind][s]:
+                    self.bits[kind] ^= 1 << s
+
+    def best(self, y: int) -> tuple[int, int, tuple[int, ...], tuple[int, ...]] | None:
+        """(gain, x, sizes to y, sizes back to x): of moves, one for one, two for one and one for two, the best for ``y``."""
+        fill, room = self.fill[y], self.capacity - self.fill[y]
+        sizes, sums = self.bins[y]
+        back = [(0, ())] + [(s, (s,)) for s in sizes] + list(sums.items())
+        best = None
+        for o, out in back:
+            for kind in range(2 if len(out) < 2 else 1):
+                left = (self.bits[kind] & ((1 << min(o + room, self.capacity) + 1) - 1)) >> (o + 1)
+                while left:
+                    d = left.bit_length()              # what y gains in fill
+                    if best and 2 * d * (self.capacity - 1) <= best[0]:
+                        break
+                    x = min((b for b in self.by[kind][o + d] if b != y), key=self.fill.__getitem__, default=None)
+                    if x is not None and fill + d > self.fill[x]:
+                        gain = 2 * d * (fill - self.fill[x] + d)
+                        if best is None or gain > best[0]:
+                            best = gain, x, (o + d,) if kind == 0 else self.bins[x][1][o + d], out
+                        break
+                    left ^= 1 << d - 1
+        return best
+
+    def exchange(self, y: int, x: int, into: tuple[int, ...], out: tuple[int, ...]) -> None:
+        for b in (x, y):
+            self.leave(b)
+        for a, b, moved in ((x, y, into), (y, x, out)):
+            for s in moved:
+                own = self.items[a][s]
+                self.items[b].setdefault(s, []).append(own.pop())
+                if not own:
+                    del self.items[a][s]
+                self.fill[a] -= s
+                self.fill[b] += s
+        for b in (x, y):
+            self.enter(b)
 
 
 def local_search(bins: list[list[int]], size: list[int], capacity: int) -> list[list[int]]:
-    """Empty the least full bins into fuller ones; each exchange raises the sum of squared fills."""
-    fill = [sum(size[i] for i in b) for b in bins]
-    stuck: set[int] = set()
-    while True:
-        under = [b for b in range(len(bins)) if 0 < fill[b] < capacity]
-        donors = [b for b in under if b not in stuck]
-        if len(under) < 2 or not donors or sum(capacity - fill[b] for b in under) < capacity:
-            return [b for b in bins if b]
-        d = min(donors, key=fill.__getitem__)
-        for t in sorted((b for b in under if b != d and fill[b] >= fill[d]), key=lambda b: -fill[b]):
-            while fill[d] and fill[t] < capacity and (x := _exchange(bins[d], bins[t], capacity - fill[t], size)):
-                gain, into, out = x
-                bins[d] = [i for i in bins[d] if i not in into] + out
-                bins[t] = [i for i in bins[t] if i not in out] + into
-                fill[d] -= gain
-                fill[t] += gain
-            if not fill[d]:
-                break
-        stuck.add(d)
+    """Exchange between any two underfull bins while the sum of squared fills rises; bins that end empty go."""
+    state = _Underfull(bins, size, capacity)
+    rises = True
+    while rises:
+        rises = False
+        for y in sorted(state.bins, key=lambda b: (-state.fill[b], b)):
+            while y in state.bins:
+                room = sum(capacity - state.fill[b] for b in state.bins)
+                if room < capacity:                    # not even all room together makes a bin empty
+                    break
+                found = state.best(y)
+                if not found:
+                    break
+                state.exchange(y, *found[1:])
+                rises = True
+    return [[i for own in b.values() for i in own] for b in state.items if b]
 
 
 def _cell_packer(capacity: int, level: int, last: bool):
@@ -160,7 +207,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, cell_items: int = CELL_ITEM
         n = rest.count()
         cells = -(-n // cell_items)
         dealt = rest.withColumn("__cell", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(cells, 1))))
-        packed = checkpointed(dealt.groupBy("__cell").applyInPandas(_cell_packer(capacity, level, cells <= 1), schema))
+        packed = checkpointed(dealt.repartition(max(cells, 1), "__cell").groupBy("__cell").applyInPandas(_cell_packer(capacity, level, cells <= 1), schema))
         done.append(packed.filter(~F.col("__open")).drop("__open"))
         if cells <= 1:
             break
