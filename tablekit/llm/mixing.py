@@ -87,13 +87,14 @@ def queue_places(sized: DataFrame, targets: DataFrame) -> DataFrame:
             .withColumn("queued", F.col("__base") + F.col("__in")).drop("__source", "__bucket", "__in", "__base"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = BUDGET_SHARE, seed: int = 11) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = BUDGET_SHARE, seed: int = 11,
+        row: tuple[str, ...] = ("doc_id", "source", "text")) -> DataFrame:
     """Rows (doc_id, source, row_key, size, source_size, target, copies): how often the mix takes each document.
 
-    ``row_key`` identifies the row's id, source and text.
+    ``row_key`` identifies the columns ``row``.
     """
     size = word_count(text_or_empty())
-    key = F.xxhash64("doc_id", "source", "text")
+    key = F.xxhash64(*row)
     sized = checkpointed(docs.select(
         "doc_id", "source", size.alias("size"), key.alias("row_key"),
         F.xxhash64(F.lit(seed), key, "doc_id").alias("shuffle_key")))
@@ -131,11 +132,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = BUDG
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = BUDGET_SHARE,
                     seed: int = 11) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, as often as it takes them."""
-    copies = (mix(docs, weights, share, seed).filter("copies > 0")
+    """The rows of ``docs`` that the mix takes, as often as it takes them; rows that differ in any column are apart."""
+    copies = (mix(docs, weights, share, seed, tuple(docs.columns)).filter("copies > 0")
               .groupBy(F.struct("doc_id", "row_key").alias("__key")).agg(F.sum("copies").cast("int").alias("__copies")))
     cols = docs.columns
-    keyed = docs.withColumn("__key", F.struct("doc_id", F.xxhash64("doc_id", "source", "text").alias("row_key")))
+    keyed = docs.withColumn("__key", F.struct("doc_id", F.xxhash64(*docs.columns).alias("row_key")))
     return (keyed.dropDuplicates(["__key"]).join(copies, "__key")
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*cols))
 

@@ -569,13 +569,18 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
 
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs``, one of each component: that of the smallest id, then text hash (NULL ids last)."""
+    """The rows of ``docs``, one of each component: that of the smallest id, then text hash (NULL ids last).
+
+    Of rows that differ in other columns only, the one with the smallest hash stays.
+    """
     found = jaccard_components(docs, words, num, den)
     best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("b"))
     keep = best.select(F.struct(F.col("b.doc_id").alias("doc_id"), F.col("b.key").alias("key")).alias("__row"))
     keyed = docs.withColumn("__row", F.struct(F.col("doc_id").cast("long").alias("doc_id"),
-                                              F.xxhash64("text").alias("key")))
-    return keyed.join(keep.distinct(), "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
+                                              F.xxhash64("text").alias("key"))).withColumn("__all", F.xxhash64(*docs.columns))
+    kept = keyed.join(keep.distinct(), "__row", "left_semi")
+    least = kept.groupBy("__row").agg(F.min("__all").alias("__all"))
+    return kept.join(least, ["__row", "__all"], "left_semi").dropDuplicates(["__row"]).select(docs.columns)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
