@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablekit.session import ensure_checkpoint_dir, reliable_checkpoint
 
-__all__ = ["checkpointed", "crc32_of_id", "ensure_checkpoint_dir", "release", "shipped", "table", "text_or_empty"]
+__all__ = ["checkpointed", "crc32_of_id", "excerpt", "ensure_checkpoint_dir", "release", "shipped", "table", "text_or_empty"]
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED: set[str] = set()
@@ -57,6 +57,13 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def excerpt(limit: int, col: str = "text") -> Column:
+    """A text, or of a longer one ``limit`` characters from a place that its hash gives."""
+    text = F.col(col)
+    start = F.pmod(F.xxhash64(text, F.lit(limit)), F.greatest(F.length(text) - limit, F.lit(0)) + 1) + 1
+    return F.when(F.length(text) <= limit, text).otherwise(F.substring(text, start.cast("int"), F.lit(limit)))
+
+
 def crc32_of_id(col: str = "doc_id") -> Column:
     """crc32 of the id as text (NULL id: of the empty string)."""
     return F.crc32(F.encode(F.coalesce(F.col(col).cast("string"), F.lit("")), "UTF-8"))

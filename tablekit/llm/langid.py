@@ -10,7 +10,7 @@ the largest one decides.
 
 The filters hold each language's most typical byte n-grams, learned on a
 bounded sample: about ``SAMPLE_PER_LANGUAGE`` documents a language, chosen by
-hash among those of up to ``SAMPLE_CHARS`` characters.
+hash, of texts over ``SAMPLE_CHARS`` characters an excerpt.
 
 Edge cases: NULL texts and texts without a letter are ``und`` with score 0; so
 is every text when nothing can be learned; repeated rows are judged one by
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import crc32_of_id, shipped, table
+from tablekit.llm.common import crc32_of_id, excerpt, shipped, table
 from tablekit.llm.words import mix64, pieces
 
 GRAM = 5                              # bytes
@@ -135,8 +135,7 @@ def learn(texts: list[str], langs: list[str]) -> LanguageFilters | None:
 def learned_filters(docs: DataFrame) -> LanguageFilters | None:
     """Learn from ``docs(doc_id, text, lang)``: a sample by hash, bounded for every language."""
     usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", "text", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)).alias("h"))
-    usable = usable.filter(F.length("text") <= SAMPLE_CHARS)
+        "lang", excerpt(SAMPLE_CHARS).alias("text"), F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)).alias("h"))
     sizes = usable.groupBy("lang").count().collect()
     if not sizes:
         return None

@@ -273,7 +273,8 @@ def learned_ensemble(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     share = min(1.0, sample / max(1, ids.count()))
     chosen = (ids.filter(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) < int(1e6 * share) + 1)
               .limit(2 * sample))                       # a hash sample of ``sample`` rows in expectation
-    rows = stats.join(F.broadcast(chosen), "doc_id").select("y", *STATS).distinct().toPandas()
+    rows = (stats.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(*STATS)).alias("s"))   # a row an id
+            .select("y", *[F.col("s")[c].alias(c) for c in STATS]).distinct().toPandas())
     rows = rows.sort_values(["y", *STATS])
     return fit(rows[STATS].to_numpy(float), rows["y"].to_numpy(float))
 

@@ -5,8 +5,8 @@ n-grams (``<`` and ``>`` mark the word's ends), both hashed.  A document is cut
 into overlapping windows of ``WINDOW`` words; the network reads each window in
 both directions, attention pools the states, and the document's logit is that
 of its worst window.  Training (numpy, on the driver) uses a bounded sample of
-labelled documents: about ``SAMPLE`` of each class by hash, up to
-``SAMPLE_CHARS`` characters long.  Embeddings start from the smoothed log-odds
+labelled documents: about ``SAMPLE`` of each class by hash, one row an id, of
+texts over ``SAMPLE_CHARS`` characters an excerpt.  Embeddings start from the smoothed log-odds
 of their features, and of each document only the most suspicious windows and a
 few others are trained on.  Features of too few sample documents are silent.  Scoring reads all windows of whole texts.
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import crc32_of_id, shipped, table
+from tablekit.llm.common import crc32_of_id, excerpt, shipped, table
 from tablekit.llm.words import HashTable, mix64, pieces, span_hashes, spread, word_spans
 
 TOXIC_FROM = 0.3                      # a document is toxic from this score on, here and in the pipeline
@@ -361,8 +361,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     take_pos, take_neg = min(1.0, sample / max(pos, 1)), min(1.0, 2 * sample / max(neg, 1))
     chosen = (ids.filter(F.col("h") < F.when(F.col("y") == 1, int(1e6 * take_pos)).otherwise(int(1e6 * take_neg)))
               .limit(4 * sample))                       # a hash sample of 3 * sample rows in expectation
-    rows = (docs.filter(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
-            .join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.max("y").alias("y"), F.min("doc_id").alias("doc_id"))
+    rows = (docs.filter("text IS NOT NULL").select("doc_id", excerpt(SAMPLE_CHARS).alias("text"))
+            .join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("y").alias("y"))   # a row an id
+            .groupBy("text").agg(F.max("y").alias("y"), F.min("doc_id").alias("doc_id"))
             .orderBy("doc_id").collect())
     return [r["text"] for r in rows], [r["y"] for r in rows], take_pos / max(take_neg, 1e-9)
 

@@ -102,3 +102,45 @@ def test_language_stage_drops_what_no_filter_knows(spark):
     assert [r.doc_id for r in kept.filter("doc_id < 0").collect()] == [-100]
     clean = docs.filter("text rlike '[a-zA-Z]'").count()
     assert kept.filter("doc_id >= 0").count() >= clean
+
+
+def test_language_of_long_texts_only_is_learned(spark):
+    from tablekit.llm import langid
+    rng = random.Random(12)
+    es = ["el", "la", "gato", "perro", "casa", "que", "muy", "grande", "cielo", "rojo", "comer", "pan"]
+    en = ["the", "cat", "dog", "house", "which", "very", "large", "sky", "red", "eat", "bread", "a"]
+    rows = [(i, " ".join(rng.choices(es, k=5000)) if i % 2 else " ".join(rng.choices(en, k=30)), "es" if i % 2 else "en", "a", 0)
+            for i in range(60)]
+    assert min(len(r[1]) for r in rows if r[2] == "es") > langid.SAMPLE_CHARS
+    out = langid.identified(spark.createDataFrame(rows, DOCS), ["lang"]).collect()
+    assert all(r.lang == r.lang_pred for r in out)
+
+
+def test_samples_hold_a_row_for_each_id(spark):
+    from tablekit.llm import toxicity
+    docs = spark.createDataFrame([(1 if i % 3 else 100 + i, f"text {i} " + "x " * (20_000 if i == 7 else 1), "en", "a", 0)
+                                  for i in range(300)], DOCS)
+    labels = spark.createDataFrame([(1, 1, 1), *[(100 + i, 1, i % 2) for i in range(0, 300, 3)]], "doc_id long, quality int, toxic int")
+    texts, marks, _ = toxicity.labelled_sample(docs, labels)
+    ids = {r.doc_id for r in docs.join(labels.filter(~toxicity.held_out()), "doc_id", "left_semi").collect()}
+    assert len(texts) == len(marks) == len(ids) and max(map(len, texts)) <= toxicity.SAMPLE_CHARS
+
+
+def test_rows_that_differ_in_other_columns_only(spark):
+    from tablekit.llm import mixing, ngram_join
+    text = prose(random.Random(13), 60)
+    docs = spark.createDataFrame([(1, text, "en", "a", 0), (1, text, "fr", "a", 0), (2, prose(random.Random(14), 90), "en", "a", 0)], DOCS)
+    taken = [r.lang for r in mixing.mixed_documents(docs.filter("doc_id = 1")).collect()]
+    assert set(taken) <= {"en", "fr"} and max(taken.count(x) for x in set(taken)) <= 2
+    kept = {r.lang for _ in range(2) for r in ngram_join.one_of_each(docs).filter("doc_id = 1").collect()}
+    assert len(kept) == 1
+
+
+def test_search_between_any_two_bins():
+    from tablekit.llm.packing import best_fit, local_search
+    for lo, hi, n, most in ((500, 800, 3000, 1005), (450, 900, 3000, 1040), (300, 1100, 3000, 1045), (1, 40, 2000, 21)):
+        rng = random.Random(1)
+        size = [rng.randint(lo, hi) for _ in range(n)]
+        out = local_search(best_fit(size, 2048), size, 2048)
+        assert sorted(i for b in out for i in b) == list(range(n)) and all(sum(size[i] for i in b) <= 2048 for b in out)
+        assert len(out) <= most
