@@ -21,8 +21,9 @@ similarity, and returns connected components instead of pairs.
    are checked exactly.  Groups of over ``CELL`` documents are split into
    cells, each a pair of chunks; chunks of one component are never paired.
    Where a cell has more surviving pairs than documents, no pair is written:
-   its documents form a cluster, their sets are brought together once, and the
-   checks run there, those of already connected documents skipped.
+   the sets of its documents are brought together (once for all n-grams with
+   the same documents), and the checks run there, those of already connected
+   documents skipped.
 
 Bounds: a pair needs ``den * overlap >= num * (a + b - overlap)``.
 
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +49,7 @@ from tablekit.llm.components import connected_components
 from tablekit.llm.words import (LOWER_AZ, mix64, ngram_hashes, pieces, sorted_sets, span_hashes, spread, word_spans)
 
 WORDS, NUM, DEN = 4, 85, 100
-BLOCK_GRAMS = 1 << 21                 # n-grams that a task packs at once
+BLOCK_GRAMS = 1 << 20                 # n-grams that a task packs at once
 TREE = 256                            # representatives in a tree of the near order
 TREE_GRAMS = 1 << 18
 CARRY = 8                             # that a tree shares with the one before
@@ -55,7 +57,7 @@ CELL = 2048
 FANOUT = 8
 MAX_WIDTH = 1 << 16                   # bits of the widest signature
 PART_BYTES = 16 << 20                 # text for each part of the documents
-WEIGHT = 1024                         # n-grams that count in a cell like one more set
+CROWD_GRAMS = 1 << 20                 # n-grams of a chunk of sets that meet
 _U = np.uint64
 HASH_BITS = ~_U(0xFF)                 # n-grams are told apart by 56 bits
 
@@ -412,23 +414,25 @@ def _each_cell(batches: Iterator[pa.RecordBatch], width: int, close) -> Iterator
 
 
 def _cell_pairs(num: int, den: int):
-    """Rows (key, cell, rep, comp, n, shared, signature) -> candidate pairs, or links to a cluster's first where they crowd."""
+    """Rows (key, cell, rep, comp, n, shared, signature) -> candidate pairs (a, b, NULL); where they crowd, members (a, a, crowd)."""
 
     def close(rows: list[tuple]) -> pa.RecordBatch:
         a = b = np.zeros(0, np.int64)
-        crowded = False
+        crowd: list[int | None] = []
         if len({r[3] for r in rows}) > 1:
             comp = np.unique([r[3] for r in rows], return_inverse=True)[1]
             size, shared = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
             i, j = candidate_pairs([r[6] for r in rows], size, shared, comp, num, den)
             rep = np.array([r[2] for r in rows], np.int64)
-            crowded = len(i) > len(rows)
-            if crowded:                                # not the pairs, n * n of them, but who belongs together
-                first = _least_linked(i, j, len(rows))
-                own = np.flatnonzero(first != np.arange(len(rows)))
-                i, j = own, first[own]
-            a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), crowded))], names=["a", "b", "crowded"])
+            if len(i) > len(rows):                     # not the pairs, n * n of them, but who has to meet
+                own = np.unique(np.concatenate((i, j)))
+                own = own[np.argsort(rep[own])]
+                met = list(_meetings(rep[own], shared[own]))
+                a = b = np.concatenate([m for _, m in met])
+                crowd = [name for name, m in met for _ in m]
+            else:
+                a, b, crowd = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), [None] * len(i)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(crowd, pa.int64())], names=["a", "b", "crowd"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _each_cell(batches, 7, close)
@@ -436,16 +440,14 @@ def _cell_pairs(num: int, den: int):
     return run
 
 
-def _least_linked(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """For each of n members the smallest one it is linked to, over any number of pairs."""
-    first = np.arange(n)
-    while True:
-        before = first.copy()
-        np.minimum.at(first, i, first[j])
-        np.minimum.at(first, j, first[i])
-        first = first[first]
-        if (first == before).all():
-            return first
+def _meetings(rep: np.ndarray, shared: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(name, members) of a crowd, in pairs of chunks when its sets are many n-grams; the same members have the same name."""
+    chunk = np.cumsum(shared) // CROWD_GRAMS
+    parts = [rep[chunk == c] for c in np.unique(chunk)]
+    for k, x in enumerate(parts):
+        for y in parts[k + 1:] or ([None] if len(parts) == 1 else []):
+            members = x if y is None else np.concatenate((x, y))
+            yield xxhash.xxh64_intdigest(members.tobytes()) - (1 << 63), members
 
 
 def _cell_links(num: int, den: int):
@@ -508,31 +510,18 @@ def completing_links(reps: DataFrame, comps: DataFrame, num: int, den: int) -> D
     dealt = (small.unionByName(large).join(signs, "rep")
              .select("key", "cell", "rep", "comp", "n", "shared", "signature"))
     pairs = checkpointed(dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "rep")
-                         .mapInArrow(_cell_pairs(num, den), "a long, b long, crowded boolean").distinct())
+                         .mapInArrow(_cell_pairs(num, den), "a long, b long, crowd long").distinct())
     sets = reps.select("rep", "n", "grams")
-    both = (pairs.filter("NOT crowded")
+    both = (pairs.filter("crowd IS NULL")
             .join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb")), "b")
             .select("a", "b", "na", "nb", "ga", "gb"))
-    found = both.mapInArrow(_checked(num, den), "a long, b long")
-    crowd = pairs.filter("crowded").select("a", "b")
-    return found if crowd.isEmpty() else found.union(crowded_links(reps, comps, crowd, num, den))
-
-
-def crowded_links(reps: DataFrame, comps: DataFrame, crowd: DataFrame, num: int, den: int) -> DataFrame:
-    """Links inside the clusters of ``crowd(a, b)``: their sets meet in cells, once for a cluster of up to ``CELL``."""
-    of = connected_components(crowd).select(F.col("node").alias("rep"), F.col("component").alias("key"))
-    own = checkpointed(of.join(reps.select("rep", "n", "grams", "signature"), "rep").join(comps, "rep", "left")
-                       .withColumn("comp", F.coalesce("component", "rep")).drop("component")
-                       .withColumn("weight", 1 + F.octet_length("grams") / (8 * WEIGHT)))
-    chunks = (own.groupBy("key").agg(F.sum("weight").alias("weight"))
-              .select("key", F.when(F.col("weight") <= CELL, 1).otherwise(F.ceil(F.col("weight") / (CELL // 2))).alias("chunks")))
-    dealt = own.drop("weight").join(chunks, "key").withColumn("c", F.pmod(F.xxhash64("rep"), F.col("chunks")))
-    # a cell is a pair of chunks; of one chunk the cluster itself
-    cells = dealt.withColumn("o", F.explode(F.expr("sequence(0L, chunks - 1)"))).withColumn(
-        "cell", F.expr("least(c, o) * chunks + greatest(c, o)")).filter("c <> o OR chunks = 1")
-    return (cells.select("key", "cell", "rep", "comp", "n", "grams", "signature").repartition("key", "cell")
-            .sortWithinPartitions("key", "cell", "rep").mapInArrow(_cell_links(num, den), "a long, b long"))
+    crowds = (pairs.filter("crowd IS NOT NULL").select(F.col("crowd").alias("key"), F.lit(0).alias("cell"), F.col("a").alias("rep"))
+              .join(reps.select("rep", "n", "grams", "signature"), "rep").join(comps, "rep", "left")
+              .select("key", "cell", "rep", F.coalesce("component", "rep").alias("comp"), "n", "grams", "signature"))
+    return (both.mapInArrow(_checked(num, den), "a long, b long")
+            .union(crowds.repartition("key").sortWithinPartitions("key", "cell", "rep")
+                   .mapInArrow(_cell_links(num, den), "a long, b long")))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:

@@ -8,23 +8,42 @@ text (or one document, when that is longer) to bound a task's memory.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 LONG_WORD = 512                       # bytes; longer words are hashed one by one
 WHITE = np.zeros(256, dtype=bool)     # bytes [\x20\x09-\x0D]
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER_AZ = np.arange(256, dtype=np.uint8)
 LOWER_AZ[65:91] += 32
+M_TRIM_THRESHOLD, M_MMAP_THRESHOLD = -1, -3       # of mallopt
 _U = np.uint64
 _BLOCK = _U(0x9E3779B97F4A7C15)
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=_U)
 
 
+def _give_back_arrays() -> None:
+    """Let the C library return freed arrays to the system at once.
+
+    Left alone it keeps ever larger ones, and a Python worker, which lives
+    through many stages, never shrinks again.
+    """
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(M_MMAP_THRESHOLD, 1 << 20)
+        libc.mallopt(M_TRIM_THRESHOLD, 4 << 20)
+    except (OSError, AttributeError):                  # another C library: its own ways
+        return
+
+
+_give_back_arrays()
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finalising mixer: every input bit reaches every output bit."""
     h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
