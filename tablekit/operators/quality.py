@@ -53,7 +53,7 @@ def column_rules(c: ColumnSpec, df: DataFrame) -> list[tuple[str, Column]]:
         out.append((f"enum:{c.name}", v.isNotNull() & ~v.isin(*c.enum)))
     if c.set_values is not None:                                  # V7
         allowed = F.array(*[F.lit(x) for x in c.set_values])
-        out.append((f"set:{c.name}", v.isNotNull()
+        out.append((f"set:{c.name}", v.isNotNull() & (v != "")    # '' is the empty set
                     & (F.size(F.array_except(F.split(v, ","), allowed)) > 0)))
     limit = c.char_len or c.max_len                               # V8
     if limit is not None:

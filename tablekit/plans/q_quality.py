@@ -10,7 +10,7 @@ from tablekit.plans.catalog import register
 from tablekit.plans.oracle_views import with_views
 from tablekit.sources import fixtures as fx
 from tablekit.sources.tables import scan
-from tablekit.spec import CONTRACT_TYPES, EMPLOYEES
+from tablekit.spec import CONTRACT_TYPES, EMPLOYEES, TableSpec, col
 
 _K = "CAST(emp_id AS VARCHAR)"
 _RANGE = ("< TIMESTAMP '1970-01-01 00:00:01'", "> TIMESTAMP '2038-01-19 03:14:07'")
@@ -94,11 +94,29 @@ SELECT user_id, tags,
 FROM tags
 """.replace("\n, tags", "WITH tags", 1), "V7")
 def set_domain(spark, d):
-    ev = scan(spark, d, "events")
-    tags = ev.groupBy("user_id").agg(
+    tags = _tags(spark, d)
+    return tags.withColumn("in_domain", ~V.any_broken(TAGS, tags))
+
+
+@register("set_domain_check", """
+WITH tags AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tags
+              FROM events GROUP BY user_id)
+SELECT 'set:tags' AS rule, CAST(user_id AS VARCHAR) AS key, CAST(1 AS BIGINT) AS n
+FROM tags WHERE len(list_filter(string_split(tags, ','), lambda x: x NOT IN ('click', 'view', 'purchase'))) > 0
+""", "V7")
+def set_domain_check(spark, d):
+    """The SET rule as ``check`` reports it."""
+    return V.check(_tags(spark, d), TAGS)
+
+
+#: users with the kinds of their events as a SET column
+TAGS = TableSpec("user_tags", (col("user_id", "bigint"), col("tags", "string", set_values=("click", "view", "purchase"))),
+                 primary_key=("user_id",))
+
+
+def _tags(spark, d):
+    return scan(spark, d, "events").groupBy("user_id").agg(
         F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("tags"))
-    allowed = F.array(*[F.lit(x) for x in ("click", "view", "purchase")])
-    return tags.withColumn("in_domain", F.size(F.array_except(F.split("tags", ","), allowed)) == 0)
 
 
 @register("json_field", """
