@@ -11,8 +11,16 @@ rankings here work on a *global range partitioning* instead:
    the frame is checkpointed so both uses see the same rows;
 3. a per-(partition, group) count table (at most partitions x groups rows)
    gets a prefix sum per group: the offset of each partition inside the group;
-4. row_number = offset + local position; RANK, DENSE_RANK, NTILE, LAG and LEAD
-   are derived from it with joins keyed so that no key is hot.
+   row_number = offset + local position.
+
+``rank_within`` is a scan with carry over the same ranges.  A *piece* is the
+part of a group inside one range.  Spark's own window functions number each
+piece (a piece never exceeds its range), the frame is checkpointed, and one
+small table carries the rest from piece to piece: rows and distinct order
+values before the piece, the rank of a tie run that began earlier, and the
+last and first ``k`` rows around it.  Only groups that begin some range can
+have more than one piece, so that table has at most two rows a range.  The
+input is exchanged twice (by range, by piece) and joined to nothing larger.
 
 There is one path for every size: nothing is measured first.
 
@@ -86,8 +94,7 @@ def _join_back(big: DataFrame, small: DataFrame, keys: Sequence[str], add: Seque
 
 
 def _numbered(df: DataFrame, group: Sequence[str], order: list[OrderKey],
-              tiebreak: Sequence[str], num_partitions: int | None,
-              with_size: bool = False) -> DataFrame:
+              tiebreak: Sequence[str], num_partitions: int | None) -> DataFrame:
     """Global row_number per group without a one-task group (steps 1-3)."""
     sort = [F.col(g).asc() for g in group] + [o.sort() for o in order] + [F.col(t).asc() for t in tiebreak]
     # without an explicit count AQE may coalesce small ranges; partition ids
@@ -108,10 +115,6 @@ def _numbered(df: DataFrame, group: Sequence[str], order: list[OrderKey],
         "__before",
         F.coalesce(F.sum("__cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     add = ["__first", "__before"]
-    if with_size:
-        wg = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-        per_part = per_part.withColumn("__size", F.sum("__cnt").over(wg))
-        add.append("__size")
     out = _join_back(tagged, per_part, ["__pid", *group], add)
     out = out.withColumn("__rn", F.col("__before") + (F.col("__loc") - F.col("__first")) + 1)
     return out.drop("__mid", "__first", "__before")
@@ -125,6 +128,75 @@ def numbered_rows(df: DataFrame, group: Sequence[str], order: Sequence[str | Ord
         else out.drop("__pid", "__loc")
 
 
+def _pieces(df: DataFrame, group: list[str], order: list[OrderKey], tiebreak: Sequence[str],
+            num_partitions: int | None, lag: Sequence[tuple[str, str, int]],
+            lead: Sequence[tuple[str, str, int]]) -> DataFrame:
+    """``df`` with its range (``__pid``) and every window function computed
+    inside its piece, checkpointed."""
+    by_value = [o.sort() for o in order]
+    by_row = by_value + [F.col(t).asc() for t in tiebreak]
+    sort = [F.col(g).asc() for g in group] + by_row
+    ranged = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
+    # with its tiebreak a row's range depends on the row alone, so a task run
+    # again after a lost executor gives the same ranges
+    ranged = ranged.withColumn("__pid", F.spark_partition_id())
+    piece = Window.partitionBy("__pid", *group)
+    rows = piece.orderBy(*by_row)
+    values = piece.orderBy(*by_value)
+    local = {"__rn": F.row_number().over(rows), "__rank": F.rank().over(values),
+             "__dense": F.dense_rank().over(values), "__cnt": F.count(F.lit(1)).over(piece)}
+    for i, (_, src, off) in enumerate(lag):
+        local[f"__lag{i}"] = F.lag(src, off).over(rows)
+    for i, (_, src, off) in enumerate(lead):
+        local[f"__lead{i}"] = F.lead(src, off).over(rows)
+    return reliable_checkpoint(ranged.withColumns(local))
+
+
+def _carry(pieces: DataFrame, group: list[str], ocols: list[str], lag_src: list[str],
+           lead_src: list[str], reach: int) -> DataFrame:
+    """What each piece of a split group takes from the pieces around it: at
+    most two rows a range (a range's first group, and that group's piece at
+    the end of the range before)."""
+    edge = pieces.filter((F.col("__rn") <= reach) | (F.col("__rn") > F.col("__cnt") - reach))
+    if group:
+        # one row a range: the groups that begin some range (group sorts ascending, NULL first, as MIN does)
+        begins = pieces.filter("__rn = 1").groupBy("__pid").agg(F.min(F.struct(*group)).alias("__g")) \
+            .select(*[F.col("__g")[g].alias(f"__b_{g}") for g in group]).distinct()
+        same = F.lit(True)
+        for g in group:
+            same = same & edge[g].eqNullSafe(begins[f"__b_{g}"])
+        edge = edge.join(F.broadcast(begins), same, "left_semi")
+
+    def ends(cond: Column, srcs: list[str]) -> Column:
+        row = F.struct("__rn", *[F.col(c).alias(f"__v{i}") for i, c in enumerate(srcs)])
+        return F.sort_array(F.collect_list(F.when(cond, row)))
+
+    value = F.struct(*ocols)
+    table = edge.groupBy("__pid", *group).agg(
+        F.max("__cnt").alias("__n"), F.max("__rank").alias("__last_rank"), F.max("__dense").alias("__values"),
+        F.min_by(value, "__rn").alias("__first"), F.max_by(value, "__rn").alias("__last"),
+        ends(F.col("__rn") <= reach, lead_src).alias("__head"),
+        ends(F.col("__rn") > F.col("__cnt") - reach, lag_src).alias("__tail"))
+    whole = Window.partitionBy(*group)
+    w = whole.orderBy("__pid")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    table = table.withColumns({
+        "__before": F.coalesce(F.sum("__n").over(before), F.lit(0)),
+        "__size": F.sum("__n").over(whole),
+        "__goes_on": (F.count(F.lit(1)).over(before) > 0)
+        & F.col("__first").eqNullSafe(F.last("__last").over(w.rowsBetween(-1, -1))),
+        # a piece has a row at least, so ``reach`` pieces hold ``reach`` rows
+        "__past": F.flatten(F.collect_list("__tail").over(w.rowsBetween(-reach, -1))),
+        "__next": F.flatten(F.collect_list("__head").over(w.rowsBetween(1, reach)))})
+    known = F.when(F.col("__last_rank") > 1, F.col("__before") + F.col("__last_rank")) \
+        .when(~F.col("__goes_on"), F.col("__before") + 1)     # rank of the piece's last tie run
+    fresh = F.col("__values") - F.col("__goes_on").cast("int")
+    return table.withColumn("__known", known).withColumn("__fresh", fresh).withColumns({
+        "__run_rank": F.when(F.col("__goes_on"), F.last("__known", ignorenulls=True).over(before)),
+        "__dense_before": F.coalesce(F.sum("__fresh").over(before), F.lit(0)) - F.col("__goes_on").cast("int"),
+    }).select("__pid", *group, "__before", "__size", "__run_rank", "__dense_before", "__past", "__next")
+
+
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | OrderKey],
                 tiebreak: Sequence[str], *, row_number: str | None = None,
                 rank: str | None = None, dense_rank: str | None = None,
@@ -132,56 +204,45 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Order
                 lag: Sequence[tuple[str, str, int]] = (),
                 lead: Sequence[tuple[str, str, int]] = (),
                 num_partitions: int | None = None) -> DataFrame:
-    """W1-W6 over whole tables.
+    """W1-W6 over whole tables, as a scan with carry (see the module).
 
     ``tiebreak`` must make (group, order, tiebreak) unique; it decides the
     row_number among ties (the reference's ROW_NUMBER has none, D4).
-    ``lag``/``lead`` take (output name, source column, offset).
+    ``lag``/``lead`` take (output name, source column, offset >= 1).  The
+    carried table is broadcast: two rows a range, ``offset`` values each.
     """
-    order_keys = parse_order(order)
-    group = list(group)
+    group, order_keys = list(group), parse_order(order)
     ocols = [o.name for o in order_keys]
-    numbered = _numbered(df, group, order_keys, tiebreak, num_partitions, with_size=ntile is not None)
-    out = numbered
-
-    if rank or dense_rank:
-        # one row per (partition, group, order value): a tie run is split by
-        # partition, so no key here is hot.
-        runs = numbered.groupBy("__pid", *group, *ocols).agg(F.min("__rn").alias("__pmin"))
-        runs = runs.withColumn("__rank", F.min("__pmin").over(Window.partitionBy(*group, *ocols)))
-        add = ["__rank"]
-        if dense_rank:
-            distinct_vals = runs.groupBy(*group, *ocols).agg(F.min("__pmin").alias("__vmin"))
-            dense = _numbered(distinct_vals, group, [OrderKey("__vmin")], [], num_partitions) \
-                .select(*group, *ocols, F.col("__rn").alias("__dense"))
-            runs = _join_back(runs, dense, [*group, *ocols], ["__dense"])
-            add.append("__dense")
-        out = _join_back(out, runs.select("__pid", *group, *ocols, *add), ["__pid", *group, *ocols], add)
-        if rank:
-            out = out.withColumnRenamed("__rank", rank)
-        else:
-            out = out.drop("__rank")
-        if dense_rank:
-            out = out.withColumnRenamed("__dense", dense_rank)
-
+    reach = max([1, *[off for _, _, off in (*lag, *lead)]])
+    pieces = _pieces(df, group, order_keys, tiebreak, num_partitions, lag, lead)
+    carry = _carry(pieces, group, ocols, [src for _, src, _ in lag], [src for _, src, _ in lead], reach)
+    out = _join_back(pieces, F.broadcast(carry), ["__pid", *group],
+                     ["__before", "__size", "__run_rank", "__dense_before", "__past", "__next"])
+
+    at, before = F.col("__rn"), F.coalesce("__before", F.lit(0))
+    rn = (before + at).cast("bigint")
+    add: dict[str, Column] = {}
+    if rank:
+        add[rank] = F.when(F.col("__rank") == 1, F.coalesce("__run_rank", before + 1)) \
+            .otherwise(before + F.col("__rank")).cast("bigint")
+    if dense_rank:
+        add[dense_rank] = (F.coalesce("__dense_before", F.lit(0)) + F.col("__dense")).cast("bigint")
     if ntile:
         name, buckets = ntile
-        size, rn = F.col("__size"), F.col("__rn")
+        size = F.coalesce("__size", "__cnt")
         q = F.floor(size / buckets)
         r = size % buckets
         big = (q + 1) * r  # rows in the first r (larger) buckets
-        out = out.withColumn(
-            name,
-            F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1)
-            .otherwise(F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + r + 1).cast("bigint"))
-
-    for specs, sign in ((lag, 1), (lead, -1)):
-        for name, src, off in specs:
-            shifted = numbered.select(*group, (F.col("__rn") + sign * off).alias("__rn"),
-                                      F.col(src).alias(name))
-            out = _join_back(out, shifted, [*group, "__rn"], [name])
-
+        add[name] = F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1) \
+            .otherwise(F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + r + 1).cast("bigint")
+    for i, (name, _, off) in enumerate(lag):
+        back = F.greatest(F.lit(off) - at + 1, F.lit(1))       # that many rows before the piece
+        add[name] = F.when(at > off, F.col(f"__lag{i}")) \
+            .otherwise(F.try_element_at("__past", -back)[f"__v{i}"])
+    for i, (name, _, off) in enumerate(lead):
+        ahead = F.greatest(at + off - F.col("__cnt"), F.lit(1)).cast("int")
+        add[name] = F.when(at + off <= F.col("__cnt"), F.col(f"__lead{i}")) \
+            .otherwise(F.try_element_at("__next", ahead)[f"__v{i}"])
     if row_number:
-        out = out.withColumn(row_number, F.col("__rn"))
-    return out.drop("__pid", "__loc", "__rn", "__size")
-
+        add[row_number] = rn
+    return out.select(*[c for c in df.columns if c not in add], *[v.alias(n) for n, v in add.items()])
