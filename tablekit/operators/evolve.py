@@ -8,12 +8,12 @@ against the existing rows first (one job), and are written once by publish.
 from __future__ import annotations
 
 import dataclasses
-import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablekit.functions.exprs import names_in, rename_in
 from tablekit.operators import quality as V
 from tablekit.spec import TEXT_BYTES, ColumnSpec, ForeignKey, TableSpec, col
 
@@ -61,23 +61,12 @@ def modify_column(df: DataFrame, spec: TableSpec, new: ColumnSpec) -> tuple[Data
     return modify_columns(df, spec, [new])
 
 
-# a quoted SQL string, or an identifier: what a CHECK expression is made of, as far as names go
-_NAME = re.compile(r"'(?:[^']|'')*'|`[^`]+`|[A-Za-z_]\w*")
-
-
-def _names_in(expr: str) -> set[str]:
-    return {m.strip("`").lower() for m in _NAME.findall(expr) if not m.startswith("'")}
-
-
 def rename_in_spec(spec: TableSpec, old: str, new: str) -> TableSpec:
     """``spec`` with a column renamed wherever it is named: column list, keys,
-    checks, foreign keys and indexes."""
+    checks (as Spark parses them), foreign keys and indexes."""
     def one(c: str) -> str:
         return new if c == old else c
 
-    def in_expr(expr: str) -> str:
-        return _NAME.sub(lambda m: new if m[0].strip("`").lower() == old.lower() else m[0], expr)
-
     def in_index(part: str) -> str:
         words = part.split()
         return " ".join([one(words[0]), *words[1:]])
@@ -86,7 +75,7 @@ def rename_in_spec(spec: TableSpec, old: str, new: str) -> TableSpec:
         columns=tuple(dataclasses.replace(c, name=one(c.name)) for c in spec.columns),
         primary_key=tuple(map(one, spec.primary_key)),
         unique=tuple((n, tuple(map(one, cs))) for n, cs in spec.unique),
-        checks=tuple((n, in_expr(e)) for n, e in spec.checks),
+        checks=tuple((n, rename_in(e, old, new)) for n, e in spec.checks),
         foreign_keys=tuple(dataclasses.replace(fk, cols=tuple(map(one, fk.cols))) for fk in spec.foreign_keys),
         indexes=tuple((n, tuple(map(in_index, parts))) for n, parts in spec.indexes))
 
@@ -109,7 +98,7 @@ def drop_column(df: DataFrame, spec: TableSpec, name: str) -> tuple[DataFrame, T
         columns=tuple(c for c in spec.columns if c.name != name),
         primary_key=spec.primary_key if keep(spec.primary_key) else (),
         unique=tuple(u for u in spec.unique if keep(u[1])),
-        checks=tuple(ch for ch in spec.checks if name.lower() not in _names_in(ch[1])),
+        checks=tuple(ch for ch in spec.checks if name.lower() not in names_in(ch[1])),
         foreign_keys=tuple(fk for fk in spec.foreign_keys if keep(fk.cols)),
         indexes=tuple(ix for ix in spec.indexes if all(p.split()[0] != name for p in ix[1])),
     )
@@ -130,13 +119,15 @@ def drop_index(spec: TableSpec, name: str) -> TableSpec:
     return spec.replace(indexes=tuple(ix for ix in spec.indexes if ix[0] != name))
 
 
-def unique_violations(df: DataFrame, name: str, cols: tuple[str, ...]) -> DataFrame:
-    return V.duplicate_keys(df, cols, f"unique:{name}")
+def unique_violations(df: DataFrame, name: str, cols: tuple[str, ...],
+                      collations: Mapping[str, str] | None = None) -> DataFrame:
+    return V.duplicate_keys(df, cols, f"unique:{name}", collations=collations)
 
 
 def add_unique(df: DataFrame, spec: TableSpec, name: str, cols: tuple[str, ...]) -> TableSpec:
-    """ADD UNIQUE on existing data: duplicates (NULLs excepted) raise."""
-    V.require_empty(unique_violations(df, name, cols), f"ADD UNIQUE {name}")
+    """ADD UNIQUE on existing data: duplicates (NULLs excepted,
+    compared under the columns' collations) raise."""
+    V.require_empty(unique_violations(df, name, cols, spec.collations), f"ADD UNIQUE {name}")
     return spec.replace(unique=spec.unique + ((name, cols),))
 
 

@@ -31,7 +31,7 @@ from tablekit.functions.exprs import any_differs, hit, miss
 from tablekit.operators import conflicts
 from tablekit.operators.ids import assign_ids, next_id
 from tablekit.operators.quality import (
-    ConstraintViolation, any_broken, broken_rules, check, duplicate_keys, enforce, key_string, orphans, require_empty)
+    ConstraintViolation, any_broken, broken_rules, check, compared, duplicate_keys, enforce, key_string, orphans, require_empty)
 from tablekit.operators.query import oldest
 from tablekit.operators.window import numbered_rows
 from tablekit.session import materialize
@@ -132,9 +132,12 @@ def key_violations(table: DataFrame, batch: DataFrame, spec: TableSpec) -> DataF
     out = None
     for rule, cols in conflicts.unique_keys(spec, batch.columns):
         own = batch.select(*cols).dropna(subset=list(cols))
-        held = own.join(table.select(*cols), list(cols), "left_semi").distinct().select(
-            F.lit(f"{rule}:held").alias("rule"), key_string(cols).alias("key"), F.lit(1).cast("bigint").alias("n"))
-        for part in (duplicate_keys(own, cols, rule), held):
+        named = own.select(*cols, key_string(cols).alias("key"))
+        held = compared(named, cols, spec.collations) \
+            .join(compared(table.select(*cols), cols, spec.collations), list(cols), "left_semi") \
+            .select("key").distinct().select(
+                F.lit(f"{rule}:held").alias("rule"), "key", F.lit(1).cast("bigint").alias("n"))
+        for part in (duplicate_keys(own, cols, rule, collations=spec.collations), held):
             out = part if out is None else out.unionByName(part)
     if out is None:
         out = batch.sparkSession.createDataFrame([], "rule string, key string, n bigint")
@@ -158,7 +161,8 @@ def _check_other_unique(new: DataFrame, spec: TableSpec, key: str, mode: str | N
         raise ValueError(mode)
     for name, ucols in spec.unique:
         if tuple(ucols) != (key,):
-            require_empty(duplicate_keys(new, ucols, f"unique:{name}"), f"result breaks {name}")
+            require_empty(duplicate_keys(new, ucols, f"unique:{name}", collations=spec.collations),
+                          f"result breaks {name}")
 
 
 # --- M1 / M2 / M6: insert -------------------------------------------------------------
@@ -475,7 +479,8 @@ def update_violations(hit_rows: DataFrame, new: DataFrame, spec: TableSpec, chan
         F.explode(broken_rules(own, hit_rows)).alias("rule"), key.alias("key"), F.lit(1).cast("bigint").alias("n"))
     for rule, cols in conflicts.unique_keys(spec, new.columns):
         if assigned & set(cols):
-            out = out.unionByName(duplicate_keys(new, cols, rule, skip_nulls=rule != "primary_key"))
+            out = out.unionByName(duplicate_keys(new, cols, rule, skip_nulls=rule != "primary_key",
+                                                 collations=spec.collations))
     for fk in spec.foreign_keys:
         if assigned & set(fk.cols) and parents and fk.parent in parents:
             out = out.unionByName(orphans(hit_rows, parents[fk.parent], fk, spec.primary_key))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.functions.exprs import hit, miss
-from tablekit.spec import ColumnSpec, ForeignKey, TableSpec
+from tablekit.spec import COLLATIONS, ColumnSpec, ForeignKey, TableSpec
 
 VIOLATION_SCHEMA = "rule string, key string, n bigint"
 
@@ -121,17 +121,32 @@ def row_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
         .select("rule", "key", F.lit(1).cast("bigint").alias("n"))
 
 
-def duplicate_keys(df: DataFrame, cols: Sequence[str], rule: str, skip_nulls: bool = True) -> DataFrame:
+def compared(df: DataFrame, cols: Sequence[str], collations: Mapping[str, str] | None) -> DataFrame:
+    """``df`` with its key columns under the collations declared for them, so
+    that grouping, joining and DISTINCT compare them that way."""
+    kinds = {c: COLLATIONS[collations[c]] for c in cols if c in (collations or {})}
+    return df.withColumns({c: F.collate(F.col(c), k) for c, k in kinds.items()}) if kinds else df
+
+
+def duplicate_keys(df: DataFrame, cols: Sequence[str], rule: str, skip_nulls: bool = True,
+                   collations: Mapping[str, str] | None = None) -> DataFrame:
     """V3/V4: keys held by more than one row (NULL keys never collide in a
-    UNIQUE index, so they are skipped unless ``skip_nulls`` is False)."""
+    UNIQUE index, so they are skipped unless ``skip_nulls`` is False).  Columns
+    with a declared collation compare under it; the key reported is then the
+    smallest of the colliding values by code point."""
     src = df
     if skip_nulls:
         cond = F.lit(True)
         for c in cols:
             cond = cond & F.col(c).isNotNull()
         src = df.filter(cond)
-    return src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1) \
-        .select(F.lit(rule).alias("rule"), key_string(cols).alias("key"), "n")
+    if not any(c in (collations or {}) for c in cols):
+        return src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1) \
+            .select(F.lit(rule).alias("rule"), key_string(cols).alias("key"), "n")
+    keyed = src.select(*cols, key_string(cols).alias("__key"))
+    return compared(keyed, cols, collations).groupBy(*cols) \
+        .agg(F.count(F.lit(1)).alias("n"), F.min("__key").alias("key")).filter(F.col("n") > 1) \
+        .select(F.lit(rule).alias("rule"), "key", "n")
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey, key_cols: Sequence[str]) -> DataFrame:
@@ -150,9 +165,10 @@ def check(df: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame] | Non
     """All violations of ``spec`` in ``df`` as (rule, key, n)."""
     parts = [row_violations(df, spec)]
     if spec.primary_key:
-        parts.append(duplicate_keys(df, spec.primary_key, "primary_key", skip_nulls=False))
+        parts.append(duplicate_keys(df, spec.primary_key, "primary_key", skip_nulls=False,
+                                    collations=spec.collations))
     for name, cols in spec.unique:
-        parts.append(duplicate_keys(df, cols, f"unique:{name}"))
+        parts.append(duplicate_keys(df, cols, f"unique:{name}", collations=spec.collations))
     for fk in spec.foreign_keys:
         if parents and fk.parent in parents:
             parts.append(orphans(df, parents[fk.parent], fk, spec.primary_key))

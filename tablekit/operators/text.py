@@ -13,10 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.session import reliable_checkpoint
-
-
-# Collation kinds of the modelled DDL and their Spark names.
-COLLATIONS = {"ai_ci": "UNICODE_CI_AI", "as_cs": "UNICODE", "bin": "UTF8_BINARY"}
+from tablekit.spec import COLLATIONS
 
 # What each target charset cannot hold.
 #   utf8mb3 stores at most 3 bytes per character (no U+10000..U+10FFFF);

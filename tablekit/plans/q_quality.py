@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablekit.operators import quality as V
+from tablekit.operators import text as X
 from tablekit.operators.ids import assign_ids
 from tablekit.plans.catalog import register
 from tablekit.plans.oracle_views import with_views
@@ -167,3 +168,19 @@ def assign_ids_split(spark, d):
     """V15 forced onto the range-partition + prefix-sum path used beyond the bound."""
     o = scan(spark, d, "orders").select("o_orderkey", "o_orderdate")
     return assign_ids(o, ["o_orderdate", "o_orderkey"], start=1001, num_partitions=7).select("o_orderkey", "id")
+
+
+@register("unique_ai_ci", r"""
+WITH w AS (SELECT DISTINCT lang, unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS word FROM documents)
+SELECT 'unique:uk_word' AS rule, lang || '|' || min(word) AS key, count(*) AS n
+FROM w WHERE lang IS NOT NULL
+GROUP BY lang, replace(strip_accents(lower(word)), 'ß', 'ss') HAVING count(*) > 1
+""", "V4 T1")
+def unique_ai_ci(spark, d):
+    """UNIQUE (lang, word) over the vocabulary, the word declared accent and
+    case insensitive."""
+    spec = TableSpec("vocabulary", (col("lang", "string"), col("word", "string", collation="ai_ci")),
+                     unique=(("uk_word", ("lang", "word")),))
+    docs = scan(spark, d, "documents").select("lang", X.tokens("text", lower=False).alias("__t"))
+    vocab = X.explode_tokens(docs, "__t", "word").select("lang", "word").distinct()
+    return V.check(vocab, spec)

@@ -14,6 +14,9 @@ from dataclasses import dataclass
 from decimal import Decimal
 from typing import Any
 
+# Collation kinds of the modelled DDL and their Spark names; ai_ci (e = É, a = A), as_cs (accent and case sensitive), bin (byte order)
+COLLATIONS = {"ai_ci": "UNICODE_CI_AI", "as_cs": "UNICODE", "bin": "UTF8_BINARY"}
+
 NOW = object()  # marker: default / on-update is the operation's `now`
 
 
@@ -34,6 +37,7 @@ class ColumnSpec:
     auto_increment: bool = False
     on_update_now: bool = False
     ts_range: tuple[dt.datetime, dt.datetime] | None = None
+    collation: str | None = None     # 'ai_ci' | 'as_cs' | 'bin': how keys on the column compare
     comment: str | None = None
 
 
@@ -71,6 +75,11 @@ class TableSpec:
     def replace(self, **kw) -> "TableSpec":
         return dataclasses.replace(self, **kw)
 
+    @property
+    def collations(self) -> dict[str, str]:
+        """Column -> declared collation, for the columns that declare one."""
+        return {c.name: c.collation for c in self.columns if c.collation}
+
     def ddl_columns(self) -> str:
         return ", ".join(f"{c.name} {c.dtype}" for c in self.columns)
 

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekit.operators import evolve as E
+from tablekit.operators import mutate as M
 from tablekit.operators import quality as V
-from tablekit.spec import EMPLOYEES, col
+from tablekit.spec import EMPLOYEES, TableSpec, col
 from tests.conftest import SF001
 
 SCHEMA = ("emp_id long, department_id long, national_id string, full_name string, contract_type string, "
@@ -158,3 +159,12 @@ def test_update_cascade_refuses_ambiguous_maps(spark):
             V.update_parent_key(parent, child, fk, spark.createDataFrame(rows, "old long, new long"))
     p, c = V.update_parent_key(parent, child, fk, spark.createDataFrame([(1, 2), (2, 1)], "old long, new long"))
     assert sorted(r.id for r in p.collect()) == [1, 2, 3] and sorted((r.cid, r.pid) for r in c.collect()) == [(10, 2), (11, 1)]
+
+
+def test_unique_follows_the_declared_collation(spark):
+    names = spark.createDataFrame([(1, "José"), (2, "jose"), (3, "Ana"), (4, None), (5, None)], "id long, name string")
+    for kind, want in (("ai_ci", [("unique:uk", "José", 2)]), ("as_cs", []), ("bin", []), (None, [])):
+        spec = TableSpec("t", (col("id", "bigint"), col("name", "string", collation=kind)), unique=(("uk", ("name",)),))
+        assert [tuple(r) for r in V.check(names, spec).collect()] == want
+        held = M.key_violations(names, spark.createDataFrame([(9, "JOSE"), (10, "ANA")], "id long, name string"), spec)
+        assert sorted(r.key for r in held.collect()) == (["ANA", "JOSE"] if kind == "ai_ci" else [])
