@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tablekit.operators import quality as V
 from tablekit.operators import text as X
+from tablekit.operators.fk_graph import delete_cascade
 from tablekit.operators.ids import assign_ids
 from tablekit.plans.catalog import register
 from tablekit.plans.oracle_views import with_views
 from tablekit.sources import fixtures as fx
 from tablekit.sources.tables import scan
-from tablekit.spec import CONTRACT_TYPES, EMPLOYEES, TableSpec, col
+from tablekit.spec import CONTRACT_TYPES, EMPLOYEES, ForeignKey, TableSpec, col
 
 _K = "CAST(emp_id AS VARCHAR)"
 _RANGE = ("< TIMESTAMP '1970-01-01 00:00:01'", "> TIMESTAMP '2038-01-19 03:14:07'")
@@ -184,3 +187,44 @@ def unique_ai_ci(spark, d):
     docs = scan(spark, d, "documents").select("lang", X.tokens("text", lower=False).alias("__t"))
     vocab = X.explode_tokens(docs, "__t", "word").select("lang", "word").distinct()
     return V.check(vocab, spec)
+
+
+@register("fk_cascade_tree", """
+WITH RECURSIVE c AS (SELECT c_custkey, c_nationkey, nullif(c_custkey // 7, 0) AS referrer FROM customer),
+gone_n AS (SELECT n_nationkey FROM nation WHERE n_regionkey = 1),
+gone_c AS (
+  SELECT c_custkey FROM c WHERE c_nationkey IN (SELECT n_nationkey FROM gone_n)
+  UNION
+  SELECT c.c_custkey FROM c JOIN gone_c g ON c.referrer = g.c_custkey)
+SELECT 'region' AS tbl, r_regionkey AS id, CAST(NULL AS BIGINT) AS parent FROM region WHERE r_regionkey <> 1
+UNION ALL SELECT 'nation', n_nationkey, n_regionkey FROM nation WHERE n_regionkey <> 1
+UNION ALL SELECT 'customer', c_custkey, c_nationkey FROM c WHERE c_custkey NOT IN (SELECT c_custkey FROM gone_c)
+UNION ALL SELECT 'orders', o_orderkey,
+  CASE WHEN o_custkey IN (SELECT c_custkey FROM gone_c) THEN NULL ELSE o_custkey END FROM orders
+""", "F1 F2 F3")
+def fk_cascade_tree(spark, d):
+    """DELETE of a region: three levels of tables, customers who refer to the
+    customer that brought them, orders that keep no customer."""
+    def table(name, *refs):
+        frame = scan(spark, d, name)
+        return frame, TableSpec(name, tuple(col(f.name, f.dataType.simpleString()) for f in frame.schema),
+                                primary_key=(frame.columns[0],), foreign_keys=refs)
+
+    customers, spec = table(
+        "customer",
+        ForeignKey("fk_nation", ("c_nationkey",), "nation", ("n_nationkey",), on_delete="cascade"),
+        ForeignKey("fk_referrer", ("referrer",), "customer", ("c_custkey",), on_delete="cascade"))
+    customers = customers.withColumn("referrer", F.expr("nullif(c_custkey div 7, 0)"))
+    left = delete_cascade({
+        "region": table("region"),
+        "nation": table("nation", ForeignKey("fk_region", ("n_regionkey",), "region", ("r_regionkey",),
+                                             on_delete="cascade")),
+        "customer": (customers, spec),
+        "orders": table("orders", ForeignKey("fk_customer", ("o_custkey",), "customer", ("c_custkey",),
+                                             on_delete="set_null")),
+    }, "region", F.col("r_regionkey") == 1)
+    shown = {"region": F.lit(None), "nation": F.col("n_regionkey"), "customer": F.col("c_nationkey"),
+             "orders": F.col("o_custkey")}
+    parts = [left[t].select(F.lit(t).alias("tbl"), F.col(left[t].columns[0]).cast("bigint").alias("id"),
+                            parent.cast("bigint").alias("parent")) for t, parent in shown.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
