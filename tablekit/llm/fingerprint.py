@@ -1,12 +1,19 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
 A text is cut into paragraphs (lines, and inside a long line wherever a word's
-hash says so, so that cuts depend on nearby words alone).  Every paragraph is
-hashed to a wide vector of +1 and -1, and the vectors are summed lane by lane
-modulo 2 ** 16.  The sum does not depend on the order of paragraphs; adding or
-subtracting a paragraph's vector inserts or deletes it.  Lanes read as signed
-numbers estimate how many paragraphs two texts do not share: the mean square
-of the lane differences.
+hash says so, so that cuts depend on nearby words alone; a run of over ``RUN``
+bytes without white space is first cut into parts where the bytes before say
+so).  Every paragraph is hashed to a wide vector, and the vectors are summed
+lane by lane modulo 2 ** 32.  The sum does not depend on the order of
+paragraphs; adding or subtracting a paragraph's vector inserts or deletes it.
+
+A vector has two parts.  ``WIDE`` lanes hold numbers of 32 random bits: they
+decide equality.  ``SIGNS`` lanes hold +1 or -1; read as signed numbers they
+estimate likeness.  The mean square of a lane estimates the sum of the squared
+paragraph counts, so likeness is 1 - |p - q|^2 / (|p|^2 + |q|^2) of the two
+texts' vectors of counts: 1 for equal multisets, 0 for texts that share nothing,
+2 / 3 for a line repeated 2n times against that line n times and another one n
+times.
 
 ``edited_pairs`` pairs each document with the next one by id.  Documents are
 dealt to id ranges (bounds from a quantile sketch of the ids); a range's first
@@ -22,28 +29,48 @@ next; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import shipped, shuffle_partitions, table
-from tablekit.llm.words import mix64, span_hashes, word_spans
+from tablekit.llm.words import mix64, span_hashes, spread, word_spans
 
-LANES = 128                           # of 16 bits each
+WIDE = 32                             # lanes of 32 random bits
+SIGNS = 128                           # lanes of +1 and -1
 CUT = 8                               # inside a line, one word in CUT ends a paragraph
+RUN = 64                              # longer runs without white space are cut into parts
+RUN_CUT = 32                          # one byte in RUN_CUT ends a part
 PIECE_CHARS = 1 << 20
 _U = np.uint64
 
 
+def run_parts(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans with those of over RUN bytes cut where the eight bytes before say so -> (start, end, continues)."""
+    runs = np.flatnonzero(end - start > RUN)
+    if len(runs) == 0:
+        return start, end, np.zeros(len(start), bool)
+    eights = np.ndarray(shape=(len(buf) - 7,), dtype="<u8", buffer=buf, strides=(1,))
+    at = spread(start[runs] + 8, (end - start)[runs] - 8)
+    cuts = at[mix64(eights[at - 8]) % _U(RUN_CUT) == 0]
+    starts = np.concatenate((start, cuts))
+    order = np.argsort(starts, kind="stable")
+    return starts[order], np.sort(np.concatenate((end, cuts))), order >= len(start)
+
+
 def paragraph_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row bounds) of the paragraphs of each text."""
     start, end, bounds = word_spans(buf, offs)
     if len(start) == 0:
         return np.zeros(0, _U), np.zeros(len(offs), np.int64)
+    start, end, continues = run_parts(buf, start, end)
+    bounds = np.searchsorted(start, offs)
     h = span_hashes(buf, start, end)
+    h[continues] = mix64(h[continues] ^ _U(0xA0761D6478BD642F))
     last = (mix64(h) % _U(CUT)) == 0
     lines = np.concatenate(([0], np.cumsum(buf[:int(offs[-1])] == 10)))
     last[:-1] |= lines[start[1:]] != lines[start[:-1]]
@@ -56,16 +83,25 @@ def paragraph_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def vector_sums(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sum of the paragraphs' +1/-1 vectors for every row, modulo 2 ** 16."""
+    """Sum of the paragraphs' vectors for every row, lane by lane modulo 2 ** 32."""
     n = len(bounds) - 1
-    out = np.zeros((n, LANES), np.uint16)
+    out = np.zeros((n, WIDE + SIGNS), np.uint32)
     if len(hashes) == 0:
         return out
-    seeds = [mix64(hashes + _U((2 * k + 1) * 0xD1B54A32D192ED03 % (1 << 64))) for k in range(LANES // 64)]
-    bits = np.unpackbits(np.ascontiguousarray(np.stack(seeds, axis=1)).view(np.uint8), axis=1)
     some = np.flatnonzero(np.diff(bounds) > 0)
-    ones = np.add.reduceat(bits, bounds[some], axis=0, dtype=np.int64)
-    out[some] = (2 * ones - np.diff(bounds)[some, None]).astype(np.uint16)
+    at = bounds[some]
+
+    def entries(k: int) -> np.ndarray:
+        return mix64(hashes + _U((2 * k + 1) * 0xD1B54A32D192ED03 % (1 << 64)))
+
+    for k in range(WIDE // 2):                          # 64-bit sums wrap at a multiple of 2 ** 32
+        pair = entries(k)
+        out[some, 2 * k] = np.add.reduceat(pair & _U(0xFFFFFFFF), at).astype(np.uint32)
+        out[some, 2 * k + 1] = np.add.reduceat(pair >> _U(32), at).astype(np.uint32)
+    for k in range(SIGNS // 64):
+        bits = np.unpackbits(entries(WIDE // 2 + k)[:, None].view(np.uint8), axis=1)
+        ones = np.add.reduceat(bits, at, axis=0, dtype=np.int64)
+        out[some, WIDE + 64 * k:WIDE + 64 * (k + 1)] = (2 * ones - np.diff(bounds)[some, None]).astype(np.uint32)
     return out
 
 
@@ -80,19 +116,22 @@ def fingerprints(texts: list[str]) -> np.ndarray:
 
 def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     """The fingerprint after inserting (sign 1) or deleting (sign -1) what ``b`` stands for."""
-    return (a + b if sign > 0 else a - b).astype(np.uint16)
+    return a + b if sign > 0 else a - b
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated share of paragraphs that two fingerprints (rows) have in common, 0 to 1."""
-    sa, sb = a.view(np.int16).astype(float), b.view(np.int16).astype(float)
-    diff = ((a - b).astype(np.uint16).view(np.int16).astype(float) ** 2).mean(axis=1)
-    total = (sa ** 2).mean(axis=1) + (sb ** 2).mean(axis=1)
-    return np.where(total > 0, np.clip(1 - diff / np.where(total > 0, total, 1), 0, 1), 1.0)
+    """Estimated likeness of the paragraph counts behind two fingerprints (rows), 0 to 1."""
+
+    def square(v: np.ndarray) -> np.ndarray:
+        return (np.ascontiguousarray(v[:, WIDE:]).view(np.int32).astype(float) ** 2).mean(axis=1)
+
+    total = square(a) + square(b)
+    near = np.clip(1 - square(a - b) / np.where(total > 0, total, 1), 0, 1)
+    return np.where(total > 0, near, (a == b).all(axis=1).astype(float))
 
 
 def as_text(vectors: np.ndarray) -> list[str]:
-    return [v.astype("<u2").tobytes().hex() for v in vectors]
+    return [v.astype("<u4").tobytes().hex() for v in vectors]
 
 
 def fingerprinted(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -157,6 +196,20 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def _constants(values: list, kind: str) -> Column:
+    """An array literal: one string that the optimizer folds, not an expression for each value."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
+
+
+def _count_up_to(cuts: list[int], value: Column) -> Column:
+    """How many of the sorted ``cuts`` are at most ``value``: about 2 sqrt(n) comparisons a row."""
+    step = math.isqrt(len(cuts)) + 1
+    block = F.size(F.filter(_constants(cuts[::step], "long"), lambda c: c <= value))
+    start = F.greatest(block - 1, F.lit(0)) * step
+    inside = F.slice(_constants(cuts, "long"), start + 1, F.lit(step))
+    return start + F.size(F.filter(inside, lambda c: c <= value))
+
+
 def edited_pairs(docs: DataFrame) -> DataFrame:
     """The rows of PAIR_SCHEMA for all of ``docs(doc_id, text)``."""
     spark = shipped(docs.sparkSession)
@@ -164,16 +217,14 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n_ranges = shuffle_partitions(spark)
     # bounds are ids of documents: one number a range, by a mergeable sketch over all ids
-    found = src.agg(F.min("doc_id"), F.percentile_approx("doc_id", [i / n_ranges for i in range(1, n_ranges + 1)],
-                                                         100 * n_ranges)).first()
+    shares = _constants([i / n_ranges for i in range(1, n_ranges + 1)], "double")
+    found = src.agg(F.min("doc_id"), F.percentile_approx("doc_id", shares, 100 * n_ranges)).first()
     cuts = [] if found[0] is None else sorted({found[0], *found[1][:-1]})
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
     # range k holds the ids in [cut k, cut k + 1); NULL ids are in range 0
-    before = F.size(F.filter(bounds, lambda c: c <= F.col("doc_id")))
-    placed = src.withColumn("range", F.when(F.col("doc_id").isNull(), 0).otherwise(F.greatest(before, F.lit(1)) - 1))
+    placed = src.withColumn("range", F.when(F.col("doc_id").isNull(), 0)
+                            .otherwise(F.greatest(_count_up_to(cuts, F.col("doc_id")), F.lit(1)) - 1))
     # the first row of each range, of NULL ids too, is the next of the last row before it
-    first = F.col("doc_id").isin(cuts) if cuts else F.lit(False)
-    heads = placed.filter(first | F.col("doc_id").isNull())
+    heads = placed.filter((F.get(_constants(cuts, "long"), F.col("range")) == F.col("doc_id")) | F.col("doc_id").isNull())
     order = Window.partitionBy("range").orderBy("doc_id", "text")
     heads = heads.withColumn("__k", F.row_number().over(order)).filter("__k = 1").drop("__k")
     last = max(len(cuts) - 1, 0)

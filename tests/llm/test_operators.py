@@ -473,6 +473,42 @@ def test_fingerprints_are_homomorphic():
     assert (f.combine(a, b) == ab).all() and (ab == ba).all() and (f.combine(ab, b, -1) == a).all()
 
 
+def test_fingerprints_of_repeated_paragraphs_and_unspaced_text():
+    from tablekit.llm import fingerprint as f
+    n = 65_536
+    same, half, empty = f.fingerprints(["same line\n" * n, "same line\n" * (n // 2) + "other one\n" * (n // 2), ""])
+    assert not (same == empty).all() and not (same == half).all()
+    near = f.likeness(np.stack([same, same, same]), np.stack([same, half, empty]))
+    assert near[0] == 1 and abs(near[1] - 2 / 3) < 0.15 and near[2] < 0.05
+    rng = random.Random(4)
+    a, b = ("".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(4_000)) for _ in range(2))
+    base, edited, other = f.fingerprints([a, a[:2_000] + b[:2_000], b])
+    near = f.likeness(np.stack([base, base]), np.stack([edited, other]))
+    assert 0.3 < near[0] < 0.7 and near[1] < 0.3
+    # one inserted character changes the parts around it alone
+    changed = f.fingerprints([a[:1_000] + "\u4e00" + a[1_000:]])
+    assert f.likeness(base[None], changed)[0] > 0.85
+
+
+def test_run_parts_cover_long_runs():
+    from tablekit.llm import fingerprint as f
+    text = ("ab" * 20 + " " + "".join(chr(97 + i * i % 23) for i in range(3_000)) + " end").encode()
+    buf = np.frombuffer(text + bytes(8), np.uint8)
+    start, end, continues = f.run_parts(buf, np.array([0, 41, 3_042]), np.array([40, 3_041, 3_045]))
+    assert list(start[~continues]) == [0, 41, 3_042]
+    inner = slice(1, len(start) - 1)
+    assert start[inner][0] == 41 and end[inner][-1] == 3_041 and (start[inner][1:] == end[inner][:-1]).all()
+
+
+def test_count_up_to(spark):
+    from tablekit.llm.fingerprint import _count_up_to
+    rng = random.Random(8)
+    for size in (0, 1, 2, 5, 300):
+        cuts = sorted(rng.sample(range(-1_000, 1_000), size))
+        rows = spark.range(-1_010, 1_010, 7).select("id", _count_up_to(cuts, F.col("id")).alias("n")).collect()
+        assert all(r.n == sum(c <= r.id for c in cuts) for r in rows)
+
+
 def test_edited_pairs_over_many_ranges(spark):
     from tablekit.llm import fingerprint as f
     rng = random.Random(2)
