@@ -56,7 +56,9 @@ def token_rows(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFra
 
     shipped(docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return (src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id are spread by their text: its first characters, then its hash
+    order = ["doc_id", F.substring("text", 1, 32), F.xxhash64("text")]
+    return (src.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
             .mapInArrow(run, IDS_SCHEMA))
 
 
