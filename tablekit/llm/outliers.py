@@ -5,9 +5,12 @@ out at once; the others are judged by the Mahalanobis distance of their
 transformed statistic vector from a minimum-covariance-determinant (MCD)
 estimate of their language and source.
 
-The estimate: start from medians and MADs, then repeat concentration steps
-(keep the share ``SUPPORT`` of rows that are closest, take their mean and
-covariance), and scale the covariance for consistency.  Every group's figures
+The estimate: three deterministic starts about the medians (MADs alone; the
+correlation of tanh of the standardized values; that of their spatial signs),
+``FIRST_STEPS`` concentration steps for each (keep the share ``SUPPORT`` of rows
+that are closest, take their mean and covariance), then the start with the least
+determinant goes on until its determinant stands still.  The covariance is
+scaled for consistency.  Every group's figures
 are sums and quantile sketches, so a group of any size is pre-aggregated by
 the tasks that read it; joins with a group's figures are salted.  Sources with
 under ``MIN_GROUP`` rows of a language are pooled, and so are languages whose
@@ -34,7 +37,10 @@ MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 60
 SALTS = 16
 SUPPORT = 0.75
-STEPS = 4
+FIRST_STEPS = 2                       # concentration steps of every start; the best one goes on
+LAST_STEPS = 30                       # at most, while the log determinant falls by more than STILL
+STILL = 1e-6
+SHRINK = 0.99                         # of a start's correlations, so that it has an inverse
 TAIL = 1e-9                           # chance of a normal vector beyond the cutoff
 ACCURACY = 20_000
 #: transformed statistic -> least standard deviation
@@ -173,39 +179,94 @@ def _salted(small: DataFrame) -> DataFrame:
     return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def mcd_estimates(rows: DataFrame) -> DataFrame:
-    """(grp, n, m_i, l_i_j): centre and Cholesky factor of every group's scaled MCD covariance.
+def _estimates(frame: DataFrame, cov: list[list[Column]], keep: list[str]) -> DataFrame:
+    """``keep``, the Cholesky factor and ``logdet``, the covariance's log determinant."""
+    log_pivots = (F.log(F.col(f"l_{i}_{i}")) for i in range(len(cov)))
+    return _factor_frame(frame, cov, keep).withColumn("logdet", 2 * sum(log_pivots, F.lit(0.0)))
 
-    ``rows`` have grp, salt and the vector.
-    """
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """(grp, start, n, m_i, l_i_j, logdet): three starting estimates of every group."""
     names, floors = list(VECTOR), list(VECTOR.values())
     d = len(names)
-    rows = rows.select("grp", "salt", *names)
+    lower = [(i, j) for i in range(d) for j in range(i + 1)]
     middle = rows.groupBy("grp").agg(
         F.count("*").alias("n"), *[F.percentile_approx(c, 0.5, ACCURACY).alias(f"m_{i}") for i, c in enumerate(names)])
     spread = rows.join(_salted(middle), ["grp", "salt"]).groupBy("grp").agg(
         F.first("n").alias("n"), *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(d)],
         *[F.percentile_approx(F.abs(F.col(c) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"s_{i}")
           for i, c in enumerate(names)])
-    diagonal = [[(F.greatest(1.4826 * F.col(f"s_{i}"), F.lit(floors[i])) ** 2) if i == j else F.lit(0.0)
-                 for j in range(d)] for i in range(d)]
-    keep = ["grp", "n", *[f"m_{i}" for i in range(d)]]
-    now = checkpointed(_factor_frame(spread, diagonal, keep))
-    for _ in range(STEPS):
-        near = _with_distance(rows.join(_salted(now), ["grp", "salt"]), d)
-        cut = near.groupBy("grp").agg(F.percentile_approx("dist", SUPPORT, ACCURACY).alias("cut"))
-        cut = checkpointed(now.join(cut, "grp"))
-        inner = _with_distance(rows.join(_salted(cut), ["grp", "salt"]), d).filter("dist <= cut")
-        moved = [F.col(c) - F.col(f"m_{i}") for i, c in enumerate(names)]      # about the last centre: no cancellation
-        sums = inner.groupBy("grp").agg(
-            F.first("n").alias("n"), *[F.first(f"m_{i}").alias(f"o_{i}") for i in range(d)],
-            *[F.avg(moved[i]).alias(f"a_{i}") for i in range(d)],
-            *[F.avg(moved[i] * moved[j]).alias(f"p_{i}_{j}") for i in range(d) for j in range(i + 1)])
-        cov = [[(F.col(f"p_{i}_{j}") - F.col(f"a_{i}") * F.col(f"a_{j}")) * consistency(d)
-                + (floors[i] ** 2 if i == j else 0.0) for j in range(i + 1)] for i in range(d)]
-        sums = sums.withColumns({f"m_{i}": F.col(f"o_{i}") + F.col(f"a_{i}") for i in range(d)})
-        now = checkpointed(_factor_frame(sums, cov, keep))
-    return now
+    scale = {f"s_{i}": F.greatest(1.4826 * F.col(f"s_{i}"), F.lit(floors[i])) for i in range(d)}
+    spread = checkpointed(spread.withColumns(scale))
+    rows = rows.join(_salted(spread), ["grp", "salt"]).select(
+        "grp", *[((F.col(c) - F.col(f"m_{i}")) / F.col(f"s_{i}")).alias(f"u_{i}") for i, c in enumerate(names)])
+    rows = rows.withColumns({f"t_{i}": F.tanh(f"u_{i}") for i in range(d)})
+    length = sum((F.col(f"u_{i}") ** 2 for i in range(d)), F.lit(1e-12))
+    moments = rows.groupBy("grp").agg(
+        *[F.avg(F.col(f"t_{i}") * F.col(f"t_{j}")).alias(f"q_{i}_{j}") for i, j in lower],
+        *[F.avg(f"t_{i}").alias(f"b_{i}") for i in range(d)],
+        *[F.avg(F.col(f"u_{i}") * F.col(f"u_{j}") / length).alias(f"g_{i}_{j}") for i, j in lower])
+    tanh = {(i, j): F.col(f"q_{i}_{j}") - F.col(f"b_{i}") * F.col(f"b_{j}") for i, j in lower}
+    signs = {(i, j): F.col(f"g_{i}_{j}") for i, j in lower}
+    found = checkpointed(spread.join(moments, "grp"))
+
+    def covariance(scatter: dict[tuple[int, int], Column] | None) -> list[list[Column]]:
+        def entry(i: int, j: int) -> Column:
+            if i == j:
+                return F.col(f"s_{i}") ** 2
+            if scatter is None:
+                return F.lit(0.0)
+            both = F.sqrt(F.greatest(scatter[i, i], F.lit(1e-9)) * F.greatest(scatter[j, j], F.lit(1e-9)))
+            return SHRINK * scatter[i, j] / both * F.col(f"s_{i}") * F.col(f"s_{j}")
+        return [[entry(i, j) for j in range(i + 1)] for i in range(d)]
+
+    keep = ["grp", "start", "n", *[f"m_{i}" for i in range(d)]]
+    one, two, three = (_estimates(found.withColumn("start", F.lit(k)), covariance(scatter), keep)
+                       for k, scatter in enumerate((None, tanh, signs)))
+    return checkpointed(one.unionByName(two).unionByName(three))
+
+
+def _concentrated(rows: DataFrame, now: DataFrame) -> DataFrame:
+    """One concentration step of the estimates ``now`` (grp, start, ...)."""
+    names, floors = list(VECTOR), list(VECTOR.values())
+    d = len(names)
+    near = _with_distance(rows.join(_salted(now), ["grp", "salt"]), d)
+    cut = near.groupBy("grp", "start").agg(F.percentile_approx("dist", SUPPORT, ACCURACY).alias("cut"))
+    cut = checkpointed(now.join(cut, ["grp", "start"]))
+    inner = _with_distance(rows.join(_salted(cut), ["grp", "salt"]), d).filter("dist <= cut")
+    moved = [F.col(c) - F.col(f"m_{i}") for i, c in enumerate(names)]      # about the last centre: no cancellation
+    sums = inner.groupBy("grp", "start").agg(
+        F.first("n").alias("n"), *[F.first(f"m_{i}").alias(f"o_{i}") for i in range(d)],
+        *[F.avg(moved[i]).alias(f"a_{i}") for i in range(d)],
+        *[F.avg(moved[i] * moved[j]).alias(f"p_{i}_{j}") for i in range(d) for j in range(i + 1)])
+    cov = [[(F.col(f"p_{i}_{j}") - F.col(f"a_{i}") * F.col(f"a_{j}")) * consistency(d)
+            + (floors[i] ** 2 if i == j else 0.0) for j in range(i + 1)] for i in range(d)]
+    sums = sums.withColumns({f"m_{i}": F.col(f"o_{i}") + F.col(f"a_{i}") for i in range(d)})
+    return checkpointed(_estimates(sums, cov, ["grp", "start", "n", *[f"m_{i}" for i in range(d)]]))
+
+
+def mcd_estimates(rows: DataFrame) -> DataFrame:
+    """(grp, n, m_i, l_i_j): centre and Cholesky factor of every group's scaled MCD covariance.
+
+    ``rows`` have grp, salt and the vector.  A step that does not lower a group's
+    determinant is not taken, and the group is done.
+    """
+    rows = rows.select("grp", "salt", *VECTOR)
+    now = _starts(rows)
+    for _ in range(FIRST_STEPS):
+        now = _concentrated(rows, now)
+    cols = now.columns
+    now = checkpointed(now.groupBy("grp").agg(F.min_by(F.struct(*cols), F.struct("logdet", "start")).alias("e"))
+                       .select("e.*", F.lit(True).alias("moving")))
+    for _ in range(LAST_STEPS):
+        step = _concentrated(rows, now.filter("moving").drop("moving")).select("grp", F.struct(*cols).alias("e"))
+        falls = F.coalesce(F.col("e.logdet") < F.col("logdet") - STILL, F.lit(False))
+        now = checkpointed(now.join(step, "grp", "left")
+                           .select(F.when(falls, F.col("e")).otherwise(F.struct(*cols)).alias("e"), falls.alias("moving"))
+                           .select("e.*", "moving"))
+        if now.filter("moving").isEmpty():
+            break
+    return now.drop("moving", "start", "logdet")
 
 
 def judged(stats: DataFrame, tail: float = TAIL) -> DataFrame:
