@@ -98,10 +98,12 @@ def _count_of(df: DataFrame) -> Column:
     return df.select(F.count(F.lit(1))).scalar()
 
 
-def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None, order: Sequence[str]) -> DataFrame:
+def _with_ids(new_rows: DataFrame, table: DataFrame, id_col: str | None, order: Sequence[str],
+              counter: int | None = None) -> DataFrame:
     if id_col is None:
         return new_rows
-    return assign_ids(new_rows, order, start=next_id(table, id_col), name=id_col)
+    start = next_id(table, id_col)
+    return assign_ids(new_rows, order, start=start if counter is None else F.greatest(start, F.lit(counter)), name=id_col)
 
 
 def _without(spec: TableSpec, column: str | None) -> TableSpec:
@@ -169,9 +171,11 @@ def _check_other_unique(new: DataFrame, spec: TableSpec, key: str, mode: str | N
 
 def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
            order: Sequence[str] | None = None, mode: str = "strict",
-           parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+           parents: Mapping[str, DataFrame] | None = None,
+           counter: int | None = None) -> tuple[DataFrame, DataFrame]:
     """M1/M2: INSERT (named columns; defaults for the rest; AUTO_INCREMENT
-    ids continue after the table's max in ``order`` of the batch).  In strict
+    ids continue after the table's max in ``order`` of the batch, and not below
+    ``counter``, the next id of the published table).  In strict
     mode the batch is checked first (``check_batch``); ``mode="unchecked"`` is
     for batches that are known to be clean."""
     id_col = auto_column(spec)
@@ -183,7 +187,7 @@ def insert(table: DataFrame, batch: DataFrame, spec: TableSpec, now=None,
         raise ValueError(mode)
     if fills:
         order = order or ([spec.unique[0][1][0]] if spec.unique else None)
-        b = _with_ids(b, table, id_col, order)
+        b = _with_ids(b, table, id_col, order, counter)
     new = table.unionByName(b.select(*table.columns))
     return new, _metrics(b, inserted=F.lit(True))
 

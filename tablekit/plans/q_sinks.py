@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from tablekit.operators import mutate as M
 from tablekit.operators.batch import Batch
 from tablekit.operators.ids import assign_ids, next_id
+from tablekit.operators.query import oldest
 from tablekit.plans.catalog import register
 from tablekit.plans.oracle_views import with_views
 from tablekit.plans.q_mutate import EMP_COLS, EMP_SQL_OUT, NOW, NOW_SQL, ntz
 from tablekit.sources import fixtures as fx
+from tablekit.sources import partitioned as P
 from tablekit.sources import sinks as S
+from tablekit.sources.fences import fenced_rows, page_by_fence as page_by, write_fenced
+from tablekit.sources.tables import scan
 from tablekit.spec import EMPLOYEES
 
 
@@ -116,6 +120,74 @@ def append_by_name(spark, d):
     return ntz(spark.read.parquet(path))
 
 
+@register("insert_counter", with_views("employees") + f"""
+, b(national_id, full_name, contract_type, base_salary, birth_date) AS (VALUES
+    ('29901010000001', 'Engineer A', 'FULL_TIME', 9000.00, DATE '1999-01-01'),
+    ('29901010000002', 'Engineer B', 'CONTRACTOR', 7500.00, DATE '1999-01-02'),
+    ('29901010000003', 'Engineer C', 'PART_TIME', 4000.00, DATE '1999-01-03'))
+SELECT {EMP_SQL_OUT} FROM employees WHERE emp_id < (SELECT max(emp_id) - 9 FROM employees)
+UNION ALL
+SELECT (SELECT max(emp_id) FROM employees) + ROW_NUMBER() OVER (ORDER BY national_id), NULL,
+       national_id, full_name, contract_type, CAST(base_salary AS DECIMAL(10,2)), NULL, birth_date,
+       {NOW_SQL}, {NOW_SQL}, NULL
+FROM b
+""", "V15 S5 M11 M2")
+def insert_counter(spark, d):
+    """The last ten rows go, then three come: none gets an id that was in use."""
+    base = S.scratch_dir(spark, "employees")
+    emp = fx.employees(spark, d)
+    S.publish(emp, base, 1, next_ids=S.counted(emp, {"emp_id": 1}))
+    last = S.next_ids(spark, base)["emp_id"] - 1
+    kept, _ = M.delete(S.read_latest(spark, base), F.col("emp_id") >= last - 9)
+    S.publish(kept, base, 2, next_ids=S.counted(kept, S.next_ids(spark, base)))
+    new, _ = M.insert(S.read_latest(spark, base), fx.sample_rows(spark, "bulk"), EMPLOYEES, NOW,
+                      order=["national_id"], counter=S.next_ids(spark, base)["emp_id"])
+    S.publish(new, base, 3, next_ids=S.counted(new, S.next_ids(spark, base)))
+    return ntz(S.read_latest(spark, base))
+
+
+@register("publish_partitions", """
+WITH chunk AS (SELECT event_id FROM events WHERE event_type = 'error' ORDER BY ts, event_id LIMIT 300),
+     kept AS (SELECT * FROM events WHERE event_id NOT IN (SELECT event_id FROM chunk)
+                                     AND CAST(ts AS DATE) <> DATE '2024-01-03')
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN event_type = 'view' AND CAST(ts AS DATE) = DATE '2024-01-20' THEN value * 2 ELSE value END AS value,
+       props, CAST(ts AS DATE) AS day
+FROM kept
+""", "S5 M13 M15 M7")
+def publish_partitions(spark, d):
+    """A chunked delete, a purge of one day and an update of one day, each
+    rewriting only the days it touches."""
+    import uuid
+    base = S.scratch_dir(spark, "events")
+    name = f"events_{uuid.uuid4().hex}"
+    P.save_partitioned(scan(spark, d, "events").withColumn("day", F.col("ts").cast("date")), name, "day", base)
+
+    def rewrite(hit_rows, change):
+        P.rewrite_partitions(spark, name, "day", hit_rows, base, change)
+
+    chunk = oldest(spark.table(name), F.col("event_type") == "error", ["ts"], "event_id", 300)
+    rewrite(chunk, lambda rows: M.delete_join(rows, chunk, "event_id", "event_id")[0])
+    purged = F.col("day") == F.lit("2024-01-03").cast("date")
+    rewrite(spark.table(name).filter(purged), lambda rows: M.delete(rows, purged)[0])
+    raised = (F.col("event_type") == "view") & (F.col("day") == F.lit("2024-01-20").cast("date"))
+    rewrite(spark.table(name).filter(raised), lambda rows: M.update(rows, {"value": F.col("value") * 2}, raised)[0])
+    return spark.table(name)
+
+
+@register("page_by_fence", with_views("shop_orders") + """
+, r AS (SELECT order_id, total_amount, ROW_NUMBER() OVER (ORDER BY total_amount DESC, order_id) AS rn,
+               COUNT(*) OVER () AS n FROM shop_orders)
+SELECT order_id, total_amount FROM r WHERE rn > n * 9 // 10 AND rn <= n * 9 // 10 + 100
+""", "O2 O4 S8")
+def page_by_fence(spark, d):
+    """The page at nine tenths of the table: one or two of 64 ranges are read."""
+    path = S.scratch_dir(spark, "orders")
+    order = ["total_amount DESC", "order_id"]
+    write_fenced(fx.shop_orders(spark, d).select("order_id", "total_amount"), path, order, ranges=64)
+    return page_by(spark, path, order, 100, fenced_rows(spark, path) * 9 // 10)
+
+
 @register("compact_files", with_views("employees") + f"SELECT {EMP_SQL_OUT} FROM employees", "S7")
 def compact_files(spark, d):
     base = S.scratch_dir(spark, "employees")

@@ -48,9 +48,22 @@ def version_path(base_dir: str, version: int) -> str:
     return f"{base_dir.rstrip('/')}/v{version:06d}"
 
 
-def publish(df: DataFrame, base_dir: str, version: int, partition_by: list[str] | None = None) -> str:
-    """Write the whole new state as version ``version`` (fails if it exists)."""
+def _counter_path(base_dir: str, version: int) -> str:
+    return f"{base_dir.rstrip('/')}/counters/v{version:06d}"
+
+
+def publish(df: DataFrame, base_dir: str, version: int, partition_by: list[str] | None = None,
+            next_ids: dict[str, int] | None = None) -> str:
+    """Write the whole new state as version ``version`` (fails if it exists).
+    ``next_ids`` are its AUTO_INCREMENT counters (column -> next id), written
+    before the rows, so that a complete version has them."""
     path = version_path(base_dir, version)
+    if next_ids is not None:
+        spark = df.sparkSession
+        if version in published_versions(spark, base_dir):
+            raise ValueError(f"version {version} exists below {base_dir}")
+        spark.createDataFrame(list(next_ids.items()), "name string, next_id long") \
+            .coalesce(1).write.mode("overwrite").parquet(_counter_path(base_dir, version))
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -79,6 +92,25 @@ def read_latest(spark: SparkSession, base_dir: str) -> DataFrame:
     return spark.read.parquet(version_path(base_dir, versions[-1]))
 
 
+def next_ids(spark: SparkSession, base_dir: str) -> dict[str, int]:
+    """The counters of the newest complete version (empty if published without)."""
+    versions = published_versions(spark, base_dir)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_counter_path(base_dir, versions[-1] if versions else 0))
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    return {r.name: r.next_id for r in spark.read.parquet(path.toString()).collect()}
+
+
+def counted(df: DataFrame, counters: dict[str, int]) -> dict[str, int]:
+    """``counters`` raised above the largest ids in ``df``: what to publish with it.
+    A counter never falls, so the id of a deleted last row is not given out again."""
+    if not counters:
+        return {}
+    top = df.agg(*[F.max(c).alias(c) for c in counters]).first()
+    return {c: max(n, (top[c] or 0) + 1) for c, n in counters.items()}
+
+
 def truncate(df: DataFrame, children: Sequence[tuple[DataFrame, str]] = ()) -> DataFrame:
     """TRUNCATE: no rows, same schema; no scan of the old data, and ids
     given afterwards start at 1 again.  Refused while a child table's foreign

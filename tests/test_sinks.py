@@ -1,6 +1,8 @@
 """Sinks, DDL, ids and the savepoint batch."""
 
 import os
+import re
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -9,7 +11,9 @@ from pyspark.sql import functions as F
 from tablekit.operators import mutate as M
 from tablekit.operators.batch import Batch
 from tablekit.operators.ids import assign_ids
+from tablekit.sources import fences as N
 from tablekit.sources import fixtures as fx
+from tablekit.sources import partitioned as P
 from tablekit.sources import sinks as S
 from tablekit.spec import EMPLOYEES
 from tests.conftest import SF001
@@ -157,3 +161,83 @@ def test_bucketed_join_skips_shuffle(spark):
         assert j.count() == emp.filter("department_id IS NOT NULL").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _partitioned(spark, base, rows):
+    name = "t_" + os.path.basename(base).replace("-", "_").lower()
+    P.save_partitioned(spark.createDataFrame(rows, "id long, k string, v long"), name, "k", base)
+    return name
+
+
+def test_rewrite_touches_its_partitions_only(spark, tmpdir_fresh):
+    rows = [(i, ["a", "b c", "d'e=f/g", None][i % 4], i) for i in range(40)]
+    t = _partitioned(spark, tmpdir_fresh, rows)
+    before = P.partition_locations(spark, t)
+    assert set(before) == {"a", "b c", "d'e=f/g", None}
+    hit = F.col("id").isin(1, 2, 5)
+    changed = P.rewrite_partitions(spark, t, "k", spark.table(t).filter(hit), tmpdir_fresh, lambda r: M.delete(r, hit)[0])
+    assert set(changed) == {"b c", "d'e=f/g"}
+    after = P.partition_locations(spark, t)
+    assert {k for k in after if after[k] != before[k]} == {"b c", "d'e=f/g"}
+    assert Counter(map(tuple, spark.table(t).select("id", "k", "v").collect())) == Counter(r for r in rows if r[0] not in (1, 2, 5))
+    fresh = [f for f in os.listdir(tmpdir_fresh) if f != "v0"]
+    assert len(fresh) == 1 and spark.read.parquet(os.path.join(tmpdir_fresh, fresh[0])).count() == 17
+    # the NULL partition, and one that is emptied
+    null = F.col("k").isNull()
+    P.rewrite_partitions(spark, t, "k", spark.table(t).filter(null), tmpdir_fresh,
+                         lambda r: r.withColumn("v", -F.col("v")))
+    assert spark.table(t).filter(null).agg(F.sum("v")).first()[0] == -sum(r[2] for r in rows if r[1] is None)
+    P.rewrite_partitions(spark, t, "k", spark.table(t).filter("k = 'a'"), tmpdir_fresh, lambda r: r.filter("false"))
+    assert "a" not in P.partition_locations(spark, t) and spark.table(t).filter("k = 'a'").count() == 0
+    assert P.rewrite_partitions(spark, t, "k", spark.table(t).filter("id = 999"), tmpdir_fresh, lambda r: r) == []
+
+
+def test_rewrite_of_rows_that_move(spark, tmpdir_fresh):
+    t = _partitioned(spark, tmpdir_fresh, [(1, "a", 1), (2, "b", 2), (3, "c", 3)])
+    one = F.col("id") == 1
+
+    def move(target):
+        return lambda r: r.withColumn("k", F.when(one, target).otherwise(F.col("k")))
+
+    with pytest.raises(ValueError):
+        P.rewrite_partitions(spark, t, "k", spark.table(t).filter(one), tmpdir_fresh, move("b"))
+    assert spark.table(t).count() == 3
+    P.rewrite_partitions(spark, t, "k", spark.table(t).filter(one), tmpdir_fresh, move("new"))
+    assert {(r.id, r.k) for r in spark.table(t).collect()} == {(1, "new"), (2, "b"), (3, "c")}
+    P.rewrite_partitions(spark, t, "k", spark.table(t).filter("id < 3"), tmpdir_fresh, move("b"))
+    assert {(r.id, r.k) for r in spark.table(t).collect()} == {(1, "b"), (2, "b"), (3, "c")}
+
+
+def test_pages_by_fence(spark, tmpdir_fresh):
+    rows = [(i, i * 7919 % 101 if i % 11 else None) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "id long, v long")
+    path, order = os.path.join(tmpdir_fresh, "t"), ["v DESC", "id"]
+    N.write_fenced(df, path, order, ranges=40)
+    assert N.fenced_rows(spark, path) == 1_000
+    want = [r.id for r in df.orderBy(F.desc("v"), "id").collect()]
+    for offset in (0, 13, 499, 900, 995, 1_000, 5_000):
+        got = N.page_by_fence(spark, path, order, 20, offset)
+        assert [r.id for r in got.collect()] == want[offset:offset + 20]
+    plan = N.page_by_fence(spark, path, order, 20, 900)._jdf.queryExecution().executedPlan().toString()
+    ranges = re.search(r"PartitionFilters: \[.*?__range#\d+ (?:IN \(|= )([\d,]+)", plan).group(1)      # the folders it reads
+    assert spark.read.parquet(f"{path}/rows").filter(f"__range IN ({ranges})").count() < 100
+    empty = os.path.join(tmpdir_fresh, "e")
+    N.write_fenced(df.filter("id < 0"), empty, order, ranges=4)
+    assert N.fenced_rows(spark, empty) == 0 and N.page_by_fence(spark, empty, order, 20, 0).count() == 0
+
+
+def test_counters_never_fall(spark, tmpdir_fresh):
+    base = os.path.join(tmpdir_fresh, "t")
+    ids = lambda n: spark.range(1, n + 1)
+    assert S.next_ids(spark, base) == {}
+    S.publish(ids(5), base, 1, next_ids=S.counted(ids(5), {"id": 1}))
+    S.publish(ids(3), base, 2, next_ids=S.counted(ids(3), S.next_ids(spark, base)))
+    assert S.next_ids(spark, base) == {"id": 6}
+    with pytest.raises(ValueError):
+        S.publish(ids(9), base, 2, next_ids={"id": 10})
+    assert S.next_ids(spark, base) == {"id": 6}
+    S.publish(ids(9), base, 3, next_ids=S.counted(ids(9), S.next_ids(spark, base)))
+    os.remove(os.path.join(S.version_path(base, 3), "_SUCCESS"))     # a write that did not end
+    assert S.next_ids(spark, base) == {"id": 6}
+    S.publish(S.truncate(ids(3)), base, 4, next_ids={"id": 1})       # TRUNCATE resets it
+    assert S.next_ids(spark, base) == {"id": 1}
