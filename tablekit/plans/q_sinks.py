@@ -208,6 +208,16 @@ def clustered_layout(spark, d):
     return ntz(t.filter((F.col("department_id") == 5) & (F.col("base_salary") >= 1000)))
 
 
+@register("curve_layout", with_views("employees") + f"""
+SELECT {EMP_SQL_OUT} FROM employees WHERE base_salary >= 9000
+""", "S8 P5")
+def curve_layout(spark, d):
+    """The composite index's second column alone, over the interleaved layout."""
+    path = S.scratch_dir(spark, "employees")
+    S.write_curve(fx.employees(spark, d), path, ["base_salary", "department_id"], "emp_id")
+    return ntz(spark.read.parquet(path).filter(F.col("base_salary") >= 9000))
+
+
 @register("ddl_create_insert_rename", with_views("employees") + f"SELECT {EMP_SQL_OUT} FROM employees",
           "S9 S10 E8")
 def ddl_create_insert_rename(spark, d):

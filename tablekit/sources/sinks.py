@@ -7,11 +7,12 @@ either complete or absent, so readers never see half a mutation.
 
 from __future__ import annotations
 
+import bisect
 import math
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.session import scratch_path
@@ -160,6 +161,45 @@ def write_clustered(df: DataFrame, path: str, by: list, tiebreak: str, n: int |
     ranged.sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
 
 
+def _range_rank(value: Column, cuts: list, ranks: list[int]) -> Column:
+    """ranks[k] for a value at or above k of the sorted ``cuts``: a balanced tree of comparisons."""
+    if not cuts:
+        return F.lit(ranks[0])
+    m = len(cuts) // 2
+    return F.when(value < F.lit(cuts[m]), _range_rank(value, cuts[:m], ranks[:m + 1])) \
+        .otherwise(_range_rank(value, cuts[m + 1:], ranks[m + 1:]))
+
+
+def write_curve(df: DataFrame, path: str, columns: Sequence[str], tiebreak: str, n: int | None = None,
+                bits: int = 8) -> None:
+    """A layout that serves a filter on any of ``columns`` (numbers, dates, times).
+
+    Each column's value becomes its rank among 2 ** bits quantile ranges (NULL:
+    rank 0); the ranks' bits are interleaved, highest first, and files are ranges
+    of that number.  So a file is narrow in every column, where the sorted layout
+    is narrow in the first.  Where files are few, the column named first is cut
+    more finely.  Rows of one cell are sorted by ``columns`` and ``tiebreak``."""
+    if not columns or bits * len(columns) > 62:
+        raise ValueError("the interleaved ranks must fit 62 bits")
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    found = df.agg(*[F.percentile_approx(c, shares, 100 << bits).alias(c) for c in columns]).first()
+    ranked = {}
+    for i, c in enumerate(columns):
+        quantiles = sorted(found[c] or [])
+        cuts = sorted(set(quantiles))
+        ranks = [0, *(bisect.bisect_right(quantiles, v) for v in cuts)]
+        ranked[f"__rank_{i}"] = F.when(F.col(c).isNull(), 0).otherwise(_range_rank(F.col(c), cuts, ranks)).cast("long")
+    curve = F.lit(0).cast("long")
+    for i in range(len(columns)):
+        for k in range(bits):
+            bit = F.shiftright(F.col(f"__rank_{i}"), k).bitwiseAND(F.lit(1))
+            curve = curve.bitwiseOR(F.shiftleft(bit, k * len(columns) + len(columns) - 1 - i))
+    order = ["__curve", *columns, tiebreak]
+    placed = df.withColumns(ranked).withColumn("__curve", curve).drop(*ranked)
+    ranged = placed.repartitionByRange(n, *order) if n else placed.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).drop("__curve").write.mode("errorifexists").parquet(path)
+
+
 def index_columns(spec: TableSpec, name: str) -> list:
     """The order columns of a declared index, for ``write_clustered``."""
     parts = next(p for n, p in spec.indexes if n == name)

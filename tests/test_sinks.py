@@ -1,10 +1,12 @@
 """Sinks, DDL, ids and the savepoint batch."""
 
+import glob
 import os
 import re
 from collections import Counter
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,3 +243,37 @@ def test_counters_never_fall(spark, tmpdir_fresh):
     assert S.next_ids(spark, base) == {"id": 6}
     S.publish(S.truncate(ids(3)), base, 4, next_ids={"id": 1})       # TRUNCATE resets it
     assert S.next_ids(spark, base) == {"id": 1}
+
+
+def _rows_met(path, column, least):
+    """(rows in row groups whose statistics meet ``column >= least``, all rows)."""
+    met = total = 0
+    for f in glob.glob(os.path.join(path, "*.parquet")):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            stats = next(group.column(i).statistics for i in range(group.num_columns)
+                         if group.column(i).path_in_schema == column)
+            total += group.num_rows
+            met += group.num_rows if stats is None or not stats.has_min_max or stats.max >= least else 0
+    return met, total
+
+
+def test_curve_serves_the_second_column(spark, tmpdir_fresh):
+    df = spark.range(20_000).select(
+        "id", F.when(F.col("id") % 10 != 9, F.pmod(F.xxhash64("id"), F.lit(25))).alias("dep"),
+        F.pmod(F.xxhash64(F.col("id") + 7), F.lit(100_000)).alias("salary"))
+    flat, curve = os.path.join(tmpdir_fresh, "sorted"), os.path.join(tmpdir_fresh, "curve")
+    S.write_clustered(df, flat, [F.col("dep"), F.col("salary").desc()], "id", n=32)
+    S.write_curve(df, curve, ["salary", "dep"], "id", n=32)
+    assert Counter(map(tuple, spark.read.parquet(curve).collect())) == Counter(map(tuple, df.collect()))
+    by_salary, all_rows = _rows_met(curve, "salary", 97_000)
+    assert all_rows == 20_000 and 3 * by_salary <= _rows_met(flat, "salary", 97_000)[0]
+    assert _rows_met(curve, "dep", 23)[0] <= all_rows / 2           # the index's first column still prunes
+    # ties, NULLs alone and no rows
+    for k, odd in enumerate((df.limit(50).withColumn("dep", F.lit(None).cast("long")).withColumn("salary", F.lit(3)), df.limit(0))):
+        path = os.path.join(tmpdir_fresh, f"odd{k}")
+        S.write_curve(odd, path, ["dep", "salary"], "id", n=4, bits=3)
+        assert spark.read.parquet(path).count() == odd.count()
+    with pytest.raises(ValueError):
+        S.write_curve(df, os.path.join(tmpdir_fresh, "wide"), ["dep", "salary"], "id", bits=32)
