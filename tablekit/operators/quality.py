@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,6 +213,33 @@ def json_field(df: DataFrame, column: str, path: str, dtype: str, name: str) ->
     return df.withColumn(name, F.get_json_object(F.col(column), path).cast(dtype))
 
 
+def json_paths(df: DataFrame, column: str) -> DataFrame:
+    """The paths that the JSON texts in ``column`` hold: (path, type, n), a row
+    for each path and type.  Array elements share the path ``[*]``, keys that are not
+    plain names stand as ``['key']``; numbers are BIGINT, DECIMAL or DOUBLE as Spark's VARIANT reads them; a JSON null is VOID.
+    Texts that are NULL or not JSON count nowhere.
+
+    A level is the VARIANT explosion of the one above; each is counted map-side,
+    so what is shuffled is a row a task, path and type.  There is a job for each
+    level of nesting."""
+    level = df.select(F.lit("$").alias("path"), F.try_parse_json(column).alias("v")).filter(F.col("v").isNotNull())
+    found = []
+    while True:
+        kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
+        level = level.withColumn("type", kind)
+        found.append(level.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n")))
+        nested = level.filter(F.col("type").isin("OBJECT", "ARRAY")).select("path", "v")
+        if nested.isEmpty():
+            break
+        step = F.when(F.col("key").isNull(), "[*]") \
+            .when(F.col("key").rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(F.lit("."), F.col("key"))) \
+            .otherwise(F.concat(F.lit("['"), F.col("key"), F.lit("']")))
+        level = nested.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer())
+                                   .select("key", F.col("value").alias("child"))) \
+            .select(F.concat("path", step).alias("path"), F.col("child").alias("v"))
+    return reduce(DataFrame.unionAll, found)
+
+
 def to_utc(df: DataFrame, column: str, zone: str, name: str | None = None) -> DataFrame:
     """A zone-free local time (DATETIME) in ``zone`` -> UTC wall time.
     Works on TIMESTAMP_NTZ, so the result does not depend on the session zone."""

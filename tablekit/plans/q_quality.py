@@ -135,6 +135,26 @@ def json_field(spark, d):
                       (F.col("props").isNotNull() & F.try_parse_json("props").isNotNull()).alias("valid_json"))
 
 
+@register("json_paths", r"""
+WITH p AS (SELECT '{"type":"' || event_type || '","user":{"id":' || user_id || ',"tags":["' || event_type || '",' || user_id
+                  || ',[]]},"value":' || CASE WHEN value > 20 THEN CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) ELSE 'null' END
+                  || ',"props":' || props || '}' AS payload FROM events),
+     nodes AS (SELECT regexp_replace(j.fullkey, '\[[0-9]+\]', '[*]', 'g') AS path, j.type AS t
+               FROM p, json_tree(p.payload) j)
+SELECT path, CASE WHEN t = 'VARCHAR' THEN 'STRING' WHEN t IN ('UBIGINT', 'BIGINT') THEN 'BIGINT'
+                  WHEN t = 'DOUBLE' THEN 'DECIMAL' WHEN t = 'NULL' THEN 'VOID' ELSE t END AS type, count(*) AS n
+FROM nodes GROUP BY 1, 2
+""", "V11")
+def json_paths(spark, d):
+    """Paths and types of event payloads: objects, arrays, nulls, numbers."""
+    c = F.col
+    value = F.when(c("value") > 20, c("value").cast("decimal(12,2)").cast("string")).otherwise("null")
+    payload = F.concat(F.lit('{"type":"'), c("event_type"), F.lit('","user":{"id":'), c("user_id"), F.lit(',"tags":["'),
+                       c("event_type"), F.lit('",'), c("user_id"), F.lit(',[]]},"value":'), value,
+                       F.lit(',"props":'), c("props"), F.lit("}"))
+    return V.json_paths(scan(spark, d, "events").select(payload.alias("payload")), "payload")
+
+
 @register("to_utc", """
 SELECT event_id, ts, timezone('UTC', timezone('America/New_York', ts)) AS ts_utc FROM events
 """, "V12")

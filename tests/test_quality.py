@@ -1,6 +1,8 @@
 """Constraint rules: each seeded bad row is found; strict modes raise."""
 
 import datetime as dt
+import json
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -168,3 +170,28 @@ def test_unique_follows_the_declared_collation(spark):
         assert [tuple(r) for r in V.check(names, spec).collect()] == want
         held = M.key_violations(names, spark.createDataFrame([(9, "JOSE"), (10, "ANA")], "id long, name string"), spec)
         assert sorted(r.key for r in held.collect()) == (["ANA", "JOSE"] if kind == "ai_ci" else [])
+
+
+def test_json_paths_equal_a_walk(spark):
+    texts = ['{"a": 1, "b": {"c": [1, "x", null, {"d": 2.50}]}}', '{"a": "s", "a.b": true, "b": []}', "[1, [2, [3e300]]]", "7",
+             "null", "{bad", "", None, '{"b": {"c": {}}, "a.b": 0}'] * 2
+
+    def kind(v):
+        return {dict: "OBJECT", list: "ARRAY", str: "STRING", bool: "BOOLEAN", int: "BIGINT", type(None): "VOID"}.get(
+            type(v)) or ("DOUBLE" if abs(v) > 1e100 else "DECIMAL")
+
+    want = Counter()
+
+    def walk(path, v):
+        want[path, kind(v)] += 1
+        for k, x in v.items() if isinstance(v, dict) else [(None, x) for x in v] if isinstance(v, list) else []:
+            walk(path + ("[*]" if k is None else f".{k}" if k.isidentifier() else f"['{k}']"), x)
+
+    for t in texts:
+        try:
+            walk("$", json.loads(t or ""))
+        except ValueError:
+            pass
+    rows = V.json_paths(spark.createDataFrame([(t,) for t in texts], "j string"), "j").collect()
+    assert {(r.path, r.type): r.n for r in rows} == want and len(rows) == len(want)
+    assert V.json_paths(spark.createDataFrame([], "j string"), "j").count() == 0
