@@ -34,6 +34,28 @@ def collation_word_counts(spark, d):
         F.countDistinct(X.collated("word", "ai_ci")).alias("n_ai_ci"))
 
 
+@register("collation_cased_words", r"""
+WITH v AS (SELECT DISTINCT lang, unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS word FROM documents),
+     w AS (SELECT lang, word FROM v
+           UNION SELECT lang, replace(replace(word, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776)) FROM v)
+SELECT lang, COUNT(DISTINCT word) AS n_bin, COUNT(DISTINCT nfc_normalize(word)) AS n_as_cs,
+       COUNT(DISTINCT replace(strip_accents(lower(word)), 'ß', 'ss')) AS n_ai_ci
+FROM w GROUP BY lang
+""", "T1 T2 T3")
+def collation_cased_words(spark, d):
+    """Words as written, some also with their accents as marks of their own: bin
+    tells all apart, as_cs joins the two spellings of an accent but no cases and
+    no letters, ai_ci joins all of them."""
+    docs = scan(spark, d, "documents").select("lang", "text")
+    vocab = X.explode_tokens(docs.select("lang", X.tokens("text", lower=False).alias("__t")), "__t", "word").distinct()
+    marks = F.replace(F.replace(F.col("word"), F.lit("é"), F.lit("e\u0301")), F.lit("ü"), F.lit("u\u0308"))
+    both = vocab.select("lang", "word").union(vocab.select("lang", marks)).distinct()
+    return both.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_bin"),
+        F.countDistinct(X.collated("word", "as_cs")).alias("n_as_cs"),
+        F.countDistinct(X.collated("word", "ai_ci")).alias("n_ai_ci"))
+
+
 @register("collation_lookup", r"""
 WITH w AS (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS word FROM documents)
 SELECT word, COUNT(*) AS n FROM w
