@@ -106,9 +106,8 @@ def _grown(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
 def _ranked(df: DataFrame, by: list[str], tie: list[str]) -> DataFrame:
     """``rank`` from 0 within a tree, and ``n``, the tree's size."""
     # rows that are equal in all of this are the same leaf; their place in the input keeps a crowd of them splittable
-    out = _numbered(df.withColumn("__at", F.monotonically_increasing_id()), ["tree"], parse_order(by), [*tie, "__at"], None, True)
-    return out.withColumn("rank", F.col("__rn") - 1).withColumn("n", F.col("__size")).drop(
-        "__at", "__rn", "__size", "__pid", "__loc")
+    out = _numbered(df.withColumn("__at", F.monotonically_increasing_id()), ["tree"], parse_order(by), [*tie, "__at"], None, size="n")
+    return out.withColumn("rank", F.col("__rn") - 1).drop("__at", "__rn", "__pid", "__loc")
 
 
 def build_manifest(leaves: DataFrame) -> Manifest:

@@ -94,8 +94,8 @@ def _join_back(big: DataFrame, small: DataFrame, keys: Sequence[str], add: Seque
 
 
 def _numbered(df: DataFrame, group: Sequence[str], order: list[OrderKey],
-              tiebreak: Sequence[str], num_partitions: int | None) -> DataFrame:
-    """Global row_number per group without a one-task group (steps 1-3)."""
+              tiebreak: Sequence[str], num_partitions: int | None, size: str | None = None) -> DataFrame:
+    """Global row_number per group without a one-task group (steps 1-3); ``size`` names a column for the group's rows."""
     sort = [F.col(g).asc() for g in group] + [o.sort() for o in order] + [F.col(t).asc() for t in tiebreak]
     # without an explicit count AQE may coalesce small ranges; partition ids
     # are read back from the ids themselves, so that stays consistent
@@ -115,6 +115,9 @@ def _numbered(df: DataFrame, group: Sequence[str], order: list[OrderKey],
         "__before",
         F.coalesce(F.sum("__cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     add = ["__first", "__before"]
+    if size:
+        per_part = per_part.withColumn(size, F.sum("__cnt").over(Window.partitionBy(*group)))
+        add.append(size)
     out = _join_back(tagged, per_part, ["__pid", *group], add)
     out = out.withColumn("__rn", F.col("__before") + (F.col("__loc") - F.col("__first")) + 1)
     return out.drop("__mid", "__first", "__before")

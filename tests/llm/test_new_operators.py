@@ -169,6 +169,20 @@ def test_manifest_of_equal_blocks(spark):
     assert M.proofs(m, m.leaves).filter(M.folded("leaf") == m.root).count() == 1024
 
 
+def test_manifest_ranks_and_sizes(spark):
+    """Ranks run from 0 in every tree, and each row knows its tree's size, however the ranges split the trees."""
+    from tablekit.llm import manifest as M
+    rows = [("1a", i % 5 or None, "x") for i in range(90)] + [("0", None, "y"), ("1b", 2, "z"), ("1b", 1, "z")]
+    ranked = M._ranked(spark.createDataFrame(rows, "tree string, doc_id long, leaf string").repartition(6), ["doc_id"], ["leaf"])
+    assert ranked.columns == ["tree", "doc_id", "leaf", "n", "rank"]
+    got = {t: [] for t in ("0", "1a", "1b")}
+    for r in ranked.orderBy("tree", "rank").collect():
+        got[r.tree].append((r["rank"], r.n, r.doc_id))
+    assert {t: [x[:2] for x in v] for t, v in got.items()} == {
+        t: [(i, n) for i in range(n)] for t, n in (("0", 1), ("1a", 90), ("1b", 2))}
+    assert all([x[2] or 0 for x in v] == sorted(x[2] or 0 for x in v) for v in got.values())
+
+
 # ---------------------------------------------------------------- license scan
 
 def brute_scan(text):
