@@ -39,6 +39,7 @@ from tablekit.session import materialize
 from tablekit.spec import TableSpec
 
 ORD = "__ord"
+BROADCAST_ROWS = 1 << 14              # from so many rows on, a side of a join is shuffled
 Key = tuple[str, tuple[str, ...]]
 
 
@@ -68,12 +69,21 @@ def numbered_batch(batch: DataFrame, seq: str) -> DataFrame:
     return materialize(numbered_rows(hashed, [], [seq], ["__h"], ORD).drop("__h"))
 
 
-def _held(table: DataFrame, wanted: DataFrame, keys: Sequence[Key], *carry: str) -> DataFrame:
-    """The table's tokens (carry.., k, v) that ``wanted(k, v)`` names, key by key."""
+def met(side: DataFrame, rows: int) -> DataFrame:
+    """``side`` of a join in a step over ``rows`` rows.
+
+    The planner goes by the size of the files, which are packed: what it would
+    broadcast is many times that in the driver, and again in every wave.
+    """
+    return side.hint("merge") if rows > BROADCAST_ROWS else side
+
+
+def _held(table: DataFrame, wanted: DataFrame, keys: Sequence[Key], rows: int, *carry: str) -> DataFrame:
+    """The table's tokens (carry.., k, v) that ``wanted(k, v)``, of ``rows`` rows at most, names, key by key."""
     out = None
     for i, (_, cols) in enumerate(keys):
         own = table.select(*carry, F.lit(i).alias("k"), key_value(cols).alias("v"))
-        hit = own.join(wanted.filter(F.col("k") == i).select("v"), "v", "left_semi").select(*carry, "k", "v")
+        hit = own.join(met(wanted.filter(F.col("k") == i).select("v"), rows), "v", "left_semi").select(*carry, "k", "v")
         out = hit if out is None else out.union(hit)
     return out
 
@@ -84,21 +94,22 @@ def replaced(table: DataFrame, batch: DataFrame, keys: Sequence[Key]) -> tuple[D
     """(table rows that stay, table rows that go, batch rows that stay) after REPLACE of a numbered batch."""
     tok = tokens(batch, keys, ORD)
     last = tok.groupBy("k", "v").agg(F.max(ORD).alias("__last"))
-    beaten = tok.join(last, ["k", "v"]).filter(F.col(ORD) < F.col("__last")).select(ORD).distinct()
     wanted = materialize(last.select("k", "v"))
+    rows = wanted.count()
+    beaten = tok.join(met(last, rows), ["k", "v"]).filter(F.col(ORD) < F.col("__last")).select(ORD).distinct()
     stay = table
     for i, (_, cols) in enumerate(keys):
         value = wanted.filter(F.col("k") == i).select(F.col("v").alias("__v"))
-        stay = stay.join(value, key_value(cols) == F.col("__v"), "left_anti")
+        stay = stay.join(met(value, rows), key_value(cols) == F.col("__v"), "left_anti")
     gone = None
     for i, (_, cols) in enumerate(keys):               # a row goes once, by its first key that is hit
         value = wanted.filter(F.col("k") == i).select(F.col("v").alias("__v"))
-        hit = table.join(value, key_value(cols) == F.col("__v"), "left_semi")
+        hit = table.join(met(value, rows), key_value(cols) == F.col("__v"), "left_semi")
         for j, (_, before) in enumerate(keys[:i]):
             value = wanted.filter(F.col("k") == j).select(F.col("v").alias("__v"))
-            hit = hit.join(value, key_value(before) == F.col("__v"), "left_anti")
+            hit = hit.join(met(value, rows), key_value(before) == F.col("__v"), "left_anti")
         gone = hit if gone is None else gone.union(hit)
-    return stay, gone, batch.join(beaten, ORD, "left_anti")
+    return stay, gone, batch.join(met(beaten, rows), ORD, "left_anti")
 
 
 # ---------------------------------------------------------------- INSERT IGNORE
@@ -107,21 +118,22 @@ def accepted(table: DataFrame, batch: DataFrame, keys: Sequence[Key]) -> tuple[D
     """(ORD of the rows that INSERT IGNORE inserts, (ORD, reasons) of those it ignores) of a numbered batch."""
     tok = materialize(tokens(batch, keys, ORD))
     names = F.array(*[F.lit(rule) for rule, _ in keys])
-    held = _held(table, tok.select("k", "v").distinct(), keys).distinct()
-    lost = tok.join(held, ["k", "v"]).select(ORD, "k")
+    rows = tok.count()
+    held = _held(table, tok.select("k", "v").distinct(), keys, rows).distinct()
+    lost = tok.join(met(held, rows), ["k", "v"]).select(ORD, "k")
     ignored = [lost]
-    taken = [batch.join(tok.select(ORD), ORD, "left_anti").select(ORD)]      # no key filled: nothing to conflict with
-    pending = materialize(tok.join(lost.select(ORD), ORD, "left_anti"))
-    while not pending.isEmpty():
+    taken = [batch.join(met(tok.select(ORD), rows), ORD, "left_anti").select(ORD)]      # no key filled: nothing to conflict with
+    pending = materialize(tok.join(met(lost.select(ORD), rows), ORD, "left_anti"))
+    while rows := pending.count():
         first = pending.groupBy("k", "v").agg(F.min(ORD).alias("__first"))
-        marked = pending.join(first, ["k", "v"])
+        marked = pending.join(met(first, rows), ["k", "v"])
         leads = marked.groupBy(ORD).agg(F.bool_and(F.col(ORD) == F.col("__first")).alias("__leads")).filter("__leads")
         wins = materialize(leads.select(ORD))
         loses = materialize(marked.filter(F.col(ORD) > F.col("__first"))
-                                    .join(wins.select(F.col(ORD).alias("__first")), "__first", "left_semi").select(ORD, "k"))
+                                    .join(met(wins.select(F.col(ORD).alias("__first")), rows), "__first", "left_semi").select(ORD, "k"))
         taken.append(wins)
         ignored.append(loses)
-        pending = materialize(pending.join(wins.union(loses.select(ORD)).distinct(), ORD, "left_anti"))
+        pending = materialize(pending.join(met(wins.union(loses.select(ORD)).distinct(), rows), ORD, "left_anti"))
     reasons = _union(ignored).groupBy(ORD).agg(F.sort_array(F.collect_set(F.get(names, F.col("k")))).alias("reasons"))
     return _union(taken), reasons
 
@@ -159,34 +171,35 @@ def upserted(table: DataFrame, batch: DataFrame, keys: Sequence[Key], row_key: s
     """
     changed = {i for i, (_, cols) in enumerate(keys) if set(cols) & set(update_cols)}
     tok = materialize(tokens(batch, keys, ORD))
+    rows = tok.count()
     wanted = tok.select("k", "v").distinct()
-    hit_rows = _held(table, wanted, keys, row_key).select(F.col(row_key).alias("__rid")).distinct()
-    mine = table.join(hit_rows, table[row_key] == F.col("__rid"), "left_semi")
+    hit_rows = _held(table, wanted, keys, rows, row_key).select(F.col(row_key).alias("__rid")).distinct()
+    mine = table.join(met(hit_rows, rows), table[row_key] == F.col("__rid"), "left_semi")
     # who holds a token: "t" and the key of a table row, or "b" and the ORD of the batch row that was inserted
-    owners = materialize(tokens(mine, keys, row_key).join(wanted, ["k", "v"], "left_semi")
+    owners = materialize(tokens(mine, keys, row_key).join(met(wanted, rows), ["k", "v"], "left_semi")
                          .select("k", "v", F.concat(F.lit("t"), F.col(row_key).cast("string")).alias("rid")))
     shared = tok.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")).join(
-        owners.select("k", "v", F.lit(True).alias("held")), ["k", "v"], "left").filter("c > 1 OR held").select("k", "v")
-    sets = _token_sets(tok.join(shared, ["k", "v"], "left_semi"))
+        met(owners.select("k", "v", F.lit(True).alias("held")), rows), ["k", "v"], "left").filter("c > 1 OR held").select("k", "v")
+    sets = _token_sets(tok.join(met(shared, rows), ["k", "v"], "left_semi"))
     pending = materialize(sets)
-    free = batch.join(pending.select(ORD), ORD, "left_anti").select(
+    free = batch.join(met(pending.select(ORD), rows), ORD, "left_anti").select(
         _inserted(ORD).alias("rid"), F.lit(True).alias("inserted"), F.col(ORD).alias("lo"), F.col(ORD).alias("hi"), F.lit(1).cast("long").alias("c"))
     log = [free]
-    while not pending.isEmpty():
+    while rows := pending.count():
         groups = pending.groupBy("s").agg(F.min(ORD).alias("f"))
         own = _opened(groups, "f")
-        hits = own.join(owners, ["k", "v"])
-        touched = own.union(hits.select("s", "f", "rid").distinct().join(owners, "rid").select("s", "f", "k", "v")).distinct()
+        hits = own.join(met(owners, rows), ["k", "v"])
+        touched = own.union(hits.select("s", "f", "rid").distinct().join(met(owners, rows), "rid").select("s", "f", "k", "v")).distinct()
         touched = materialize(touched)
         first = touched.groupBy("k", "v").agg(F.min("f").alias("f1"))
-        marked = touched.join(first, ["k", "v"])
+        marked = touched.join(met(first, rows), ["k", "v"])
         second = marked.filter("f > f1").groupBy("k", "v").agg(F.min("f").alias("f2"))
-        ready = (marked.join(second, ["k", "v"], "left").groupBy("s", "f")
+        ready = (marked.join(met(second, rows), ["k", "v"], "left").groupBy("s", "f")
                  .agg(F.bool_and(F.col("f") == F.col("f1")).alias("ok"), F.min("f2").alias("until")).filter("ok").drop("ok"))
         target = hits.groupBy("s").agg(F.min_by("rid", "k").alias("rid"), F.collect_set(F.struct("k", "rid")).alias("who"))
-        ready = materialize(ready.join(target, "s", "left"))
+        ready = materialize(ready.join(met(target, rows), "s", "left"))
         _refuse_collisions(ready, changed, keys)
-        run = (pending.join(ready, "s").filter(F.col("until").isNull() | (F.col(ORD) < F.col("until")))
+        run = (pending.join(met(ready, rows), "s").filter(F.col("until").isNull() | (F.col(ORD) < F.col("until")))
                .groupBy("s", "f", "rid").agg(F.min(ORD).alias("lo"), F.max(ORD).alias("hi"), F.count(F.lit(1)).alias("c")))
         done = materialize(run.select("s", F.coalesce("rid", _inserted("f")).alias("rid"), F.col("rid").isNull().alias("inserted"),
                                               "lo", "hi", "c"))
@@ -196,9 +209,13 @@ def upserted(table: DataFrame, batch: DataFrame, keys: Sequence[Key], row_key: s
                                                                         if changed else F.array().cast("array<int>")).alias("k"))
         takes = _opened(done, "rid", "inserted").filter(
             F.col("inserted") | F.col("k").isin(sorted(changed) or [-1])).select("k", "v", "rid")
-        owners = materialize(owners.join(freed, ["rid", "k"], "left_anti").select("k", "v", "rid").union(takes).distinct())
-        pending = materialize(pending.join(done.select("s", "hi"), "s", "left")
+        owners = owners.join(met(freed, rows), ["rid", "k"], "left_anti").select("k", "v", "rid").union(takes).distinct()
+        pending = materialize(pending.join(met(done.select("s", "hi"), rows), "s", "left")
                                       .filter(F.col("hi").isNull() | (F.col(ORD) > F.col("hi"))).select(ORD, "s"))
+        # rows that hold no token of a pending row are met by nobody any more
+        asked = pending.select("s").distinct().select(F.explode("s").alias("t")).select("t.k", "t.v").distinct()
+        live = owners.join(met(asked, rows), ["k", "v"], "left_semi").select("rid").distinct()
+        owners = materialize(owners.join(met(live, rows), "rid", "left_semi").select("k", "v", "rid"))
     every = _union(log).groupBy("rid").agg(F.bool_or("inserted").alias("inserted"), F.min("lo").alias("lo"),
                                            F.max("hi").alias("hi"), F.sum("c").alias("c"))
     return every.select(

@@ -322,16 +322,18 @@ def _upsert_any_key(table: DataFrame, b: DataFrame, spec: TableSpec, id_col: str
     keys = conflicts.unique_keys(spec, b.columns)
     batch = conflicts.numbered_batch(b, seq)
     ops = materialize(conflicts.upserted(table, batch, keys, row_key, update_cols))
+    rows = batch.count()
     values = batch.select(F.col(conflicts.ORD).alias("last"), F.struct(*update_cols).alias("__last"))
-    upd = ops.filter("old IS NOT NULL").join(values, "last").select(
+    upd = ops.filter("old IS NOT NULL").join(conflicts.met(values, rows), "last").select(
         F.col("old").cast(types[row_key]).alias("__k"), "__last", F.lit(True).alias("__in_b"))
-    j = table.join(upd, table[row_key] == F.col("__k"), "left")
+    j = table.join(conflicts.met(upd, rows), table[row_key] == F.col("__k"), "left")
     in_b = F.coalesce(F.col("__in_b"), F.lit(False))
     stamps = [c for c in set_now if c in cols and c not in update_cols]
     kept = j.select(*[F.when(in_b, F.col(f"__last.{c}")).otherwise(F.col(c)).cast(types[c]).alias(c) if c in update_cols
                       else F.when(in_b, now_col(now).cast(types[c])).otherwise(F.col(c)).alias(c) if c in stamps
                       else F.col(c) for c in cols])
-    fresh = (ops.filter("first IS NOT NULL").join(batch, F.col("first") == F.col(conflicts.ORD)).join(values, "last", "left")
+    fresh = (ops.filter("first IS NOT NULL").join(conflicts.met(batch, rows), F.col("first") == F.col(conflicts.ORD))
+             .join(conflicts.met(values, rows), "last", "left")
              .select(conflicts.ORD, *[F.when(F.col("__last").isNotNull(), F.col(f"__last.{c}")).otherwise(F.col(c)).alias(c)
                                       if c in update_cols else F.col(c) for c in b.columns if c != seq]))
     fresh = _with_ids(fresh, table, id_col, [conflicts.ORD]) if id_col else fresh
@@ -362,9 +364,10 @@ def insert_ignore(table: DataFrame, batch: DataFrame, spec: TableSpec, key: str
         numbered = conflicts.numbered_batch(clean, seq)
         aligned = align(numbered, spec, now, exclude=(id_col,) if id_col else (), extra=(seq, conflicts.ORD), lenient=True)
         taken, ignored = conflicts.accepted(table, aligned, conflicts.unique_keys(spec, aligned.columns))
-        fresh = materialize(aligned.join(taken, conflicts.ORD, "left_semi"))
+        rows = numbered.count()
+        fresh = materialize(aligned.join(conflicts.met(taken, rows), conflicts.ORD, "left_semi"))
         fresh = _with_ids(fresh, table, id_col, [conflicts.ORD]) if id_col else fresh
-        rejected = rejected.unionByName(numbered.join(ignored, conflicts.ORD).drop(conflicts.ORD))
+        rejected = rejected.unionByName(numbered.join(conflicts.met(ignored, rows), conflicts.ORD).drop(conflicts.ORD))
         metrics = fresh.agg(F.count(F.lit(1)).alias("inserted")).select(
             "inserted", (_count_of(batch) - F.col("inserted")).alias("ignored"))
         return table.unionByName(fresh.select(*cols)), metrics, rejected

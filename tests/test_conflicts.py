@@ -172,6 +172,28 @@ def test_one_hot_key_is_one_wave(spark, monkeypatch):
     assert got(new) == replay(t, b, "upsert", ("a", "m"))[0] and len(waves) == 1
 
 
+@pytest.mark.parametrize("rows", [0, 1 << 14])
+def test_waves_keep_only_the_holders_they_need(spark, monkeypatch, rows):
+    """A long chain beside many settled rows: who holds nothing of a pending row's is dropped, broadcast or shuffled."""
+    from tablekit.operators import conflicts
+    owners = []
+    real = conflicts.materialize
+
+    def kept(df, *a):
+        out = real(df, *a)
+        if out.columns == ["k", "v", "rid"]:
+            owners.append(out.count())
+        return out
+    monkeypatch.setattr(conflicts, "materialize", kept)
+    monkeypatch.setattr(conflicts, "BROADCAST_ROWS", rows, raising=False)
+    t = [(i + 1, f"t{i}", i, None, None, 0, 0) for i in range(80)]
+    b = [(f"t{i}", None, None, None, i, 5, i) for i in range(80)]
+    b += [(f"c{i // 2}", 1000 + (i + 1) // 2, None, None, i, 6, 100 + i) for i in range(5)]
+    new, _ = M.upsert(*frames(spark, t, b), SPEC, None, ["a", "b"], "seq", set_now=())
+    assert got(new) == replay(t, b, "upsert", ("a", "b"))[0]
+    assert len(owners) > 2 and owners[0] == 80 and max(owners[1:]) < 10 and owners[-1] == 0
+
+
 # ---------------------------------------------------------------- strict writers
 
 EMP = [(1, 10, "A", Decimal("5.00"), "X"), (2, None, "B", Decimal("6.00"), "Y")]
