@@ -21,7 +21,7 @@ PUNCTUATION = np.zeros(256, dtype=bool)
 PUNCTUATION[[ord(c) for c in '.,;:!?|"()#$%&*']] = True
 LETTER = np.zeros(256, dtype=bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
-MAX_STRETCHES = 250_000               # cached stretches of a worker, about 10 MB; then it starts anew
+MAX_STRETCHES = 460_000               # cached stretches of a worker, about 25 MB; then those met once go
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 
@@ -79,6 +79,25 @@ class BatchTokenizer:
         self.counts = np.zeros(1 << 16, dtype=np.int32)
         self.first = np.zeros(1 << 16, dtype=np.int32)
         self.flat = np.zeros(1 << 18, dtype=np.uint32)
+        self.again = np.zeros(1 << 16, dtype=bool)     # stretches that a later piece met
+
+    def thin(self) -> None:
+        """Keep the stretches that were met again since the last time, half of the room at most."""
+        size, table = self.table.size, self.table
+        keep = np.flatnonzero(self.again[:size])[-(MAX_STRETCHES // 2):]
+        counts, first, flat = self.counts[keep], self.first[keep].astype(np.int64), self.flat
+        keys, used = np.zeros(size, dtype=np.uint64), table.vals >= 0
+        keys[table.vals[used]] = table.keys[used]
+        self.reset()
+        if len(keep):
+            self.table.slots(np.sort(keys[keep]))      # slots follow the order of the keys
+            order = np.argsort(keys[keep])
+            self.used = int(counts.sum())
+            self.first, self.counts, self.again = (_with_room(x, len(keep)) for x in (self.first, self.counts, self.again))
+            self.flat = _with_room(self.flat, self.used)
+            self.counts[:len(keep)] = counts[order]
+            self.first[:len(keep)] = np.cumsum(counts[order]) - counts[order]
+            self.flat[:self.used] = flat[spread(first[order], counts[order].astype(np.int64))]
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, row bounds): the ids of all documents one after another."""
@@ -86,9 +105,11 @@ class BatchTokenizer:
         if len(start) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
         if self.table.size > MAX_STRETCHES:
-            self.reset()
+            self.thin()
         known = self.table.size
         slot, new = self.table.slots(span_hashes(buf, start, end))
+        self.again = _with_room(self.again, self.table.size)
+        self.again[slot[slot < known]] = True
         if len(new):
             new = new[np.argsort(slot[new])]            # slots of new stretches are dense and ascending
             raw = buf.tobytes()

@@ -548,3 +548,27 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(201)} | {1000 + k: 1000 for k in range(100)} | {5000: 5000, 5001: 5000}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_full_cache_keeps_frequent_stretches(monkeypatch):
+    """A full cache drops stretches met once; the ids stay those of whole texts."""
+    import numpy as np
+
+    from tablekit.llm import tokens as T
+    monkeypatch.setattr(T, "MAX_STRETCHES", 60)
+    tok = T.BatchTokenizer(T.vocabulary_path())
+    asked, real = [], tok.tokenizer
+
+    class Seen:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return real.encode_batch_fast(texts, **kw)
+    tok.tokenizer = Seen()
+    for k in range(12):
+        texts = [" common words\u00e9 stay" + "".join(f" once{k}x{i}" for i in range(30)), "", f" common {k}"]
+        raw = [t.encode() for t in texts]
+        buf = np.frombuffer(b"".join(raw) + bytes(8), np.uint8)
+        ids, bounds = tok.encode(buf, np.concatenate(([0], np.cumsum([len(x) for x in raw]))))
+        assert [ids[s:e].tolist() for s, e in zip(bounds[:-1], bounds[1:])] == [
+            real.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked.count(" common") == asked.count(" stay") == 1 and tok.table.size < 100
