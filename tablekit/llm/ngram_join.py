@@ -540,8 +540,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
         F.min_by(F.struct("grams", "prefix", "near1", "near2", "signature"), "node").alias("s"))
         .select("rep", "n", "d1", "d2", "s.*"))
     release(docs.sparkSession)
-    links = checkpointed(near_links(reps, "near1", num, den).union(near_links(reps, "near2", num, den)))
-    release(docs.sparkSession)
+    links = None
+    for by in ("near1", "near2"):                      # one after the other: each order is a shuffle of all sets
+        found = checkpointed(near_links(reps, by, num, den))
+        links = found if links is None else links.union(found)
+        release(docs.sparkSession)
     comps = connected_components(links).withColumnRenamed("node", "rep")
     more = completing_links(reps, comps, num, den)
     final = connected_components(links.union(checkpointed(more))).withColumnRenamed("node", "rep")

@@ -572,3 +572,15 @@ def test_full_cache_keeps_frequent_stretches(monkeypatch):
         assert [ids[s:e].tolist() for s, e in zip(bounds[:-1], bounds[1:])] == [
             real.encode(t, add_special_tokens=False).ids for t in texts]
     assert asked.count(" common") == asked.count(" stay") == 1 and tok.table.size < 100
+
+
+def test_near_orders_are_released_one_by_one(spark, monkeypatch):
+    """The shuffle of one near order is given back before the next one begins."""
+    from tablekit.llm import ngram_join as J
+    steps, near, release = [], J.near_links, J.release
+    monkeypatch.setattr(J, "near_links", lambda reps, by, *a: (steps.append(by), near(reps, by, *a))[1])
+    monkeypatch.setattr(J, "release", lambda s: (steps.append("release"), release(s))[1])
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z u v w"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert steps[steps.index("near1"):steps.index("near2") + 2] == ["near1", "release", "near2", "release"]
