@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,10 +48,15 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of frames that nothing refers to any more.
 
     Its cleaner acts when the driver's JVM collects garbage, which a job with
-    few objects and large shuffles may never come to do by itself.
+    few objects and large shuffles may never come to do by itself.  The last
+    frame's shuffles are garbage only some time after what stood on them has been
+    collected: one collection, or two at once, leave them in place.
     """
     gc.collect()
     spark._jvm.System.gc()
+    time.sleep(0.5)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def text_or_empty(col: str = "text") -> Column:

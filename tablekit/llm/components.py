@@ -5,7 +5,8 @@ larger neighbours, then the smaller ones); the edges shrink towards stars
 around each component's smallest vertex in a logarithmic number of rounds.
 Minima are pre-aggregated, and the edge side of each join is a plain shuffle
 join that adaptive execution may split, so one vertex may hold any share of
-the edges.
+the edges.  A round's shuffles and edges go when the next one has been written,
+so disk doesn't grow with the number of rounds.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import checkpointed
+from tablekit.llm.common import checkpointed, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,5 +43,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         before = state
         now = checkpointed(_small_star(_large_star(now)))
+        release(edges.sparkSession)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b"), F.col("b")).distinct())

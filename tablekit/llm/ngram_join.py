@@ -93,6 +93,17 @@ def _bucket(h: np.ndarray, n: int) -> np.ndarray:
     return (((h >> _U(32)) * _U(n)) >> _U(32)).astype(np.int64)
 
 
+def _pack_places(place: np.ndarray, n: int) -> bytes:
+    """Places in a run of n documents, of two bytes if that is enough."""
+    return place.astype(np.uint16 if n <= 1 << 16 else np.uint32).tobytes()
+
+
+def _unpack_run(run: bytes, rows: bytes) -> np.ndarray:
+    """Documents of entries from their run (first document, how many) and places in it."""
+    first, n = np.frombuffer(run, np.int64)
+    return first + np.frombuffer(rows, np.uint16 if n <= 1 << 16 else np.uint32).astype(np.int64)
+
+
 BLOCKS = "bucket int, hashes binary, nodes binary, rows binary"
 
 
@@ -112,9 +123,10 @@ def _blocks(words: int, buckets: int):
         order = np.argsort(values, kind="stable")
         values, of = values[order], of[order]
         cuts = np.searchsorted(_bucket(values, buckets), np.arange(buckets + 1))
+        run = np.array([node[0], len(node)], np.int64).tobytes()          # a list of them in each bucket would outgrow the n-grams
         for b in np.flatnonzero(np.diff(cuts)):
             s, e = cuts[b], cuts[b + 1]
-            out.append((int(b), _pack_hashes(values[s:e]), *_pack_nodes(node[of[s:e]])))
+            out.append((int(b), _pack_hashes(values[s:e]), run, _pack_places(of[s:e], len(node))))
         return pa.RecordBatch.from_arrays(
             [pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]],
             names=["bucket", "hashes", "nodes", "rows"])
@@ -168,7 +180,7 @@ def _count(buckets: int, parts: int):
             hs, nodes = [], []
             for h, nd, r in zip(t["hashes"].to_pylist(), t["nodes"].to_pylist(), t["rows"].to_pylist()):
                 hs.append(_unpack_hashes(h))
-                nodes.append(_unpack_nodes(nd, r))
+                nodes.append(_unpack_run(nd, r))
             h, node = np.concatenate(hs), np.concatenate(nodes)
             order = np.argsort(h, kind="stable")
             h, node = h[order], node[order]
@@ -532,13 +544,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     """
     if 2 * num < den:
         raise ValueError("similarities under one half are out of range: signatures fold one width only")
-    every = checkpointed(gram_sets(docs, words, num, den))
+    sets = checkpointed(gram_sets(docs, words, num, den))
     release(docs.sparkSession)                         # the packed n-grams, by far the largest shuffle
-    able = every.filter(F.col("grams").isNotNull())
-    reps = checkpointed(able.groupBy("n", "d1", "d2").agg(
+    every = checkpointed(sets.select("node", "doc_id", "key", "n", "d1", "d2", F.col("grams").isNotNull().alias("able")))
+    reps = checkpointed(sets.filter(F.col("grams").isNotNull()).groupBy("n", "d1", "d2").agg(
         F.min("node").alias("rep"),
         F.min_by(F.struct("grams", "prefix", "near1", "near2", "signature"), "node").alias("s"))
         .select("rep", "n", "d1", "d2", "s.*"))
+    del sets                                           # from here on the representatives' are enough
     release(docs.sparkSession)
     links = None
     for by in ("near1", "near2"):                      # one after the other: each order is a shuffle of all sets
@@ -550,11 +563,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     final = connected_components(links.union(checkpointed(more))).withColumnRenamed("node", "rep")
     of_rep = reps.select("rep", "n", "d1", "d2").join(final, "rep", "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
-    rows = (every.select("node", "doc_id", "key", "n", "d1", "d2", F.col("grams").isNotNull().alias("able"))
-            .filter("able").join(of_rep, ["n", "d1", "d2"]))
+    rows = every.filter("able").join(of_rep, ["n", "d1", "d2"])
     named = checkpointed(rows.select("node", "doc_id", "key", F.col("n").alias("n_shingles"), "component"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    alone = every.filter(F.col("grams").isNull()).select(
+    alone = every.filter("NOT able").select(
         "node", "doc_id", "key", F.col("n").alias("n_shingles"), F.col("node").alias("component"),
         F.col("doc_id").alias("component_id"))
     return alone.unionByName(named.join(names, "component").select(alone.columns))
@@ -565,14 +577,17 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
 
     Of rows that differ in other columns only, the one with the smallest hash stays.
     """
-    found = jaccard_components(docs, words, num, den)
-    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("b"))
-    keep = best.select(F.struct(F.col("b.doc_id").alias("doc_id"), F.col("b.key").alias("key")).alias("__row"))
     keyed = docs.withColumn("__row", F.struct(F.col("doc_id").cast("long").alias("doc_id"),
                                               F.xxhash64("text").alias("key"))).withColumn("__all", F.xxhash64(*docs.columns))
-    kept = keyed.join(keep.distinct(), "__row", "left_semi")
-    least = kept.groupBy("__row").agg(F.min("__all").alias("__all"))
-    return kept.join(least, ["__row", "__all"], "left_semi").dropDuplicates(["__row"]).select(docs.columns)
+    found = jaccard_components(docs, words, num, den)
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("b"))
+    best = best.select(F.struct(F.col("b.doc_id").alias("doc_id"), F.col("b.key").alias("key")).alias("__row")).distinct()
+    # the choice is made on keys and the join's files go; then the texts move, once
+    keep = checkpointed(keyed.select("__row", "__all").join(best, "__row", "left_semi")
+                        .groupBy("__row").agg(F.min("__all").alias("__all")))
+    del found, best
+    release(docs.sparkSession)
+    return keyed.join(keep, ["__row", "__all"], "left_semi").dropDuplicates(["__row", "__all"]).select(docs.columns)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -584,3 +584,72 @@ def test_near_orders_are_released_one_by_one(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in J.jaccard_components(docs).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
     assert steps[steps.index("near1"):steps.index("near2") + 2] == ["near1", "release", "near2", "release"]
+
+
+def _shuffle_mb(spark):
+    import os
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return sum(os.lstat(os.path.join(a, f)).st_size for d in dirs for a, _, names in os.walk(d) for f in names
+               if f.startswith("shuffle_")) / 1e6
+
+
+def test_release_gives_back_the_last_shuffle(spark):
+    """One call is enough for a frame that was checkpointed just before."""
+    import time
+    from tablekit.llm.common import checkpointed, release
+    for _ in range(2):
+        release(spark)                                 # what other tests left
+        time.sleep(1)
+    before = _shuffle_mb(spark)
+    kept = checkpointed(spark.range(500_000).select("id", F.rand(1).alias("x")).repartition(3, "x"))
+    assert _shuffle_mb(spark) > before + 4
+    release(spark)
+    for _ in range(40):
+        if _shuffle_mb(spark) < before + 1:
+            break
+        time.sleep(0.25)
+    assert _shuffle_mb(spark) < before + 1 and kept.count() == 500_000
+
+
+def test_component_rounds_are_released(spark, monkeypatch):
+    from tablekit.llm import components as C
+    steps, write = [], C.checkpointed
+    monkeypatch.setattr(C, "checkpointed", lambda df: (steps.append("round"), write(df))[1])
+    monkeypatch.setattr(C, "release", lambda s: steps.append("release"), raising=False)
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 99), (99, 98), (7, 7)], "a long, b long")
+    got = {r.node: r.component for r in C.connected_components(edges).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 98: 98, 99: 98, 100: 98}
+    assert len(steps) > 4 and steps[1:] == ["round", "release"] * (len(steps) // 2)
+
+
+def test_texts_move_once(spark):
+    """one_of_each chooses on keys; only its last join shuffles texts, and the sets are gone by then."""
+    from tablekit.llm.ngram_join import one_of_each
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "x"), (2, "a b c d e f", "x"), (3, "other words", "y"),
+                                      (3, "other words", "y"), (3, "other words", "z"), (None, "a b c d e f", "x"), (None, "lone", None),
+                                      (None, "lone", None), (5, None, "y"), (5, None, "y")], "doc_id long, text string, lang string")
+        kept = one_of_each(docs)
+        plan = spark._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "formatted")
+        moved = [p for p in re.split(r"\n\n", plan) if re.match(r"\(\d+\) Exchange", p.strip()) and "text#" in p]
+        assert len(moved) == 1 and "grams#" not in plan
+        got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+        assert got == sorted([(1, "a b c d e f"), (3, "other words"), (5, None), (None, "lone")], key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_blocks_name_their_run_of_documents(spark):
+    """An n-gram block holds two numbers for its documents, however many buckets share them."""
+    from tablekit.llm import ngram_join as J
+    for n in (1, 1 << 16, (1 << 16) + 1):
+        place = np.unique([0, n // 2, n - 1])
+        run = np.array([7 << 36, n], np.int64).tobytes()
+        packed = J._pack_places(place, n)
+        assert J._unpack_run(run, packed).tolist() == (place + (7 << 36)).tolist()
+        assert len(packed) == len(place) * (2 if n <= 1 << 16 else 4)
+    docs = spark.createDataFrame([(k, f"w{k} a b c d e f{k % 3}") for k in range(50)], "doc_id long, text string")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("key"), "text").coalesce(1).mapInArrow(J._blocks(4, 64), J.BLOCKS).collect()
+    assert {len(r.nodes) for r in rows if r.bucket < 64} == {16}
